@@ -13,7 +13,7 @@ one; an empty table gives an empty result.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -108,6 +108,10 @@ def _pack(group: pd.DataFrame, step: int, capacity: int) -> pd.DataFrame:
     return group.assign(loose=loose[bins])
 
 
+def packer(step: int, capacity: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    return lambda group: _pack(group, step, capacity)
+
+
 def pack(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
     """pieces (any columns, with length) and sequence_id, offset: their place. Columns uid, part, loose are ours."""
     spark = pieces.sparkSession
@@ -117,7 +121,7 @@ def pack(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
     kind = StructType([*todo.schema, StructField("loose", BooleanType())])
     done, step = [], 0
     while True:
-        packed = stage(todo.groupBy("part").applyInPandas(lambda g, step=step: _pack(g, step, capacity), kind), f"pack-{step}")
+        packed = stage(todo.groupBy("part").applyInPandas(packer(step, capacity), kind), f"pack-{step}")
         step += 1
         if parts == 1 or packed.where("loose").isEmpty():
             done.append(packed)
