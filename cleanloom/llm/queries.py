@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, packing, tokens
+from . import exact_dedup, mixing, neighbours, packing, sharding, tokens
 
 LIMIT = 2048
 
@@ -27,6 +27,20 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select(F.col("id").alias("doc_id"), "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, 5)
+
+
+def op4_weighted_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan = mixing.schedule(table(spark, sf_dir, "documents"), weights=(5, 2, 1))
+    return plan.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "finish")
+
+
+def op5_ring_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shard(table(spark, sf_dir, "documents"), 8)
+    return placed.select(F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     verdict = exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
     return verdict.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.lower(F.hex("sha")).alias("text_sha256"))
