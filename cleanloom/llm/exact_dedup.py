@@ -24,6 +24,8 @@ from .common import free_name, new_path, stage, unstage
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+#: RocksDB would set aside 4 MB of disk for each log of each partition, however little it holds
+PREALLOCATE = "spark.sql.streaming.stateStore.rocksdb.allowFAllocate"
 
 
 def normalised(text: Column) -> Column:
@@ -44,12 +46,14 @@ def located(docs: DataFrame) -> tuple[DataFrame, Column, Column]:
 def _state(prints: DataFrame, batch_bytes: str | None) -> DataFrame:
     """What the keyed state holds after the stream has read all fingerprints: one row per digest."""
     spark = prints.sparkSession
-    out, old = new_path(spark, "dedup-state"), spark.conf.get(PROVIDER)
+    out = new_path(spark, "dedup-state")
+    old = {k: spark.conf.get(k, None) for k in (PROVIDER, PREALLOCATE)}
     reader = spark.readStream.schema(prints.schema)
     if batch_bytes:
         reader = reader.option("maxBytesPerTrigger", batch_bytes)
     kept = reader.parquet(prints._staged_at).groupBy("key").agg(F.count("*").alias("n"), F.max(F.struct("id", "file", "row")).alias("keep"))
     spark.conf.set(PROVIDER, ROCKSDB)
+    spark.conf.set(PREALLOCATE, "false")
     try:
         run = (
             kept.writeStream.outputMode("update")
@@ -60,7 +64,8 @@ def _state(prints: DataFrame, batch_bytes: str | None) -> DataFrame:
         )
         run.awaitTermination()
     finally:
-        spark.conf.set(PROVIDER, old)
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     batches = {p["batchId"] for p in run.recentProgress if p["numInputRows"]}
     if not batches:
         return spark.createDataFrame([], kept.schema)
