@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, neighbours, packing, sharding, tokens
+from . import chat, exact_dedup, mixing, neighbours, packing, sharding, tokens
 
 LIMIT = 2048
 
@@ -41,6 +41,33 @@ def op5_ring_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select(F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)], rows.schema)
+    return chat.digests(chat.format_conversations(rows.unionByName(extra)))
+
+
+def _escaped_length(column: str) -> str:
+    """DuckDB SQL for the length of an escaped string: a character more for each backslash and each control string."""
+    found = [f"(length({column}) - length(replace({column}, '{c}', ''))) // {len(c)}" for c in ("\\", *chat.CONTROL)]
+    return f"length({column}) + {' + '.join(found)}"
+
+
+OP6_SQL = f"""
+WITH r AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]')
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(sum(CASE WHEN role = '{chat.LOSS_ROLE}' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = '{chat.LOSS_ROLE}'), '')) AS loss_sha256,
+       CAST(sum({len(chat.TURN + chat.TEXT + chat.END)} + {_escaped_length("role")} + {_escaped_length("text")}) AS BIGINT) AS formatted_chars
+FROM r GROUP BY conv_id
+"""
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     verdict = exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
     return verdict.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.lower(F.hex("sha")).alias("text_sha256"))
@@ -65,4 +92,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_exact_dedup": OP9_SQL}
+    return {"op6_chat_formatting": OP6_SQL, "op9_exact_dedup": OP9_SQL}
