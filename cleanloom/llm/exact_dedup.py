@@ -24,8 +24,9 @@ from .common import free_name, new_path, stage, unstage
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-#: RocksDB would set aside 4 MB of disk for each log of each partition, however little it holds
-PREALLOCATE = "spark.sql.streaming.stateStore.rocksdb.allowFAllocate"
+#: RocksDB would set aside 4 MB of disk for each log of each partition, however little it holds, and memory for each partition
+ROCKS = "spark.sql.streaming.stateStore.rocksdb"
+STATE = {PROVIDER: ROCKSDB, f"{ROCKS}.allowFAllocate": "false", f"{ROCKS}.boundedMemoryUsage": "true", f"{ROCKS}.maxMemoryUsageMB": "256"}
 
 
 def normalised(text: Column) -> Column:
@@ -47,13 +48,13 @@ def _state(prints: DataFrame, batch_bytes: str | None) -> DataFrame:
     """What the keyed state holds after the stream has read all fingerprints: one row per digest."""
     spark = prints.sparkSession
     out = new_path(spark, "dedup-state")
-    old = {k: spark.conf.get(k, None) for k in (PROVIDER, PREALLOCATE)}
+    old = {k: spark.conf.get(k, None) for k in STATE}
     reader = spark.readStream.schema(prints.schema)
     if batch_bytes:
         reader = reader.option("maxBytesPerTrigger", batch_bytes)
     kept = reader.parquet(prints._staged_at).groupBy("key").agg(F.count("*").alias("n"), F.max(F.struct("id", "file", "row")).alias("keep"))
-    spark.conf.set(PROVIDER, ROCKSDB)
-    spark.conf.set(PREALLOCATE, "false")
+    for k, v in STATE.items():
+        spark.conf.set(k, v)
     try:
         run = (
             kept.writeStream.outputMode("update")
