@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, mixing, neighbours, packing, sharding, tokens
+from . import chat, exact_dedup, mixing, neighbours, packing, sharding, tokens, toxicity
 
 LIMIT = 2048
 
@@ -68,6 +68,13 @@ FROM r GROUP BY conv_id
 """
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    scored = toxicity.score(docs, toxicity.fit(docs, labels, ~held)).withColumnRenamed("id", "doc_id")
+    return scored.select("doc_id", held.alias("held_out"), "score", "predicted")
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     verdict = exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
     return verdict.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.lower(F.hex("sha")).alias("text_sha256"))
