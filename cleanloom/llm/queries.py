@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, mixing, near_duplicates, neighbours, packing, sharding, tokens, toxicity
+from . import chat, exact_dedup, mixing, near_duplicates, neighbours, packing, passages, sharding, tokens, toxicity
 
 LIMIT = 2048
 
@@ -80,6 +80,11 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held.alias("held_out"), "score", "predicted")
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = passages.repeats(table(spark, sf_dir, "documents"))
+    return spans.select(F.col("id").alias("doc_id"), F.col("start").alias("start_word"), F.col("end").alias("end_word"), "removed", F.col("cluster").alias("cluster_id"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     verdict = exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
     return verdict.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.lower(F.hex("sha")).alias("text_sha256"))
