@@ -4,20 +4,28 @@ The vocabulary drops white space, and none of its patterns crosses it, so an ASC
 boundary: the ids of a text are those of its white-space-separated words, one after the other. Texts (of any length) are
 cut there; each batch of about the same number of bytes sends only the words that the worker has not seen to the
 library's batch encoder, and sums what the words have. The table of words is bounded and starts anew when it is full.
+
+Plain words (Latin letters, then perhaps punctuation) are encoded in lines of many words, for an encoding has a price of its
+own. How a line's ids fall to its words is plain from the ids that end a word: one for the letters, one for the punctuation.
+Words of any other kind are encoded one by one.
 """
 
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: words that a worker remembers, UTF-8 bytes of text in a batch, UTF-8 bytes of words sent to the encoder at once
-WORDS, BATCH_BYTES, ENCODE_BYTES = 400_000, 4 << 20, 256 << 10
+#: words that a worker remembers, UTF-8 bytes of text in a batch, UTF-8 bytes of words sent to the encoder at once, words in a line
+WORDS, BATCH_BYTES, ENCODE_BYTES, LINE = 700_000, 4 << 20, 256 << 10, 1000
+#: letters that neither normalisation nor a neighbour changes, then punctuation that begins no pattern of its own
+PLAIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+[.,;:!?]*")
 
 
 class WordEncoder:
@@ -28,14 +36,42 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.ids, self.known = Tokenizer.from_file(path), ids, {}
+        vocabulary, mark = self.tokenizer.get_vocab(), getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        if mark:
+            self.ends[[i for w, i in vocabulary.items() if w.endswith(mark)]] = True
 
     def learn(self, words: set[bytes]) -> None:
         if len(self.known) > WORDS:
             self.known.clear()
         new = [w for w in words if w not in self.known]
         for part in by_bytes(new, ENCODE_BYTES):
-            for w, e in zip(part, self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False), strict=True):
-                self.known[w] = b"".join(i.to_bytes(4, "little") for i in e.ids) if self.ids else len(e)
+            text = b"\n".join(part).decode().split("\n")
+            plain = [PLAIN.fullmatch(t) is not None for t in text] if self.ends.any() else [False] * len(text)
+            lines = [t for t, ok in zip(text, plain, strict=True) if ok]
+            lines = [lines[k : k + LINE] for k in range(0, len(lines), LINE)]
+            other = [t for t, ok in zip(text, plain, strict=True) if not ok]
+            encoded = self.tokenizer.encode_batch_fast([" ".join(x) for x in lines] + other, add_special_tokens=False)
+            found = iter([x for line, e in zip(lines, encoded, strict=False) for x in self.apart(line, e.ids)])
+            rest = iter(encoded[len(lines) :])
+            for w, ok in zip(part, plain, strict=True):
+                self.known[w] = next(found) if ok else self.value(next(rest).ids)
+
+    def value(self, ids: list[int]) -> int | bytes:
+        return np.array(ids, "<u4").tobytes() if self.ids else len(ids)
+
+    def apart(self, line: list[str], ids: list[int]) -> list[int | bytes]:
+        """The ids of a line of plain words, word by word."""
+        got = np.array(ids, "<u4")
+        ends = np.flatnonzero(self.ends[got]) + 1
+        last = np.cumsum([1 if w[-1].isalpha() else 2 for w in line])
+        if last[-1] != len(ends) or ends[-1] != len(got):
+            raise ValueError("a line of plain words has other ends of words than its words have")
+        stops = ends[last - 1]
+        if not self.ids:
+            return np.diff(stops, prepend=0).tolist()
+        raw, at = got.tobytes(), [0, *(4 * stops).tolist()]
+        return [raw[s:e] for s, e in zip(at, at[1:], strict=False)]
 
 
 _ENCODERS: dict[tuple[str, bool], WordEncoder] = {}
