@@ -1,0 +1 @@
+"""No operator of the table engine is a stream; the training-data operators keep theirs to themselves."""
