@@ -85,11 +85,9 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     scan, _, _ = located(docs)
     plan = stage(schedule(scan, id_col, text_col, source_col, whole=True, **options).where("taken > 0"), "mix-plan")
     _, file, row = located(scan)
-    f, r, t = (free_name(scan, x) for x in ("at_file", "at_row", "mix_finish"))
-    copies = plan.select(F.col("file").alias("__f"), F.col("row").alias("__r"), F.posexplode(F.array_repeat(F.col("finish"), (F.col("taken") / F.col("size")).cast("int"))).alias("again", "__t"), (F.col("source_size") / F.col("target")).alias("round"))
+    f, r, t, k = (free_name(scan, x) for x in ("at_file", "at_row", "mix_finish", "mix_again"))
+    copies = plan.select(F.col("file").alias("__f"), F.col("row").alias("__r"), F.posexplode(F.array_repeat(F.col("finish"), (F.col("taken") / F.col("size")).cast("int"))).alias(k, "__t"), (F.col("source_size") / F.col("target")).alias("__round"))
     tagged = scan.select("*", file.alias(f), row.alias(r))
-    out = tagged.join(copies, (tagged[f] == copies["__f"]) & (tagged[r] == copies["__r"])).withColumn(t, F.col("__t") + F.col("again") * F.col("round"))
+    out = tagged.join(copies, (tagged[f] == copies["__f"]) & (tagged[r] == copies["__r"])).withColumn(t, F.col("__t") + F.col(k) * F.col("__round"))
     n = max(8, docs.sparkSession.sparkContext.defaultParallelism)
-    return out.repartitionByRange(n, t, f, r).sortWithinPartitions(t, f, r).select(*[out[c] for c in scan.columns])
-
-
+    return out.repartitionByRange(n, t, f, r, k).sortWithinPartitions(t, f, r, k).select(*[out[c] for c in scan.columns])

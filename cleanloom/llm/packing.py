@@ -2,8 +2,8 @@
 
 Documents become pieces of at most `capacity` tokens. Pieces are dealt to partitions of a fixed size, whatever the size of
 the table; each is packed by best-fit decreasing. Dual-feasible functions bound from below how many sequences the pieces of
-a partition need at least: a partition that meets its bound is certified and done. One with a gap gives its emptiest
-sequences to an exchange, where the pieces of `FAN_IN` partitions meet and are packed again; a worse packing is never
+a partition need at least: a partition that meets its bound and wastes less than a quarter of a sequence is certified and
+done. One with a gap gives its emptiest sequences to an exchange, where the pieces of `FAN_IN` partitions meet and are packed again; a worse packing is never
 taken. Rounds go on until no gap is left or all exchanged pieces have met. Only (piece, length) rows move; texts never do.
 
 Defined results: null text counts as empty (one piece that holds only the end id); rows with the same id are packed one by
@@ -26,7 +26,7 @@ from .common import stage, unstage
 from .tokens import encoded
 
 #: pieces in a partition, partitions that meet in an exchange, sequences given up beside those that a gap costs
-PIECES, FAN_IN, SPARE = 4096, 16, 8
+PIECES, FAN_IN, SPARE = 4096, 16, 16
 
 
 def _cut(batches: Iterable[pa.RecordBatch], path: str, capacity: int, end_id: int) -> Iterator[pa.RecordBatch]:
@@ -103,9 +103,9 @@ def _pack(group: pd.DataFrame, step: int, capacity: int) -> pd.DataFrame:
         group = group.assign(sequence_id=base + bins, offset=offset)
     gap = len(free) - lower_bound(lengths, capacity)
     loose = np.zeros(len(free), bool)
-    if gap > 0:
+    if gap > 0 or 4 * free.sum() >= capacity:
         loose[np.argsort(-free, kind="stable")[: (SPARE + 1) * gap + SPARE]] = True
-    return group.assign(loose=loose[bins])
+    return group.assign(loose=(loose & (free > 0))[bins])
 
 
 def packer(step: int, capacity: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
