@@ -15,6 +15,11 @@ _OWN: dict[str, str] = {}
 _USED: set[str] = set()
 
 
+def text_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Arrow batches hold whole texts here, of any length: fewer rows in a batch bound what a task holds at once."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir; where it is unset, as in
     local tests, a temporary folder of our own."""

@@ -26,7 +26,7 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 #: RocksDB would set aside 4 MB of disk for each log of each partition, however little it holds, and memory for each partition
 ROCKS = "spark.sql.streaming.stateStore.rocksdb"
-STATE = {PROVIDER: ROCKSDB, f"{ROCKS}.allowFAllocate": "false", f"{ROCKS}.boundedMemoryUsage": "true", f"{ROCKS}.maxMemoryUsageMB": "256"}
+STATE = {PROVIDER: ROCKSDB, f"{ROCKS}.allowFAllocate": "false", f"{ROCKS}.boundedMemoryUsage": "true", f"{ROCKS}.maxMemoryUsageMB": "64"}
 
 
 def normalised(text: Column) -> Column:
@@ -44,14 +44,14 @@ def located(docs: DataFrame) -> tuple[DataFrame, Column, Column]:
     return docs, at["file_path"], at["row_index"]
 
 
-def _state(prints: DataFrame, batch_bytes: str | None) -> DataFrame:
+def _state(prints: DataFrame, batch_bytes: int | None) -> DataFrame:
     """What the keyed state holds after the stream has read all fingerprints: one row per digest."""
     spark = prints.sparkSession
     out = new_path(spark, "dedup-state")
     old = {k: spark.conf.get(k, None) for k in STATE}
     reader = spark.readStream.schema(prints.schema)
     if batch_bytes:
-        reader = reader.option("maxBytesPerTrigger", batch_bytes)
+        reader = reader.option("maxBytesPerTrigger", str(batch_bytes))
     kept = reader.parquet(prints._staged_at).groupBy("key").agg(F.count("*").alias("n"), F.max(F.struct("id", "file", "row")).alias("keep"))
     for k, v in STATE.items():
         spark.conf.set(k, v)
@@ -85,7 +85,7 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, digest_bytes: int
     return scan, prints
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, digest_bytes: int = 32, batch_bytes: str | None = None) -> DataFrame:
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, digest_bytes: int = 32, batch_bytes: int | None = None) -> DataFrame:
     """One row for every row of docs: id, keep_id, group_size, kept, sha (of the normalised text), file, row.
 
     digest_bytes: how much of the SHA-256 keys the state; less than 32 is for tests of the byte check.

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: words that a worker remembers, UTF-8 bytes of text in a batch, UTF-8 bytes of words sent to the encoder at once, words in a line
-WORDS, BATCH_BYTES, ENCODE_BYTES, LINE = 700_000, 4 << 20, 256 << 10, 1000
+WORDS, BATCH_BYTES, ENCODE_BYTES, LINE = 500_000, 2 << 20, 256 << 10, 1000
 #: letters that neither normalisation nor a neighbour changes, then punctuation that begins no pattern of its own
 PLAIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+[.,;:!?]*")
 

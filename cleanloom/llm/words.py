@@ -12,7 +12,7 @@ import xxhash
 
 WORD = re.compile(r"\w+")
 #: hashes that a worker remembers
-KNOWN = 500_000
+KNOWN = 200_000
 
 
 class _Hashes(dict):

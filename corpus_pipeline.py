@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cleanloom.llm import exact_dedup, mixing, near_duplicates, packing, toxicity
-from cleanloom.llm.common import stage
+from cleanloom.llm.common import stage, text_batches
 from cleanloom.llm.queries import LIMIT, table, vocabulary
 
 
@@ -19,21 +19,25 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the largest doc_id stays."""
+    text_batches(spark)
     return exact_dedup.drop_exact_copies(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the row with the smallest doc_id stays."""
+    text_batches(spark)
     return near_duplicates.drop_near_duplicates(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The stream of whole documents, each as often as the mix takes it."""
+    text_batches(spark)
     return mixing.mix(docs, weights=(5, 2, 1))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document of the stream, a repeated one each time, in pieces with their places in sequences."""
+    text_batches(spark)
     packed = packing.pack_documents(docs, vocabulary(), LIMIT)
     return packed.select(F.col("id").alias("doc_id"), "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
