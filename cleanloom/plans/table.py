@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import ColumnConfig, Settings
@@ -18,7 +18,7 @@ from ..functions import cleaners, datetimes
 from ..functions.formula import derived
 from ..functions.strings import NA_CELLS, NULL_WORDS, map_values, null_if, phone_e164, strip
 from ..operators.audit import changes, null_counts, null_pivot
-from ..operators.relations import mark_duplicates, mark_orphans
+from ..operators.relations import mark_duplicates, orphans
 from ..operators.rules import Rule, column_rules, severity
 
 ROW = "__row"
@@ -219,8 +219,7 @@ def foreign_key_issues(plans: Mapping[str, TablePlan]) -> DataFrame | None:
             else:
                 parent = plans[table]
                 child = plan.rows().select(ROW, plan.cleaned(c.name))
-                marked = mark_orphans(child, plan.cleaned(c.name), parent.rows(), parent.cleaned(column), "__orphan", c.allow_null)
-                found = marked.where("__orphan").select(F.lit(plan.name).alias("table"), F.lit(c.name).alias("column"), plan.row_number.alias("row"), F.lit(level).alias("severity"), F.lit("foreign_key").alias("rule"), F.lit("Invalid foreign key values").alias("message"))
+                found = orphans(child, plan.cleaned(c.name), parent.rows(), parent.cleaned(column), c.allow_null).select(F.lit(plan.name).alias("table"), F.lit(c.name).alias("column"), plan.row_number.alias("row"), F.lit(level).alias("severity"), F.lit("foreign_key").alias("rule"), F.lit("Invalid foreign key values").alias("message"))
             out = found if out is None else out.unionByName(found)
     return out
 
@@ -228,8 +227,6 @@ def foreign_key_issues(plans: Mapping[str, TablePlan]) -> DataFrame | None:
 def summary(issues: DataFrame, most_rows: int = 20) -> DataFrame:
     """Issues by column and rule: how many, and the first of their rows in order. Partial results keep `most_rows` rows each."""
     first = F.slice(F.array_sort(F.collect_set(F.when(F.col("rank") <= most_rows, F.col("row")))), 1, most_rows)
-    from pyspark.sql import Window
-
     ranked = issues.withColumn("rank", F.row_number().over(Window.partitionBy("table", "column", "rule").orderBy("row")))
     top = ranked.where(F.col("rank") <= most_rows).groupBy("table", "column", "rule").agg(first.alias("first_rows"))
     counts = issues.groupBy("table", "column", "rule", "severity").agg(F.count("*").alias("n"))
