@@ -104,8 +104,34 @@ class TablePlan:
                 out = out.union(spark.createDataFrame([(self.name, c, None, level, "required", "Required column missing")], out.schema))
         return out
 
+    def severity_counts(self) -> DataFrame:
+        """severity, n: cells for warn and fail, rows for drop."""
+        cells = self.issues().groupBy("severity").agg(F.count("*").alias("cells"), F.count_distinct("row").alias("rows"))
+        return cells.select("severity", F.when(F.col("severity") == "drop", F.col("rows")).otherwise(F.col("cells")).alias("n"))
+
+    def rows_to_drop(self) -> DataFrame:
+        """row: numbers of the rows that a drop rule takes out, whichever rules they break."""
+        return self.df.where("__dropped and not __blank").select(self.row_number.alias("row"))
+
+    def duplicate_keys(self, most: int = 20) -> DataFrame:
+        """column, value, n, first_rows: values of key columns that occur more than once, with their first rows."""
+        out = None
+        for c in self.columns.values():
+            if c.primary_key:
+                live = self.df.where(f"not __blank and `{c.name}` is not null").select(F.col(c.name).alias("value"), self.row_number.alias("row"))
+                ranked = live.withColumn("rank", F.row_number().over(Window.partitionBy("value").orderBy("row"))).where(F.col("rank") <= most)
+                first = ranked.groupBy("value").agg(F.array_sort(F.collect_list("row")).alias("first_rows"))
+                counts = live.groupBy("value").agg(F.count("*").alias("n")).where("n > 1")
+                found = counts.join(first, "value").select(F.lit(c.name).alias("column"), "value", "n", "first_rows")
+                out = found if out is None else out.unionByName(found)
+        return out
+
+    def blank_rows(self) -> DataFrame:
+        """How many rows had no value at all."""
+        return self.df.agg(F.count_if("__blank").alias("blank_rows"), F.count("*").alias("all_rows"))
+
     def audit(self, base: str = "raw", stage: str = "final") -> DataFrame:
-        """Changed values. base: raw (trimmed, as the reference has it) or source (as it was read); stage: cleaned or final."""
+        """Changed values. base: raw (tidied, as it is in the output) or source (as it was read); stage: cleaned or final."""
         old = "{}" if base == "raw" else "__source_{}"
         new = "__pre_{}" if stage == "cleaned" else self.cleaned("{}")
         found = changes(self.df.where("not __blank"), {c: (old.format(c), new.format(c)) for c in self.columns}, self.row_number)

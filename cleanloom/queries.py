@@ -16,7 +16,7 @@ from .functions import cleaners, datetimes, strings
 from .functions.formula import derived
 from .operators import rules
 from .operators.audit import null_pivot
-from .operators.relations import mark_duplicates, mark_orphans
+from .operators.relations import mark_duplicates, mark_orphans, orphans
 from .plans.engine import RunResult, run
 from .plans.table import ROW, TablePlan, plan_table, summary
 from .types import parse_type
@@ -255,6 +255,23 @@ def fk_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mark_orphans(marked, "customer", parent, "c_custkey", "required", False).select("o_orderkey", "nullable", "required")
 
 
+SHIPPED = SPOILED["orders"][1]["date"].replace("o_orderkey", "l_orderkey").replace("o_orderdate", "l_shipdate")
+
+
+@query(f"SELECT l_orderkey, l_linenumber, {ORDER_DATE} AS value FROM (SELECT l_orderkey, l_linenumber, {SHIPPED} AS date FROM lineitem)")
+def parse_date_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", datetimes.parse_date(F.expr(SHIPPED)).cast("date").alias("value"))
+
+
+STRAY = "CASE WHEN l_linenumber = 3 AND l_orderkey % 50 = 0 THEN -l_orderkey ELSE l_orderkey END"
+
+
+@query(f"SELECT l_orderkey, l_linenumber FROM (SELECT l_orderkey, l_linenumber, {STRAY} AS key FROM lineitem) l WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l.key)")
+def fk_orphans_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.expr(STRAY).alias("key"))
+    return orphans(lines, "key", table(spark, sf_dir, "orders"), "o_orderkey", False).select("l_orderkey", "l_linenumber")
+
+
 # -- whole plans --------------------------------------------------------------------------------------------------------
 
 
@@ -398,6 +415,58 @@ def fk_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run(spark, sf_dir).foreign_keys.select(F.col("row").alias("rownum"))
 
 
+@query(f"SELECT severity, CAST(CASE WHEN severity = 'drop' THEN count(DISTINCT rownum) ELSE count(*) END AS BIGINT) AS n FROM {ISSUES} GROUP BY severity")
+def severity_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _orders(spark, sf_dir).severity_counts()
+
+
+@query(f"SELECT DISTINCT rownum FROM {ISSUES} WHERE severity = 'drop'")
+def rows_to_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _orders(spark, sf_dir).rows_to_drop().withColumnRenamed("row", "rownum")
+
+
+LINES = {"order_id": column("int", False, "l_orderkey", primary_key=True, validation={}), "n": column("int", True, "l_linenumber")}
+
+
+@query("SELECT 'order_id' AS col, CAST(l_orderkey AS VARCHAR) AS value, count(*) AS n, array_to_string((array_agg(10 * l_orderkey + l_linenumber + 2 ORDER BY l_linenumber))[1:3], ',') AS first_rows FROM lineitem GROUP BY l_orderkey HAVING count(*) > 1")
+def duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias(ROW), "l_orderkey", "l_linenumber")
+    config = configured({"lines": LINES})
+    found = plan_table(lines, "lines", config.tables["lines"], config.settings).duplicate_keys(3)
+    return found.select(F.col("column").alias("col"), "value", "n", F.array_join(F.col("first_rows").cast("array<string>"), ",").alias("first_rows"))
+
+
+@query(f"SELECT count(*) FILTER (name IS NULL AND balance IS NULL) AS blank_rows, count(*) AS all_rows FROM (SELECT {BLANK} FROM supplier)")
+def blank_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cols = {"name": column("varchar(50)", True, "name", primary_key=True), "balance": column("money", True, "balance")}
+    config = configured({"t": cols})
+    df = table(spark, sf_dir, "supplier").selectExpr(f"s_suppkey as {ROW}", *BLANK.split(", CASE")[:1], "CASE" + BLANK.split(", CASE")[1])
+    return plan_table(df, "t", config.tables["t"], config.settings).blank_rows()
+
+
+@query("SELECT n_nationkey + 2 AS rownum, n_name AS country, CAST(n_regionkey AS VARCHAR) AS n_regionkey, NULL AS continent FROM nation")
+def source_rename(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A list of source names, an undeclared column that rides along, and a declared one that is missing."""
+    cols = {"country": column("varchar(25)", False, ["nation", "n_name"], primary_key=True), "continent": column("varchar(9)", True, "continent")}
+    config = configured({"t": cols})
+    plan = plan_table(table(spark, sf_dir, "nation").withColumnRenamed("n_nationkey", ROW), "t", config.tables["t"], config.settings)
+    return plan.df.select(plan.row_number.alias("rownum"), "country", "n_regionkey", "continent")
+
+
+@query(f"""SELECT 'order_date' AS col, o_orderkey + 2 AS rownum, date AS old, CAST(order_date AS VARCHAR) AS new FROM {ORDER_PLAN} WHERE date IS DISTINCT FROM CAST(order_date AS VARCHAR)
+UNION ALL SELECT 'order_status', o_orderkey + 2, raw, trim(raw) FROM (SELECT o_orderkey, status AS raw FROM {spoiled_sql('orders')}) WHERE raw <> trim(raw)""")
+def audit_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What casts alone changed, against the cells as they were read."""
+    found = _orders(spark, sf_dir).audit("source", "cleaned")
+    return found.where(F.col("column").isin("order_status", "order_date")).select(F.col("column").alias("col"), F.col("row").alias("rownum"), "old", "new")
+
+
+@query(rf"SELECT c_custkey, name IS NOT NULL AS not_null, CASE WHEN name IS NOT NULL THEN trim(name) <> '' END AS not_empty, coalesce(regexp_full_match(trim(email), '[A-Za-z0-9!#$%&''*+/=?^_`{{|}}~-]+(\.[A-Za-z0-9!#$%&''*+/=?^_`{{|}}~-]+)*@([A-Za-z0-9]([A-Za-z0-9-]{{0,61}}[A-Za-z0-9])?\.)+[A-Za-z]{{2,63}}'), false) AS strict_email FROM {spoiled_sql('customer')}")
+def null_empty_email(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name = F.col("name")
+    return spoiled(spark, sf_dir, "customer").select("c_custkey", rules.null_allowed(name, False).alias("not_null"), rules.empty_allowed(name, False).alias("not_empty"), rules.is_email(F.col("email"), strict=True).alias("strict_email"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
