@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import partitions
+
 TURN, TEXT, END = "<|turn|>", "<|text|>", "<|end|>"
 #: our own marks, and those of common templates, which must not look like control strings either
 CONTROL = (TURN, TEXT, END, "<s>", "</s>", "[INST]", "[/INST]")
@@ -102,8 +104,7 @@ def format_conversations(rows: DataFrame, conv_col: str = "conv_id", turn_col: s
     turn = F.struct(rows[turn_col].cast("long").alias("turn"), F.coalesce(rows[role_col], empty).alias("role"), F.coalesce(rows[text_col], empty).alias("text"))
     whole = rows.groupBy(rows[conv_col].cast("long").alias("conv_id")).agg(F.sort_array(F.collect_list(turn)).alias("turns"))
     path = F.transform("turns", lambda t: F.xxhash64(t["role"], t["text"]))
-    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = whole.withColumn("path", path).repartitionByRange(n, "path", "conv_id").sortWithinPartitions("path", "conv_id")
+    ordered = whole.withColumn("path", path).repartitionByRange(partitions(rows.sparkSession), "path", "conv_id").sortWithinPartitions("path", "conv_id")
     return ordered.select("conv_id", "turns").mapInArrow(lambda it: _build(it, max_chars), KIND)
 
 

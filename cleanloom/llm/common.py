@@ -70,6 +70,11 @@ def unstage(*frames: DataFrame) -> None:
             drop_path(df.sparkSession, path)
 
 
+def partitions(spark: SparkSession, amount: int = 0, each: int = 1) -> int:
+    """The cluster's shuffle partitions, or more where `amount` would put over `each` into one."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-amount // each))
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """name, or name with underscores in front until no column of df has it (in any case)."""
     taken = {c.lower() for c in df.columns}

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, group_starts, stage, unstage, whole_groups
+from .common import free_name, group_starts, partitions, stage, unstage, whole_groups
 from .components import components
 from .exact_dedup import located
 from .words import hashed, mix, shingles, split_words
@@ -201,8 +201,7 @@ def _blocks(df: DataFrame, size: Column, most: int) -> DataFrame:
 
 
 def _sorted_groups(df: DataFrame, *keys: str) -> DataFrame:
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n, *keys).sortWithinPartitions(*keys)
+    return df.repartition(partitions(df.sparkSession), *keys).sortWithinPartitions(*keys)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", join: Join = Join()) -> DataFrame:  # noqa: B008
@@ -216,13 +215,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = stage(classes.withColumn("uid", F.monotonically_increasing_id()), "near-classes")
 
     bands = classes.select("uid", F.explode("bands").alias("band"))
-    live = bands.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
+    # what joins back to rows of a hot key is written first: then adaptive execution can split the rows' side
+    live = stage(bands.groupBy("band").agg(F.count("*").alias("n")).where("n > 1"), "near-live")
     hits = _blocks(bands.join(live, "band"), F.col("n"), join.bucket).select("uid", "band", "i", "j", "side")
     coded = hits.join(classes.select("uid", "code"), "uid")
     loose = _sorted_groups(coded, "band", "i", "j").mapInArrow(lambda it: _prune(it, join), "a long, b long")
 
     members = stage(components(loose), "near-members")
-    sizes = members.groupBy("root").agg(F.count("*").alias("members"))
+    sizes = stage(members.groupBy("root").agg(F.count("*").alias("members")).where("members > 1"), "near-sizes")
     at = members.join(sizes, "root").join(classes.select("uid", "n", "first"), F.col("node") == F.col("uid")).select("root", "members", "uid", "n", F.col("first.file").alias("f"), F.col("first.row").alias("r"))
     texts = at.join(scan.select(file.alias("file"), row.alias("row"), scan[text_col].cast("string").alias("text")), (F.col("f") == F.col("file")) & (F.col("r") == F.col("row"))).drop("f", "r", "file", "row")
     verified = _sorted_groups(_blocks(texts, F.col("members"), join.block).drop("members"), "root", "i", "j").mapInArrow(lambda it: _verify(it, join), "a long, b long, links long")
@@ -232,9 +232,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = verified.groupBy("a").agg(F.sum("links").alias("links"))
     known = classes.select("uid", "key", "n", "first").join(groups, F.col("uid") == F.col("node"), "left").join(links, F.col("uid") == F.col("a"), "left")
     known = known.select("key", "uid", "n", "first", F.coalesce("root", "uid").alias("root"), F.coalesce("links", F.lit(0)).alias("links"))
-    heads = known.groupBy("root").agg(F.min("first").alias("head"))
-    known = stage(known.join(heads, "root").select("key", (F.col("n") - 1 + F.col("links")).alias("n_links"), "head"), "near-known")
-    unstage(members, verified, groups)
+    known = stage(known, "near-rooted")
+    heads = stage(known.groupBy("root").agg(F.min("first").alias("head")), "near-heads")
+    rooted, known = known, stage(known.join(heads, "root").select("key", (F.col("n") - 1 + F.col("links")).alias("n_links"), "head"), "near-known")
+    unstage(live, members, sizes, verified, groups, rooted, heads)
     out = rows.join(known, (rows["key"] == known["key"]) & rows["code"].isNotNull(), "left")
     alone = F.col("head").isNull()
     return out.select("id", F.when(alone, F.col("id")).otherwise(F.col("head.id")).alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"), (alone | first.eqNullSafe(F.col("head"))).alias("kept"), "file", "row")
