@@ -33,14 +33,27 @@ def normalised(text: Column) -> Column:
     return F.translate(F.coalesce(text, F.lit("")), ascii_uppercase, ascii_lowercase)
 
 
+def is_scan(docs: DataFrame) -> bool:
+    """Whether docs is one table's scan with nothing but projections and filters over it, the same at every reading."""
+    plan = docs._jdf.queryExecution().analyzed()
+    if not plan.deterministic():
+        return False
+    while plan.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        plan = plan.children().apply(0)
+    return plan.nodeName() == "LogicalRelation"
+
+
 def located(docs: DataFrame) -> tuple[DataFrame, Column, Column]:
-    """docs as a Parquet scan, and the columns that say where each row lies in it."""
+    """docs as a Parquet scan, and the columns that say where each row lies in it. What is no such scan is written first."""
     try:
         at = docs.metadataColumn("_metadata")
-        docs.select(at["file_path"], at["row_index"])  # noqa: B018  only Parquet scans have row_index
+        docs.select(at["file_path"], at["row_index"])  # only Parquet scans have row_index
+        if is_scan(docs):
+            return docs, at["file_path"], at["row_index"]
     except AnalysisException:
-        docs = stage(docs, "dedup-rows")
-        at = docs.metadataColumn("_metadata")
+        pass
+    docs = stage(docs, "located-rows")
+    at = docs.metadataColumn("_metadata")
     return docs, at["file_path"], at["row_index"]
 
 

@@ -64,6 +64,17 @@ def key(x):
     return (x is not None, x or 0)
 
 
+def test_only_plain_scans_are_read_in_place(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(10).write.parquet(path)
+    df = spark.read.parquet(path)
+    assert exact_dedup.is_scan(df.where("id > 2").select("id", (F.col("id") + 1).alias("x")))
+    for other in (df.select("id", F.explode(F.array(F.lit(1), F.lit(2)))), df.union(df), df.join(df.select(F.col("id").alias("k")), F.col("id") == F.col("k")), df.withColumn("r", F.rand()), df.limit(3), spark.range(3)):
+        assert not exact_dedup.is_scan(other)
+        scan, file, row = exact_dedup.located(other)
+        assert scan.select(file, row).distinct().count() == other.count()
+
+
 def check_exact(found, rows):
     groups = defaultdict(list)
     for r in rows:
