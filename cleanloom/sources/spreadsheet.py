@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..errors import ExtractorError, LoaderError, Where
 from ..plans.table import ROW
+from ..shipping import ship
 
 MAX_ROWS, MAX_NAME, BATCH = 1_048_576, 31, 4096
 _MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
@@ -119,6 +120,7 @@ def _header(book: Workbook, sheet: str, header_row: int) -> list[str]:
 
 def read_sheet(spark: SparkSession, path: str, sheet: str, header_row: int = 1) -> DataFrame:
     """A sheet's cells as text, with the ordinal of each row below the header (counting empty rows)."""
+    ship(spark)
     found = spark.read.format("binaryFile").load(path).select("content").limit(2).collect()
     if len(found) != 1:
         raise ExtractorError(f"{path} is not one workbook")
