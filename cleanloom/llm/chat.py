@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..shipping import ship
 from .common import partitions
 
 TURN, TEXT, END = "<|turn|>", "<|text|>", "<|end|>"
@@ -100,6 +101,7 @@ def _build(batches: Iterable[pa.RecordBatch], max_chars: int) -> Iterator[pa.Rec
 def format_conversations(rows: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text", max_chars: int = MAX_CHARS) -> DataFrame:
     """Sequences: text, nodes (start, end, position, parent, loss, attends; in code points) and leaves (conv_id, node).
     A sequence takes conversations until it has max_chars; none is cut."""
+    ship(rows.sparkSession)
     empty = F.lit("")
     turn = F.struct(rows[turn_col].cast("long").alias("turn"), F.coalesce(rows[role_col], empty).alias("role"), F.coalesce(rows[text_col], empty).alias("text"))
     whole = rows.groupBy(rows[conv_col].cast("long").alias("conv_id")).agg(F.sort_array(F.collect_list(turn)).alias("turns"))
@@ -128,4 +130,5 @@ def _read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def digests(sequences: DataFrame) -> DataFrame:
     """What each conversation's node sees in the sequences, read back: one row per conversation."""
+    ship(sequences.sparkSession)
     return sequences.mapInArrow(_read, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")

@@ -11,12 +11,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from ..shipping import ship
+
 _OWN: dict[str, str] = {}
 _USED: set[str] = set()
 
 
 def text_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Arrow batches hold whole texts here, of any length: fewer rows in a batch bound what a task holds at once."""
+    ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
@@ -56,6 +59,7 @@ def stage(df: DataFrame, name: str, sort: list | None = None) -> DataFrame:
     """Writes df as a Parquet table into the shared folder and rereads it: the lineage ends there,
     and a lost executor costs no recomputation beyond it."""
     spark = df.sparkSession
+    ship(spark)
     path = new_path(spark, name)
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)

@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..shipping import ship
 from .common import stage
 
 QUERIES, CANDIDATES = 512, 4096
@@ -45,6 +46,7 @@ def _round(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def rounded(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
+    ship(vectors.sparkSession)
     v = F.col("vector")
     read = vectors.select(vectors[id_col].cast("long").alias("id"), vectors[vector_col].cast("array<double>").alias("vector"))
     fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
