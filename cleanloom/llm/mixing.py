@@ -17,11 +17,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import free_name, stage
+from .common import free_name, partitions, stage
 from .exact_dedup import located
 
 #: times that a document is taken at most, cells of a source's queue (a power of two)
 MOST, CELL_BITS = 3, 12
+#: rows and words that a range of the sorted results holds
+ROWS, WORDS = 2_000_000, 16_000_000
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -76,7 +78,7 @@ def schedule(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     light = scan.select(scan[id_col].alias("id"), scan[source_col].alias("source"), words(text).alias("size"), F.xxhash64(text).alias("text_hash"), file.alias("file"), row.alias("row"))
     light = stage(light, "mix-rows")
     placed = queue(light, weights, seed, whole)
-    n = max(8, docs.sparkSession.sparkContext.defaultParallelism)
+    n = partitions(docs.sparkSession, light.count(), ROWS)
     return placed.repartitionByRange(n, "finish", "place").sortWithinPartitions("finish", "place").drop("place", "text_hash")
 
 
@@ -89,5 +91,5 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     copies = plan.select(F.col("file").alias("__f"), F.col("row").alias("__r"), F.posexplode(F.array_repeat(F.col("finish"), (F.col("taken") / F.col("size")).cast("int"))).alias(k, "__t"), (F.col("source_size") / F.col("target")).alias("__round"))
     tagged = scan.select("*", file.alias(f), row.alias(r))
     out = tagged.join(copies, (tagged[f] == copies["__f"]) & (tagged[r] == copies["__r"])).withColumn(t, F.col("__t") + F.col(k) * F.col("__round"))
-    n = max(8, docs.sparkSession.sparkContext.defaultParallelism)
+    n = partitions(docs.sparkSession, plan.agg(F.sum("taken")).first()[0] or 0, WORDS)
     return out.repartitionByRange(n, t, f, r, k).sortWithinPartitions(t, f, r, k).select(*[out[c] for c in scan.columns])
