@@ -55,7 +55,7 @@ def _sweep(spark: SparkSession) -> None:
             return
 
 
-def stage(df: DataFrame, name: str, sort: list | None = None) -> DataFrame:
+def stage(df: DataFrame, name: str) -> DataFrame:
     """Writes df as a Parquet table into the shared folder and rereads it: the lineage ends there,
     and a lost executor costs no recomputation beyond it."""
     spark = df.sparkSession
