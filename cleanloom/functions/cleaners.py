@@ -20,15 +20,15 @@ def to_str(c: Column, case: str | None = None) -> Column:
 
 def to_numeric(c: Column) -> Column:
     text = strip(c)
-    value = text.try_cast("double")
+    value = F.when(text.rlike(NUMBER), text.try_cast("double"))  # a cast that fails costs an exception
     # beyond the range of a double is bad, not infinite
-    return F.when(text.rlike(NUMBER) & (F.abs(value) != float("inf")), value).when(text.rlike(INFINITY), F.when(text.startswith("-"), F.lit(float("-inf"))).otherwise(F.lit(float("inf"))))
+    return F.when(F.abs(value) != float("inf"), value).when(text.rlike(INFINITY), F.when(text.startswith("-"), F.lit(float("-inf"))).otherwise(F.lit(float("inf"))))
 
 
 def to_int(c: Column) -> Column:
     """Whole numbers in full precision; fractions are cut towards zero."""
     text = strip(c)
-    return F.when(text.rlike(NUMBER), F.coalesce(text.try_cast("bigint"), text.try_cast("double").try_cast("bigint")))
+    return F.when(text.rlike(NUMBER), F.coalesce(F.when(text.rlike(r"^[+-]?\d+$"), text.try_cast("bigint")), text.try_cast("double").try_cast("bigint")))
 
 
 def to_money(c: Column, symbol: str = "") -> Column:

@@ -7,6 +7,8 @@ first is read as year-day-month where that is a date, as year-month-day otherwis
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -20,54 +22,73 @@ MONTHS = {
 TIME = r"(\d{1,2}:[\d:.]+(?: ?[AaPp][Mm])?)$"
 ZONE = r"^(.*\d{1,2}:[\d:.]+) ?(Z|UTC|[+-]\d{2}:?\d{2})$"
 TIME_PARTS = r"^(\d{1,2}):(\d{1,2})(?::(\d{1,2})(\.\d+)?)? ?([AaPp][Mm])?$"
-DATE_PARTS = r"^(\w+)-(\w+)-(\w+)$"
 LEAST_YEAR = 1900
 
 
+def let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f of value, which is evaluated once however often f uses it. A plain expression would repeat it in every use, and
+    those under conditions are no common subexpressions to Spark: its size and time would multiply at each step."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def normalise(c: Column) -> Column:
     return strip(F.regexp_replace(F.regexp_replace(c, "[T,]", " "), r"\s+", " "))
 
 
 def _number(c: Column) -> Column:
-    return F.when(c.rlike(r"^\d{1,9}$"), c.try_cast("int"))
+    """Casting what is no number costs an exception, so it is looked at first."""
+    return F.when(c.rlike(r"^[+]?\d{1,9}$"), c.cast("int"))
 
 
-def _month(c: Column) -> Column:
+def _months() -> Column:
     known = {k: v for name, n in MONTHS.items() for k, v in ((name, n), (name[:3], n))} | {"sept": 9, "mrt": 3, "okt": 10, "des": 12}
-    return F.try_element_at(F.create_map(*(F.lit(x) for pair in known.items() for x in pair)), F.lower(c))
+    return F.create_map(*(F.lit(x) for pair in known.items() for x in pair))
 
 
-def _day(year: Column, month: Column, day: Column) -> Column:
-    zero = F.lit(0)
-    return F.try_make_timestamp_ntz(year, month, day, zero, zero, zero.cast("double"))
+def _real(y: Column, m: Column, d: Column) -> Column:
+    """Whether it is a calendar date; by arithmetic, for a failing constructor costs an exception."""
+    leap = (y % 4 == 0) & ((y % 100 != 0) | (y % 400 == 0))
+    last = F.when(m == 2, F.when(leap, 29).otherwise(28)).when(m.isin(4, 6, 9, 11), 30).otherwise(31)
+    return y.between(1, 9999) & m.between(1, 12) & d.between(1, last)
 
 
-def _year(c: Column) -> Column:
-    n = _number(c)
-    return F.when(F.length(c) == 4, n).when(F.length(c) == 2, n + F.when(n < 69, 2000).otherwise(1900))
+def _day(y: Column, m: Column, d: Column) -> Column:
+    return F.when(_real(y, m, d), F.struct(y.alias("y"), m.alias("m"), d.alias("d")))
 
 
 def looks_like_date(text: Column, day_first: bool = True) -> Column:
     """text: normalised. Three parts or more and a digit; where all are numbers, a calendar date from 1900 on."""
-    parts = F.split(text, r"[/\- ]", -1)
-    numbers = F.forall(parts, lambda p: p.rlike(r"^[+]?\d+$"))
-    a, b, c = (F.get(parts, F.lit(k)).try_cast("int") for k in range(3))
-    y = F.when(a >= LEAST_YEAR, a).otherwise(c)
-    m = F.when(a >= LEAST_YEAR, b).otherwise(b if day_first else a)
-    d = F.when(a >= LEAST_YEAR, c).otherwise(a if day_first else b)
-    real = (y >= LEAST_YEAR) & _day(y, m, d).isNotNull()
-    return text.rlike(r"\d") & (F.size(parts) >= 3) & (~numbers | F.coalesce(real, F.lit(False)))
+
+    def judged(p: Column) -> Column:
+        numbers = F.forall(p, lambda x: x.rlike(r"^[+]?\d{1,9}$"))
+        a, b, c = (_number(F.get(p, F.lit(k))) for k in range(3))
+        year_last = _real(c, b, a) if day_first else _real(c, a, b)
+        real = F.when(a >= LEAST_YEAR, _real(a, b, c)).otherwise((c >= LEAST_YEAR) & year_last)
+        return (F.size(p) >= 3) & (~numbers | F.coalesce(real, F.lit(False)))
+
+    return text.rlike(r"\d") & let(F.split(text, r"[/\- ]", -1), judged)
 
 
 def _date_of(text: Column, day_first: bool) -> Column:
     """text: a date in three parts, without time."""
-    shaped = F.regexp_replace(text, r"[/ ]+", "-")
-    a, b, c = (F.regexp_extract(shaped, DATE_PARTS, k) for k in (1, 2, 3))
-    na, nb, nc, ya, yc, ma, mb = _number(a), _number(b), _number(c), F.when(F.length(a) == 4, _number(a)), _year(c), _month(a), _month(b)
-    first = [_day(ya, nc, nb), _day(ya, nb, nc)] if day_first else [_day(ya, nb, nc), _day(ya, nc, nb)]
-    last = [_day(yc, nb, na), _day(yc, na, nb)] if day_first else [_day(yc, na, nb), _day(yc, nb, na)]
-    named = [_day(yc, mb, na), _day(yc, ma, nb), _day(ya, mb, nc)]
-    return F.coalesce(*first, *last, *named)
+
+    def read(p: Column) -> Column:
+        part = lambda k: F.get(p, F.lit(k))
+        four = lambda k: F.length(part(k)) == 4
+        month = lambda k: F.try_element_at(_months(), F.lower(part(k)))
+        short = F.when(F.length(part(2)) == 2, _number(part(2)) + F.when(_number(part(2)) < 69, 2000).otherwise(1900))
+        fields = F.struct(*(_number(part(k)).alias(f"n{k}") for k in range(3)), F.when(four(0), _number(part(0))).alias("ya"), F.when(four(2), _number(part(2))).otherwise(short).alias("yc"), month(0).alias("ma"), month(1).alias("mb"))
+        return F.when(F.size(p) == 3, let(fields, made))
+
+    def made(f: Column) -> Column:
+        na, nb, nc, ya, yc, ma, mb = (f[k] for k in ("n0", "n1", "n2", "ya", "yc", "ma", "mb"))
+        first = [_day(ya, nc, nb), _day(ya, nb, nc)] if day_first else [_day(ya, nb, nc), _day(ya, nc, nb)]
+        last = [_day(yc, nb, na), _day(yc, na, nb)] if day_first else [_day(yc, na, nb), _day(yc, nb, na)]
+        numbers = F.when(ya.isNotNull(), F.coalesce(*first)).otherwise(F.coalesce(*last))
+        named = F.when(mb.isNotNull(), F.coalesce(_day(yc, mb, na), _day(ya, mb, nc))).otherwise(_day(yc, ma, nb))
+        return let(F.when(ma.isNull() & mb.isNull(), numbers).otherwise(named), lambda x: F.make_timestamp_ntz(x["y"], x["m"], x["d"], F.lit(0), F.lit(0), F.lit(0.0)))
+
+    return let(F.split(text, r"[/\- ]+", -1), read)
 
 
 def looks_like_time(text: Column) -> Column:
@@ -76,41 +97,56 @@ def looks_like_time(text: Column) -> Column:
 
 def _clock(text: Column) -> Column:
     """(h, m, s) of a time, s with its fraction; null if it is none."""
-    h, m, s = (F.regexp_extract(text, TIME_PARTS, k).try_cast("int") for k in (1, 2, 3))
-    s, part, half = F.coalesce(s, F.lit(0)), F.coalesce(F.regexp_extract(text, TIME_PARTS, 4).try_cast("double"), F.lit(0.0)), F.lower(F.regexp_extract(text, TIME_PARTS, 5))
-    ok = text.rlike(TIME_PARTS) & (m < 60) & (s < 60) & F.when(half == "", h < 24).otherwise(h.between(1, 12))
-    hour = F.when(half == "", h).otherwise(h % 12 + F.when(half == "pm", 12).otherwise(0))
-    return F.when(ok, F.struct(hour.alias("h"), m.alias("m"), (s + part).alias("s")))
 
+    def read(p: Column) -> Column:
+        hour = F.when(p["half"] == "", p["h"]).otherwise(p["h"] % 12 + F.when(p["half"] == "pm", 12).otherwise(0))
+        ok = (p["m"] < 60) & (p["s"] < 60) & F.when(p["half"] == "", p["h"] < 24).otherwise(p["h"].between(1, 12))
+        return F.when(ok, F.struct(hour.alias("h"), p["m"].alias("m"), (p["s"] + p["part"]).alias("s")))
+
+    group = lambda k: F.regexp_extract(text, TIME_PARTS, k)
+    fields = F.struct(_number(group(1)).alias("h"), _number(group(2)).alias("m"), F.coalesce(_number(group(3)), F.lit(0)).alias("s"), F.when(group(4) != "", group(4).try_cast("double")).otherwise(0.0).alias("part"), F.lower(group(5)).alias("half"))
+    return F.when(text.rlike(TIME_PARTS), let(fields, read))
 
-def _split(c: Column) -> tuple[Column, Column, Column]:
-    """(whole text, its date, its time or an empty text), normalised and without zone."""
-    text = normalise(c)
-    bare = F.when(text.rlike(ZONE), F.regexp_extract(text, ZONE, 1)).otherwise(text)
-    return bare, strip(F.regexp_replace(bare, TIME, "")), F.regexp_extract(bare, TIME, 1)
+
+def _parsed(c: Column, day_first: bool, finish: Callable[[Column, Column, Column, Column], Column]) -> Column:
+    """finish(day, has a time, its clock, normalised text) for text that looks like a date, with a valid time or none."""
+
+    def split(text: Column) -> Column:
+        bare = F.when(text.contains(":") & text.rlike(ZONE), F.regexp_extract(text, ZONE, 1)).otherwise(text)
+        return let(bare, lambda b: timed(text, b))
+
+    def timed(text: Column, bare: Column) -> Column:
+        has = bare.contains(":")
+        time = F.when(has, F.regexp_extract(bare, TIME, 1))
+        date = F.when(has, strip(F.regexp_replace(bare, TIME, ""))).otherwise(bare)
+        fields = F.struct(_clock(time).alias("clock"), date.alias("date"))
+        day = lambda f: F.when(~has | f["clock"].isNotNull(), _date_of(f["date"], day_first))
+        return F.when(looks_like_date(bare, day_first), let(fields, lambda f: let(day(f), lambda d: finish(d, has, f["clock"], text))))
+
+    return let(normalise(c), split)
 
 
 def parse_date(c: Column, day_first: bool = True) -> Column:
     """Midnight of the date; a time beside it must be one."""
-    text, date, time = _split(c)
-    ok = looks_like_date(text, day_first) & ((time == "") & ~text.contains(":") | looks_like_time(time))
-    return F.when(ok, _date_of(date, day_first))
+    return _parsed(c, day_first, lambda day, has, clock, text: day)
 
 
 def parse_datetime(c: Column, day_first: bool = True) -> Column:
     """Date and time; an offset is taken off, so the result is in UTC."""
-    text, date, time = _split(c)
-    clock = _clock(time)
-    ok = looks_like_date(text, day_first) & ((time == "") & ~text.contains(":") | clock.isNotNull())
-    day = F.when(ok, _date_of(date, day_first))
-    zone = F.regexp_extract(normalise(c), ZONE, 2)
-    minutes = F.when(zone.rlike(r"^[+-]"), F.concat(F.substring(zone, 1, 1), F.lit("1")).try_cast("int") * (F.substring(zone, 2, 2).try_cast("int") * 60 + F.substring(zone, -2, 2).try_cast("int"))).otherwise(0)
-    zero = F.lit(0)
-    at = F.try_make_timestamp_ntz(F.year(day), F.month(day), F.day(day), F.coalesce(clock["h"], zero), F.coalesce(clock["m"], zero), F.coalesce(clock["s"], F.lit(0.0)))
-    return at - F.make_dt_interval(mins=F.coalesce(minutes, zero))
+
+    def finish(day: Column, has: Column, clock: Column, text: Column) -> Column:
+        at = F.try_make_timestamp_ntz(F.year(day), F.month(day), F.day(day), clock["h"], clock["m"], clock["s"])
+        return F.when(~has, day).otherwise(let(F.regexp_extract(text, ZONE, 2), lambda zone: F.when(zone.rlike(r"^[+-]"), at - F.make_dt_interval(mins=_offset(zone))).otherwise(at)))
+
+    return _parsed(c, day_first, finish)
+
+
+def _offset(zone: Column) -> Column:
+    minutes = F.substring(zone, 2, 2).try_cast("int") * 60 + F.substring(zone, -2, 2).try_cast("int")
+    return F.coalesce(F.when(zone.startswith("-"), -minutes).otherwise(minutes), F.lit(0))
 
 
 def parse_time(c: Column) -> Column:
     """The time of day on 1900-01-01, without fractions of a second."""
-    clock = _clock(normalise(c))
-    return F.try_make_timestamp_ntz(F.lit(1900), F.lit(1), F.lit(1), clock["h"], clock["m"], F.floor(clock["s"]).cast("double"))
+    made = lambda t: F.try_make_timestamp_ntz(F.lit(1900), F.lit(1), F.lit(1), t["h"], t["m"], F.floor(t["s"]).cast("double"))
+    return let(normalise(c), lambda text: let(_clock(text), made))
