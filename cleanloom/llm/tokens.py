@@ -5,9 +5,9 @@ boundary: the ids of a text are those of its white-space-separated words, one af
 cut there; each batch of about the same number of bytes sends only the words that the worker has not seen to the
 library's batch encoder, and sums what the words have. The table of words is bounded and starts anew when it is full.
 
-Plain words (Latin letters, then perhaps punctuation) are encoded in lines of many words, for an encoding has a price of its
-own. How a line's ids fall to its words is plain from the ids that end a word: one for the letters, one for the punctuation.
-Words of any other kind are encoded one by one.
+Plain words (Latin letters, then perhaps punctuation) are a stem in lower case and a tail, which the vocabulary tells apart too.
+Stems are encoded in lines of many, for an encoding has a price of its own; a line's ids fall to its stems by the ids that end
+a word. Tails, and words of any other kind, are encoded one by one.
 """
 
 from __future__ import annotations
@@ -25,9 +25,9 @@ from pyspark.sql import functions as F
 from ..shipping import ship
 
 #: words that a worker remembers, UTF-8 bytes of text in a batch, UTF-8 bytes of words sent to the encoder at once, words in a line
-WORDS, BATCH_BYTES, ENCODE_BYTES, LINE = 500_000, 2 << 20, 256 << 10, 1000
+WORDS, BATCH_BYTES, ENCODE_BYTES, LINE = 1_000_000, 4 << 20, 256 << 10, 1000
 #: letters that neither normalisation nor a neighbour changes, then punctuation that begins no pattern of its own
-PLAIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+[.,;:!?]*")
+PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
 
 
 class WordEncoder:
@@ -46,30 +46,31 @@ class WordEncoder:
     def learn(self, words: set[bytes]) -> None:
         if len(self.known) > WORDS:
             self.known.clear()
-        new = [w for w in words if w not in self.known]
-        for part in by_bytes(new, ENCODE_BYTES):
+        known = self.known
+        for part in by_bytes([w for w in words if w not in known], ENCODE_BYTES):
             text = b"\n".join(part).decode().split("\n")
-            plain = [PLAIN.fullmatch(t) is not None for t in text] if self.ends.any() else [False] * len(text)
-            lines = [t for t, ok in zip(text, plain, strict=True) if ok]
-            lines = [lines[k : k + LINE] for k in range(0, len(lines), LINE)]
-            other = [t for t, ok in zip(text, plain, strict=True) if not ok]
-            encoded = self.tokenizer.encode_batch_fast([" ".join(x) for x in lines] + other, add_special_tokens=False)
-            found = iter([x for line, e in zip(lines, encoded, strict=False) for x in self.apart(line, e.ids)])
-            rest = iter(encoded[len(lines) :])
-            for w, ok in zip(part, plain, strict=True):
-                self.known[w] = next(found) if ok else self.value(next(rest).ids)
+            plain = [PLAIN.fullmatch(t) for t in text] if self.ends.any() else [None] * len(text)
+            split = [(m[1].lower().encode(), m[2].encode()) if m else None for m in plain]
+            stems = [x for x in {s[0] for s in split if s} if x not in known]
+            lines = [stems[k : k + LINE] for k in range(0, len(stems), LINE)]
+            other = [w for w, s in zip(part, split, strict=True) if not s] + [x for x in {s[1] for s in split if s} if x and x not in known]
+            encoded = self.tokenizer.encode_batch_fast([b" ".join(x).decode() for x in lines] + [x.decode() for x in other], add_special_tokens=False)
+            for line, e in zip(lines, encoded, strict=False):
+                known.update(zip(line, self.apart(e.ids, len(line)), strict=True))
+            known.update((w, self.value(e.ids)) for w, e in zip(other, encoded[len(lines) :], strict=True))
+            for w, s in zip(part, split, strict=True):
+                if s:
+                    known[w] = known[s[0]] + known[s[1]] if s[1] else known[s[0]]
 
     def value(self, ids: list[int]) -> int | bytes:
         return np.array(ids, "<u4").tobytes() if self.ids else len(ids)
 
-    def apart(self, line: list[str], ids: list[int]) -> list[int | bytes]:
-        """The ids of a line of plain words, word by word."""
+    def apart(self, ids: list[int], words: int) -> list[int | bytes]:
+        """The ids of a line of stems, word by word: each has one id that ends a word, its last."""
         got = np.array(ids, "<u4")
-        ends = np.flatnonzero(self.ends[got]) + 1
-        last = np.cumsum([1 if w[-1].isalpha() else 2 for w in line])
-        if last[-1] != len(ends) or ends[-1] != len(got):
+        stops = np.flatnonzero(self.ends[got]) + 1
+        if len(stops) != words or stops[-1] != len(got):
             raise ValueError("a line of plain words has other ends of words than its words have")
-        stops = ends[last - 1]
         if not self.ids:
             return np.diff(stops, prepend=0).tolist()
         raw, at = got.tobytes(), [0, *(4 * stops).tolist()]
