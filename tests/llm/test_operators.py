@@ -185,6 +185,54 @@ def test_passages(docs, rows, empty):
     assert passages.repeats(empty).count() == 0
 
 
+def shared_texts(seed, vocab):
+    """Texts with passages of 50 to 120 words that two or three of them share."""
+    rng = np.random.default_rng(seed)
+    text = lambda n: rng.choice([f"v{k}" for k in range(vocab)], n).tolist()
+    docs = [text(int(rng.integers(20, 90))) for _ in range(60)]
+    for k in range(40):
+        passage = text(int(rng.integers(50, 121)))
+        for d in rng.choice(60, 2 + k % 2, replace=False):
+            at = int(rng.integers(0, len(docs[d]) + 1))
+            docs[d][at:at] = passage[: len(passage) - int(rng.integers(0, 2)) * max(0, len(passage) - 70)]
+    return docs
+
+
+def windows(docs, n):
+    places = defaultdict(list)
+    for d, w in enumerate(docs):
+        for s in range(len(w) - n + 1):
+            places[tuple(w[s : s + n])].append((d, s))
+    return {g: v for g, v in places.items() if len({d for d, _ in v}) > 1}
+
+
+@pytest.mark.parametrize(("vocab", "threshold"), [(2000, 1.0), (2000, 0.8), (30, 0.8), (4, 0.8), (2, 0.8)])
+def test_shared_passages_are_marked_whole(spark, vocab, threshold):
+    docs = shared_texts(vocab, vocab) + [["one"] * 70, ["two"] * 5 + ["one"] * 80, (["a", "b", "c"] * 40)[:101], ["x", *(["a", "b", "c"] * 30)]]
+    df = spark.createDataFrame([(d, " ".join(w), "en", "a", 0) for d, w in enumerate(docs)], SCHEMA).repartition(3)
+    marked, removed = defaultdict(set), defaultdict(set)
+    for r in passages.repeats(df, p=passages.Paragraphs(threshold=threshold)).collect():
+        assert 0 <= r["start"] < r["end"] <= len(docs[r["id"]])
+        marked[r["id"]].update(range(r["start"], r["end"]))
+        if r["removed"]:
+            removed[r["id"]].update(range(r["start"], r["end"]))
+    whole, again = defaultdict(set), defaultdict(set)
+    for places in windows(docs, 50).values():
+        for k, (d, s) in enumerate(sorted(places)):
+            whole[d].update(range(s, s + 50))
+            if k:
+                again[d].update(range(s, s + 50))
+    assert whole and all(whole[d] <= marked[d] for d in whole) and all(again[d] <= removed[d] for d in again)
+    if threshold == 1:  # no near copies: what is marked is shared, what is removed occurs before
+        shared, later = defaultdict(set), defaultdict(set)
+        for places in windows(docs, 20).values():
+            for k, (d, s) in enumerate(sorted(places)):
+                shared[d].update(range(s, s + 20))
+                if k:
+                    later[d].update(range(s, s + 20))
+        assert all(marked[d] <= shared[d] for d in marked) and all(removed[d] <= later[d] for d in removed)
+
+
 def test_packing(docs, rows, empty):
     from tokenizers import Tokenizer
 
