@@ -83,7 +83,8 @@ def schedule(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
-    """The mixed stream: the documents of docs, each as often as it is taken (whole), in order of virtual finish time."""
+    """The mixed stream: the documents of docs, each as often as it is taken (whole), in order of virtual finish time. Documents of
+    size 0 (null, empty, only ASCII white space) give a source no words and are dropped."""
     scan, _, _ = located(docs)
     plan = stage(schedule(scan, id_col, text_col, source_col, whole=True, **options).where("taken > 0"), "mix-plan")
     _, file, row = located(scan)

@@ -30,7 +30,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The stream of whole documents, each as often as the mix takes it."""
+    """The stream of whole documents, each as often as the mix takes it; documents of size 0 (null, empty, only ASCII white space) are dropped."""
     text_batches(spark)
     return mixing.mix(docs, weights=(5, 2, 1))
 

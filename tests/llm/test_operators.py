@@ -11,6 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from cleanloom.llm import chat, components, exact_dedup, mixing, near_duplicates, neighbours, packing, passages, sharding, tokens, toxicity
 from cleanloom.llm.queries import vocabulary
 from cleanloom.llm.words import split_words
@@ -323,6 +324,12 @@ def test_mixing_without_words(spark):
     assert [(r["target"], r["taken"]) for r in mixing.schedule(df).collect()] == [(0, 0), (0, 0)]
 
 
+def test_mixing_drops_documents_without_words(spark):
+    df = spark.createDataFrame([(1, None, "a"), (2, "", "a"), (3, " \t ", "b"), (4, "one two", "a"), (5, "three", "b")], "doc_id long, text string, source string")
+    assert {r["doc_id"] for r in mixing.mix(df).collect()} == {4, 5}
+    assert all("size 0" in f.__doc__ and "dropped" in f.__doc__ for f in (mixing.mix, corpus_pipeline.mix_sources))
+
+
 @pytest.mark.parametrize("n", [1, 8])
 def test_sharding(docs, rows, empty, n):
     found = sharding.shard(docs, n).collect()
