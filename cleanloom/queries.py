@@ -382,6 +382,20 @@ def audit_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.where(F.col("column").isin("order_status", "order_date")).select(F.col("column").alias("col"), F.col("row").alias("rownum"), "old", "new")
 
 
+def _audit_sql(name: str, old: str, new: str) -> str:
+    """Changes of a number: old text and new value differ as numbers, or there is no new value."""
+    text = f"CASE WHEN {new} = floor({new}) THEN CAST(CAST({new} AS BIGINT) AS VARCHAR) ELSE CAST({new} AS VARCHAR) END"
+    differs = f"({old} IS DISTINCT FROM {text} AND TRY_CAST(trim({old}) AS DOUBLE) IS DISTINCT FROM CAST({new} AS DOUBLE)) OR ({old} IS NOT NULL AND {new} IS NULL)"
+    return f"SELECT '{name}' AS col, o_orderkey + 2 AS rownum, {old} AS old, {text} AS new FROM {ORDER_PLAN} p WHERE {differs}"
+
+
+@query(" UNION ALL ".join([_audit_sql("order_id", "CAST(o_orderkey AS VARCHAR)", "o_orderkey"), _audit_sql("customer_id", "p.customer", "p.customer_id"), _audit_sql("total", "p.total", "p.amount"), _audit_sql("net", "'0'", "(p.amount / 2)")]))
+def audit_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns that audit_changes leaves."""
+    found = _orders(spark, sf_dir).audit()
+    return found.where(~F.col("column").isin("order_status", "order_date")).select(F.col("column").alias("col"), F.col("row").alias("rownum"), "old", "new")
+
+
 @query(f"SELECT CAST(o_orderkey AS VARCHAR) AS order_id, customer AS customer_id, status AS order_status, total, date AS order_date, '0' AS net, o_orderkey AS order_id_cleaned, p.customer_id AS customer_id_cleaned, p.order_date AS order_date_cleaned, p.order_status AS order_status_cleaned, amount AS total_cleaned, amount / 2 AS net_cleaned FROM {ORDER_PLAN} p WHERE NOT coalesce(p.order_date IS NOT NULL AND (p.order_date < DATE '1996-03-01' OR p.order_date > DATE '2026-01-31'), false)")
 def finalise_both(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = _orders(spark, sf_dir).final("both")
