@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import zipfile
 
@@ -16,12 +18,14 @@ def ship(spark: SparkSession) -> None:
     if context.applicationId in _SENT:
         return
     root = os.path.dirname(os.path.abspath(__file__))
-    path = os.path.join(tempfile.mkdtemp(prefix="cleanloom-"), "cleanloom-package.zip")
+    folder = tempfile.mkdtemp(prefix="cleanloom-")  # the driver serves the file from here until it ends
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    path = os.path.join(folder, "cleanloom-package.zip")
     with zipfile.ZipFile(path, "w") as z:
-        for folder, _, names in os.walk(root):
+        for at, _, names in os.walk(root):
             for name in sorted(names):
                 if name.endswith(".py"):
-                    full = os.path.join(folder, name)
+                    full = os.path.join(at, name)
                     z.write(full, os.path.join("cleanloom", os.path.relpath(full, root)))
     context.addPyFile(path)
     _SENT.add(context.applicationId)
