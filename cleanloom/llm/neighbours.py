@@ -1,20 +1,28 @@
 """Nearest neighbours by cosine: a block matrix join over int8 tiles.
 
 Vectors are scaled to length 1 and rounded to int8 with a scale of their own; the length of what rounding leaves off bounds
-the error of every product. Queries and candidates are cut into blocks of bounded size, one task per pair of blocks. In a
-tile, the integer product gives an interval for each cosine; pairs whose interval reaches the k-th best lower bound are
-recomputed in double precision on the original vectors, and k per query leave the tile in a heap. Heaps of a query's tiles
-are merged at the end. The result is exact: no pair is left out that could be among the k nearest.
-
-Defined results: vectors that are null, empty, all zero, or hold a null or non-finite component take no part; vectors are
-compared with those of their own dimension; ties go to the smaller id; a row is not its own neighbour (rows are told apart
-by id); with fewer than k candidates all are returned; an empty table gives an empty result.
+the error of every product. Queries and candidates are cut into blocks of bounded size, one task per pair of blocks; only codes
+and two numbers a vector are copied to the tiles. In a tile, the integer product gives an interval for each cosine; pairs whose interval
+reaches the tile's k-th best lower bound leave it. A heap of the k best lower bounds over a query's tiles then drops what cannot be
+among its k nearest any more; the original vectors are joined to the few pairs left, and these are computed anew in double precision.
+The result is exact: no pair is left out that could be among the k nearest.
+
+Rows are told apart by a number of their own (uid), never by their id. Of equal vectors (compared as a whole) the k + 1 of the smallest ids
+are candidates for all: no query's k nearest can hold another, so a vector that a third of all rows share fills no tile and no heap.
+They all ask their own questions.
+
+In numpy the product of int8 tiles runs in float32, which holds its integers exactly up to 1040 dimensions (float64 beyond), as only that
+uses the machine's matrix product; the tile's codes are widened in the task.
+
+Defined results: vectors that are null, empty, all zero, or hold a null or non-finite component take no part, nor do null ids; vectors are
+compared with those of their own dimension; ties go to the smaller id, of equal ids to either row; rows with the same id have their
+own neighbours each, and one may be the other's; with fewer than k candidates all are returned; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -23,26 +31,28 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..shipping import ship
-from .common import stage
+from .common import group_starts, partitions, stage, unstage, whole_groups
 
 QUERIES, CANDIDATES = 512, 4096
-KIND = "id long, dim int, code binary, scale double, slack double, vector binary"
+KIND = "uid long, id long, vector array<double>, dim int, code binary, scale double, slack double"
+PAIR = "q long, c long, low double, high double"
 
 
 def _round(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         rows = []
-        for i, v in zip(b["id"].to_pylist(), b["vector"].to_numpy(zero_copy_only=False), strict=True):
+        for v in b["vector"].to_numpy(zero_copy_only=False):
             v = np.asarray(v, np.float64)
             unit = v / np.abs(v).max()
             unit /= np.sqrt((unit * unit).sum())
             scale = np.abs(unit).max() / 127
             code = np.rint(unit / scale).astype(np.int8)
             left = unit - scale * code
-            rows.append((i, len(v), code.tobytes(), scale, float(np.sqrt((left * left).sum())) + 1e-9, v.tobytes()))
-        cols = list(zip(*rows, strict=True)) or [()] * 6
-        kinds = (pa.int64(), pa.int32(), pa.binary(), pa.float64(), pa.float64(), pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], [x.split()[0] for x in KIND.split(", ")])
+            rows.append((len(v), code.tobytes(), scale, float(np.sqrt((left * left).sum())) + 1e-9))
+        cols = list(zip(*rows, strict=True)) or [()] * 4
+        kinds = (pa.int32(), pa.binary(), pa.float64(), pa.float64())
+        made = [pa.array(c, k) for c, k in zip(cols, kinds, strict=True)]
+        yield pa.RecordBatch.from_arrays([b["uid"], b["id"], b["vector"], *made], [x.split()[0] for x in KIND.split(", ")])
 
 
 def rounded(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -50,54 +60,83 @@ def rounded(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     v = F.col("vector")
     read = vectors.select(vectors[id_col].cast("long").alias("id"), vectors[vector_col].cast("array<double>").alias("vector"))
     fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
-    return read.where(v.isNotNull() & F.coalesce(fine, F.lit(False)) & F.col("id").isNotNull()).mapInArrow(_round, KIND)
+    read = read.where(v.isNotNull() & F.coalesce(fine, F.lit(False)) & F.col("id").isNotNull())
+    return read.select(F.monotonically_increasing_id().alias("uid"), "id", "vector").mapInArrow(_round, KIND)
 
 
-def _vectors(p: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    n = len(p)
-    code = np.frombuffer(b"".join(p["code"]), np.int8).reshape(n, -1).astype(np.float32)  # products of int8 are exact in float32 up to 1040 dimensions
-    vector = np.frombuffer(b"".join(p["vector"]), np.float64).reshape(n, -1)
-    return code, vector, np.sqrt((vector * vector).sum(axis=1))
+def _codes(p: pd.DataFrame, kind: type) -> np.ndarray:
+    return np.frombuffer(b"".join(p["code"]), np.int8).reshape(len(p), -1).astype(kind)
 
 
 def _tile(q: pd.DataFrame, c: pd.DataFrame, k: int) -> pd.DataFrame:
-    out: list[tuple[int, int, float]] = []
-    if len(q) and len(c):
-        c = c.sort_values("id", ignore_index=True)
-        (qc, qv, qn), (cc, cv, cn) = _vectors(q), _vectors(c)
-        ids = c["id"].to_numpy()
-        exact = qc.shape[1] <= 1040
-        product = qc @ cc.T if exact else qc.astype(np.float64) @ cc.T.astype(np.float64)
-        near = product.astype(np.float64) * (q["scale"].to_numpy()[:, None] * c["scale"].to_numpy()[None, :])
-        qs, cs = q["slack"].to_numpy()[:, None], c["slack"].to_numpy()[None, :]
-        off = qs + (1 + qs) * cs
-        for at, own in enumerate(q["id"].to_numpy()):
-            low = near[at] - off[at]
-            self_at = np.flatnonzero(ids == own)
-            low[self_at] = -np.inf
-            reach = np.partition(low, len(low) - k)[len(low) - k] if len(low) > k else -np.inf
-            found = np.flatnonzero(near[at] + off[at] >= reach)
-            found = found[ids[found] != own]
-            score = (cv[found] * qv[at]).sum(axis=1) / (cn[found] * qn[at])
-            best = heapq.nsmallest(k, zip((-score).tolist(), ids[found].tolist(), strict=True))
-            out += ((int(own), i, -s) for s, i in best)
-    return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
+    """(q, c, low, high) of the pairs that may be among the k nearest of the tile's candidates."""
+    if not len(q) or not len(c):
+        return pd.DataFrame({"q": np.zeros(0, np.int64), "c": np.zeros(0, np.int64), "low": np.zeros(0), "high": np.zeros(0)})
+    kind = np.float32 if q["dim"].iloc[0] <= 1040 else np.float64
+    near = (_codes(q, kind) @ _codes(c, kind).T).astype(np.float64) * (q["scale"].to_numpy()[:, None] * c["scale"].to_numpy()[None, :])
+    qs = q["slack"].to_numpy()[:, None]
+    off = qs + (1 + qs) * c["slack"].to_numpy()[None, :]
+    own, ids = q["uid"].to_numpy(), c["uid"].to_numpy()
+    low, high = near - off, near + off
+    itself = own[:, None] == ids[None, :]
+    low[itself] = high[itself] = -np.inf
+    reach = np.partition(low, len(ids) - k, axis=1)[:, len(ids) - k] if len(ids) > k else np.full(len(own), -np.inf)
+    at, to = np.nonzero((high >= reach[:, None]) & ~itself)
+    return pd.DataFrame({"q": own[at], "c": ids[to], "low": low[at, to], "high": high[at, to]})
+
+
+def tiler(k: int) -> Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame]:
+    return lambda q, c: _tile(q, c, k)
+
+
+def _meet(batches: Iterable[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    """Of each query's pairs of all tiles, those that reach the k-th best lower bound of all."""
+    for t in whole_groups(batches, ["q"], 65_536):
+        low, high = t["low"].to_numpy(), t["high"].to_numpy()
+        stay = np.zeros(t.num_rows, bool)
+        starts = group_starts(t, ["q"])
+        for s, e in zip(starts, [*starts[1:], t.num_rows], strict=True):
+            best = heapq.nlargest(k, low[s:e])
+            stay[s:e] = high[s:e] >= (best[-1] if len(best) == k else -np.inf)
+        yield pa.RecordBatch.from_arrays([t[c].combine_chunks().filter(pa.array(stay)) for c in ("q", "c")], ["q", "c"])
+
+
+def _exact(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        score = []
+        for q, c in zip(b["q_vector"].to_numpy(zero_copy_only=False), b["c_vector"].to_numpy(zero_copy_only=False), strict=True):
+            score.append(float((q * c).sum() / (np.sqrt((q * q).sum()) * np.sqrt((c * c).sum()))))
+        yield pa.RecordBatch.from_arrays([b["q"], b["query_id"], b["vec_id"], b["c"], pa.array(score, pa.float64())], ["q", "query_id", "vec_id", "c", "score"])
+
+
+def _candidates(rows: DataFrame, k: int) -> DataFrame:
+    """rows without those of which k + 1 equal vectors have smaller ids. Hashes only say whose vectors are compared."""
+    mark = F.xxhash64("vector")
+    common = stage(rows.groupBy(mark.alias("mark")).agg(F.count("*").alias("n")).where(F.col("n") > k + 1).select("mark"), "near-common")
+    rank = F.row_number().over(Window.partitionBy("vector").orderBy("id", "uid"))
+    marked = rows.select("uid", "id", "vector").withColumn("mark", mark).join(common, "mark", "left_semi")
+    more = marked.withColumn("rank", rank)
+    few = more.where(F.col("rank") <= k + 1).select("uid")  # cut before the shuffle too, for the ranks are limited
+    plain = rows.withColumn("mark", mark).join(common, "mark", "left_anti").drop("mark")
+    return plain.select("uid", "dim", "code", "scale", "slack").unionByName(rows.join(few, "uid").select("uid", "dim", "code", "scale", "slack"))
 
 
 def nearest(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest of all other rows, for each row where is_query holds (over column id)."""
+    spark = vectors.sparkSession
     rows = stage(rounded(vectors, id_col, vector_col), "near-rows")
-    asked = rows.where(is_query)
-    n, m = rows.count(), asked.count()
+    asked, light = rows.where(is_query), stage(_candidates(rows, k), "near-candidates", 10_000)
+    n, m = light.count(), asked.count()
     left, right = max(1, -(-m // QUERIES)), max(1, -(-n // CANDIDATES))
-    block = lambda n: F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
-    q = asked.withColumn("i", block(left)).withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(right - 1))))
-    c = rows.withColumn("j", block(right)).withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(left - 1))))
+    block = lambda n: F.pmod(F.xxhash64("uid"), F.lit(n)).cast("int")
+    q = asked.select("uid", "dim", "code", "scale", "slack").withColumn("i", block(left)).withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(right - 1))))
+    c = light.withColumn("j", block(right)).withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(left - 1))))
     keys = ["dim", "i", "j"]
-    tiles = q.groupBy(*keys).cogroup(c.groupBy(*keys)).applyInPandas(tiler(k), "query_id long, vec_id long, score double")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
-    return tiles.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
-
-
-def tiler(k: int):
-    return lambda q, c: _tile(q, c, k)
+    tiles = stage(q.groupBy(*keys).cogroup(c.groupBy(*keys)).applyInPandas(tiler(k), PAIR), "near-tiles")
+    pairs = tiles.repartition(partitions(spark), "q").sortWithinPartitions("q").mapInArrow(lambda it: _meet(it, k), "q long, c long")
+    pairs = stage(pairs, "near-pairs", 10_000)
+    unstage(light, tiles)
+    whole = lambda side, name: rows.select(F.col("uid").alias(side), F.col("id").alias(name), F.col("vector").alias(f"{side}_vector"))
+    scored = pairs.join(whole("c", "vec_id"), "c").join(whole("q", "query_id"), "q").mapInArrow(_exact, "q long, query_id long, vec_id long, c long, score double")
+    rank = F.row_number().over(Window.partitionBy("q").orderBy(F.col("score").desc(), "vec_id", "c"))
+    return scored.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
