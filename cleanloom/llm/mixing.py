@@ -5,11 +5,13 @@ it divided by the source's target. At virtual time 1 every queue has given exact
 at virtual time 1 is cutting it at the total budget, the sum of the targets. A source whose target exceeds its size is
 queued again, up to `MOST` times. The schedule is range-sorted by virtual finish time.
 
-A source may hold any share of the rows: queues are cut into `CELLS` cells by the shuffle hash, cell sums are added up
-in a table of at most sources x CELLS rows, and only the rows of one cell are ordered together.
+A source may hold any share of the rows: queues are cut into cells by the shuffle hash, so many that a cell has about `CELL_ROWS` rows
+where one source holds all; cell sums are added up in a table of a row for each cell, and only the rows of one cell are ordered together.
+There may be any number of sources: they are ranked by a range-sort, never in one task.
 
 Defined results: null text has size 0; null is a source of its own, the last; rows with the same id (or equal rows) are
-mixed one by one; where all sizes are 0 all targets are 0; an empty table gives an empty result.
+mixed one by one; where all sizes are 0 all targets are 0; in the stream of whole documents those of size 0 are dropped; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -17,13 +19,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import free_name, partitions, stage
+from .common import free_name, numbered, partitions, stage, unstage
 from .exact_dedup import located
 
-#: times that a document is taken at most, cells of a source's queue (a power of two)
-MOST, CELL_BITS = 3, 12
-#: rows and words that a range of the sorted results holds
-ROWS, WORDS = 2_000_000, 16_000_000
+#: times that a document is taken at most, rows of a cell if one source holds all rows
+MOST, CELL_ROWS = 3, 4096
+#: rows and words that a range of the sorted results holds, sources that a range of the sources holds
+ROWS, WORDS, SOURCES = 2_000_000, 16_000_000, 1_000_000
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -31,25 +33,44 @@ def words(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("long")
 
 
+def ranked(sources: DataFrame) -> DataFrame:
+    """sources, one row per source, with place: their rank by code point from 0, null last."""
+    spark = sources.sparkSession
+    light = stage(sources, "mix-sizes", 10_000)
+    out, before = numbered(light, [F.col("source").asc_nulls_last()], max(1, -(-light.count() // SOURCES)), "mix-ranked")
+    unstage(light)
+    ranges = spark.createDataFrame([(k, n) for k, n in enumerate(before)], "part long, before long")  # a number for each range
+    part, place = F.shiftright("at", 33), F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
+    return out.withColumn("part", part).join(F.broadcast(ranges), "part").withColumn("place", F.col("before") + place).drop("part", "before", "at")
+
+
 def targets(sources: DataFrame, weights: tuple[float, ...]) -> DataFrame:
     """sources (source, source_size), one row per source, with weight and target. The common level rises until the sources
-    under their ceiling take what the others cannot; three sums go to the driver in each round."""
-    ranked = sources.withColumn("place", F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1)
+    under their ceiling take what the others cannot; the sums go to the driver in each round, and rounds end when no more sources
+    are full (a fuller one stays full, so there are as many rounds as sources at most, and in practice a few)."""
     weight = F.element_at(F.array(*map(F.lit, map(float, weights))), F.pmod("place", F.lit(len(weights))).cast("int") + 1)
-    ranked = stage(ranked.withColumn("weight", weight), "mix-sources")
-    total, level, last = ranked.agg(F.sum("source_size")).first()[0] or 0, 0.0, -1.0
-    ceiling = F.col("source_size") * float(MOST)
-    while total and level != last:
-        full = F.col("weight") * level > ceiling
-        given, open_weight = ranked.agg(F.coalesce(F.sum(F.when(full, ceiling)), F.lit(0.0)), F.sum(F.when(~full, F.col("weight")))).first()
-        last, level = level, (total - given) / open_weight if open_weight else level
-    return ranked.drop("place").withColumn("target", F.least(F.col("weight") * level, ceiling))
+    weighed = stage(ranked(sources).withColumn("weight", weight), "mix-sources", 10_000)
+    total, level, full_before = weighed.agg(F.sum("source_size")).first()[0] or 0, 0.0, -1
+    size = F.col("source_size")
+    while total:
+        full = F.col("weight") * level > size * float(MOST)
+        # whole numbers, whose sums do not depend on the order of tasks
+        n_full, given, open_weight = weighed.agg(F.count(F.when(full, 1)), F.coalesce(F.sum(F.when(full, size)), F.lit(0)), F.sum(F.when(~full, F.col("weight").cast("decimal(18,6)")))).first()
+        if n_full == full_before or not open_weight:
+            break
+        level, full_before = (total - MOST * given) / float(open_weight), n_full
+    return weighed.drop("place").withColumn("target", F.least(F.col("weight") * level, size * float(MOST)))
+
+
+def cell_bits(rows: int) -> int:
+    return max(12, (rows // CELL_ROWS).bit_length())
 
 
 def queue(rows: DataFrame, weights: tuple[float, ...], seed: int, whole: bool) -> DataFrame:
     """rows (id, source, size, text_hash and others) with source_size, target, taken and finish."""
     sources = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights)
-    keyed = rows.withColumn("place", F.xxhash64(F.lit(seed), "id", "text_hash")).withColumn("cell", F.shiftrightunsigned("place", 64 - CELL_BITS))
+    bits = cell_bits(rows.count())
+    keyed = rows.withColumn("place", F.xxhash64(F.lit(seed), "id", "text_hash")).withColumn("cell", F.shiftrightunsigned("place", 64 - bits))
     cells = keyed.groupBy("source", "cell").agg(F.sum("size").alias("cell_size"))
     before = F.sum("cell_size").over(Window.partitionBy("source").orderBy("cell")) - F.col("cell_size")
     cells = cells.withColumn("before", before).drop("cell_size")
