@@ -3,9 +3,15 @@
 A first pass writes, for every row, the SHA-256 of its normalised text and where the text lies (file and
 row of the Parquet scan). A file stream reads these fingerprints; its aggregation keeps in RocksDB, for each
 digest and without expiry, the count, and the largest identifier with its content locator. Partial sums come
-before the shuffle, so a group with a third of all rows reaches a state partition as one row per task. The hits
-are then checked on full bytes: the distinct texts behind every digest are gathered, again with partial sums;
-digests with more than one text (collisions) are regrouped by the text itself.
+before the shuffle, so a group with a third of all rows reaches a state partition as one row per task. Hits, digests of
+more than one row, are then checked on full bytes: only their texts move, and of those a task sends the least and the largest of a
+digest; digests for which these differ (collisions) are regrouped by the text itself. Where the hits' digests are small
+by Spark's own estimate they are broadcast to the scan; otherwise its Bloom filter, of a bounded size, keeps most other texts
+out of the shuffle.
+
+With a state folder, state, checkpoint and fingerprints stay: a later call with the same folder, for a further delivery of rows, resumes
+the stream there, and its verdict counts all deliveries. The texts of the earlier deliveries' files are read again on hits, so those files must
+stay. Should a digest be that of another text in an earlier delivery, that is an error.
 
 Defined results: null text counts as empty; only A-Z are lower-cased; of equal texts the row with the largest
 identifier stays (null identifiers are smallest); if that identifier occurs more than once in the group, the row
@@ -14,18 +20,23 @@ last by (file, row) stays, so one row stays in every group. An empty table gives
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import free_name, new_path, stage, unstage
+from .common import drop_path, free_name, new_path, stage, unstage
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 #: RocksDB would set aside 4 MB of disk for each log of each partition, however little it holds, and memory for each partition
 ROCKS = "spark.sql.streaming.stateStore.rocksdb"
+#: join filters of at most 8 MB, however small the scan
+FILTERS = {"spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0", "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "10GB"}
 STATE = {PROVIDER: ROCKSDB, f"{ROCKS}.allowFAllocate": "false", f"{ROCKS}.boundedMemoryUsage": "true", f"{ROCKS}.maxMemoryUsageMB": "64"}
 
 
@@ -43,8 +54,20 @@ def is_scan(docs: DataFrame) -> bool:
     return plan.nodeName() == "LogicalRelation"
 
 
-def located(docs: DataFrame) -> tuple[DataFrame, Column, Column]:
-    """docs as a Parquet scan, and the columns that say where each row lies in it. What is no such scan is written first."""
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    old = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def located(docs: DataFrame, to: str | None = None) -> tuple[DataFrame, Column, Column]:
+    """docs as a Parquet scan, and the columns that say where each row lies in it. What is no such scan is written first (to)."""
     try:
         at = docs.metadataColumn("_metadata")
         docs.select(at["file_path"], at["row_index"])  # only Parquet scans have row_index
@@ -52,68 +75,105 @@ def located(docs: DataFrame) -> tuple[DataFrame, Column, Column]:
             return docs, at["file_path"], at["row_index"]
     except AnalysisException:
         pass
-    docs = stage(docs, "located-rows")
+    if to:
+        docs.write.parquet(to)
+        docs = docs.sparkSession.read.schema(docs.schema).parquet(to)
+    else:
+        docs = stage(docs, "located-rows")
     at = docs.metadataColumn("_metadata")
     return docs, at["file_path"], at["row_index"]
 
 
-def _state(prints: DataFrame, batch_bytes: int | None) -> DataFrame:
-    """What the keyed state holds after the stream has read all fingerprints: one row per digest."""
-    spark = prints.sparkSession
-    out = new_path(spark, "dedup-state")
-    old = {k: spark.conf.get(k, None) for k in STATE}
+def _last(state: DataFrame) -> DataFrame:
+    """A key that several batches touched was put out by each of them; its last value is the largest."""
+    return state.groupBy("key").agg(F.max("n").alias("n"), F.max("keep").alias("keep"))
+
+
+def _state(prints: DataFrame, at: str, batch_bytes: int | None) -> tuple[DataFrame, DataFrame | None]:
+    """(what the keyed state holds, after the stream has read all fingerprints under `at`, for the digests that it met now; and what it held
+    of any digest before, None in a first run)"""
+    spark, out = prints.sparkSession, f"{at}/kept"
     reader = spark.readStream.schema(prints.schema)
     if batch_bytes:
         reader = reader.option("maxBytesPerTrigger", str(batch_bytes))
-    kept = reader.parquet(prints._staged_at).groupBy("key").agg(F.count("*").alias("n"), F.max(F.struct("id", "file", "row")).alias("keep"))
-    for k, v in STATE.items():
-        spark.conf.set(k, v)
-    try:
+    kept = reader.parquet(f"{at}/prints/*").groupBy("key").agg(F.count("*").alias("n"), F.max(F.struct("id", "file", "row")).alias("keep"))
+    with settings(spark, STATE):
         run = (
             kept.writeStream.outputMode("update")
             .foreachBatch(lambda df, batch: df.write.mode("overwrite").parquet(f"{out}/batch={batch}"))
-            .option("checkpointLocation", new_path(spark, "dedup-checkpoint"))
+            .option("checkpointLocation", f"{at}/checkpoint")
             .trigger(availableNow=True)
             .start()
         )
         run.awaitTermination()
-    finally:
-        for k, v in old.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-    batches = {p["batchId"] for p in run.recentProgress if p["numInputRows"]}
+    batches = sorted({p["batchId"] for p in run.recentProgress if p["numInputRows"]})
     if not batches:
-        return spark.createDataFrame([], kept.schema)
-    state = spark.read.parquet(out).drop("batch")
-    if len(batches) == 1:
-        return state
-    # a key that several batches touched was put out by each of them; its last value is the largest
-    return stage(state.groupBy("key").agg(F.max("n").alias("n"), F.max("keep").alias("keep")), "dedup-last")
+        return spark.createDataFrame([], kept.schema), None
+    state = spark.read.schema(f"{_ddl(kept)}, batch long").parquet(out)
+    now = state.where(F.col("batch") >= batches[0]).drop("batch")
+    now = now if len(batches) == 1 else stage(_last(now), "dedup-last")
+    return now, (_last(state.where(F.col("batch") < batches[0])) if batches[0] else None)
+
 
+def _ddl(df: DataFrame) -> str:
+    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema)
 
-def fingerprints(docs: DataFrame, id_col: str, text_col: str, digest_bytes: int = 32) -> tuple[DataFrame, DataFrame]:
-    """(docs as a scan with locators, staged fingerprints key, sha, id, file, row)"""
-    scan, file, row = located(docs)
+
+def fingerprints(docs: DataFrame, id_col: str, text_col: str, digest_bytes: int, at: str) -> tuple[DataFrame, DataFrame]:
+    """(docs as a scan with locators, their fingerprints key, sha, id, file, row, written to a folder of their own under `at`)"""
+    spark, name = docs.sparkSession, uuid.uuid4().hex
+    scan, file, row = located(docs, f"{at}/rows-{name}")
     sha = F.unhex(F.sha2(normalised(scan[text_col]), 256))
-    prints = stage(scan.select(scan[id_col].alias("id"), sha.alias("sha"), file.alias("file"), row.alias("row")).withColumn("key", F.substring("sha", 1, digest_bytes)), "dedup-prints")
-    return scan, prints
+    prints = scan.select(scan[id_col].alias("id"), sha.alias("sha"), file.alias("file"), row.alias("row")).withColumn("key", F.substring("sha", 1, digest_bytes))
+    prints.write.parquet(f"{at}/prints/{name}")
+    return scan, spark.read.schema(prints.schema).parquet(f"{at}/prints/{name}")
+
+
+def _different(texts: DataFrame) -> DataFrame:
+    """The keys of more than one text: a task hands on two texts of a key at most."""
+    return texts.groupBy("key").agg(F.min("text").alias("least"), F.max("text").alias("most")).where("least <> most").select("key")
+
+
+def _check_before(spark: SparkSession, hits: DataFrame, before: DataFrame, text_col: str) -> None:
+    """The texts of hits (key, text) against those that earlier deliveries kept for the same digest."""
+    met = stage(before.join(hits.select("key").distinct(), "key", "left_semi").select("key", "keep.file", "keep.row"), "dedup-met")
+    files = [r[0] for r in met.select("file").distinct().collect()]  # of the earlier deliveries' files, which the driver has listed before
+    if files:
+        old = spark.read.parquet(*files)
+        at = old.metadataColumn("_metadata")
+        place = (at["file_path"] == met["file"]) & (at["row_index"] == met["row"])
+        texts = old.join(met, place).select("key", normalised(old[text_col]).alias("text"))
+        if not _different(texts.unionByName(hits.select("key", "text"))).isEmpty():
+            raise ValueError("a digest of an earlier delivery belongs to another text")
+    unstage(met)
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, digest_bytes: int = 32, batch_bytes: int | None = None) -> DataFrame:
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, state: str | None = None, digest_bytes: int = 32, batch_bytes: int | None = None) -> DataFrame:
     """One row for every row of docs: id, keep_id, group_size, kept, sha (of the normalised text), file, row.
 
+    state: a folder that keeps the state from one delivery to the next (None: one of our own, for this call).
     digest_bytes: how much of the SHA-256 keys the state; less than 32 is for tests of the byte check.
     batch_bytes: most bytes of fingerprints in a micro-batch (None: all that are there).
     """
-    scan, prints = fingerprints(docs, id_col, text_col, digest_bytes)
-    state = _state(prints, batch_bytes)
+    spark = docs.sparkSession
+    at = state or new_path(spark, "dedup-state")
+    scan, prints = fingerprints(docs, id_col, text_col, digest_bytes, at)
+    known, before = _state(prints, at, batch_bytes)
+    if not state:
+        drop_path(spark, f"{at}/checkpoint")
     own = F.struct("id", "file", "row")
-    verdict = prints.join(state, "key").select("key", "id", F.col("keep.id").alias("keep_id"), F.col("n").alias("group_size"), own.eqNullSafe(F.col("keep")).alias("kept"), "sha", "file", "row")
+    verdict = prints.join(known, "key").select("key", "id", F.col("keep.id").alias("keep_id"), F.col("n").alias("group_size"), own.eqNullSafe(F.col("keep")).alias("kept"), "sha", "file", "row")
     texts, file, row = located(scan)
     text = normalised(texts[text_col])
     keyed = texts.select(F.substring(F.unhex(F.sha2(text, 256)), 1, digest_bytes).alias("key"), texts[id_col].alias("id"), text.alias("text"), file.alias("file"), row.alias("row"))
-    collided = stage(keyed.groupBy("key").agg(F.size(F.collect_set("text")).alias("texts")).where("texts > 1").select("key"), "dedup-collided")
+    again = stage(known.where("n > 1").select("key", "n"), "dedup-hits", 10_000)
+    with settings(spark, FILTERS):
+        hits = keyed.join(again.where("n > 1"), "key", "left_semi")
+        collided = stage(_different(hits), "dedup-collided")
+        if before is not None:
+            _check_before(spark, hits, before, text_col)
     if collided.isEmpty():
-        unstage(collided)
+        unstage(collided, again)
         return verdict.drop("key")
     # the same digest of different texts: the text itself is the key
     apart = stage(keyed.join(collided, "key", "left_semi"), "dedup-apart")

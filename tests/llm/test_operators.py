@@ -95,6 +95,31 @@ def test_exact_dedup_checks_bytes_and_batches(spark, rows, options):
     check_exact(exact_dedup.exact_dedup(spark.createDataFrame(rows, SCHEMA), **options).collect(), rows)
 
 
+@pytest.mark.parametrize("scan", [False, True])
+def test_exact_dedup_resumes_its_state(spark, rows, tmp_path, scan):
+    state, seen = str(tmp_path / "state"), []
+    for k, part in enumerate((rows[::2], rows[1::2], [(500, "quite new", "en", "a", 0), (501, rows[0][1], "en", "a", 0)])):
+        df = spark.createDataFrame(part, SCHEMA)
+        if scan:
+            df.repartition(2).write.parquet(str(tmp_path / f"delivery{k}"))
+            df = spark.read.parquet(str(tmp_path / f"delivery{k}"))
+        seen += part
+        groups = defaultdict(list)
+        for r in seen:
+            groups[lowered(r[1])].append(r[0])
+        found = exact_dedup.exact_dedup(df, state=state).collect()
+        expected = Counter((r[0], max(groups[lowered(r[1])], key=key), len(groups[lowered(r[1])])) for r in part)
+        assert Counter((r["id"], r["keep_id"], r["group_size"]) for r in found) == expected
+        assert all(r["id"] == r["keep_id"] for r in found if r["kept"])
+
+
+def test_exact_dedup_finds_other_bytes_of_earlier_deliveries(spark, tmp_path):
+    state = str(tmp_path / "state")
+    exact_dedup.exact_dedup(spark.createDataFrame([(k, f"text {k}") for k in range(400)], "doc_id long, text string"), state=state, digest_bytes=1).collect()
+    with pytest.raises(ValueError, match="another text"):
+        exact_dedup.exact_dedup(spark.createDataFrame([(1000, "something else")], "doc_id long, text string"), state=state, digest_bytes=1)
+
+
 def test_exact_dedup_keeps_columns(docs, rows, empty):
     kept = exact_dedup.drop_exact_copies(docs)
     assert kept.columns == docs.columns and kept.count() == len({lowered(r[1]) for r in rows})
