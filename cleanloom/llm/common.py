@@ -1,11 +1,11 @@
-"""Helpers shared by the training-data operators: staging folder, staged tables, Arrow grouping."""
+"""Helpers shared by the training-data operators: staging folder, staged tables, Arrow batches and grouping."""
 
 from __future__ import annotations
 
-import atexit
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -14,54 +14,73 @@ from pyspark.sql import DataFrame, SparkSession
 from ..shipping import ship
 
 _OWN: dict[str, str] = {}
-_USED: set[str] = set()
+_SWEPT: set[str] = set()
+_SCRATCH: list[list[str]] = []
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: rows of whole texts in an Arrow batch, where a batch is made while a table is staged
+TEXT_ROWS = 1000
 
 
-def text_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Arrow batches hold whole texts here, of any length: fewer rows in a batch bound what a task holds at once."""
-    ship(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+@contextmanager
+def text_batches(spark: SparkSession, rows: int = TEXT_ROWS) -> Iterator[None]:
+    """Arrow batches hold whole texts here, of any length: fewer rows in a batch bound what a task holds at once. The session's
+    own setting is back at the end."""
+    old = spark.conf.get(ARROW_ROWS, None)
+    spark.conf.set(ARROW_ROWS, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.unset(ARROW_ROWS) if old is None else spark.conf.set(ARROW_ROWS, old)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; where it is unset, as in
-    local tests, a temporary folder of our own."""
-    at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    """The application's folder in what driver and executors share, spark.checkpoint.dir; it goes when the application ends.
+    Where that is unset, a local session, as in tests, has a temporary folder of our own; on a cluster, whose machines
+    would each write to their own disk, it is an error."""
+    context = spark.sparkContext
+    at = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     if not at:
+        if not is_local(context.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         at = _OWN.setdefault("dir", tempfile.mkdtemp(prefix="cleanloom-"))
-    return f"{at.rstrip('/')}/cleanloom-{spark.sparkContext.applicationId}"
+    path = f"{at.rstrip('/')}/cleanloom-{context.applicationId}"
+    if path not in _SWEPT:
+        files, to = _hadoop(spark, path)
+        files.mkdirs(to)
+        files.deleteOnExit(to)  # by the driver's JVM, when it ends, whatever has become of Python
+        _SWEPT.add(path)
+    return path
+
+
+def is_local(master: str) -> bool:
+    return master.split("[")[0] == "local"
+
+
+def _hadoop(spark: SparkSession, path: str):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    if not _USED:
-        atexit.register(_sweep, spark)
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    _USED.add(path)
+    if _SCRATCH:
+        _SCRATCH[-1].append(path)
     return path
 
 
 def drop_path(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
-    _USED.discard(path)
+    files, at = _hadoop(spark, path)
+    files.delete(at, True)
 
 
-def _sweep(spark: SparkSession) -> None:
-    for path in list(_USED):
-        try:
-            drop_path(spark, path)
-        except Exception:  # noqa: BLE001  the session may be gone at exit
-            return
-
-
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, rows: int = TEXT_ROWS) -> DataFrame:
     """Writes df as a Parquet table into the shared folder and rereads it: the lineage ends there,
     and a lost executor costs no recomputation beyond it."""
     spark = df.sparkSession
     ship(spark)
     path = new_path(spark, name)
-    df.write.parquet(path)
+    with text_batches(spark, rows):
+        df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._staged_at = path
     return out
@@ -74,6 +93,43 @@ def unstage(*frames: DataFrame) -> None:
             drop_path(df.sparkSession, path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables staged inside are deleted at the end: for whoever has written what comes of them (to a path made before)."""
+    _SCRATCH.append([])
+    try:
+        yield
+    finally:
+        for path in _SCRATCH.pop():
+            drop_path(spark, path)
+
+
+def staged(df_of, spark: SparkSession, name: str) -> DataFrame:
+    """df_of() as a staged table; all that it stages itself goes once that is written."""
+    path = new_path(spark, name)
+    with scratch(spark):
+        df = df_of()
+        with text_batches(spark):
+            df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged_at = path
+    return out
+
+
+def numbered(df: DataFrame, keys: list, n: int, name: str) -> tuple[DataFrame, list[int]]:
+    """df in the order of keys as a staged table, in n ranges, with column at: range << 33 | place in the range; and the
+    number of rows before each range. Keys must tell hot values' rows apart, so that ranges can cut between them."""
+    from pyspark.sql import functions as F
+
+    out = stage(df.repartitionByRange(n, *keys).sortWithinPartitions(*keys).withColumn("at", F.monotonically_increasing_id()), name, 10_000)
+    sizes = dict(out.groupBy(F.shiftright("at", 33).alias("part")).agg(F.count("*")).collect())  # a number for each range
+    before, total = [], 0
+    for k in range(max(sizes, default=-1) + 1):
+        before.append(total)
+        total += sizes.get(k, 0)
+    return out, [*before, total]
+
+
 def partitions(spark: SparkSession, amount: int = 0, each: int = 1) -> int:
     """The cluster's shuffle partitions, or more where `amount` would put over `each` into one."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-amount // each))

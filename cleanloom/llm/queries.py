@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import chat, exact_dedup, mixing, near_duplicates, neighbours, packing, passages, sharding, tokens, toxicity
-from .common import text_batches
 
 LIMIT = 2048
 
@@ -20,7 +19,6 @@ def vocabulary() -> str:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    text_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -4,6 +4,7 @@ The vocabulary drops white space, and none of its patterns crosses it, so an ASC
 boundary: the ids of a text are those of its white-space-separated words, one after the other. Texts (of any length) are
 cut there; each batch of about the same number of bytes sends only the words that the worker has not seen to the
 library's batch encoder, and sums what the words have. The table of words is bounded and starts anew when it is full.
+A text without ASCII white space has no safe boundary and is one word, however long.
 
 Plain words (Latin letters, then perhaps punctuation) are a stem in lower case and a tail, which the vocabulary tells apart too.
 Stems are encoded in lines of many, for an encoding has a price of its own; a line's ids fall to its stems by the ids that end
@@ -86,7 +87,7 @@ def encoder(path: str, ids: bool = False) -> WordEncoder:
     return _ENCODERS[path, ids]
 
 
-def by_bytes(items: list[bytes], most: int) -> Iterator[list[bytes]]:
+def by_bytes(items: Iterable[bytes], most: int) -> Iterator[list[bytes]]:
     """items in runs of about `most` bytes, one item at least."""
     part, n = [], 0
     for x in items:
@@ -102,7 +103,7 @@ def by_bytes(items: list[bytes], most: int) -> Iterator[list[bytes]]:
 def encoded(texts: Iterable[str | None], path: str, ids: bool) -> Iterator[int | bytes]:
     """For each text its number of ids, or the ids' bytes."""
     enc = encoder(path, ids)
-    for part in by_bytes([(t or "").encode() for t in texts], BATCH_BYTES):
+    for part in by_bytes(((t or "").encode() for t in texts), BATCH_BYTES):
         words = [t.split() for t in part]
         enc.learn(set().union(*words))
         look = enc.known.__getitem__
