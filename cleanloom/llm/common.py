@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..shipping import ship
 
@@ -104,11 +105,11 @@ def scratch(spark: SparkSession) -> Iterator[None]:
             drop_path(spark, path)
 
 
-def staged(df_of, spark: SparkSession, name: str) -> DataFrame:
-    """df_of() as a staged table; all that it stages itself goes once that is written."""
+def staged(make: Callable[[], DataFrame], spark: SparkSession, name: str) -> DataFrame:
+    """make() as a staged table; all that it stages itself goes once that is written."""
     path = new_path(spark, name)
     with scratch(spark):
-        df = df_of()
+        df = make()
         with text_batches(spark):
             df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
@@ -119,8 +120,6 @@ def staged(df_of, spark: SparkSession, name: str) -> DataFrame:
 def numbered(df: DataFrame, keys: list, n: int, name: str) -> tuple[DataFrame, list[int]]:
     """df in the order of keys as a staged table, in n ranges, with column at: range << 33 | place in the range; and the
     number of rows before each range. Keys must tell hot values' rows apart, so that ranges can cut between them."""
-    from pyspark.sql import functions as F
-
     out = stage(df.repartitionByRange(n, *keys).sortWithinPartitions(*keys).withColumn("at", F.monotonically_increasing_id()), name, 10_000)
     sizes = dict(out.groupBy(F.shiftright("at", 33).alias("part")).agg(F.count("*")).collect())  # a number for each range
     before, total = [], 0
