@@ -182,11 +182,17 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return verdict.join(collided, "key", "left_anti").drop("key").unionByName(again)
 
 
-def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """docs without the rows that exact_dedup drops; columns as they were."""
-    scan, _, _ = located(docs)
-    verdict = exact_dedup(scan, id_col, text_col, **options).where("kept").select(F.col("file").alias("__file"), F.col("row").alias("__row"))
+def without(scan: DataFrame, dropped: DataFrame) -> DataFrame:
+    """scan without the rows of dropped (file, row); columns as they were. What is dropped is written first: of known size, it is
+    broadcast to the scan if it is small."""
+    gone = stage(dropped.select(F.col("file").alias("__file"), F.col("row").alias("__row")), "dropped", 10_000)
     _, file, row = located(scan)
     f, r = free_name(scan, "at_file"), free_name(scan, "at_row")
     tagged = scan.select("*", file.alias(f), row.alias(r))
-    return tagged.join(verdict, (tagged[f] == verdict["__file"]) & (tagged[r] == verdict["__row"]), "left_semi").drop(f, r)
+    return tagged.join(gone, (tagged[f] == gone["__file"]) & (tagged[r] == gone["__row"]), "left_anti").drop(f, r)
+
+
+def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """docs without the rows that exact_dedup drops; columns as they were."""
+    scan, _, _ = located(docs)
+    return without(scan, exact_dedup(scan, id_col, text_col, **options).where("not kept"))

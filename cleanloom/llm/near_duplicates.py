@@ -4,10 +4,14 @@
 2. Candidates are compared on their MinHash values, a step of values at a time. With a uniform prior on the similarity, the
    posterior probability that it reaches the threshold, given m of n equal values, is a binomial sum; pairs for which it falls below
    the tolerance are dropped.
-3. What is left connects classes into loose components. In each, all pairs are verified exactly on their shingles.
+3. What is left connects classes into loose components. There each class's shingles, made once, meet those of the others in blocks; the
+   pairs that survive the posterior, and only those, are verified exactly. So a chain of texts each less like the next than the
+   threshold costs a pair for each link, not all pairs of the chain.
 
 No pairs are written out: tasks hand on, per class, how many documents it is linked to and one edge towards its group.
-Buckets and components of any size are cut into blocks, one task per pair of blocks, so no task holds an unbounded group.
+Buckets and components of any size are cut into blocks (by rows and by shingles), one task per pair of blocks, so no task holds an
+unbounded group. A component of M different texts that are all near each other has M * M / 2 links to verify, and its shingles are copied once
+for each of its M / `block` blocks: the price of exact numbers of links.
 
 Defined results: a text without words (or null) is in a class of its own, without links; a text shorter than a shingle is one shingle;
 rows with the same id or equal rows are documents of their own; null ids sort last; an empty table gives an empty result.
@@ -28,7 +32,7 @@ from pyspark.sql import functions as F
 from ..shipping import ship
 from .common import free_name, group_starts, partitions, stage, unstage, whole_groups
 from .components import components
-from .exact_dedup import located
+from .exact_dedup import FILTERS, located, settings, without
 from .words import hashed, mix, shingles, split_words
 
 
@@ -44,7 +48,8 @@ class Join:
     tolerance: float = 1e-6
     step: int = 32
     bucket: int = 512
-    block: int = 256
+    block: int = 512
+    block_shingles: int = 1 << 20
 
     @property
     def values(self) -> int:
@@ -127,24 +132,30 @@ def _labels(ids: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
             return label
 
 
+def _survivors(code: np.ndarray, starts: np.ndarray, side: np.ndarray, same: np.ndarray, join: Join, least: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The pairs of rows of each group that the posterior leaves."""
+    for a, b in _pairs(starts, len(code), side, same):
+        equal = np.zeros(len(a), np.int64)
+        for s in range(0, join.values, join.step):
+            e = min(s + join.step, join.values)
+            equal += (code[a, s:e] == code[b, s:e]).sum(axis=1)
+            stay = equal >= least[e]
+            a, b, equal = a[stay], b[stay], equal[stay]
+            if not len(a):
+                break
+        if len(a):
+            yield a, b
+
+
+def _codes(t: pa.Table) -> np.ndarray:
+    return np.frombuffer(b"".join(t["code"].to_pylist()), np.uint8).reshape(t.num_rows, -1)
+
+
 def _prune(batches: Iterable[pa.RecordBatch], join: Join) -> Iterator[pa.RecordBatch]:
-    least = least_equal(join)
-    for t in whole_groups(batches, ["band", "i", "j"], 8192):
-        starts, n = group_starts(t, ["band", "i", "j"]), t.num_rows
+    least, keys = least_equal(join), ["band", "i", "j"]
+    for t in whole_groups(batches, keys, 8192):
         ids = t["uid"].to_numpy()
-        code = np.frombuffer(b"".join(t["code"].to_pylist()), np.uint8).reshape(n, -1)
-        side, same = t["side"].to_numpy(), t["i"].to_numpy() == t["j"].to_numpy()
-        found: list[tuple[np.ndarray, np.ndarray]] = []
-        for a, b in _pairs(starts, n, side, same):
-            equal = np.zeros(len(a), np.int64)
-            for s in range(0, join.values, join.step):
-                e = min(s + join.step, join.values)
-                equal += (code[a, s:e] == code[b, s:e]).sum(axis=1)
-                stay = equal >= least[e]
-                a, b, equal = a[stay], b[stay], equal[stay]
-                if not len(a):
-                    break
-            found.append((a, b))
+        found = list(_survivors(_codes(t), group_starts(t, keys), t["side"].to_numpy(), t["i"].to_numpy() == t["j"].to_numpy(), join, least))
         if not found:
             continue
         a, b = (np.concatenate(x) for x in zip(*found, strict=True))
@@ -153,50 +164,60 @@ def _prune(batches: Iterable[pa.RecordBatch], join: Join) -> Iterator[pa.RecordB
         yield pa.RecordBatch.from_arrays([pa.array(ids[to]), pa.array(label[to])], ["a", "b"])
 
 
+def _shingled(batches: Iterable[pa.RecordBatch], join: Join) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        sets = [shingles(hashed(split_words(x)), join.size) for x in b["text"].to_pylist()]
+        names = [c for c in b.schema.names if c != "text"]
+        made = [pa.array([len(x) for x in sets], pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary())]
+        yield pa.RecordBatch.from_arrays([*(b[c] for c in names), *made], [*names, "length", "shingles"])
+
+
 def _verify(batches: Iterable[pa.RecordBatch], join: Join) -> Iterator[pa.RecordBatch]:
-    for t in whole_groups(batches, ["root", "i", "j"], 1024):
-        starts = group_starts(t, ["root", "i", "j"])
-        ids, weight, side = t["uid"].to_numpy(), t["n"].to_numpy(), t["side"].to_numpy()
-        same, texts = t["i"].to_numpy() == t["j"].to_numpy(), t["text"]
-        label, links = ids.copy(), np.zeros(len(ids), np.int64)
-        for s, e in zip(starts, [*starts[1:], t.num_rows], strict=True):
-            sets = [shingles(hashed(split_words(x)), join.size) for x in texts[s:e].to_pylist()]
-            common, size = overlaps(sets), np.array([len(x) for x in sets])
-            linked = common >= join.threshold * (size[:, None] + size[None, :] - common) - 1e-9
-            if not same[s]:
-                linked &= side[s:e, None] != side[None, s:e]
-            np.fill_diagonal(linked, False)
-            a, b = np.nonzero(linked)
-            label[s:e] = _labels(ids[s:e], a, b)
-            links[s:e] = linked @ weight[s:e]
-        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(label), pa.array(links)], ["a", "b", "links"])
-
-
-def overlaps(sets: list[np.ndarray], columns: int = 4096) -> np.ndarray:
-    """How many elements each two of the sorted sets have in common, by a product of incidence matrices."""
+    least, keys = least_equal(join), ["root", "i", "j"]
+    for t in whole_groups(batches, keys, 1024):
+        starts = group_starts(t, keys)
+        ids, weight, size = t["uid"].to_numpy(), t["n"].to_numpy(), t["length"].to_numpy()
+        found = list(_survivors(_codes(t), starts, t["side"].to_numpy(), t["i"].to_numpy() == t["j"].to_numpy(), join, least))
+        a, b = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 2
+        order = np.argsort(a, kind="stable")
+        a, b = a[order], b[order]
+        linked = np.zeros(len(a), bool)
+        cuts = np.searchsorted(a, [*starts, t.num_rows])
+        for s, e, lo, hi in zip(starts, [*starts[1:], t.num_rows], cuts, cuts[1:], strict=False):
+            if lo < hi:
+                sets = [np.frombuffer(x, np.uint64) for x in t["shingles"][s:e].to_pylist()]
+                common = commons(sets, a[lo:hi] - s, b[lo:hi] - s)
+                linked[lo:hi] = common >= join.threshold * (size[a[lo:hi]] + size[b[lo:hi]] - common) - 1e-9
+        a, b = a[linked], b[linked]
+        links = np.bincount(a, weight[b], t.num_rows) + np.bincount(b, weight[a], t.num_rows)
+        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(_labels(ids, a, b)), pa.array(links.astype(np.int64))], ["a", "b", "links"])
+
+
+def commons(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray, cells: int = 1 << 24) -> np.ndarray:
+    """How many elements sets a and b have in common, for each pair: sets are bit rows over the elements that two or more of them have."""
     row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
-    elements, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    out = np.diag([len(x) for x in sets]).astype(np.float32)
-    shared = np.flatnonzero(count > 1)
-    place = np.full(len(elements), -1)
-    place[shared] = np.arange(len(shared))
-    column, alone = place[column], np.bincount(row[place[column] < 0], minlength=len(sets))
-    row, column = row[column >= 0], column[column >= 0]
-    out = np.diag(alone).astype(np.float32)
+    _, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    place = np.cumsum(count > 1) - 1
+    shared = count[column] > 1
+    row, column = row[shared], place[column[shared]]
     order = np.argsort(column, kind="stable")
     row, column = row[order], column[order]
-    for s in range(0, len(shared), columns):
-        lo, hi = np.searchsorted(column, [s, s + columns])
-        part = np.zeros((len(sets), min(columns, len(shared) - s)), np.float32)
-        part[row[lo:hi], column[lo:hi] - s] = 1
-        out += part @ part.T
-    return out.astype(np.int64)
-
-
-def _blocks(df: DataFrame, size: Column, most: int) -> DataFrame:
-    """Every row once for each pair of blocks i <= j that its own block, side, is in; groups up to `most` are one block."""
-    blocks = F.ceil(size / most).cast("int")
-    df = df.withColumn("blocks", blocks).withColumn("side", F.pmod(F.xxhash64("uid"), F.col("blocks")).cast("int"))
+    width = max(64, cells // len(sets) // 64 * 64)
+    out = np.zeros(len(a), np.int64)
+    for s in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+        lo, hi = np.searchsorted(column, [s, s + width])
+        has = np.zeros((len(sets), min(width, -(-(int(column[hi - 1]) - s + 1) // 64) * 64)), bool)
+        has[row[lo:hi], column[lo:hi] - s] = True
+        bits = np.packbits(has, axis=1).view(np.uint64)
+        step = max(1, (1 << 20) // bits.shape[1])
+        for k in range(0, len(a), step):
+            out[k : k + step] += np.bitwise_count(bits[a[k : k + step]] & bits[b[k : k + step]]).sum(axis=1, dtype=np.int64)
+    return out
+
+
+def _blocks(df: DataFrame, blocks: Column) -> DataFrame:
+    """Every row once for each pair of blocks i <= j of its group's `blocks` that its own block, side, is in."""
+    df = df.withColumn("blocks", blocks.cast("int")).withColumn("side", F.pmod(F.xxhash64("uid"), F.col("blocks")).cast("int"))
     df = df.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     return df.withColumn("i", F.least("side", "other")).withColumn("j", F.greatest("side", "other")).drop("blocks", "other")
 
@@ -219,15 +240,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     bands = classes.select("uid", F.explode("bands").alias("band"))
     # what joins back to rows of a hot key is written first: then adaptive execution can split the rows' side
     live = stage(bands.groupBy("band").agg(F.count("*").alias("n")).where("n > 1"), "near-live")
-    hits = _blocks(bands.join(live, "band"), F.col("n"), join.bucket).select("uid", "band", "i", "j", "side")
+    hits = _blocks(bands.join(live, "band"), F.ceil(F.col("n") / join.bucket)).select("uid", "band", "i", "j", "side")
     coded = hits.join(classes.select("uid", "code"), "uid")
     loose = _sorted_groups(coded, "band", "i", "j").mapInArrow(lambda it: _prune(it, join), "a long, b long")
 
     members = stage(components(loose), "near-members")
-    sizes = stage(members.groupBy("root").agg(F.count("*").alias("members")).where("members > 1"), "near-sizes")
-    at = members.join(sizes, "root").join(classes.select("uid", "n", "first"), F.col("node") == F.col("uid")).select("root", "members", "uid", "n", F.col("first.file").alias("f"), F.col("first.row").alias("r"))
-    texts = at.join(scan.select(file.alias("file"), row.alias("row"), scan[text_col].cast("string").alias("text")), (F.col("f") == F.col("file")) & (F.col("r") == F.col("row"))).drop("f", "r", "file", "row")
-    verified = _sorted_groups(_blocks(texts, F.col("members"), join.block).drop("members"), "root", "i", "j").mapInArrow(lambda it: _verify(it, join), "a long, b long, links long")
+    at = members.join(classes, F.col("node") == F.col("uid")).select("root", "uid", "n", "code", F.col("first.file").alias("f"), F.col("first.row").alias("r"))
+    at = stage(at, "near-at", 10_000)  # of known size, so that it is broadcast to the texts if it is small
+    whole = scan.select(file.alias("file"), row.alias("row"), scan[text_col].cast("string").alias("text"))
+    with settings(docs.sparkSession, FILTERS):
+        met = at.where("r >= 0").join(whole, (F.col("f") == F.col("file")) & (F.col("r") == F.col("row"))).select("root", "uid", "n", "code", "text")
+        sets = stage(met.mapInArrow(lambda it: _shingled(it, join), "root long, uid long, n long, code binary, length long, shingles binary"), "near-sets")
+    sizes = sets.groupBy("root").agg(F.greatest(F.ceil(F.count("*") / join.block), F.ceil(F.sum("length") / join.block_shingles)).alias("cut"))
+    sizes = stage(sizes, "near-sizes", 10_000)
+    verified = _sorted_groups(_blocks(sets.join(sizes, "root"), F.col("cut")).drop("cut"), "root", "i", "j").mapInArrow(lambda it: _verify(it, join), "a long, b long, links long")
     verified = stage(verified, "near-verified")
 
     groups = stage(components(verified.select("a", "b")), "near-groups")
@@ -237,7 +263,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     known = stage(known, "near-rooted")
     heads = stage(known.groupBy("root").agg(F.min("first").alias("head")), "near-heads")
     rooted, known = known, stage(known.join(heads, "root").select("key", (F.col("n") - 1 + F.col("links")).alias("n_links"), "head"), "near-known")
-    unstage(live, members, sizes, verified, groups, rooted, heads)
+    unstage(live, members, at, sets, sizes, verified, groups, rooted, heads)
     out = rows.join(known, (rows["key"] == known["key"]) & rows["code"].isNotNull(), "left")
     alone = F.col("head").isNull()
     return out.select("id", F.when(alone, F.col("id")).otherwise(F.col("head.id")).alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"), (alone | first.eqNullSafe(F.col("head"))).alias("kept"), "file", "row")
@@ -246,8 +272,4 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", join: Join = Join()) -> DataFrame:  # noqa: B008
     """docs with one row of each group of near duplicates; columns as they were."""
     scan, _, _ = located(docs)
-    kept = near_duplicates(scan, id_col, text_col, join).where("kept").select(F.col("file").alias("__file"), F.col("row").alias("__row"))
-    _, file, row = located(scan)
-    f, r = free_name(scan, "at_file"), free_name(scan, "at_row")
-    tagged = scan.select("*", file.alias(f), row.alias(r))
-    return tagged.join(kept, (tagged[f] == kept["__file"]) & (tagged[r] == kept["__row"]), "left_semi").drop(f, r)
+    return without(scan, near_duplicates(scan, id_col, text_col, join).where("not kept"))
