@@ -35,7 +35,7 @@ from .tokens import encoded
 
 #: pieces in a partition and given up by one at most, partitions that meet in an exchange, sequences given up beside those that
 #: a gap costs, rounds of exchange at most
-PIECES, FAN_IN, SPARE, ROUNDS = 4096, 16, 16, 8
+PIECES, FAN_IN, SPARE, ROUNDS = 4096, 16, 64, 8
 #: bits of a sequence's id for its place in its group and for its group
 BIN_BITS, PART_BITS = 20, 36
 

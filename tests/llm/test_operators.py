@@ -290,6 +290,8 @@ def test_packing_in_many_partitions(spark, monkeypatch):
     assert max(used.values()) <= 100
     alone = len(packing.best_fit_decreasing(lengths, 100)[2])
     assert packing.lower_bound(lengths, 100) <= len(used) <= alone * 1.02 + 1
+    assert packing.certificate(packing.pack(df, 100), 100) == (len(used), packing.lower_bound(lengths, 100))
+    assert packing.certificate(packing.pack(df.limit(0), 100), 100) == (0, 0)
 
 
 def test_neighbours(spark):
@@ -311,6 +313,31 @@ def test_neighbours(spark):
     assert neighbours.nearest(df.limit(0), F.col("id") % 10 == 0).count() == 0
 
 
+def test_neighbours_of_repeated_ids_and_vectors(spark):
+    """Each query row has its own five; a row with the same id is a candidate; of many equal vectors the smallest ids come first."""
+    rng = np.random.default_rng(17)
+    v = np.concatenate([rng.normal(size=(60, 4)), np.repeat(rng.normal(size=(1, 4)), 40, axis=0)])
+    ids = np.concatenate([np.arange(60) // 3, np.arange(40) % 25])
+    df = spark.createDataFrame([(int(i), x.tolist()) for i, x in zip(ids, v, strict=True)], "vec_id long, embedding array<double>").repartition(3)
+    norm, expected = np.sqrt((v * v).sum(axis=1)), Counter()
+    for q in np.flatnonzero(ids % 5 == 0):
+        score = np.round((v * v[q]).sum(axis=1) / (norm * norm[q]), 9)
+        others = np.flatnonzero(np.arange(100) != q)
+        best = others[np.lexsort((ids[others], -score[others]))][:5]
+        expected.update((int(ids[q]), rank, int(ids[b])) for rank, b in enumerate(best, 1))
+    assert Counter((r["query_id"], r["rank"], r["vec_id"]) for r in neighbours.nearest(df, F.col("id") % 5 == 0).collect()) == expected
+
+
+def test_neighbours_of_long_vectors_in_a_table(spark, tmp_path):
+    rng = np.random.default_rng(18)
+    v = rng.normal(size=(30, 3000))
+    spark.createDataFrame([(k, x.tolist(), "q", 1.0) for k, x in enumerate(v)], "vec_id long, embedding array<double>, q string, score double").write.parquet(str(tmp_path / "v"))
+    got = neighbours.nearest(spark.read.parquet(str(tmp_path / "v")), F.col("id") == 7, 3).orderBy("rank").collect()
+    score = v @ v[7] / np.sqrt((v * v).sum(axis=1) * (v[7] @ v[7]))
+    score[7] = -9
+    assert [r["vec_id"] for r in got] == np.argsort(-score)[:3].tolist()
+
+
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -355,7 +382,7 @@ def test_mixing_drops_documents_without_words(spark):
     assert all("size 0" in f.__doc__ and "dropped" in f.__doc__ for f in (mixing.mix, corpus_pipeline.mix_sources))
 
 
-@pytest.mark.parametrize("n", [1, 8])
+@pytest.mark.parametrize("n", [1, 8, 300])
 def test_sharding(docs, rows, empty, n):
     found = sharding.shard(docs, n).collect()
     utf8 = [(r[1] or "").encode() for r in rows]
