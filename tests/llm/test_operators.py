@@ -259,6 +259,62 @@ def test_shared_passages_are_marked_whole(spark, vocab, threshold):
         assert all(marked[d] <= shared[d] for d in marked) and all(removed[d] <= later[d] for d in removed)
 
 
+def near_passages(seed, edits, n):
+    """Texts with passages that stand in two of them, the second time with edits (changed, left out, put in) that leave their five-word
+    similarity at 0.8 or more: (texts, [(first text, second text, place there, words there)])."""
+    rng = np.random.default_rng(seed)
+    text = lambda n: rng.choice([f"n{k}" for k in range(3000)], n).tolist()
+    grams = lambda w: {tuple(w[k : k + 5]) for k in range(len(w) - 4)}
+    docs, planted = [], []
+    while len(planted) < n:
+        passage = text(int(rng.integers(60, 141)))
+        copy = list(passage)
+        for _ in range(edits):
+            at = int(rng.integers(1, len(copy) - 1))
+            copy[at : at + 1] = [["other"], [], [copy[at], "more"]][rng.integers(3)]
+        a, b = grams(passage), grams(copy)
+        if len(a & b) < 0.8 * len(a | b):
+            continue
+        before = text(int(rng.integers(10, 60)))
+        planted.append((len(docs), len(docs) + 1, len(before), len(copy)))
+        docs += [text(int(rng.integers(10, 60))) + passage + text(20), before + copy + text(25)]
+    return docs, planted
+
+
+@pytest.mark.parametrize(("edits", "reported", "marked"), [(0, 1.0, 1.0), (1, 0.99, 0.95), (2, 0.99, 0.93), (3, 0.97, 0.85)])
+def test_recall_of_near_copies(spark, edits, reported, marked):
+    docs, planted = near_passages(edits, edits, 300)
+    df = spark.createDataFrame([(d, " ".join(w), "en", "a", 0) for d, w in enumerate(docs)], SCHEMA).repartition(3)
+    removed = defaultdict(set)
+    for r in passages.repeats(df).where("removed").collect():
+        removed[r["id"]].update(range(r["start"], r["end"]))
+    shares = [len(removed[d] & set(range(at, at + n))) / n for _, d, at, n in planted]
+    print("edits", edits, "reported", np.mean([s > 0 for s in shares]), "words marked", np.mean(shares))
+    assert np.mean([s > 0 for s in shares]) >= reported and np.mean(shares) >= marked
+    assert all(removed[d] <= set(range(at - 2, at + n + 2)) for _, d, at, n in planted)  # a word beside a passage may be the same by chance
+    assert not any(removed[d] for d, _, _, _ in planted)
+
+
+def test_repeats_within_one_text(spark):
+    rng = np.random.default_rng(5)
+    once = [f"o{k}" for k in rng.integers(0, 1000, 60)]
+    df = spark.createDataFrame([(1, " ".join(once + [f"x{k}" for k in range(30)] + once), "en", "a", 0), (2, "short", "en", "a", 0)], SCHEMA)
+    assert passages.repeats(df).count() == 0
+    found = passages.repeats(df, p=passages.Paragraphs(across=False)).collect()
+    assert [(r["start"], r["end"]) for r in found if r["removed"]] == [(90, 150)]
+
+
+def test_paragraphs_with_one_key_are_told_apart(spark, monkeypatch):
+    """Keys of 3 bits: only the check tells paragraphs apart, and nothing is like anything else."""
+    plain = passages.digests
+    monkeypatch.setattr(passages, "digests", lambda *a: np.stack([plain(*a)[:, 0] % 8, plain(*a)[:, 1]], axis=1))
+    rng = np.random.default_rng(6)
+    shared = rng.integers(0, 500, 60).tolist()
+    texts = [[f"k{k}" for k in [*rng.integers(0, 500, 40).tolist(), *(shared if d < 2 else [])]] for d in range(6)]
+    key = np.concatenate([passages.digests([t], *passages.anchors([passages.hashed(t)], passages.Paragraphs())[:2], passages.Paragraphs()) for t in texts])
+    assert len(set(key[:, 0].tolist())) <= 8 < len(set(key[:, 1].tolist()))
+
+
 def test_packing(docs, rows, empty):
     from tokenizers import Tokenizer
 

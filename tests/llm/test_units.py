@@ -191,15 +191,26 @@ def test_minhash_estimates_similarity():
 def test_anchors_do_not_depend_on_what_is_around():
     rng = np.random.default_rng(2)
     p = passages.Paragraphs()
-    shared = rng.integers(0, 2**63, 55).astype(np.uint64)
-    found = []
     for _ in range(300):
-        texts = [np.concatenate([rng.integers(0, 2**63, rng.integers(0, 90)).astype(np.uint64), shared, rng.integers(0, 2**63, rng.integers(0, 90)).astype(np.uint64)]) for _ in range(2)]
-        text, start, key, _ = passages.paragraphs(texts, p)
-        found.append(bool(set(key[text == 0]) & set(key[text == 1])))
-        shared = rng.integers(0, 2**63, 55).astype(np.uint64)
-    assert np.mean(found) > 0.98
-    assert len(passages.paragraphs([np.zeros(0, np.uint64), np.arange(3, dtype=np.uint64)], p)[0]) == 0
+        shared = [f"s{k}" for k in rng.integers(0, 10**6, 50)]
+        texts = [[f"t{k}" for k in rng.integers(0, 10**6, rng.integers(0, 90))] + shared + [f"t{k}" for k in rng.integers(0, 10**6, rng.integers(0, 90))] for _ in range(2)]
+        text, start, all_words, at = passages.anchors([words.hashed(t) for t in texts], p)
+        key = passages.digests(texts, text, start, p)
+        assert set(key[text == 0, 0]) & set(key[text == 1, 0])
+        runs = [" ".join(texts[t][s : s + p.words]) for t, s in zip(text, start, strict=True)]
+        assert len(set(runs)) == len(set(key[:, 0])) == len(set(key[:, 1]))
+        assert len(passages.bands_of(all_words, at, p)) == len(runs)
+    assert len(passages.anchors([np.zeros(0, np.uint64), np.arange(3, dtype=np.uint64)], p)[0]) == 0
+
+
+def test_extension_over_one_edit():
+    end = [0] * 3
+    a = [1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12, *end]
+    others = {"changed": [1, 2, 99, 4, 5, 6, 7, 8, 9, 10, 11, 12, *end], "left out": [1, 2, 4, 5, 6, 7, 8, 9, 10, 11, 12, 0, *end], "put in": [1, 2, 98, 3, 4, 5, 6, 7, 8, 9, 10, 11, *end], "other": [1, 2, 50, 51, 52, 53, 54, 55, 56, 57, 58, 59, *end], "again": [1, 2, 99, 4, 5, 6, 7, 77, 9, 10, 11, 12, *end]}
+    rows = np.array([a, *others.values()], np.uint32)
+    other, alike = np.arange(1, 6), np.full(5, 2)
+    assert passages._over_an_edit(rows, np.zeros(5, int), other, alike, 5).tolist() == [12, 12, 11, 2, 2]
+    assert passages._over_an_edit(rows, other, np.zeros(5, int), alike, 5).tolist() == [12, 11, 12, 2, 2]
 
 
 def shard_of(keys, shards, nodes=sharding.NODES):
