@@ -281,7 +281,7 @@ def near_passages(seed, edits, n):
     return docs, planted
 
 
-@pytest.mark.parametrize(("edits", "reported", "marked"), [(0, 1.0, 1.0), (1, 0.99, 0.95), (2, 0.99, 0.93), (3, 0.97, 0.85)])
+@pytest.mark.parametrize(("edits", "reported", "marked"), [(0, 1.0, 1.0), (1, 0.99, 0.94), (2, 0.98, 0.88), (3, 0.98, 0.83)])
 def test_recall_of_near_copies(spark, edits, reported, marked):
     docs, planted = near_passages(edits, edits, 300)
     df = spark.createDataFrame([(d, " ".join(w), "en", "a", 0) for d, w in enumerate(docs)], SCHEMA).repartition(3)
@@ -292,7 +292,7 @@ def test_recall_of_near_copies(spark, edits, reported, marked):
     print("edits", edits, "reported", np.mean([s > 0 for s in shares]), "words marked", np.mean(shares))
     assert np.mean([s > 0 for s in shares]) >= reported and np.mean(shares) >= marked
     assert all(removed[d] <= set(range(at - 2, at + n + 2)) for _, d, at, n in planted)  # a word beside a passage may be the same by chance
-    assert not any(removed[d] for d, _, _, _ in planted)
+    assert not any(removed[d] for d, _, _, _ in planted)  # the first copy stays whole
 
 
 def test_repeats_within_one_text(spark):
@@ -305,7 +305,7 @@ def test_repeats_within_one_text(spark):
 
 
 def test_paragraphs_with_one_key_are_told_apart(spark, monkeypatch):
-    """Keys of 3 bits: only the check tells paragraphs apart, and nothing is like anything else."""
+    """Keys of 3 bits: only the check tells paragraphs apart."""
     plain = passages.digests
     monkeypatch.setattr(passages, "digests", lambda *a: np.stack([plain(*a)[:, 0] % 8, plain(*a)[:, 1]], axis=1))
     rng = np.random.default_rng(6)
