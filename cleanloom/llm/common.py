@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+import gc
 from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 
@@ -12,10 +11,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import staging
 from ..shipping import ship
+from ..staging import drop_path
 
-_OWN: dict[str, str] = {}
-_SWEPT: set[str] = set()
 _SCRATCH: list[list[str]] = []
 ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 #: rows of whole texts in an Arrow batch, where a batch is made while a table is staged
@@ -34,46 +33,13 @@ def text_batches(spark: SparkSession, rows: int = TEXT_ROWS) -> Iterator[None]:
         spark.conf.unset(ARROW_ROWS) if old is None else spark.conf.set(ARROW_ROWS, old)
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The application's folder in what driver and executors share, spark.checkpoint.dir; it goes when the application ends.
-    Where that is unset, a local session, as in tests, has a temporary folder of our own; on a cluster, whose machines
-    would each write to their own disk, it is an error."""
-    context = spark.sparkContext
-    at = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
-    if not at:
-        if not is_local(context.master):
-            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        at = _OWN.setdefault("dir", tempfile.mkdtemp(prefix="cleanloom-"))
-    path = f"{at.rstrip('/')}/cleanloom-{context.applicationId}"
-    if path not in _SWEPT:
-        files, to = _hadoop(spark, path)
-        files.mkdirs(to)
-        files.deleteOnExit(to)  # by the driver's JVM, when it ends, whatever has become of Python
-        _SWEPT.add(path)
-    return path
-
-
-def is_local(master: str) -> bool:
-    return master.split("[")[0] == "local"
-
-
-def _hadoop(spark: SparkSession, path: str):
-    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
-
-
 def new_path(spark: SparkSession, name: str) -> str:
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = staging.new_path(spark, name)
     if _SCRATCH:
         _SCRATCH[-1].append(path)
     return path
 
 
-def drop_path(spark: SparkSession, path: str) -> None:
-    files, at = _hadoop(spark, path)
-    files.delete(at, True)
-
-
 def stage(df: DataFrame, name: str, rows: int = TEXT_ROWS) -> DataFrame:
     """Writes df as a Parquet table into the shared folder and rereads it: the lineage ends there,
     and a lost executor costs no recomputation beyond it."""
@@ -94,6 +60,13 @@ def unstage(*frames: DataFrame) -> None:
             drop_path(df.sparkSession, path)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets the driver's JVM collect what nothing refers to any more, so that Spark deletes the shuffle files of steps that are written
+    before the next ones begin; by itself it would wait for the heap to fill."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Tables staged inside are deleted at the end: for whoever has written what comes of them (to a path made before)."""

@@ -312,9 +312,12 @@ def test_shingles_of_short_texts():
 
 @pytest.mark.parametrize("step", [1, 3, 1000])
 def test_colliding_bands(step):
+    """Rows of bands with more than one key and more than one text, however batches cut them."""
     rng = np.random.default_rng(6)
-    b, k = rng.integers(0, 400, 1000), rng.integers(0, 3, 1000)
-    order = np.lexsort((k, b))
-    b, k = b[order], k[order]
-    got = [pair for r in passages._colliding(pa.RecordBatch.from_arrays([pa.array(b[i : i + step]), pa.array(k[i : i + step])], ["band", "key"]) for i in range(0, 1000, step)) for pair in zip(r["band"].to_pylist(), r["key"].to_pylist(), strict=True)]
-    assert sorted(got) == sorted({(x, y) for x, y in zip(b.tolist(), k.tolist(), strict=True) if len(set(k[b == x])) > 1})
+    b, t, k = rng.integers(0, 300, 1000), rng.integers(0, 3, 1000).astype(np.int32), rng.integers(0, 4, 1000)
+    b[:40], b[40:80], t[40:80], b[80:120], k[80:120] = 900, 901, 7, 902, 5  # a large band, one of a single text, one of a single key
+    order = np.lexsort((t, b))
+    b, t, k = b[order], t[order], k[order]
+    batches = (pa.RecordBatch.from_arrays([pa.array(x[i : i + step]) for x in (b, t, k)], ["band", "tag", "key"]) for i in range(0, 1000, step))
+    got = {pair for r in passages._colliding(batches) for pair in zip(r["band"].to_pylist(), r["key"].to_pylist(), strict=True)}
+    assert got == {(x, y) for x, y in zip(b.tolist(), k.tolist(), strict=True) if len(set(k[b == x])) > 1 and len(set(t[b == x])) > 1}
