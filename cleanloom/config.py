@@ -73,6 +73,8 @@ class Settings:
     currency: str = ""
     strict: bool = True
     day_first: bool = True
+    least_year: int = 1900
+    languages: tuple[str, ...] = ("en", "af")
     header_row: int = 1
     trim: bool = True
     standardise_nulls: bool = True
@@ -190,8 +192,9 @@ def _column_problems(at: str, c: Mapping[str, Any], siblings: Mapping, columns:
 
 
 def warnings(config: Config) -> list[str]:
-    """What is allowed but odd: dates without both bounds."""
-    return [f"{t}.{c.name}: {c.type.name} without both min_value and max_value" for t, cols in config.tables.items() for c in cols.values() if c.type.temporal and c.validation and (c.validation.min_value is None or c.validation.max_value is None)]
+    """What is allowed but odd: dates without both bounds, addresses whose delivery is asked for, which needs a network and is not checked."""
+    undelivered = [f"{t}.{c.name}: check_deliverability is not done; addresses are checked by their form" for t, cols in config.tables.items() for c in cols.values() if c.validation and c.validation.check_deliverability]
+    return undelivered + [f"{t}.{c.name}: {c.type.name} without both min_value and max_value" for t, cols in config.tables.items() for c in cols.values() if c.type.temporal and c.validation and (c.validation.min_value is None or c.validation.max_value is None)]
 
 
 def parse_config(raw: Mapping[str, Any], **options: Any) -> Config:

@@ -26,9 +26,11 @@ def to_numeric(c: Column) -> Column:
 
 
 def to_int(c: Column) -> Column:
-    """Whole numbers in full precision; fractions are cut towards zero."""
+    """Whole numbers in full precision; fractions are cut towards zero; what is beyond 64 bits is bad."""
     text = strip(c)
-    return F.when(text.rlike(NUMBER), F.coalesce(F.when(text.rlike(r"^[+-]?\d+$"), text.try_cast("bigint")), text.try_cast("double").try_cast("bigint")))
+    value = text.try_cast("double")
+    rough = F.when(F.abs(value) < 2.0**63, value.try_cast("bigint"))  # 2**63 itself, as a double, would become the largest number
+    return F.when(text.rlike(NUMBER), F.coalesce(F.when(text.rlike(r"^[+-]?\d+$"), text.try_cast("bigint")), rough))
 
 
 def to_money(c: Column, symbol: str = "") -> Column:

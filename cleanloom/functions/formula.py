@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 
 from ..errors import SchemaError
 
-FUNCTIONS: dict[str, Callable[[Column], Column]] = {k: getattr(F, k) for k in ("abs", "sqrt", "exp", "log", "log10", "log1p", "expm1", "sin", "cos", "tan", "floor", "ceil")}
+#: functions of formulas, by their number of arguments
+ONE = {k: k for k in ("abs", "sqrt", "exp", "log", "log10", "log1p", "expm1", "sin", "cos", "tan", "sinh", "cosh", "tanh", "floor", "ceil")}
+ONE |= {f"arc{k}": f"a{k}" for k in ("sin", "cos", "tan", "sinh", "cosh", "tanh")}
+FUNCTIONS: dict[str, tuple[int, Callable[..., Column]]] = {k: (1, getattr(F, f)) for k, f in ONE.items()} | {"arctan2": (2, F.atan2)}
 
 
 def divide(a: Column, b: Column) -> Column:
@@ -72,8 +75,8 @@ def compile_formula(formula: str, columns: Mapping[str, Column]) -> Column:
                         refuse(op)
                     out = one if out is None else out & one
                 return out
-            case ast.Call(func=ast.Name(id=name), args=[arg], keywords=[]) if name in FUNCTIONS:
-                return FUNCTIONS[name](walk(arg))
+            case ast.Call(func=ast.Name(id=name), args=args, keywords=[]) if name in FUNCTIONS and len(args) == FUNCTIONS[name][0]:
+                return FUNCTIONS[name][1](*map(walk, args))
         return refuse(node)
 
     return walk(tree)

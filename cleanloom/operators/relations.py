@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.strings import blank
@@ -18,12 +18,15 @@ def mark_duplicates(df: DataFrame, key: str, mark: str) -> DataFrame:
 
 
 def mark_orphans(child: DataFrame, key: str, parent: DataFrame, parent_key: str, mark: str, allow_null: bool = True) -> DataFrame:
-    """child with a column mark: whether its key is no key of parent. Null and blank pass if they are allowed."""
+    """child with a column mark: whether its key is no key of parent. Null and blank pass if they are allowed; they take no part in the
+    join, where they would all meet in one task."""
     known = parent.select(F.col(parent_key).alias("__parent")).where("__parent is not null").distinct()
     kind = dict(known.dtypes)["__parent"]
-    joined = child.join(known, child[key].cast(kind) == known["__parent"], "left") if dict(child.dtypes)[key] != kind else child.join(known, child[key] == known["__parent"], "left")
-    missing = child[key].isNull() | blank(child[key].cast("string"))
-    return joined.withColumn(mark, F.col("__parent").isNull() & ~(missing if allow_null else F.lit(False))).drop("__parent")
+    own = child[key] if dict(child.dtypes)[key] == kind else child[key].cast(kind)
+    missing = F.coalesce(blank(child[key].cast("string")), F.lit(True))
+    asked = child.where(~missing)
+    joined = asked.join(known, own == known["__parent"], "left").withColumn(mark, F.col("__parent").isNull()).drop("__parent")
+    return joined.unionByName(child.where(missing).withColumn(mark, F.lit(not allow_null)))
 
 
 def orphans(child: DataFrame, key: str, parent: DataFrame, parent_key: str, allow_null: bool = True) -> DataFrame:
@@ -32,7 +35,3 @@ def orphans(child: DataFrame, key: str, parent: DataFrame, parent_key: str, allo
         child = child.where(child[key].isNotNull() & ~blank(child[key].cast("string")))
     known = parent.select(F.col(parent_key).alias("__parent")).where("__parent is not null")
     return child.join(known, child[key] == known["__parent"], "left_anti")
-
-
-def unique_or_null(mark: Column) -> Column:
-    return ~F.coalesce(mark, F.lit(False))

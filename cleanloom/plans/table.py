@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from ..config import ColumnConfig, Settings
 from ..errors import CleanerError, ExtractorError, ValidatorError, Where
-from ..functions import cleaners, datetimes
+from ..functions import cleaners
+from ..functions.datetimes import Dates, with_dates
 from ..functions.formula import derived
 from ..functions.strings import NA_CELLS, NULL_WORDS, map_values, null_if, phone_e164, strip
 from ..operators.audit import changes, null_counts, null_pivot
@@ -38,12 +39,6 @@ def cast(c: Column, config: ColumnConfig, s: Settings) -> Column:
             return cleaners.to_binary(c)
         case "image":
             return cleaners.to_image(c)
-        case "date":
-            return datetimes.parse_date(c, s.day_first)
-        case "datetime":
-            return datetimes.parse_datetime(c, s.day_first)
-        case "time":
-            return datetimes.parse_time(c)
     return cleaners.to_str(c, config.case)
 
 
@@ -101,7 +96,7 @@ class TablePlan:
             if self.columns[c].required or self.columns[c].primary_key:
                 v = self.columns[c].validation
                 level = "fail" if self.columns[c].must_have_value else severity(v.on_error if v else None)
-                out = out.union(spark.createDataFrame([(self.name, c, None, level, "required", "Required column missing")], out.schema))
+                out = out.union(spark.createDataFrame([(self.name, c, None, level, "required", "no source column has this name")], out.schema))
         return out
 
     def severity_counts(self) -> DataFrame:
@@ -197,7 +192,9 @@ def plan_table(df: DataFrame, name: str, columns: Mapping[str, ColumnConfig], s:
     empty = F.lit(s.remove_blank_rows)
     for c in raw:
         empty = empty & F.col(c).isNull()
-    out = out.select("*", empty.alias("__blank"), *(cast(F.col(c), columns[c], s).alias(f"__pre_{c}") for c in columns))
+    dated = {c: (c, k.type.family) for c, k in columns.items() if k.type.family in ("date", "datetime", "time")}
+    out = with_dates(out, {f"__pre_{c}": v for c, v in dated.items()}, Dates(s.day_first, s.least_year, s.languages), closed=True)
+    out = out.select("*", empty.alias("__blank"), *(cast(F.col(c), columns[c], s).alias(f"__pre_{c}") for c in columns if c not in dated))
     out = out.select("*", *(_transformed(c, columns, raw).alias(f"{c.name}{s.suffix}") for c in columns.values()))
 
     unique: dict[str, Column] = {}
@@ -240,12 +237,12 @@ def foreign_key_issues(plans: Mapping[str, TablePlan]) -> DataFrame | None:
             level = severity(c.validation.on_error if c.validation else None)
             fields = "table string, column string, row bigint, severity string, rule string, message string"
             if table not in plans or column not in plans[table].raw:
-                what = f"Foreign key table {table} does not exist" if table not in plans else f"Foreign key column {column} does not exist in table {table}"
+                what = f"there is no table {table} to refer to" if table not in plans else f"table {table} has no column {column} to refer to"
                 found = plan.df.sparkSession.createDataFrame([(plan.name, c.name, None, level, "foreign_key", what)], fields)
             else:
                 parent = plans[table]
                 child = plan.rows().select(ROW, plan.cleaned(c.name))
-                found = orphans(child, plan.cleaned(c.name), parent.rows(), parent.cleaned(column), c.allow_null).select(F.lit(plan.name).alias("table"), F.lit(c.name).alias("column"), plan.row_number.alias("row"), F.lit(level).alias("severity"), F.lit("foreign_key").alias("rule"), F.lit("Invalid foreign key values").alias("message"))
+                found = orphans(child, plan.cleaned(c.name), parent.rows(), parent.cleaned(column), c.allow_null).select(F.lit(plan.name).alias("table"), F.lit(c.name).alias("column"), plan.row_number.alias("row"), F.lit(level).alias("severity"), F.lit("foreign_key").alias("rule"), F.lit("no row of the other table has this key").alias("message"))
             out = found if out is None else out.unionByName(found)
     return out
 

@@ -7,18 +7,25 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .config import Config, parse_config
-from .functions import cleaners, datetimes, strings
-from .functions.formula import derived
+from .config import Config, parse_config, problems
+from .errors import PipelineError
+from .functions import cleaners, strings
+from .functions.datetimes import with_dates
+from .functions.formula import compile_formula, derived
 from .operators import rules
 from .operators.audit import null_pivot
 from .operators.relations import mark_duplicates, mark_orphans, orphans
 from .plans.engine import RunResult, run
 from .plans.table import ROW, TablePlan, plan_table, summary
+from .sources import sinks
+from .sources.spreadsheet import read_sheet
+from .sources.tables import read_csv, with_ordinal
+from .staging import new_path
 from .types import parse_type
 
 RUN_DATE = dt.date(2026, 1, 31)
@@ -162,7 +169,7 @@ def cast_image(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"SELECT o_orderkey, {ORDER_DATE} AS value FROM {spoiled_sql('orders')}")
 def parse_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spoiled(spark, sf_dir, "orders").select("o_orderkey", datetimes.parse_date(F.col("date")).cast("date").alias("value"))
+    return spoiled(spark, sf_dir, "orders").transform(with_dates, {"value": ("date", "date")}).select("o_orderkey", F.col("value").cast("date"))
 
 
 EVENT_AT = "coalesce(try_strptime({0}, '%Y-%d-%m %H:%M:%S'), try_strptime({0}, '%Y-%m-%d %H:%M:%S'), try_strptime({0}, '%Y-%d-%m %H:%M'), try_strptime({0}, '%Y-%m-%d %H:%M'), try_strptime({0}, '%Y-%d-%m %I:%M %p'), try_strptime({0}, '%Y-%m-%d %I:%M %p'), try_strptime({0}, '%Y-%d-%m'), try_strptime({0}, '%Y-%m-%d'))"
@@ -170,7 +177,7 @@ EVENT_AT = "coalesce(try_strptime({0}, '%Y-%d-%m %H:%M:%S'), try_strptime({0}, '
 
 @query(f"SELECT event_id, strftime({EVENT_AT.format("replace(stamp, 'T', ' ')")}, '%Y-%m-%d %H:%M:%S') AS value FROM {spoiled_sql('events')}")
 def parse_datetime(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spoiled(spark, sf_dir, "events").select("event_id", datetimes.parse_datetime(F.col("stamp")).cast("string").alias("value"))
+    return spoiled(spark, sf_dir, "events").transform(with_dates, {"value": ("stamp", "datetime")}).select("event_id", F.col("value").cast("string"))
 
 
 EVENT_TIME = "coalesce(try_strptime({0}, '%H:%M:%S'), try_strptime({0}, '%H:%M'), try_strptime({0}, '%I:%M %p'), try_strptime({0}, '%I:%M%p'))"
@@ -178,7 +185,7 @@ EVENT_TIME = "coalesce(try_strptime({0}, '%H:%M:%S'), try_strptime({0}, '%H:%M')
 
 @query(f"SELECT event_id, '1900-01-01 ' || strftime({EVENT_TIME.format('time')}, '%H:%M:%S') AS value FROM {spoiled_sql('events')}")
 def parse_time(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spoiled(spark, sf_dir, "events").select("event_id", datetimes.parse_time(F.col("time")).cast("string").alias("value"))
+    return spoiled(spark, sf_dir, "events").transform(with_dates, {"value": ("time", "time")}).select("event_id", F.col("value").cast("string"))
 
 
 STATUSES = {"completed": ["F"], "pending": ["O"], "cancelled": ["P"]}
@@ -208,12 +215,6 @@ def derived_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select("l_orderkey", "l_linenumber", one("l_extendedprice * (1 - d)", "l_extendedprice", "d").alias("total"), one("l_quantity % 7", "l_quantity").alias("rest"), one("l_quantity // 7", "l_quantity").cast("double").alias("whole"), ratio.alias("ratio"))
 
 
-@query(f"SELECT c_custkey, name FROM {spoiled_sql('customer')} WHERE name IS NULL OR trim(name) = ''")
-def not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = spoiled(spark, sf_dir, "customer")
-    return df.where(F.col("name").isNull() | strings.blank(F.col("name"))).select("c_custkey", "name")
-
-
 @query("SELECT doc_id, text IS NOT NULL AND count(*) OVER (PARTITION BY text) > 1 AS duplicate FROM documents")
 def pk_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mark_duplicates(table(spark, sf_dir, "documents"), "text", "duplicate").select("doc_id", "duplicate")
@@ -240,8 +241,8 @@ def email_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"SELECT o_orderkey, v IS NULL OR (v >= DATE '1996-03-01' AND v <= DATE '1998-06-30') AS nullable, coalesce(v >= DATE '1996-03-01', false) AS required FROM (SELECT o_orderkey, {ORDER_DATE} AS v FROM {spoiled_sql('orders')})")
 def date_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v = datetimes.parse_date(F.col("date"))
-    return spoiled(spark, sf_dir, "orders").select("o_orderkey", rules.in_date_range(v, "1996-03-01", "1998-06-30", True, RUN_DATE).alias("nullable"), rules.in_date_range(v, "1996-03-01", None, False, RUN_DATE).alias("required"))
+    v = F.col("value")
+    return spoiled(spark, sf_dir, "orders").transform(with_dates, {"value": ("date", "date")}).select("o_orderkey", rules.in_date_range(v, "1996-03-01", "1998-06-30", True, RUN_DATE).alias("nullable"), rules.in_date_range(v, "1996-03-01", None, False, RUN_DATE).alias("required"))
 
 
 @query(f"SELECT o_orderkey, v IS NULL OR (v >= 1000 AND v <= 200000) AS nullable, coalesce(v >= 1000, false) AS required FROM (SELECT o_orderkey, {MONEY.format('total')} AS v FROM {spoiled_sql('orders')})")
@@ -262,7 +263,28 @@ SHIPPED = SPOILED["orders"][1]["date"].replace("o_orderkey", "l_orderkey").repla
 
 @query(f"SELECT l_orderkey, l_linenumber, {ORDER_DATE} AS value FROM (SELECT l_orderkey, l_linenumber, {SHIPPED} AS date FROM lineitem)")
 def parse_date_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", datetimes.parse_date(F.expr(SHIPPED)).cast("date").alias("value"))
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.expr(SHIPPED).alias("date"))
+    return with_dates(lines, {"value": ("date", "date")}).select("l_orderkey", "l_linenumber", F.col("value").cast("date"))
+
+
+DAY, MONTH, YEAR = (f"substr(CAST(o_orderdate AS STRING), {a}, {n})" for a, n in ((9, 2), (6, 2), (1, 4)))
+SHORT = f"substr('JanFebMarAprMayJunJulAugSepOctNovDec', 3 * CAST({MONTH} AS INT) - 2, 3)"
+LONG = f"trim(substr('January  February March    April    May      June     July     August   SeptemberOctober  November December ', 9 * CAST({MONTH} AS INT) - 8, 9))"
+WORDS = (
+    f"CASE o_orderkey % 12 WHEN 0 THEN 'Fri ' || {DAY} || ' ' || {SHORT} || ' ' || {YEAR} WHEN 1 THEN {DAY} || 'th ' || {LONG} || ' ' || {YEAR}"
+    f" WHEN 2 THEN {LONG} || ' ' || {DAY} || 'th, ' || {YEAR} WHEN 3 THEN {DAY} || ' ' || {SHORT} || '. ' || {YEAR}"
+    f" WHEN 4 THEN {DAY} || ' ' || {SHORT} || ' ' || {YEAR} || ' 10h30' WHEN 5 THEN {DAY} || ' ' || {LONG} || ' ' || {YEAR} || ' 10:00 EST'"
+    f" WHEN 6 THEN 'Tuesday, ' || {DAY} || ' ' || {LONG} || ' ' || {YEAR} WHEN 7 THEN {SHORT} || ' ' || {DAY} || ' ' || {YEAR} || ' 10:30 pm'"
+    f" WHEN 8 THEN '32nd ' || {SHORT} || ' ' || {YEAR} WHEN 9 THEN {DAY} || ' of ' || {LONG} || ' ' || {YEAR} || ' 10 pm'"
+    f" WHEN 10 THEN {YEAR} || ' ' || {SHORT} || ' ' || {DAY} || ' 10:00 +02:00' ELSE 'Thu ' || {SHORT} || ' ' || {DAY} || ' 10:30:15 ' || {YEAR} END"
+)
+AT = "CASE o_orderkey % 12 WHEN 4 THEN ' 10:30:00' WHEN 5 THEN ' 10:00:00' WHEN 7 THEN ' 22:30:00' WHEN 8 THEN NULL WHEN 9 THEN ' 22:00:00' WHEN 10 THEN ' 08:00:00' WHEN 11 THEN ' 10:30:15' ELSE ' 00:00:00' END"
+
+
+@query(f"SELECT o_orderkey, {YEAR} || '-' || {MONTH} || '-' || {DAY} || {AT} AS value FROM orders")
+def parse_date_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = table(spark, sf_dir, "orders").select("o_orderkey", F.expr(WORDS).alias("words"))
+    return with_dates(words, {"value": ("words", "datetime")}).select("o_orderkey", F.col("value").cast("string"))
 
 
 STRAY = "CASE WHEN l_linenumber = 3 AND l_orderkey % 50 = 0 THEN -l_orderkey ELSE l_orderkey END"
@@ -333,9 +355,9 @@ ORDER_PLAN = f"""(SELECT o_orderkey, customer, try_cast(customer AS BIGINT) AS c
 DATE_BROKEN = "order_date IS NOT NULL AND (order_date < DATE '1996-03-01' OR order_date > DATE '2026-01-31')"
 AMOUNT_BROKEN = "amount IS NULL OR amount < 1000 OR amount > 400000"
 ISSUES = f"""(
-  SELECT 'order_id' AS col, o_orderkey + 2 AS rownum, 'fail' AS severity, 'numeric_range' AS rulename FROM {ORDER_PLAN} WHERE o_orderkey < 100
-  UNION ALL SELECT 'order_date', o_orderkey + 2, 'drop', 'date_range' FROM {ORDER_PLAN} WHERE {DATE_BROKEN}
-  UNION ALL SELECT 'total', o_orderkey + 2, 'fail', 'numeric_range' FROM {ORDER_PLAN} WHERE {AMOUNT_BROKEN})"""
+  SELECT 'order_id' AS col, o_orderkey + 2 AS rownum, 'fail' AS severity, 'numeric_range' AS rulename, 'not between 100 and None' AS message FROM {ORDER_PLAN} WHERE o_orderkey < 100
+  UNION ALL SELECT 'order_date', o_orderkey + 2, 'drop', 'date_range', 'not between 1996-03-01 and today' FROM {ORDER_PLAN} WHERE {DATE_BROKEN}
+  UNION ALL SELECT 'total', o_orderkey + 2, 'fail', 'numeric_range', 'not between 1000 and 400000' FROM {ORDER_PLAN} WHERE {AMOUNT_BROKEN})"""
 
 
 @query(f"SELECT o_orderkey FROM {ORDER_PLAN} WHERE NOT coalesce({DATE_BROKEN}, false)")
@@ -345,7 +367,7 @@ def drop_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"SELECT * FROM {ISSUES}")
 def issues(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _orders(spark, sf_dir).issues().select(F.col("column").alias("col"), F.col("row").alias("rownum"), "severity", F.col("rule").alias("rulename"))
+    return _orders(spark, sf_dir).issues().select(F.col("column").alias("col"), F.col("row").alias("rownum"), "severity", F.col("rule").alias("rulename"), "message")
 
 
 @query(f"SELECT col, rulename, severity, count(*) AS n, array_to_string((array_agg(rownum ORDER BY rownum))[1:20], ',') AS first_rows FROM {ISSUES} GROUP BY ALL")
@@ -375,13 +397,6 @@ def null_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return null_pivot(_orders(spark, sf_dir).null_stats())
 
 
-@query(f"""SELECT 'order_status' AS col, o_orderkey + 2 AS rownum, status AS old, order_status AS new FROM {ORDER_PLAN} WHERE status IS DISTINCT FROM order_status
-UNION ALL SELECT 'order_date', o_orderkey + 2, date, CAST(order_date AS VARCHAR) FROM {ORDER_PLAN} WHERE date IS DISTINCT FROM CAST(order_date AS VARCHAR)""")
-def audit_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = _orders(spark, sf_dir).audit()
-    return found.where(F.col("column").isin("order_status", "order_date")).select(F.col("column").alias("col"), F.col("row").alias("rownum"), "old", "new")
-
-
 def _audit_sql(name: str, old: str, new: str) -> str:
     """Changes of a number: old text and new value differ as numbers, or there is no new value."""
     text = f"CASE WHEN {new} = floor({new}) THEN CAST(CAST({new} AS BIGINT) AS VARCHAR) ELSE CAST({new} AS VARCHAR) END"
@@ -389,11 +404,14 @@ def _audit_sql(name: str, old: str, new: str) -> str:
     return f"SELECT '{name}' AS col, o_orderkey + 2 AS rownum, {old} AS old, {text} AS new FROM {ORDER_PLAN} p WHERE {differs}"
 
 
-@query(" UNION ALL ".join([_audit_sql("order_id", "CAST(o_orderkey AS VARCHAR)", "o_orderkey"), _audit_sql("customer_id", "p.customer", "p.customer_id"), _audit_sql("total", "p.total", "p.amount"), _audit_sql("net", "'0'", "(p.amount / 2)")]))
-def audit_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The columns that audit_changes leaves."""
-    found = _orders(spark, sf_dir).audit()
-    return found.where(~F.col("column").isin("order_status", "order_date")).select(F.col("column").alias("col"), F.col("row").alias("rownum"), "old", "new")
+AUDIT_DATE = f"SELECT 'order_date' AS col, o_orderkey + 2 AS rownum, date AS old, CAST(order_date AS VARCHAR) AS new FROM {ORDER_PLAN} WHERE date IS DISTINCT FROM CAST(order_date AS VARCHAR)"
+AUDIT_NUMBERS = [_audit_sql("order_id", "CAST(o_orderkey AS VARCHAR)", "o_orderkey"), _audit_sql("customer_id", "p.customer", "p.customer_id"), _audit_sql("total", "p.total", "p.amount")]
+AUDIT_STATUS = f"SELECT 'order_status', o_orderkey + 2, status, order_status FROM {ORDER_PLAN} WHERE status IS DISTINCT FROM order_status"
+
+
+@query(" UNION ALL ".join([AUDIT_DATE, AUDIT_STATUS, *AUDIT_NUMBERS, _audit_sql("net", "'0'", "(p.amount / 2)")]))
+def audit_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _orders(spark, sf_dir).audit().select(F.col("column").alias("col"), F.col("row").alias("rownum"), "old", "new")
 
 
 @query(f"SELECT CAST(o_orderkey AS VARCHAR) AS order_id, customer AS customer_id, status AS order_status, total, date AS order_date, '0' AS net, o_orderkey AS order_id_cleaned, p.customer_id AS customer_id_cleaned, p.order_date AS order_date_cleaned, p.order_status AS order_status_cleaned, amount AS total_cleaned, amount / 2 AS net_cleaned FROM {ORDER_PLAN} p WHERE NOT coalesce(p.order_date IS NOT NULL AND (p.order_date < DATE '1996-03-01' OR p.order_date > DATE '2026-01-31'), false)")
@@ -424,11 +442,12 @@ def not_computable(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _orders(spark, sf_dir).not_computable().select(F.col("row").alias("rownum"))
 
 
-@query(f"""SELECT p.o_orderkey + 2 AS rownum FROM {ORDER_PLAN} p
+@query(f"""SELECT p.o_orderkey + 2 AS rownum, 'orders' AS tbl, 'customer_id' AS col, 'fail' AS severity, 'foreign_key' AS rulename, 'no row of the other table has this key' AS message FROM {ORDER_PLAN} p
 WHERE NOT coalesce(p.order_date IS NOT NULL AND (p.order_date < DATE '1996-03-01' OR p.order_date > DATE '2026-01-31'), false)
 AND NOT EXISTS (SELECT 1 FROM {spoiled_sql('customer')} c WHERE c.c_custkey = p.customer_id AND coalesce(c.balance IS NULL OR {MONEY.format('c.balance')} IS NULL OR {MONEY.format('c.balance')} >= 0, true))""")
 def fk_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _run(spark, sf_dir).foreign_keys.select(F.col("row").alias("rownum"))
+    found = _run(spark, sf_dir).foreign_keys
+    return found.select(F.col("row").alias("rownum"), F.col("table").alias("tbl"), F.col("column").alias("col"), "severity", F.col("rule").alias("rulename"), "message")
 
 
 @query(f"SELECT severity, CAST(CASE WHEN severity = 'drop' THEN count(DISTINCT rownum) ELSE count(*) END AS BIGINT) AS n FROM {ISSUES} GROUP BY severity")
@@ -469,12 +488,13 @@ def source_rename(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.df.select(plan.row_number.alias("rownum"), "country", "n_regionkey", "continent")
 
 
-@query(f"""SELECT 'order_date' AS col, o_orderkey + 2 AS rownum, date AS old, CAST(order_date AS VARCHAR) AS new FROM {ORDER_PLAN} WHERE date IS DISTINCT FROM CAST(order_date AS VARCHAR)
-UNION ALL SELECT 'order_status', o_orderkey + 2, raw, trim(raw) FROM (SELECT o_orderkey, status AS raw FROM {spoiled_sql('orders')}) WHERE raw <> trim(raw)""")
+AUDIT_TRIM = f"SELECT 'order_status', o_orderkey + 2, raw, trim(raw) FROM (SELECT o_orderkey, status AS raw FROM {spoiled_sql('orders')}) WHERE raw <> trim(raw)"
+
+
+@query(" UNION ALL ".join([AUDIT_DATE, AUDIT_TRIM, *AUDIT_NUMBERS]))
 def audit_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What casts alone changed, against the cells as they were read."""
-    found = _orders(spark, sf_dir).audit("source", "cleaned")
-    return found.where(F.col("column").isin("order_status", "order_date")).select(F.col("column").alias("col"), F.col("row").alias("rownum"), "old", "new")
+    return _orders(spark, sf_dir).audit("source", "cleaned").select(F.col("column").alias("col"), F.col("row").alias("rownum"), "old", "new")
 
 
 @query(rf"SELECT c_custkey, name IS NOT NULL AS not_null, CASE WHEN name IS NOT NULL THEN trim(name) <> '' END AS not_empty, coalesce(regexp_full_match(trim(email), '[A-Za-z0-9!#$%&''*+/=?^_`{{|}}~-]+(\.[A-Za-z0-9!#$%&''*+/=?^_`{{|}}~-]+)*@([A-Za-z0-9]([A-Za-z0-9-]{{0,61}}[A-Za-z0-9])?\.)+[A-Za-z]{{2,63}}'), false) AS strict_email FROM {spoiled_sql('customer')}")
@@ -483,6 +503,165 @@ def null_empty_email(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spoiled(spark, sf_dir, "customer").select("c_custkey", rules.null_allowed(name, False).alias("not_null"), rules.empty_allowed(name, False).alias("not_empty"), rules.is_email(F.col("email"), strict=True).alias("strict_email"))
 
 
+@query(f"SELECT c_custkey, name, 'fail' AS severity FROM {spoiled_sql('customer')} WHERE name IS NULL OR trim(name) = ''")
+def not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    config = configured({"t": {"name": column("varchar(50)", False, "name", validation={"on_error": "warn"}), "key": column("int", False, "c_custkey", primary_key=True)}})
+    rule = next(r for r in rules.column_rules(config.tables["t"]["name"], F.col("name"), F.col("name"), config.settings) if r.name == "not_null")
+    return spoiled(spark, sf_dir, "customer").where(~rule.valid).select("c_custkey", "name", F.lit(rule.severity).alias("severity"))
+
+
+def _values(columns: str, rows: list[tuple]) -> str:
+    """SQL for some rows of text, numbers and nulls."""
+    cell = lambda x: "NULL" if x is None else str(x) if isinstance(x, int) else "'" + x.replace("'", "''") + "'"
+    return f"SELECT * FROM (VALUES {', '.join('(' + ', '.join(map(cell, r)) + ')' for r in rows)}) AS t({columns})"
+
+
+AWKWARD = "CASE s_suppkey % 4 WHEN 0 THEN 'a,\"b\"; c' WHEN 1 THEN 'two' || chr(10) || 'lines' WHEN 2 THEN NULL ELSE s_name END"
+
+
+@query(f"SELECT CAST(s_suppkey AS VARCHAR) AS s_suppkey, {AWKWARD} AS name, CASE WHEN s_acctbal = floor(s_acctbal) THEN CAST(CAST(s_acctbal AS BIGINT) AS VARCHAR) ELSE CAST(s_acctbal AS VARCHAR) END AS balance FROM supplier")
+def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table written as CSV, with quotes, line breaks and nulls, and read again as text."""
+    folder = new_path(spark, "csv")
+    sinks.write_csv({"t": table(spark, sf_dir, "supplier").select("s_suppkey", F.expr(AWKWARD).alias("name"), F.col("s_acctbal").alias("balance"))}, folder)
+    return read_csv(spark, f"{folder}/t").drop(ROW)
+
+
+@query("""SELECT 'nation' AS sheet, n_nationkey AS rownum, CAST(n_nationkey AS VARCHAR) AS a, n_name AS b FROM nation
+UNION ALL SELECT 'regions under a name that is cut', r_regionkey + 1, CAST(r_regionkey AS VARCHAR), r_name FROM region
+UNION ALL SELECT 'regions under a name that is cut', 0, 'r_regionkey', 'r_name'""")
+def workbook_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two tables written as sheets of a workbook, and read again: one with its header, one without."""
+    long = "regions under a name that is cut off at 31 characters"
+    nation, region = (table(spark, sf_dir, t).select(f"{t[0]}_{t}key", f"{t[0]}_name").orderBy(f"{t[0]}_{t}key") for t in ("nation", "region"))
+    path = sinks.write_excel({"nation": nation, long: region}, new_path(spark, "workbook"), "book.xlsx")
+    first = read_sheet(spark, path, "nation").select(F.lit("nation").alias("sheet"), F.col(ROW).alias("rownum"), F.col("n_nationkey").alias("a"), F.col("n_name").alias("b"))
+    second = read_sheet(spark, path, long[:31], 0).select(F.lit(long[:32]).alias("sheet"), F.col(ROW).alias("rownum"), F.col("0").alias("a"), F.col("1").alias("b"))
+    return first.unionByName(second)
+
+
+@query("SELECT kind, CAST(r_regionkey AS VARCHAR) AS r_regionkey, r_name FROM region CROSS JOIN (VALUES ('csv'), ('excel'), ('parquet')) AS k(kind)")
+def load_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One table through three sinks at once, each read again."""
+    folder, config = new_path(spark, "load"), configured({"t": {"k": column("int", False, "k", primary_key=True)}})
+    out = sinks.load({"t": table(spark, sf_dir, "region").select("r_regionkey", "r_name")}, ["csv", "parquet", "excel"], folder, config)
+    back = {"csv": read_csv(spark, f"{folder}/csv/t"), "parquet": spark.read.parquet(f"{folder}/parquet/t"), "excel": read_sheet(spark, out["excel"], "t")}
+    return reduce(DataFrame.unionByName, (df.select(F.lit(k).alias("kind"), F.col("r_regionkey").cast("string"), "r_name") for k, df in back.items()))
+
+
+@query("SELECT l_orderkey, l_linenumber, row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity) - 1 AS rownum FROM lineitem")
+def ordinals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity"]
+    return with_ordinal(table(spark, sf_dir, "lineitem").select(*keys), keys, "rownum").select("l_orderkey", "l_linenumber", "rownum")
+
+
+TYPES = [
+    ("varchar(50)", "string", 50, "needs length, bytes"), ("NVARCHAR(5)", "string", 5, "needs length"), ("text", "string", None, ""), ("ntext", "string", None, ""), ("tinyint", "int", None, "number"), ("bigint", "int", None, "number"),
+    ("decimal(10, 2)", "numeric", 10, "number"), ("real", "numeric", None, "number"), ("smallmoney", "money", None, "number"), ("bit", "bit", None, ""), ("date", "date", None, "date"), ("datetime", "datetime", None, "date"),
+    ("time", "time", None, ""), ("varbinary", "binary", None, ""), ("image", "image", None, ""), ("json", None, None, ""),
+]
+
+
+@query(_values("declared, family, length, traits", TYPES))
+def type_families(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each declared type is taken for."""
+
+    def traits(name: str) -> str:
+        t = parse_type(name)
+        return ", ".join(k for k, v in (("number", t.numeric), ("date", t.temporal), ("needs length", t.needs_length), ("bytes", t.in_bytes)) if v)
+
+    return spark.createDataFrame([(n, (t := parse_type(n)).family, t.length, traits(n)) for n, *_ in TYPES], "declared string, family string, length int, traits string")
+
+
+BROKEN_CONFIG = {
+    "source": {"type": "excel", "file": "book.xlsx", "header_row": -1},
+    "target": {"db_type": "mssql", "driver": "-", "server": "-", "database": "-", "schema": "dbo", "authentication": {}},
+    "cleaning": {"trim_whitespace": True, "standardise_nulls": True},
+    "mappings": {"a": {"sheet_name": "A", "target_table": "a"}, "c": {"sheet_name": "C"}},
+    "columns": {
+        "a": {
+            "k": {"source_column": "k", "data_type": "varchar", "allow_null": False, "primary_key": "yes", "foreign_key": "b.other"},
+            "x": {"source_column": "x", "data_type": "json", "allow_null": True, "foreign_key": "plain", "value_mapping": {"yes": None}},
+            "y": {"source_column": "y", "data_type": "money", "validation": {"derived_from": {"formula": "k + z", "depends_on": ["k", "z"]}}},
+        },
+        "b": {"p": {"source_column": "p", "data_type": "varchar(9)", "allow_null": True, "foreign_key": "d.k", "validation": {"format": "E.164", "allow_local": "true"}}},
+    },
+}
+PROBLEMS = [
+    "Section runtime is missing", "source: header_row must be 0 (no header) or positive", "target.authentication: type is missing", "cleaning: remove_blank_rows is missing", "mappings.c: target_table is missing", "mappings.c: the table has no columns",
+    "columns.b: the table has a foreign key but no mapping", "a.k: varchar needs a length above 0", "a.k: the foreign key's column other does not exist in b", "a.x: mssql has no data type json", "a.x: value mapping yes has no values",
+    "a.x: the foreign key plain is not table.column", "a.y: z, which its formula depends on, is missing", "a.y: allow_null is missing", "b.p: local numbers need a dialling prefix that starts with +", "b.p: the foreign key's table d does not exist", "b: no primary key",
+]
+
+
+@query(_values("problem", [(x,) for x in PROBLEMS]))
+def config_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All that is wrong with a configuration, in one go."""
+    return spark.createDataFrame([(x,) for x in problems(BROKEN_CONFIG)], "problem string")
+
+
+STRICT = {"order_id": column("int", False, "o_orderkey", primary_key=True), "order_date": column("date", True, "date", validation={"min_value": "1996-03-01"}), "total": column("money", True, "total", validation={"min_value": 1000})}
+
+
+@query(f"""SELECT 'columns' AS kind, 'ExtractorError' AS error, 'extract' AS stage, CAST(NULL AS VARCHAR) AS col, CAST(NULL AS BIGINT) AS rownum
+UNION ALL SELECT 'casts', 'CleanerError', 'clean', 'order_date', min(o_orderkey) + 2 FROM {ORDER_PLAN} WHERE trim(date) <> '' AND order_date IS NULL
+UNION ALL SELECT 'rules', 'ValidatorError', 'validate', NULL, NULL
+UNION ALL SELECT 'keys', 'SchemaError', 'schema', NULL, NULL""")
+def strict_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What strict mode raises: at an undeclared column, a value that is not of its type (with its first row), a broken rule of
+    severity fail, a configuration with problems."""
+    config = configured({"t": STRICT}, strict=True)
+    cells = spoiled(spark, sf_dir, "orders").withColumn(ROW, F.col("o_orderkey")).select(ROW, "o_orderkey", "date", "total")
+    plan = plan_table(cells, "t", config.tables["t"], config.settings)
+    tries = {"columns": lambda: plan_table(cells.withColumn("more", F.lit(1)), "t", config.tables["t"], config.settings), "casts": plan.check_casts, "rules": plan.check_issues, "keys": lambda: parse_config(BROKEN_CONFIG)}
+    rows = []
+    for kind, attempt in tries.items():
+        try:
+            attempt()
+        except PipelineError as e:
+            rows.append((kind, type(e).__name__, str(e.stage), e.where.column, e.where.rows[0] if e.where.rows else None))
+    return spark.createDataFrame(rows, "kind string, error string, stage string, col string, rownum long")
+
+
+@query("SELECT 'continent' AS col, 'fail' AS severity, 'required' AS rulename, 'no source column has this name' AS message, CAST(count(*) AS BIGINT) AS nulls FROM nation")
+def required_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A required column that no source has: an issue, and null in every row."""
+    cols = {"k": column("int", False, "n_nationkey", primary_key=True), "country": column("varchar(25)", False, "n_name"), "continent": column("varchar(9)", False, "continent", required=True, validation={})}
+    config = configured({"t": cols})
+    plan = plan_table(table(spark, sf_dir, "nation").withColumn(ROW, F.col("n_nationkey").cast("long")), "t", config.tables["t"], config.settings)
+    nulls = plan.rows().agg(F.count_if(F.col("continent").isNull()).alias("nulls"))
+    return plan.issues().where("rule = 'required'").select(F.col("column").alias("col"), "severity", F.col("rule").alias("rulename"), "message").crossJoin(F.broadcast(nulls))  # one row
+
+
+DDL = """CREATE TABLE [dbo].[orders] (
+  [order_id] int NOT NULL,
+  [customer_id] int NOT NULL,
+  [order_date] date NULL,
+  [order_status] varchar(10) NULL,
+  [total] money NOT NULL,
+  [net] money NULL,
+  PRIMARY KEY ([order_id]),
+  FOREIGN KEY ([customer_id]) REFERENCES [dbo].[customers] ([customer_id])
+)"""
+
+
+@query(_values("tbl, statement", [("orders", DDL)]))
+def sql_ddl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    config = configured({"customers": CUSTOMERS, "orders": ORDERS})
+    return spark.createDataFrame([("orders", sinks.ddl("orders", config.tables["orders"]))], "tbl string, statement string")
+
+
+DEPTH = "(l_discount - 0.05)"
+FORMULAS = {"angle": f"arctan2({DEPTH}, l_tax + 1)", "hyper": f"tanh({DEPTH}) + sinh({DEPTH}) * cosh(l_tax)", "arc": f"arcsin({DEPTH}) + arccos(l_tax) + arctan(l_quantity)"}
+
+
+@query(f"SELECT l_orderkey, l_linenumber, {', '.join(f'round({f.replace("arc", "a")}, 9) AS {n}' for n, f in FORMULAS.items())} FROM lineitem")
+def formula_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = table(spark, sf_dir, "lineitem")
+    names = {c: F.col(c) for c in df.columns}
+    return df.select("l_orderkey", "l_linenumber", *(F.round(compile_formula(f, names), 9).alias(n) for n, f in FORMULAS.items()))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

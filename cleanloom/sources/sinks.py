@@ -50,8 +50,7 @@ def cleaned_name(path: str) -> str:
 
 
 def write_excel(tables: Mapping[str, DataFrame], folder: str, source_file: str) -> str:
-    os.makedirs(folder, exist_ok=True)
-    path = os.path.join(folder, cleaned_name(source_file))
+    path = f"{folder.rstrip('/')}/{cleaned_name(source_file)}"
     write_workbook({k: _printable(df) for k, df in tables.items()}, path)
     return path
 

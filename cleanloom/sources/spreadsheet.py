@@ -1,5 +1,5 @@
-"""XLSX workbooks, read through Spark's binaryFile source (so from any file system Spark knows) and written with the
-standard library. A sheet has 1,048,576 rows at most, so one task per workbook is enough; cells come out as text.
+"""XLSX workbooks, read through Spark's binaryFile source and written through Hadoop's file systems (so from and to any that Spark
+knows), with the standard library. A sheet has 1,048,576 rows at most, so one task per workbook is enough; cells come out as text.
 """
 
 from __future__ import annotations
@@ -7,17 +7,20 @@ from __future__ import annotations
 import datetime as dt
 import io
 import re
+import tempfile
 import zipfile
 from collections.abc import Iterable, Iterator
 from xml.etree import ElementTree as ET
 from xml.sax.saxutils import escape
 
 import pyarrow as pa
+from pyspark.errors import PythonException
 from pyspark.sql import DataFrame, SparkSession
 
 from ..errors import ExtractorError, LoaderError, Where
 from ..plans.table import ROW
 from ..shipping import ship
+from ..staging import hadoop
 
 MAX_ROWS, MAX_NAME, BATCH = 1_048_576, 31, 4096
 _MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
@@ -121,10 +124,19 @@ def _header(book: Workbook, sheet: str, header_row: int) -> list[str]:
 def read_sheet(spark: SparkSession, path: str, sheet: str, header_row: int = 1) -> DataFrame:
     """A sheet's cells as text, with the ordinal of each row below the header (counting empty rows)."""
     ship(spark)
-    found = spark.read.format("binaryFile").load(path).select("content").limit(2).collect()
+    files = spark.read.format("binaryFile").load(path).select("content")
+
+    def headers(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([_header(Workbook(x), sheet, header_row) for x in b["content"].to_pylist()], pa.list_(pa.string()))], ["names"])
+
+    try:
+        found = files.mapInArrow(headers, "names array<string>").limit(2).collect()  # the names only; the workbook stays in the tasks
+    except PythonException as e:
+        raise ExtractorError(f"{path}: {_last_line(e)}") from e
     if len(found) != 1:
         raise ExtractorError(f"{path} is not one workbook")
-    names = _header(Workbook(bytes(found[0][0])), sheet, header_row)
+    names = found[0][0]
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -143,7 +155,13 @@ def read_sheet(spark: SparkSession, path: str, sheet: str, header_row: int = 1)
                 yield pa.RecordBatch.from_arrays([pa.array(ordinals, pa.int64()), *(pa.array(c, pa.string()) for c in cols)], [ROW, *names])
 
     kind = ", ".join(f"`{n.replace('`', '``')}` {t}" for n, t in [(ROW, "long"), *((n, "string") for n in names)])
-    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(rows, kind)
+    return files.mapInArrow(rows, kind)
+
+
+def _last_line(e: Exception) -> str:
+    """What a task's own error said."""
+    said = [x for x in str(e).splitlines() if "ExtractorError" in x]
+    return said[-1].split("ExtractorError:")[-1].strip() if said else str(e).splitlines()[0]
 
 
 def _cell(value: object) -> str:
@@ -160,7 +178,17 @@ def _cell(value: object) -> str:
 
 
 def write_workbook(tables: dict[str, DataFrame], path: str) -> None:
-    """One sheet per table, names cut to 31 characters. Rows come to the driver a partition at a time; a sheet's limit is checked."""
+    """One sheet per table, names cut to 31 characters. Rows come to the driver a partition at a time; a sheet's limit is checked. The file is
+    made beside the driver and then copied to path, on whatever file system that is."""
+    spark = next(iter(tables.values())).sparkSession
+    with tempfile.TemporaryDirectory() as folder:
+        made = f"{folder}/workbook.xlsx"
+        _make_workbook(tables, made)
+        files, to = hadoop(spark, path)
+        files.copyFromLocalFile(True, True, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"file://{made}"), to)
+
+
+def _make_workbook(tables: dict[str, DataFrame], path: str) -> None:
     names: list[str] = []
     for name in tables:
         cut = name[:MAX_NAME]

@@ -7,18 +7,28 @@ from pyspark.sql import functions as F
 
 from ..errors import ExtractorError
 from ..plans.table import ROW
+from ..staging import new_path
 
 
 def with_ordinal(df: DataFrame, order: list[str] | None = None, name: str = ROW) -> DataFrame:
     """Gapless ordinals from 0: by the order of the scan, or by the columns given.
 
     No row moves for the scan's order: partitions count their rows in a first pass, and the counts (one number per partition)
-    say where each partition starts. An order by columns sorts by range first, so no task holds all rows."""
+    say where each partition starts. An order by columns sorts by range first, so no task holds all rows; the sorted rows are
+    written to the shared folder, so that both passes, and a task that is run again, see the same ranges."""
     if order:
-        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        df = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-        df = df.persist()  # so that both passes see the same sampled bounds; a lost block is sampled anew from the same rows
+        spark = df.sparkSession
+        n, path = int(spark.conf.get("spark.sql.shuffle.partitions")), new_path(spark, "ordered")
+        placed = df.repartitionByRange(n, *order).sortWithinPartitions(*order).select("*", F.monotonically_increasing_id().alias("__id"))
+        placed.write.parquet(path)
+        placed = spark.read.schema(placed.schema).parquet(path)
+        marked = placed.select(*df.columns, F.shiftright("__id", 33).alias("__part"), F.col("__id").bitwiseAND(F.lit((1 << 33) - 1)).alias("__at"))
+        return _numbered(marked, name)
     marked = df.withColumn("__part", F.spark_partition_id()).withColumn("__at", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
+    return _numbered(marked, name)
+
+
+def _numbered(marked: DataFrame, name: str) -> DataFrame:
     counts = marked.groupBy("__part").agg(F.count("*").alias("__n"))
     before = F.coalesce(F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     starts = counts.select(F.col("__part").alias("__p"), before.alias("__start"))

@@ -6,10 +6,11 @@ import sys
 
 from pyspark.sql import SparkSession
 
-from cleanloom.config import load_config
+from cleanloom.config import load_config, warnings
 from cleanloom.logs import get_logger, shutdown
 from cleanloom.plans.engine import run
 from cleanloom.plans.table import summary
+from cleanloom.session import tuned
 from cleanloom.sources.sinks import load
 from cleanloom.sources.spreadsheet import read_sheet
 
@@ -18,7 +19,9 @@ def main(config_path: str, out: str, exports: str = "csv") -> None:
     log = get_logger("pipeline", f"{out}/logs")
     try:
         config = load_config(config_path)
-        spark = SparkSession.builder.appName(config.settings.project or "cleanloom").getOrCreate()
+        for said in warnings(config):
+            log.warning(said)
+        spark = tuned(SparkSession.builder).appName(config.settings.project or "cleanloom").getOrCreate()
         result = run(spark, config, lambda s, sheet: read_sheet(s, config.source["file"], sheet, config.settings.header_row))
         for r in summary(result.issues()).orderBy("table", "column", "rule").toLocalIterator():  # one row per rule of the configuration
             log.warning("%s.%s: %s, %d times, rows %s", r["table"], r["column"], r["rule"], r["n"], r["first_rows"])

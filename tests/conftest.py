@@ -11,9 +11,11 @@ os.environ["PYTHONPATH"] = os.pathsep.join([sys.path[0], os.environ.get("PYTHONP
 def spark():
     from pyspark.sql import SparkSession
 
+    from cleanloom.session import tuned
+
     session = (
-        SparkSession.builder.master("local[4]").appName("tests").config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false")
-        .config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "3g").config("spark.ui.showConsoleProgress", "false").getOrCreate()
+        tuned(SparkSession.builder).master("local[4]").appName("tests").config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false")
+        .config("spark.driver.memory", "4g").config("spark.ui.showConsoleProgress", "false").getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

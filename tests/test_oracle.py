@@ -9,7 +9,7 @@ import pytest
 from cleanloom import queries
 
 SF = "/root/testdata/sf0.001"
-TABLES = ("nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "labels")
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "labels")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no tables")
 
 
