@@ -2,11 +2,15 @@
 
 A word's embedding is the sum of PARTS hashed ones: two for the word (so that a collision with another word is only half a
 word) and one for each of its starts of 4 and 5 characters (for words that inflect). Filters of several widths run over the
-words of the whole text; each filter's maximum goes, through a rectifier, into a logistic unit. The model is trained in numpy
-on the driver, on a bounded sample of labelled rows; scoring is a map over Arrow batches, in which a worker keeps, for a
-bounded number of words, what a word adds to each filter at each offset. Thresholds are calibrated on a part of the sample
-that training does not see, one for each language; the language is read off the text itself (its commonest function
-words), never from a column, and the score is shifted so that 0.5 is the threshold.
+words of the whole text; each filter's maximum goes, through a rectifier, into a logistic unit. Scoring is a map over Arrow batches, in which a worker keeps, for a
+bounded number of words, what a word adds to each filter at each offset. Thresholds are calibrated on the labelled rows
+that training does not see, one in HELD, one threshold for each language; the language is read off the text itself (its
+commonest function words), never from a column, and the score is shifted so that 0.5 is the threshold.
+
+Every labelled row is used, in training or for the thresholds. Few rows are trained on in numpy on the driver. Where there are
+more, that model of some of them is only the start: each shard (a shuffle partition, of SHARD rows or fewer), dealt and ordered by hashes of the id, goes on from it over its
+own rows, and what the shards have changed is averaged (an embedding over the shards that have changed it). All held rows then
+have a score by the common model; how many there are of each kind goes to the driver by language and score, in steps of 1 / STEPS.
 
 Defined results: null text counts as empty, and an empty text has a score too (all filters at their bias); null labels are
 not learned from; without labels of both kinds all scores are near 0 and nothing is rejected.
@@ -15,6 +19,7 @@ not learned from; without labels of both kinds all scores are near 0 and nothing
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from copy import deepcopy
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -24,10 +29,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..shipping import ship
+from .common import partitions, text_batches
 from .words import split_words
 
-#: labelled rows of either kind that are learned from at most: the bound of the sample
-SAMPLE = 2000
+#: labelled rows of either kind that the driver trains on at most; where there are more, shards of so many rows go on from there
+SAMPLE, SHARD = 2000, 8192
+#: embeddings in a row of what a shard has changed, steps and bound of the scores that thresholds are chosen from
+BLOCK, STEPS, MOST = 2048, 256, 64
 BUCKETS, PARTS, WIDTH, FILTERS, SPANS = 1 << 17, 4, 16, 8, (1, 2, 3)
 EPOCHS, BATCH, RATE, DECAY, HELD = 6, 64, 0.05, 1e-5, 5
 #: words that a worker remembers, words of a long text that are looked at together
@@ -119,8 +127,8 @@ class Scorer:
         return float(1 / (1 + np.exp(-np.clip(z, -50, 50))))
 
 
-def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> Model:
-    """Every HELD-th text, in random order, is held for the thresholds."""
+def _untrained(seed: int) -> tuple[Model, dict]:
+    """A model, and Adagrad's sums of squares."""
     rng = np.random.default_rng(seed)
     model = Model(
         rng.normal(0, 0.05, (BUCKETS, WIDTH)).astype(np.float32),
@@ -129,23 +137,40 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> Model:
         np.abs(rng.normal(0, 0.3, FILTERS * len(SPANS))).astype(np.float32),
         0.0,
     )
-    if len(set(labels.tolist())) < 2 or len(labels) < 2 * HELD:
-        model.out[:], model.out_bias, model.threshold = 0, -30.0, dict.fromkeys(LANGUAGES, 0.0)
-        return model
-    order = rng.permutation(len(texts))
-    held, learned = order[::HELD], np.delete(order, np.arange(0, len(order), HELD))
+    squares = {"e": np.full(BUCKETS, 1e-6, np.float32), "o": np.full_like(model.out, 1e-6)} | {(k, w): np.full_like(v[w], 1e-6) for k, v in (("f", model.filters), ("b", model.bias)) for w in SPANS}
+    return model, squares
+
+
+def _constant(model: Model) -> Model:
+    model.out[:], model.out_bias, model.threshold = 0, -30.0, dict.fromkeys(LANGUAGES, 0.0)
+    return model
+
+
+def _learn(model: Model, squares: dict, texts: list[str | None], labels: np.ndarray, rng: np.random.Generator, epochs: int) -> None:
+    """Steps over all texts, in random order."""
     vocabulary = Vocabulary()
-    ids = {i: vocabulary.rows(split_words(texts[i])) for i in learned}
+    ids = [vocabulary.rows(split_words(t)) for t in texts]
     subs = np.concatenate([np.zeros((1, PARTS), np.int64), vocabulary.take()])
-    squares = {"e": np.full(BUCKETS, 1e-6, np.float32), "o": np.full_like(model.out, 1e-6)} | {(k, w): np.full_like(v[w], 1e-6) for k, v in (("f", model.filters), ("b", model.bias)) for w in SPANS}
-    for _ in range(EPOCHS):
-        learned = rng.permutation(learned)
+    for _ in range(epochs):
+        learned = rng.permutation(len(ids))
         for at in range(0, len(learned), BATCH):
             batch = learned[at : at + BATCH]
             _step(model, [ids[i] for i in batch], subs, labels[batch], squares)
+
+
+def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> Model:
+    """Every HELD-th text, in random order, is held for the thresholds."""
+    model, squares = _untrained(seed)
+    if len(set(labels.tolist())) < 2 or len(labels) < 2 * HELD:
+        return _constant(model)
+    rng = np.random.default_rng([seed, 1])
+    order = rng.permutation(len(texts))
+    held, learned = order[::HELD], np.delete(order, np.arange(0, len(order), HELD))
+    _learn(model, squares, [texts[i] for i in learned], labels[learned], rng, EPOCHS)
     scorer = Scorer(model)
     words = [split_words(texts[i]) for i in held]
-    model.threshold = calibrate(np.array([scorer.logit(w) for w in words]), labels[held], [language(w) for w in words])
+    y = labels[held]
+    model.threshold = calibrate(np.array([scorer.logit(w) for w in words]), y, 1 - y, [language(w) for w in words])
     return model
 
 
@@ -191,37 +216,162 @@ def _step(model: Model, texts: list[np.ndarray], subs: np.ndarray, y: np.ndarray
     model.embed[touched] -= RATE * grad / np.sqrt(squares["e"][touched])[:, None]
 
 
-def calibrate(scores: np.ndarray, labels: np.ndarray, languages: list[str], least: int = 20) -> dict[str, float]:
+def calibrate(scores: np.ndarray, ones: np.ndarray, zeros: np.ndarray, languages: list[str], least: int = 20) -> dict[str, float]:
     """For each language the threshold of the fewest errors, halfway between neighbours; languages with less than `least`
-    texts of either kind take the threshold of all."""
+    texts of either kind take the threshold of all. ones, zeros: how many texts of either kind have a score."""
 
-    def best(s: np.ndarray, y: np.ndarray) -> float:
+    def best(s: np.ndarray, one: np.ndarray, zero: np.ndarray) -> float:
         order = np.argsort(s, kind="stable")
-        s, y = s[order], y[order]
-        wrong = np.concatenate([[0], y.cumsum()]) + np.concatenate([(1 - y)[::-1].cumsum()[::-1], [0]])
+        s, one, zero = s[order], one[order], zero[order]
+        wrong = np.concatenate([[0], one.cumsum()]) + np.concatenate([zero[::-1].cumsum()[::-1], [0]])
         ties = np.flatnonzero(wrong == wrong.min())
         low, high = s[max(ties[0] - 1, 0)], s[min(ties[-1], len(s) - 1)]
         return float((low + high) / 2)
 
     languages = np.array(languages)
-    common, out = best(scores, labels), {}
+    common, out = best(scores, ones, zeros), {}
     for k in LANGUAGES:
         own = languages == k
-        enough = min(labels[own].sum(), (1 - labels[own]).sum()) >= least
-        out[k] = best(scores[own], labels[own]) if enough else common
+        enough = min(ones[own].sum(), zeros[own].sum()) >= least
+        out[k] = best(scores[own], ones[own], zeros[own]) if enough else common
     return out
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = SAMPLE) -> Model:
-    """Learns from at most `sample` labelled rows of either kind where `learn` (over the columns of labels) holds, those of the
-    smallest hash of the id. Only these rows' texts go to the driver."""
+    """Learns from all labelled rows where `learn` (over the columns of labels) holds: on the driver up to `sample` rows of either
+    kind, beyond that in shards, from a start on as many rows of the smallest hash of the id."""
     known = labels.where(learn & F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("id"), F.col(label_col).alias("label")).dropna()
-    first = lambda k: known.where(F.col("label") == k).orderBy(F.xxhash64("id"), "id").limit(sample)
     texts = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
-    rows = texts.join(F.broadcast(first(0).unionByName(first(1))), "id")  # 2 * sample rows at most
-    rows = rows.groupBy("id", "label").agg(F.min("text").alias("text"))  # an id in many rows is learned from once
+    count = dict(known.groupBy("label").count().collect())  # two numbers
+    whole = max(count.values(), default=0) <= sample
+    held = F.pmod(F.xxhash64(F.lit("held"), "id"), F.lit(HELD)) == 0
+    some = known if whole else known.where(~held)
+    first = lambda k: some.where(F.col("label") == k).orderBy(F.xxhash64("id"), "id").limit(sample)
+    rows = _once(texts.join(F.broadcast(first(0).unionByName(first(1))), "id"))  # 2 * sample rows at most
     got = sorted((r["id"], r["label"], r["text"] or "") for r in rows.collect())
-    return train([r[2] for r in got], np.array([r[1] for r in got], np.float32))
+    had, y = [r[2] for r in got], np.array([r[1] for r in got], np.float32)
+    if whole:
+        return train(had, y)
+    start, squares = _untrained(7)
+    if len(set(y.tolist())) == 2:
+        _learn(start, squares, had, y, np.random.default_rng(8), EPOCHS)
+    return _fit_all(texts, known, held, partitions(docs.sparkSession, sum(count.values()), SHARD), start, squares)
+
+
+def _once(rows: DataFrame) -> DataFrame:
+    """An id in many rows is learned from once."""
+    return rows.groupBy("id", "label").agg(F.min("text").alias("text"))
+
+
+def _fit_all(texts: DataFrame, known: DataFrame, held: Column, shards: int, start: Model, squares: dict) -> Model:
+    """start, trained on by each shard of the rows that are not held, averaged, with thresholds from all held rows."""
+    spark = texts.sparkSession
+    ship(spark)
+
+    def dealt(which: Column) -> DataFrame:
+        """The labelled rows, each shard's in one partition."""
+        rows = texts.where(which).repartition(shards, "id").join(known.where(which).repartition(shards, "id"), "id")
+        return _once(rows).sortWithinPartitions(F.xxhash64("id"), "id", "label").select("label", "text")
+
+    with text_batches(spark):
+        shared = spark.sparkContext.broadcast((start, squares))  # its size is fixed
+        changes = dealt(~held).mapInArrow(lambda it: _changes(it, *shared.value), "block int, least long, rows binary, change binary")
+        changes = changes.repartition(-(-BUCKETS // BLOCK), "block").sortWithinPartitions("block", "least").mapInArrow(_averaged, "block int, change binary, zeros long, ones long")
+        model, seen = deepcopy(start), np.zeros(2, np.int64)
+        for r in changes.collect():  # as many numbers as the model has
+            change = np.frombuffer(r["change"], np.float32)
+            if r["block"] < 0:
+                _add(model, change)
+                seen += [r["zeros"], r["ones"]]
+            else:
+                at = r["block"] * BLOCK
+                model.embed[at : at + BLOCK] += change.reshape(-1, WIDTH)
+        shared.unpersist()
+        if not seen.all():
+            return _constant(model)
+        scored = spark.sparkContext.broadcast(model)
+        found = dealt(held).mapInArrow(lambda it: _logits(it, scored.value), "language string, step int, label int")
+        found = found.groupBy("language", "step").agg(F.sum("label").alias("ones"), F.sum(1 - F.col("label")).alias("zeros")).collect()  # 2 * MOST * STEPS rows a language at most
+        scored.unpersist()
+    found.sort(key=lambda r: (r["step"], r["language"]))
+    column = lambda name: np.array([r[name] for r in found], np.int64)
+    both = found and column("ones").any() and column("zeros").any()
+    model.threshold = calibrate(column("step") / STEPS, column("ones"), column("zeros"), [r["language"] for r in found]) if both else dict.fromkeys(LANGUAGES, 0.0)
+    return model
+
+
+def _dense(model: Model) -> np.ndarray:
+    """All of a model but the embeddings, in a row."""
+    return np.concatenate([*(model.filters[w].ravel() for w in SPANS), *(model.bias[w] for w in SPANS), model.out, [model.out_bias]]).astype(np.float32)
+
+
+def _add(model: Model, change: np.ndarray) -> None:
+    at = 0
+    for part in (*(model.filters[w] for w in SPANS), *(model.bias[w] for w in SPANS), model.out):
+        part += change[at : at + part.size].reshape(part.shape)
+        at += part.size
+    model.out_bias += float(change[at])
+
+
+def _changes(batches: Iterable[pa.RecordBatch], start: Model, squares: dict) -> Iterator[pa.RecordBatch]:
+    """What a shard's rows change in start: the rows of embeddings that have changed, block by block; the rest as block -1, with the number of
+    rows of either kind. least: tells the shards apart, in the same order whenever this is run."""
+    model, squares, rng, seen, least = deepcopy(start), deepcopy(squares), np.random.default_rng(9), np.zeros(2, np.int64), None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        y = b["label"].to_numpy(zero_copy_only=False).astype(np.float32)
+        texts = b["text"].to_pylist()
+        if least is None:
+            least = xxhash.xxh64_intdigest((texts[0] or "").encode("utf-8", "surrogatepass")) >> 1
+        _learn(model, squares, texts, y, rng, 1)
+        seen += np.bincount(y.astype(np.int64), minlength=2)
+    if least is None:
+        return
+    changed = np.flatnonzero((model.embed != start.embed).any(axis=1)).astype(np.int32)
+    blocks, rows, change = [-1], [seen.tobytes()], [(_dense(model) - _dense(start)).tobytes()]
+    for k in np.unique(changed // BLOCK).tolist():
+        own = changed[changed // BLOCK == k]
+        blocks.append(k)
+        rows.append((own % BLOCK).tobytes())
+        change.append((model.embed[own] - start.embed[own]).tobytes())
+    yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int32()), pa.array([least] * len(blocks), pa.int64()), pa.array(rows, pa.binary()), pa.array(change, pa.binary())], ["block", "least", "rows", "change"])
+
+
+def _averaged(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of changes sorted by block, the mean in each block."""
+
+    def mean(block: int, total: np.ndarray, n: np.ndarray, seen: np.ndarray) -> pa.RecordBatch:
+        out = (total / np.maximum(n, 1)).astype(np.float32).tobytes()
+        return pa.RecordBatch.from_pydict({"block": pa.array([block], pa.int32()), "change": pa.array([out], pa.binary()), "zeros": pa.array([seen[0]], pa.int64()), "ones": pa.array([seen[1]], pa.int64())})
+
+    block = None
+    for b in batches:
+        for k, rows, change in zip(*(b[c].to_pylist() for c in ("block", "rows", "change")), strict=True):
+            change = np.frombuffer(change, np.float32)
+            if k != block:
+                if block is not None:
+                    yield mean(block, total, n, seen)
+                block, seen = k, np.zeros(2, np.int64)
+                total, n = (np.zeros(len(change)), np.zeros(1)) if k < 0 else (np.zeros((BLOCK, WIDTH)), np.zeros((BLOCK, 1)))
+            if k < 0:
+                seen += np.frombuffer(rows, np.int64)
+                total += change
+                n += 1
+            else:
+                own = np.frombuffer(rows, np.int32)
+                total[own] += change.reshape(-1, WIDTH)
+                n[own] += 1
+    if block is not None:
+        yield mean(block, total, n, seen)
+
+
+def _logits(batches: Iterable[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
+    scorer = Scorer(model)
+    for b in batches:
+        words = [split_words(t) for t in b["text"].to_pylist()]
+        steps = np.round(np.clip([scorer.logit(w) for w in words], -MOST, MOST) * STEPS).astype(np.int32)
+        yield pa.RecordBatch.from_arrays([pa.array([language(w) for w in words], pa.string()), pa.array(steps, pa.int32()), b["label"].cast(pa.int32())], ["language", "step", "label"])
 
 
 def _score(batches: Iterable[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:

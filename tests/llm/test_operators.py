@@ -504,6 +504,23 @@ def test_toxicity(spark, docs, rows, empty):
     assert toxicity.score(empty, toxicity.fit(empty, labels.limit(0), F.lit(True))).count() == 0
 
 
+def test_toxicity_learns_from_all_rows(spark, monkeypatch):
+    """Words that the driver's few rows do not have are learned from the others, whatever shard they are in."""
+    monkeypatch.setattr(toxicity, "SHARD", 2000)
+    rng = np.random.default_rng(4)
+    plain, vile = [f"w{k}" for k in range(50)], [f"{k}vile" for k in range(3)]
+    texts = [" ".join([*rng.choice(plain, 20), *([vile[k // 2 % 3]] if k % 2 else [])]) for k in range(5000)]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = table.select("doc_id", (F.col("doc_id") % 2).alias("toxic"))
+    models = [toxicity.fit(table, labels, F.col("doc_id") % 5 != 0, sample=8) for _ in range(2)]
+    scorers = [toxicity.Scorer(m) for m in models]
+    got = [scorers[0].score(texts[k]) for k in range(0, 5000, 5)]
+    assert np.mean([(s >= 0.5) == k % 2 for s, k in zip(got, range(0, 5000, 5), strict=True)]) > 0.95
+    assert got == [scorers[1].score(texts[k]) for k in range(0, 5000, 5)]
+    one = toxicity.fit(table, labels.where("toxic = 0"), F.lit(True), sample=8)
+    assert toxicity.Scorer(one).score(texts[1]) < 0.01
+
+
 SF = "/root/testdata/sf0.001"
 
 
