@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
+import sys
 from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 
@@ -60,11 +62,28 @@ def unstage(*frames: DataFrame) -> None:
             drop_path(df.sparkSession, path)
 
 
+def _let_go(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What a worker remembers of words goes, and its free memory goes back to the machine."""
+    for module, name in (("words", "_HASHES"), ("tokens", "_ENCODERS")):
+        if there := sys.modules.get(f"{__package__}.{module}"):
+            getattr(there, name).clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc
+        trim(0)
+    yield from batches
+
+
 def release(spark: SparkSession) -> None:
     """Lets the driver's JVM collect what nothing refers to any more, so that Spark deletes the shuffle files of steps that are written
-    before the next ones begin; by itself it would wait for the heap to fill."""
+    before the next ones begin; by itself it would wait for the heap to fill. The executors' heaps shrink likewise, and so do their
+    Python workers, of which a task may use two: what one step has grown to would stay beside what the next one needs."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+    ship(spark)
+    n = spark.sparkContext.defaultParallelism  # a task for each core
+    done = spark.range(0, n, 1, n).select(F.expr("java_method('java.lang.System', 'gc')").alias("done"))
+    done.mapInArrow(_let_go, "done string").mapInArrow(_let_go, "done string").write.format("noop").mode("overwrite").save()
 
 
 @contextmanager
@@ -85,6 +104,7 @@ def staged(make: Callable[[], DataFrame], spark: SparkSession, name: str) -> Dat
         df = make()
         with text_batches(spark):
             df.write.parquet(path)
+    release(spark)
     out = spark.read.schema(df.schema).parquet(path)
     out._staged_at = path
     return out

@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from cleanloom.llm import chat, components, exact_dedup, mixing, near_duplicates, neighbours, packing, passages, sharding, tokens, toxicity
+from cleanloom.llm import chat, common, components, exact_dedup, mixing, near_duplicates, neighbours, packing, passages, sharding, tokens, toxicity
 from cleanloom.llm.queries import vocabulary
 from cleanloom.llm.words import split_words
 
@@ -504,6 +504,23 @@ def test_toxicity(spark, docs, rows, empty):
     assert toxicity.score(empty, toxicity.fit(empty, labels.limit(0), F.lit(True))).count() == 0
 
 
+def _remembered(batches):
+    from cleanloom.llm import words
+
+    for b in batches:
+        yield b.from_pydict({"n": [len(words._HASHES)] * b.num_rows})
+
+
+def test_workers_forget_between_steps(spark):
+    """What a step's Python workers remember does not stay beside the next step's."""
+    near_duplicates.ship(spark)
+    docs = spark.range(0, 400, 1, 4).selectExpr("id as doc_id", "concat_ws(' ', 'some words of text', id, id * 7) as text")
+    assert near_duplicates.near_duplicates(docs).count() == 400
+    common.release(spark)
+    kept = spark.range(0, 4, 1, 4).selectExpr("id as n").mapInArrow(_remembered, "n long").collect()
+    assert [r["n"] for r in kept] == [0] * 4
+
+
 def test_toxicity_learns_from_all_rows(spark, monkeypatch):
     """Words that the driver's few rows do not have are learned from the others, whatever shard they are in."""
     monkeypatch.setattr(toxicity, "SHARD", 2000)
