@@ -6,6 +6,7 @@ A word is a run of letters, digits or underscores, in lower case.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import xxhash
@@ -35,6 +36,48 @@ def hashed(words: list[str]) -> np.ndarray:
     return np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
 
 
+#: bytes of ASCII texts: words in lower case, all else spaces
+_ASCII = bytes(ord(c.lower()) if WORD.match(c := chr(k)) and k < 128 else 32 for k in range(256))
+#: words of more bytes than this are hashed one by one; the first k bytes of eight
+LONG, _FIRST = 64, np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+
+
+def word_line(text: str | None) -> bytes:
+    """The words of a text in UTF-8, a space between any two."""
+    if not text or not text.isascii():
+        return " ".join(split_words(text)).encode("utf-8", "surrogatepass")
+    return b" ".join(text.encode().translate(_ASCII).split())
+
+
+def hashed_lines(lines: list[bytes]) -> list[np.ndarray]:
+    """64-bit hashes of the words of each line, eight bytes at a time for all words together. They are not those of `hashed`."""
+    data = b"".join(x + b" " for x in lines if x) + bytes(8)
+    ends = np.flatnonzero(np.frombuffer(data, np.uint8, len(data) - 8) == 32)
+    starts = np.concatenate([[0], ends[:-1] + 1])[: len(ends)]
+    length = ends - starts
+    eight = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))  # those from each byte on
+    h = mix(mix(length.astype(np.uint64)) + (eight[starts] & _FIRST[np.minimum(length, 8)]))
+    rest = np.flatnonzero((length > 8) & (length <= LONG))
+    for k in range(8, LONG, 8):
+        rest = rest[length[rest] > k]
+        h[rest] = mix(h[rest] * np.uint64(0x9E3779B97F4A7C15) + (eight[starts[rest] + k] & _FIRST[np.minimum(length[rest] - k, 8)]))
+    for i in np.flatnonzero(length > LONG).tolist():
+        h[i] = xxhash.xxh64_intdigest(data[starts[i] : ends[i]])
+    return np.split(h, np.searchsorted(ends, np.cumsum([len(x) + 1 if x else 0 for x in lines])[:-1])) if lines else []
+
+
+def hashed_texts(texts: Iterable[str | None], size: int = 1 << 19) -> Iterator[tuple[bytes, np.ndarray]]:
+    """(line, hashes of its words) of each text, for about `size` bytes at a time."""
+    lines, n = [], 0
+    for t in texts:
+        lines.append(word_line(t))
+        n += len(lines[-1])
+        if n >= size:
+            yield from zip(lines, hashed_lines(lines), strict=True)
+            lines, n = [], 0
+    yield from zip(lines, hashed_lines(lines), strict=True)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit integers that spreads every bit (the finaliser of splitmix64)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

@@ -321,3 +321,17 @@ def test_colliding_bands(step):
     batches = (pa.RecordBatch.from_arrays([pa.array(x[i : i + step]) for x in (b, t, k)], ["band", "tag", "key"]) for i in range(0, 1000, step))
     got = {pair for r in passages._colliding(batches) for pair in zip(r["band"].to_pylist(), r["key"].to_pylist(), strict=True)}
     assert got == {(x, y) for x, y in zip(b.tolist(), k.tolist(), strict=True) if len(set(k[b == x])) > 1 and len(set(t[b == x])) > 1}
+
+
+def test_lines_of_words_are_hashed_as_words():
+    """ASCII texts and others, words of any length, at any place of any text: the same words have the same hash."""
+    texts = ["A b_1, c!", None, "", " ", "\x1c a\x1fb\x0bc", "ÀÉ İstanbul a", "x \udcff c", *("z" * n + " a" for n in (7, 8, 9, 16, 17, 63, 64, 65, 500))]
+    texts += ["é " + t for t in texts if t]
+    known: dict[str, int] = {}
+    for size in (1, 40, 1 << 19):
+        for text, (line, h) in zip(texts, words.hashed_texts(texts, size), strict=True):
+            split = words.split_words(text)
+            assert line == " ".join(split).encode("utf-8", "surrogatepass") and len(h) == len(split)
+            assert all(known.setdefault(w, x) == x for w, x in zip(split, h.tolist(), strict=True))
+    assert len(set(known.values())) == len(known) > 12
+    assert list(words.hashed_texts([])) == []
