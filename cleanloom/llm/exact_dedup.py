@@ -29,7 +29,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import drop_path, free_name, new_path, stage, unstage
+from .common import drop_path, free_name, new_path, release, stage, unstage
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
@@ -186,6 +186,7 @@ def without(scan: DataFrame, dropped: DataFrame) -> DataFrame:
     """scan without the rows of dropped (file, row); columns as they were. What is dropped is written first: of known size, it is
     broadcast to the scan if it is small."""
     gone = stage(dropped.select(F.col("file").alias("__file"), F.col("row").alias("__row")), "dropped", 10_000)
+    release(scan.sparkSession)
     _, file, row = located(scan)
     f, r = free_name(scan, "at_file"), free_name(scan, "at_row")
     tagged = scan.select("*", file.alias(f), row.alias(r))
@@ -195,4 +196,6 @@ def without(scan: DataFrame, dropped: DataFrame) -> DataFrame:
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """docs without the rows that exact_dedup drops; columns as they were."""
     scan, _, _ = located(docs)
-    return without(scan, exact_dedup(scan, id_col, text_col, **options).where("not kept"))
+    verdict = exact_dedup(scan, id_col, text_col, **options)
+    release(docs.sparkSession)
+    return without(scan, verdict.where("not kept"))
