@@ -7,6 +7,7 @@ import gc
 import sys
 from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -62,15 +63,39 @@ def unstage(*frames: DataFrame) -> None:
             drop_path(df.sparkSession, path)
 
 
+def give_back() -> None:
+    """This process's free memory goes back to the machine."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc
+        trim(0)
+
+
+def tidy(function: Callable[..., Iterator[pa.RecordBatch]]) -> Callable[..., Iterator[pa.RecordBatch]]:
+    """function over a task's batches; a worker gives its memory back at the task's end. Workers wait for further tasks, in turn and
+    more of them than there are cores, and would keep what the largest task has needed."""
+
+    @wraps(function)
+    def run(*args, **options) -> Iterator[pa.RecordBatch]:
+        yield from function(*args, **options)
+        give_back()  # what function held is gone here
+
+    return run
+
+
+def pieces(batches: Iterable[pa.RecordBatch], rows: int = TEXT_ROWS) -> Iterator[pa.RecordBatch]:
+    """batches in slices of `rows` rows at most: for whole texts, where whoever writes the result sets the size of batches."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def _let_go(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """What a worker remembers of words goes, and its free memory goes back to the machine."""
     for module, name in (("words", "_HASHES"), ("tokens", "_ENCODERS")):
         if there := sys.modules.get(f"{__package__}.{module}"):
             getattr(there, name).clear()
-    gc.collect()
-    pa.default_memory_pool().release_unused()
-    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc
-        trim(0)
+    give_back()
     yield from batches
 
 
@@ -104,7 +129,6 @@ def staged(make: Callable[[], DataFrame], spark: SparkSession, name: str) -> Dat
         df = make()
         with text_batches(spark):
             df.write.parquet(path)
-    release(spark)
     out = spark.read.schema(df.schema).parquet(path)
     out._staged_at = path
     return out

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..shipping import ship
-from .common import partitions, text_batches
+from .common import partitions, pieces, text_batches, tidy
 from .words import split_words
 
 #: labelled rows of either kind that the driver trains on at most; where there are more, shards of so many rows go on from there
@@ -313,6 +313,7 @@ def _add(model: Model, change: np.ndarray) -> None:
     model.out_bias += float(change[at])
 
 
+@tidy
 def _changes(batches: Iterable[pa.RecordBatch], start: Model, squares: dict) -> Iterator[pa.RecordBatch]:
     """What a shard's rows change in start: the rows of embeddings that have changed, block by block; the rest as block -1, with the number of
     rows of either kind. least: tells the shards apart, in the same order whenever this is run."""
@@ -338,6 +339,7 @@ def _changes(batches: Iterable[pa.RecordBatch], start: Model, squares: dict) ->
     yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int32()), pa.array([least] * len(blocks), pa.int64()), pa.array(rows, pa.binary()), pa.array(change, pa.binary())], ["block", "least", "rows", "change"])
 
 
+@tidy
 def _averaged(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of changes sorted by block, the mean in each block."""
 
@@ -366,6 +368,7 @@ def _averaged(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield mean(block, total, n, seen)
 
 
+@tidy
 def _logits(batches: Iterable[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     scorer = Scorer(model)
     for b in batches:
@@ -374,9 +377,10 @@ def _logits(batches: Iterable[pa.RecordBatch], model: Model) -> Iterator[pa.Reco
         yield pa.RecordBatch.from_arrays([pa.array([language(w) for w in words], pa.string()), pa.array(steps, pa.int32()), b["label"].cast(pa.int32())], ["language", "step", "label"])
 
 
+@tidy
 def _score(batches: Iterable[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     scorer = Scorer(model)
-    for b in batches:
+    for b in pieces(batches):
         yield pa.RecordBatch.from_arrays([b["id"], pa.array(map(scorer.score, b["text"].to_pylist()), pa.float64())], ["id", "score"])
 
 
@@ -389,9 +393,10 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     return read.mapInArrow(lambda it: _score(it, shared.value), f"id {kind}, score double").withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+@tidy
 def _clean(batches: Iterable[pa.RecordBatch], model: Model, text_col: str) -> Iterator[pa.RecordBatch]:
     scorer = Scorer(model)
-    for b in batches:
+    for b in pieces(batches):
         yield b.filter(pa.array([scorer.score(t) < 0.5 for t in b[text_col].to_pylist()], pa.bool_()))
 
 

@@ -4,10 +4,12 @@ import hashlib
 import itertools
 import os
 import re
+import weakref
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -511,6 +513,15 @@ def _remembered(batches):
         yield b.from_pydict({"n": [len(words._HASHES)] * b.num_rows})
 
 
+def _hashing(batches):
+    from cleanloom.llm import words
+
+    for b in batches:
+        for t in b["text"].to_pylist():
+            words.hashed(words.split_words(t))
+        yield b.from_pydict({"n": [len(words._HASHES)]})
+
+
 def test_workers_forget_between_steps(spark):
     """What a step's Python workers remember does not stay beside the next step's."""
     near_duplicates.ship(spark)
@@ -521,6 +532,36 @@ def test_workers_forget_between_steps(spark):
     assert [r["n"] for r in kept] == [0] * 4
 
 
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no tables")
+@pytest.mark.parametrize("name", ["toxicity", "weighted_mixing", "best_fit_packing"])
+def test_stages_begin_with_small_workers(spark, name):
+    """What Python workers remember goes when a stage of the pipeline begins, whoever wrote the stage before it. (These stages use no hashes.)"""
+    near_duplicates.ship(spark)
+    docs = spark.range(0, 400, 1, 4).selectExpr("id as doc_id", "concat_ws(' ', 'some words of text', id, id * 7) as text", "'en' as lang", "'a' as source", "id as n_chars")
+    assert sum(r["n"] for r in docs.select("text").mapInArrow(_hashing, "n long").collect()) > 0
+    dict(corpus_pipeline.STAGES)[name](spark, docs, "/root/testdata/sf0.001")
+    kept = spark.range(0, 4, 1, 4).selectExpr("id as n").mapInArrow(_remembered, "n long").collect()
+    assert [r["n"] for r in kept] == [0] * 4
+
+
+def test_toxicity_gives_memory_back_at_a_tasks_end(monkeypatch):
+    """After the last batch, and when the scorer with all that it remembers is gone."""
+    model, scorers, given = toxicity._untrained(7)[0], [], []
+    model.threshold = dict.fromkeys(toxicity.LANGUAGES, 0.0)
+    scorer = toxicity.Scorer
+    monkeypatch.setattr(toxicity, "Scorer", lambda m: scorers.append(weakref.ref(s := scorer(m))) or s)
+    monkeypatch.setattr(common, "give_back", lambda: given.append(scorers[-1]() is None))
+    texts = [None, "", *(f"text {k}" for k in range(2500))]
+    batch = pa.RecordBatch.from_pydict({"id": list(range(len(texts))), "text": texts, "label": [0] * len(texts)})
+    scored = [r for b in toxicity._score([batch, batch], model) for r in b.to_pylist()]
+    one = scorer(model)
+    assert scored == [{"id": k, "score": one.score(t)} for k, t in enumerate(texts)] * 2
+    kept = [r["id"] for b in toxicity._clean([batch], model, "text") for r in b.to_pylist()]
+    assert kept == [r["id"] for r in scored[: len(texts)] if r["score"] < 0.5]
+    assert sum(b.num_rows for b in toxicity._logits([batch], model)) == len(texts)
+    assert given == [True] * 3
+
+
 def test_toxicity_learns_from_all_rows(spark, monkeypatch):
     """Words that the driver's few rows do not have are learned from the others, whatever shard they are in."""
     monkeypatch.setattr(toxicity, "SHARD", 2000)
