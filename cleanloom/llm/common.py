@@ -159,22 +159,23 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def whole_groups(batches: Iterable[pa.RecordBatch], keys: list[str], rows: int = 20_000) -> Iterator[pa.Table]:
-    """From batches sorted by keys, tables of about `rows` rows that hold each group whole."""
+def whole_groups(batches: Iterable[pa.RecordBatch], keys: list[str], rows: int = 20_000, most: int = 64 << 20) -> Iterator[pa.Table]:
+    """From batches sorted by keys, tables of about `rows` rows, or `most` bytes, that hold each group whole."""
     kept: list[pa.Table] = []
-    n = 0
+    n = held = 0
     for b in batches:
         if not b.num_rows:
             continue
         kept.append(pa.Table.from_batches([b]))
-        n += b.num_rows
-        if n < rows:
+        n, held = n + b.num_rows, held + b.nbytes
+        if n < rows and held < most:
             continue
         t = pa.concat_tables(kept).combine_chunks()
         start = int(group_starts(t, keys)[-1])
         if start:
             yield t.slice(0, start)
-        kept, n = [t.slice(start)], t.num_rows - start
+        kept = [t.slice(start)]
+        n, held = kept[0].num_rows, kept[0].nbytes
     if n:
         yield pa.concat_tables(kept).combine_chunks()
 

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, mixing, near_duplicates, neighbours, packing, passages, sharding, tokens, toxicity
+from . import chat, circulant, exact_dedup, mixing, near_duplicates, neighbours, packing, passages, runs, sharding, tokens, toxicity, whitening
 
 LIMIT = 2048
 
@@ -104,6 +104,40 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(table(spark, sf_dir, "documents"), vocabulary(), limit=LIMIT).withColumnRenamed("id", "doc_id")
 
 
+def looped(text: Column, doc_id: Column) -> Column:
+    """The words of every tenth document, by the hash of its id, with a tail that repeats itself; other texts as they are."""
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    g, n = F.floor(h / 10), F.size(words)
+    start = g % F.greatest(n, F.lit(1))
+    period = 1 + F.floor((n - start) / (3 + g % 8))
+    tail = F.flatten(F.array_repeat(F.slice(words, (start + 1).cast("int"), period.cast("int")), (1 + F.floor((n - start) / period)).cast("int")))
+    loop = F.slice(F.concat(F.slice(words, F.lit(1), start.cast("int")), tail), F.lit(1), F.greatest(n, F.lit(1)))
+    return F.when((h % 10 == 0) & (F.coalesce(text, F.lit("")) != ""), F.array_join(loop, " ")).otherwise(text)
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = runs.periodic_runs(docs.withColumn("text", looped(F.col("text"), F.col("doc_id"))))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    found = found.select("id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"), F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+    longest = (F.negate("best.start").alias("start"), F.col("best.length").alias("length"), F.negate("best.period").alias("period"))
+    found = found.select(F.col("id").alias("doc_id"), "n_runs", *longest, "runs_sha256", "collapsed_sha256")
+    milli = F.expr("1000 * length div period").alias("exponent_milli")
+    return found.select("doc_id", "n_runs", "start", "length", "period", milli, "runs_sha256", "collapsed_sha256")
+
+
+def op12_circulant_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = circulant.circulant_duplicates(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+    return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return whitening.transform(vectors, whitening.fit(vectors)).withColumnRenamed("id", "vec_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
