@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import ctypes
 import gc
-import sys
 from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 from functools import wraps
@@ -17,6 +16,7 @@ from pyspark.sql import functions as F
 from .. import staging
 from ..shipping import ship
 from ..staging import drop_path
+from . import words
 
 _SCRATCH: list[list[str]] = []
 ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -64,7 +64,8 @@ def unstage(*frames: DataFrame) -> None:
 
 
 def give_back() -> None:
-    """This process's free memory goes back to the machine."""
+    """The hashes of words that a worker remembers go, and its free memory goes back to the machine."""
+    words._HASHES.clear()
     gc.collect()
     pa.default_memory_pool().release_unused()
     if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc
@@ -90,25 +91,11 @@ def pieces(batches: Iterable[pa.RecordBatch], rows: int = TEXT_ROWS) -> Iterator
             yield b.slice(at, rows)
 
 
-def _let_go(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """What a worker remembers of words goes, and its free memory goes back to the machine."""
-    for module, name in (("words", "_HASHES"), ("tokens", "_ENCODERS")):
-        if there := sys.modules.get(f"{__package__}.{module}"):
-            getattr(there, name).clear()
-    give_back()
-    yield from batches
-
-
-def release(spark: SparkSession) -> None:
-    """Lets the driver's JVM collect what nothing refers to any more, so that Spark deletes the shuffle files of steps that are written
-    before the next ones begin; by itself it would wait for the heap to fill. The executors' heaps shrink likewise, and so do their
-    Python workers, of which a task may use two: what one step has grown to would stay beside what the next one needs."""
+def forget(spark: SparkSession) -> None:
+    """Spark deletes the shuffle files of a step when the driver's JVM has collected what referred to them, which by itself waits for its heap to
+    fill. The driver is asked to collect here, where a step is written; executors are left alone."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()
-    ship(spark)
-    n = spark.sparkContext.defaultParallelism  # a task for each core
-    done = spark.range(0, n, 1, n).select(F.expr("java_method('java.lang.System', 'gc')").alias("done"))
-    done.mapInArrow(_let_go, "done string").mapInArrow(_let_go, "done string").write.format("noop").mode("overwrite").save()
 
 
 @contextmanager

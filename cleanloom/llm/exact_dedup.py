@@ -29,7 +29,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import drop_path, free_name, new_path, release, stage, unstage
+from ..staging import hadoop
+from .common import drop_path, free_name, new_path, stage, unstage
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
@@ -89,6 +90,13 @@ def _last(state: DataFrame) -> DataFrame:
     return state.groupBy("key").agg(F.max("n").alias("n"), F.max("keep").alias("keep"))
 
 
+def _numbers(spark: SparkSession, path: str) -> list[int]:
+    """The numbers at the ends of the names in a folder; none where there is no folder."""
+    files, at = hadoop(spark, path)
+    names = [s.getPath().getName().rpartition("=")[2] for s in files.listStatus(at)] if files.exists(at) else []
+    return sorted(int(n) for n in names if n.isdecimal())
+
+
 def _state(prints: DataFrame, at: str, batch_bytes: int | None) -> tuple[DataFrame, DataFrame | None]:
     """(what the keyed state holds, after the stream has read all fingerprints under `at`, for the digests that it met now; and what it held
     of any digest before, None in a first run)"""
@@ -97,6 +105,7 @@ def _state(prints: DataFrame, at: str, batch_bytes: int | None) -> tuple[DataFra
     if batch_bytes:
         reader = reader.option("maxBytesPerTrigger", str(batch_bytes))
     kept = reader.parquet(f"{at}/prints/*").groupBy("key").agg(F.count("*").alias("n"), F.max(F.struct("id", "file", "row")).alias("keep"))
+    done = max(_numbers(spark, f"{at}/checkpoint/commits"), default=-1)  # the last batch of earlier deliveries
     with settings(spark, STATE):
         run = (
             kept.writeStream.outputMode("update")
@@ -106,13 +115,13 @@ def _state(prints: DataFrame, at: str, batch_bytes: int | None) -> tuple[DataFra
             .start()
         )
         run.awaitTermination()
-    batches = sorted({p["batchId"] for p in run.recentProgress if p["numInputRows"]})
+    batches = [b for b in _numbers(spark, out) if b > done]  # as they were written: a stream reports only its latest batches
     if not batches:
         return spark.createDataFrame([], kept.schema), None
     state = spark.read.schema(f"{_ddl(kept)}, batch long").parquet(out)
-    now = state.where(F.col("batch") >= batches[0]).drop("batch")
+    now = state.where(F.col("batch") > done).drop("batch")
     now = now if len(batches) == 1 else stage(_last(now), "dedup-last")
-    return now, (_last(state.where(F.col("batch") < batches[0])) if batches[0] else None)
+    return now, (_last(state.where(F.col("batch") <= done)) if done >= 0 else None)
 
 
 def _ddl(df: DataFrame) -> str:
@@ -186,7 +195,6 @@ def without(scan: DataFrame, dropped: DataFrame) -> DataFrame:
     """scan without the rows of dropped (file, row); columns as they were. What is dropped is written first: of known size, it is
     broadcast to the scan if it is small."""
     gone = stage(dropped.select(F.col("file").alias("__file"), F.col("row").alias("__row")), "dropped", 10_000)
-    release(scan.sparkSession)
     _, file, row = located(scan)
     f, r = free_name(scan, "at_file"), free_name(scan, "at_row")
     tagged = scan.select("*", file.alias(f), row.alias(r))
@@ -197,5 +205,4 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """docs without the rows that exact_dedup drops; columns as they were."""
     scan, _, _ = located(docs)
     verdict = exact_dedup(scan, id_col, text_col, **options)
-    release(docs.sparkSession)
     return without(scan, verdict.where("not kept"))

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import free_name, numbered, partitions, stage, unstage
+from .common import forget, free_name, numbered, partitions, stage, unstage
 from .exact_dedup import located
 
 #: times that a document is taken at most, rows of a cell if one source holds all rows
@@ -106,6 +106,7 @@ def schedule(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
     """The mixed stream: the documents of docs, each as often as it is taken (whole), in order of virtual finish time. Documents of
     size 0 (null, empty, only ASCII white space) give a source no words and are dropped."""
+    forget(docs.sparkSession)
     scan, _, _ = located(docs)
     plan = stage(schedule(scan, id_col, text_col, source_col, whole=True, **options).where("taken > 0"), "mix-plan")
     _, file, row = located(scan)

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..shipping import ship
-from .common import free_name, group_starts, partitions, release, stage, unstage, whole_groups
+from .common import forget, group_starts, partitions, stage, tidy, unstage, whole_groups
 from .components import components
 from .exact_dedup import FILTERS, located, settings, without
 from .words import hashed, mix, shingles, split_words
@@ -87,6 +87,7 @@ def least_equal(join: Join) -> np.ndarray:
     return out
 
 
+@tidy
 def _sign(batches: Iterable[pa.RecordBatch], join: Join) -> Iterator[pa.RecordBatch]:
     for b in batches:
         keys, bands, codes = [], [], []
@@ -164,6 +165,7 @@ def _prune(batches: Iterable[pa.RecordBatch], join: Join) -> Iterator[pa.RecordB
         yield pa.RecordBatch.from_arrays([pa.array(ids[to]), pa.array(label[to])], ["a", "b"])
 
 
+@tidy
 def _shingled(batches: Iterable[pa.RecordBatch], join: Join) -> Iterator[pa.RecordBatch]:
     for b in batches:
         sets = [shingles(hashed(split_words(x)), join.size) for x in b["text"].to_pylist()]
@@ -230,15 +232,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """One row per row of docs: id, class_id (the smallest id of its group: documents connected by links), n_links (other
     documents whose similarity reaches the threshold), kept (one row of each group: the first by id), file, row."""
     ship(docs.sparkSession)
+    forget(docs.sparkSession)
     scan, file, row = located(docs)
-    read = scan.select(scan[id_col].cast("long").alias("id"), file.alias("file"), row.alias("row"), scan[text_col].cast("string").alias("text"))
-    rows = stage(read.mapInArrow(lambda it: _sign(it, join), "id long, file string, row long, key binary, bands array<long>, code binary"), "near-rows")
+    read = scan.select(scan[id_col].alias("id"), file.alias("file"), row.alias("row"), scan[text_col].cast("string").alias("text"))
+    kind = docs.schema[id_col].dataType.simpleString()
+    rows = stage(read.mapInArrow(lambda it: _sign(it, join), f"id {kind}, file string, row long, key binary, bands array<long>, code binary"), "near-rows")
     first = F.struct(F.col("id").isNull().alias("no_id"), "id", "file", "row")
     classes = rows.where("code is not null").groupBy("key").agg(F.count("*").alias("n"), F.min(first).alias("first"), F.max("bands").alias("bands"), F.max("code").alias("code"))
     classes = stage(classes.withColumn("uid", F.monotonically_increasing_id()), "near-classes")
 
-    release(docs.sparkSession)
-
     bands = classes.select("uid", F.explode("bands").alias("band"))
     # what joins back to rows of a hot key is written first: then adaptive execution can split the rows' side
     live = stage(bands.groupBy("band").agg(F.count("*").alias("n")).where("n > 1"), "near-live")
@@ -253,12 +255,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     with settings(docs.sparkSession, FILTERS):
         met = at.where("r >= 0").join(whole, (F.col("f") == F.col("file")) & (F.col("r") == F.col("row"))).select("root", "uid", "n", "code", "text")
         sets = stage(met.mapInArrow(lambda it: _shingled(it, join), "root long, uid long, n long, code binary, length long, shingles binary"), "near-sets")
-    release(docs.sparkSession)
     sizes = sets.groupBy("root").agg(F.greatest(F.ceil(F.count("*") / join.block), F.ceil(F.sum("length") / join.block_shingles)).alias("cut"))
     sizes = stage(sizes, "near-sizes", 10_000)
     verified = _sorted_groups(_blocks(sets.join(sizes, "root"), F.col("cut")).drop("cut"), "root", "i", "j").mapInArrow(lambda it: _verify(it, join), "a long, b long, links long")
     verified = stage(verified, "near-verified")
-    release(docs.sparkSession)
+    forget(docs.sparkSession)
 
     groups = stage(components(verified.select("a", "b")), "near-groups")
     links = verified.groupBy("a").agg(F.sum("links").alias("links"))

@@ -12,12 +12,19 @@ import numpy as np
 import xxhash
 
 WORD = re.compile(r"\w+")
-#: hashes that a worker remembers
-KNOWN = 200_000
+#: hashes that a worker remembers, and the characters of their words
+KNOWN, KNOWN_CHARS = 200_000, 4 << 20
 
 
 class _Hashes(dict):
+    chars = 0
+
+    def clear(self) -> None:
+        super().clear()
+        self.chars = 0
+
     def __missing__(self, word: str) -> int:
+        self.chars += len(word)
         h = self[word] = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
         return h
 
@@ -31,7 +38,7 @@ def split_words(text: str | None) -> list[str]:
 
 def hashed(words: list[str]) -> np.ndarray:
     """64-bit hashes of words."""
-    if len(_HASHES) > KNOWN:
+    if len(_HASHES) > KNOWN or _HASHES.chars > KNOWN_CHARS:
         _HASHES.clear()
     return np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
 

@@ -23,6 +23,9 @@ COLUMNS = {
     "op8_substring_dedup": "doc_id bigint, start_word int, end_word int, removed boolean, cluster_id bigint",
     "op9_exact_dedup": "doc_id bigint, keep_id bigint, group_size bigint, kept boolean, text_sha256 string",
     "op10_token_counts": "doc_id bigint, n_bytes bigint, n_tokens bigint, over_limit boolean",
+    "op11_periodic_runs": "doc_id bigint, n_runs bigint, start bigint, length bigint, period bigint, exponent_milli bigint, runs_sha256 string, collapsed_sha256 string",
+    "op12_circulant_near_dedup": "doc_id bigint, n_shingles bigint, component_id bigint, kept boolean",
+    "op13_embedding_whitening": "vec_id bigint, component int, n bigint, deviation bigint, whitened double, explained double, identity_error double",
 }
 
 

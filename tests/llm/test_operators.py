@@ -115,6 +115,24 @@ def test_exact_dedup_resumes_its_state(spark, rows, tmp_path, scan):
         assert all(r["id"] == r["keep_id"] for r in found if r["kept"])
 
 
+def test_more_batches_than_a_stream_reports(spark, tmp_path):
+    """150 files, a batch each; a stream keeps the progress of its last batches only."""
+    rows = [(k, f"text {k % 200}", "en", "a", 0) for k in range(300)]
+    df = spark.createDataFrame(rows, SCHEMA).repartitionByRange(150, "doc_id")
+    name, path = "spark.sql.streaming.numRecentProgressUpdates", str(tmp_path / "t")
+    df.write.parquet(path)
+    old = spark.conf.get(name)
+    spark.conf.set(name, "2")
+    try:
+        for state in (None, str(tmp_path / "state")):
+            check_exact(exact_dedup.exact_dedup(spark.read.parquet(path), state=state, batch_bytes=1).collect(), rows)
+        more = spark.createDataFrame([(900, "text 7", "en", "a", 0), (901, "new", "en", "a", 0)], SCHEMA).repartition(2)
+        found = {r["id"]: (r["keep_id"], r["group_size"]) for r in exact_dedup.exact_dedup(more, state=state, batch_bytes=1).collect()}
+        assert found == {900: (900, 3), 901: (901, 1)}
+    finally:
+        spark.conf.set(name, old)
+
+
 def test_exact_dedup_finds_other_bytes_of_earlier_deliveries(spark, tmp_path):
     state = str(tmp_path / "state")
     exact_dedup.exact_dedup(spark.createDataFrame([(k, f"text {k}") for k in range(400)], "doc_id long, text string"), state=state, digest_bytes=1).collect()
@@ -167,6 +185,12 @@ def test_near_duplicates(docs, rows, empty):
     assert near_duplicates.near_duplicates(empty).count() == 0
 
 
+def test_text_ids(spark):
+    rows = [("b-2", " ".join(f"w{k}" for k in range(40)), "en", "a", 0), ("a-1", " ".join(f"w{k}" for k in range(41)), "en", "a", 0), ("c", "else", "en", "a", 0)]
+    df = spark.createDataFrame(rows, SCHEMA.replace("doc_id long", "doc_id string"))
+    assert {r["id"]: (r["class_id"], r["n_links"]) for r in near_duplicates.near_duplicates(df).collect()} == {"b-2": ("a-1", 1), "a-1": ("a-1", 1), "c": ("c", 0)}
+
+
 def test_large_groups_are_cut_into_blocks(spark):
     rng = np.random.default_rng(3)
     base = [f"w{k}" for k in range(300)]
@@ -297,6 +321,35 @@ def test_recall_of_near_copies(spark, edits, reported, marked):
     assert not any(removed[d] for d, _, _, _ in planted)  # the first copy stays whole
 
 
+@pytest.mark.parametrize("texts", [[None, None], ["", " "], ["a few words", "a few words"], [None, "", "short", "short"]])
+def test_texts_without_a_paragraph(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert passages.repeats(df).count() == 0
+    assert sorted(map(tuple, passages.drop_repeats(df).collect())) == list(enumerate(texts))
+
+
+def test_short_texts_among_long_ones(spark, monkeypatch):
+    """Slabs of short texts only, between slabs of long ones."""
+    monkeypatch.setattr(passages._slabs, "__defaults__", (3,))
+    passage = " ".join(f"p{k}" for k in range(60))
+    texts = [passage, *["a b c"] * 5, None, "", *["d e f"] * 4, passage.replace("p", "q")]
+    batch = pa.RecordBatch.from_pydict({"id": list(range(len(texts))), "loc": list(range(len(texts))), "tag": pa.array(range(len(texts)), pa.int32()), "text": texts})
+    p = passages.Paragraphs()
+    assert {i for b in passages._places([batch], p) for i in b["id"].to_pylist()} == {0, len(texts) - 1}
+    assert {t for b in passages._banded([batch], p) for t in b["tag"].to_pylist()} == {0, len(texts) - 1}
+
+
+@pytest.mark.parametrize("odd", ["İ", "İstanbul", "ß", "ΟΔΟΣ", "aİİb"])
+def test_letters_that_grow_in_lower_case(spark, odd):
+    passage, tail = " ".join(f"p{k}" for k in range(60)), " ".join(f"t{k}" for k in range(40))
+    texts = [passage, f"{odd} {odd}! {passage} {odd} {tail}"]
+    kept = {r["doc_id"]: r["text"] for r in passages.drop_repeats(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert kept == {0: passage, 1: f"{odd} {odd}!  {odd} {tail}"}
+    for t in (texts[1], f"İ{odd}x İ", odd):
+        at, low = passages.word_spans(t), split_words(t)
+        assert len(at) == len(low) and all(w in t[s:e].lower() and len(t[s:e].lower()) <= len(w) + 1 for (s, e), w in zip(at, low, strict=True))
+
+
 def test_repeats_within_one_text(spark):
     rng = np.random.default_rng(5)
     once = [f"o{k}" for k in rng.integers(0, 1000, 60)]
@@ -513,33 +566,11 @@ def _remembered(batches):
         yield b.from_pydict({"n": [len(words._HASHES)] * b.num_rows})
 
 
-def _hashing(batches):
-    from cleanloom.llm import words
-
-    for b in batches:
-        for t in b["text"].to_pylist():
-            words.hashed(words.split_words(t))
-        yield b.from_pydict({"n": [len(words._HASHES)]})
-
-
 def test_workers_forget_between_steps(spark):
     """What a step's Python workers remember does not stay beside the next step's."""
     near_duplicates.ship(spark)
     docs = spark.range(0, 400, 1, 4).selectExpr("id as doc_id", "concat_ws(' ', 'some words of text', id, id * 7) as text")
     assert near_duplicates.near_duplicates(docs).count() == 400
-    common.release(spark)
-    kept = spark.range(0, 4, 1, 4).selectExpr("id as n").mapInArrow(_remembered, "n long").collect()
-    assert [r["n"] for r in kept] == [0] * 4
-
-
-@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no tables")
-@pytest.mark.parametrize("name", ["toxicity", "weighted_mixing", "best_fit_packing"])
-def test_stages_begin_with_small_workers(spark, name):
-    """What Python workers remember goes when a stage of the pipeline begins, whoever wrote the stage before it. (These stages use no hashes.)"""
-    near_duplicates.ship(spark)
-    docs = spark.range(0, 400, 1, 4).selectExpr("id as doc_id", "concat_ws(' ', 'some words of text', id, id * 7) as text", "'en' as lang", "'a' as source", "id as n_chars")
-    assert sum(r["n"] for r in docs.select("text").mapInArrow(_hashing, "n long").collect()) > 0
-    dict(corpus_pipeline.STAGES)[name](spark, docs, "/root/testdata/sf0.001")
     kept = spark.range(0, 4, 1, 4).selectExpr("id as n").mapInArrow(_remembered, "n long").collect()
     assert [r["n"] for r in kept] == [0] * 4
 
