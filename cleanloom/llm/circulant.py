@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from ..shipping import ship
 from .common import group_starts, partitions, stage, unstage, whole_groups
 from .components import components
-from .exact_dedup import FILTERS, located, settings
+from .exact_dedup import FILTERS, located, settings, texts_at
 from .near_duplicates import commons
 from .words import hashed_lines, mix, shingles
 
@@ -211,7 +211,7 @@ def circulant_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     dealt = dealt.select("of.middle", F.when(F.col("a") == F.col("of.middle"), F.col("b")).otherwise(F.col("a")).alias("uid"), parts.alias("parts"))
     dealt = stage(dealt.select("middle", "uid", F.pmod(F.xxhash64("uid"), "parts").cast("int").alias("part")), "circulant-dealt", 10_000)
     middles = dealt.select("middle", "part").distinct().select("middle", F.col("middle").alias("uid"), "part")
-    sets = _sets(scan, file, row, text_col, counts, how)
+    sets = _sets(scan, text_col, counts, how)
     stars = dealt.unionByName(middles).join(sets.select("uid", "shingles"), "uid").withColumn("other", F.col("uid") != F.col("middle"))
     stars = stars.repartition(partitions(spark), "middle", "part").sortWithinPartitions("middle", "part", "other")
     linked = stage(stars.mapInArrow(lambda it: _against(it, how), "a long, b long"), "circulant-linked", SETS)
@@ -244,9 +244,8 @@ def circulant_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     return out.select("id", F.col("length").alias("n_shingles"), component.alias("component_id"), (alone | first.eqNullSafe(F.col("head"))).alias("first"))
 
 
-def _sets(scan: DataFrame, file: Column, row: Column, text_col: str, places: DataFrame, how: Circulant) -> DataFrame:
+def _sets(scan: DataFrame, text_col: str, places: DataFrame, how: Circulant) -> DataFrame:
     """The shingle sets of places (uid, f, r), a staged table: of known size, it is broadcast to the scan if it is small."""
-    whole = scan.select(file.alias("file"), row.alias("row"), scan[text_col].cast("string").alias("text"))
     with settings(scan.sparkSession, FILTERS):
-        met = places.where("r >= 0").join(whole, (F.col("f") == F.col("file")) & (F.col("r") == F.col("row"))).select("uid", "text")
+        met = texts_at(scan, text_col, places, "uid")
         return stage(met.mapInArrow(lambda it: _shingled(it, how), "uid long, shingles binary"), "circulant-sets", SETS)

@@ -191,6 +191,16 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return verdict.join(collided, "key", "left_anti").drop("key").unionByName(again)
 
 
+def texts_at(scan: DataFrame, text_col: str, places: DataFrame, *columns: str) -> DataFrame:
+    """The columns of places (f, r and others) with the text of the scan's row r of file f. Both sides have a hash of the place too: under FILTERS,
+    Spark's Bloom filter of it keeps texts that are not asked for out of the shuffle, which filters of files and of rows by themselves could not.
+    The side to be filtered comes first."""
+    _, file, row = located(scan)
+    whole = scan.select(file.alias("file"), row.alias("row"), scan[text_col].cast("string").alias("text"))
+    same = (F.xxhash64("f", "r") == F.xxhash64("file", "row")) & (F.col("f") == F.col("file")) & (F.col("r") == F.col("row"))
+    return whole.join(places.where("r >= 0"), same).select(*columns, "text")
+
+
 def without(scan: DataFrame, dropped: DataFrame) -> DataFrame:
     """scan without the rows of dropped (file, row); columns as they were. What is dropped is written first: of known size, it is
     broadcast to the scan if it is small."""

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from ..shipping import ship
 from .common import forget, group_starts, partitions, stage, tidy, unstage, whole_groups
 from .components import components
-from .exact_dedup import FILTERS, located, settings, without
+from .exact_dedup import FILTERS, located, settings, texts_at, without
 from .words import hashed, mix, shingles, split_words
 
 
@@ -251,9 +251,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = stage(components(loose), "near-members")
     at = members.join(classes, F.col("node") == F.col("uid")).select("root", "uid", "n", "code", F.col("first.file").alias("f"), F.col("first.row").alias("r"))
     at = stage(at, "near-at", 10_000)  # of known size, so that it is broadcast to the texts if it is small
-    whole = scan.select(file.alias("file"), row.alias("row"), scan[text_col].cast("string").alias("text"))
     with settings(docs.sparkSession, FILTERS):
-        met = at.where("r >= 0").join(whole, (F.col("f") == F.col("file")) & (F.col("r") == F.col("row"))).select("root", "uid", "n", "code", "text")
+        met = texts_at(scan, text_col, at, "root", "uid", "n", "code")
         sets = stage(met.mapInArrow(lambda it: _shingled(it, join), "root long, uid long, n long, code binary, length long, shingles binary"), "near-sets")
     sizes = sets.groupBy("root").agg(F.greatest(F.ceil(F.count("*") / join.block), F.ceil(F.sum("length") / join.block_shingles)).alias("cut"))
     sizes = stage(sizes, "near-sizes", 10_000)
