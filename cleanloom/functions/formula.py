@@ -1,90 +1,273 @@
-"""Formulas of derived columns, compiled from an allow-list of Python's expression grammar to one Column."""
+"""Formulas of derived columns: an allow-list of Python's expression grammar, typed from the leaves up, compiled to one Column.
+
+Every part of a formula has a kind (int, float, bool, str, time). What does not fit together, as a text beside a number, is a
+SchemaError when the formula is compiled, before any row is read; no formula can fail on a row. Whole numbers stay exact in 64 bits, and
+what goes beyond them is null. `/`, `//` and `%` give doubles: by zero they are infinite (`%`, and zero by zero: not a number), otherwise
+`//` rounds down and `%` has the sign of its right side, both exact for whole numbers. Not a number equals nothing and is in no order.
+"""
 
 from __future__ import annotations
 
 import ast
+import datetime as dt
 import operator
 from collections.abc import Callable, Mapping
+from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..errors import SchemaError
 
-#: functions of formulas, by their number of arguments
-ONE = {k: k for k in ("abs", "sqrt", "exp", "log", "log10", "log1p", "expm1", "sin", "cos", "tan", "sinh", "cosh", "tanh", "floor", "ceil")}
-ONE |= {f"arc{k}": f"a{k}" for k in ("sin", "cos", "tan", "sinh", "cosh", "tanh")}
-FUNCTIONS: dict[str, tuple[int, Callable[..., Column]]] = {k: (1, getattr(F, f)) for k, f in ONE.items()} | {"arctan2": (2, F.atan2)}
+NAN, INF, LONG = float("nan"), float("inf"), 1 << 63
+#: kinds of declared types' families, and of Spark's types
+FAMILY_KINDS = {"string": "str", "int": "int", "numeric": "float", "money": "float", "bit": "bool", "date": "time", "datetime": "time", "time": "time"}
+SPARK_KINDS = {k: "int" for k in ("tinyint", "smallint", "int", "bigint")} | {"float": "float", "double": "float", "boolean": "bool", "string": "str", "date": "time", "timestamp": "time", "timestamp_ntz": "time"}
+
+
+def kinds_of(df: DataFrame) -> dict[str, str]:
+    return {c: SPARK_KINDS.get(k, "float" if k.startswith("decimal") else k) for c, k in df.dtypes}
+
+
+@dataclass(frozen=True)
+class Part:
+    column: Column
+    kind: str
+
+    @property
+    def double(self) -> Column:
+        return self.column.cast("double")
+
+    @property
+    def whole(self) -> Column:
+        return self.column.cast("bigint")
+
+
+def _by_zero(a: Column) -> Column:
+    return F.when((a == 0) | F.isnan(a), NAN).otherwise(F.signum(a) * INF)
 
 
 def divide(a: Column, b: Column) -> Column:
     """Of doubles; by zero it is infinite, and zero by zero is not a number."""
     a, b = a.cast("double"), b.cast("double")
-    by_zero = F.when((a == 0) | F.isnan(a), float("nan")).otherwise(F.signum(a) * float("inf"))
-    return F.when(a.isNotNull() & (b == 0), by_zero).otherwise(a / b)
+    return F.when(a.isNotNull() & (b == 0), _by_zero(a)).otherwise(a / F.when(b != 0, b))
+
+
+def _rest(a: Column, b: Column) -> Column:
+    """What a has beyond a multiple of b, which is not zero, with b's sign."""
+    r = a % b
+    return F.when((r != 0) & ((r < 0) != (b < 0)), r + b).otherwise(r)
+
+
+def floor_divide(a: Part, b: Part) -> Column:
+    if {a.kind, b.kind} <= {"int", "bool"}:
+        x, y = a.whole, b.whole
+        d = F.when((y != 0) & (y != -1), y)  # -1 would take the least number beyond 64 bits
+        r = x % d
+        down = F.call_function("div", x, d) - F.when((r != 0) & ((r < 0) != (d < 0)), 1).otherwise(0)
+        return F.when(x.isNotNull() & (y == 0), _by_zero(x.cast("double"))).when(y == -1, 0.0 - x.cast("double")).otherwise(down.cast("double"))
+    x, y = a.double, b.double
+    d = F.when(y != 0, y)
+    return F.when(x.isNotNull() & (y == 0), _by_zero(x)).otherwise(F.rint((x - _rest(x, d)) / d))
+
 
+def modulo(a: Part, b: Part) -> Column:
+    whole = {a.kind, b.kind} <= {"int", "bool"}
+    x, y = (a.whole, b.whole) if whole else (a.double, b.double)
+    d = F.when((y != 0) & (y != -1), y) if whole else F.when(y != 0, y)
+    rest = _rest(x, d).cast("double")
+    return F.when(x.isNotNull() & (y == 0), NAN).when((y == -1) & F.lit(whole) & x.isNotNull(), 0.0).otherwise(rest)
 
-_BINARY = {
-    ast.Add: operator.add, ast.Sub: operator.sub, ast.Mult: operator.mul, ast.Div: divide,
-    ast.FloorDiv: lambda a, b: F.floor(divide(a, b)), ast.Mod: lambda a, b: a - b * F.floor(divide(a, b)), ast.Pow: F.pow,
-    ast.BitAnd: operator.and_, ast.BitOr: operator.or_,
+
+def _arithmetic(of_whole: Callable, of_doubles: Callable) -> Callable[[Part, Part], Part]:
+    def apply(a: Part, b: Part) -> Part:
+        if {a.kind, b.kind} <= {"int", "bool"}:
+            return Part(of_whole(_long(a), _long(b)), "int")
+        return Part(of_doubles(a.double, b.double), "float")
+
+    return apply
+
+
+def _long(p: Part) -> Column:
+    return p.column.cast("int").cast("bigint") if p.kind == "bool" else p.whole
+
+
+def _bits(join: Callable, of_bits: str) -> Callable[[Part, Part], Part | None]:
+    def apply(a: Part, b: Part) -> Part | None:
+        if a.kind == b.kind == "bool":
+            return Part(join(a.column, b.column), "bool")
+        return Part(getattr(a.whole, of_bits)(b.whole), "int") if a.kind == b.kind == "int" else None
+
+    return apply
+
+
+NUMBERS = ("int", "float", "bool")
+_BINARY: dict[type, Callable[[Part, Part], Part]] = {
+    ast.Add: _arithmetic(F.try_add, operator.add), ast.Sub: _arithmetic(F.try_subtract, operator.sub), ast.Mult: _arithmetic(F.try_multiply, operator.mul),
+    ast.Div: lambda a, b: Part(divide(a.column, b.column), "float"), ast.FloorDiv: lambda a, b: Part(floor_divide(a, b), "float"),
+    ast.Mod: lambda a, b: Part(modulo(a, b), "float"), ast.Pow: lambda a, b: Part(F.pow(a.double, b.double), "float"),
 }
+_BITS = {ast.BitAnd: _bits(operator.and_, "bitwiseAND"), ast.BitOr: _bits(operator.or_, "bitwiseOR")}
 _COMPARE = {ast.Eq: operator.eq, ast.NotEq: operator.ne, ast.Lt: operator.lt, ast.LtE: operator.le, ast.Gt: operator.gt, ast.GtE: operator.ge}
 
 
-def compile_formula(formula: str, columns: Mapping[str, Column]) -> Column:
+def _negative(p: Part) -> Part:
+    return Part(F.try_subtract(F.lit(0).cast("bigint"), p.whole), "int") if p.kind == "int" else Part(-p.double, "float")
+
+
+def _absolute(p: Part) -> Part:
+    return Part(F.when(p.whole < 0, _negative(p).column).otherwise(p.whole), "int") if p.kind == "int" else Part(F.abs(p.double), "float")
+
+
+def _rounded(f: Callable[[Column], Column]) -> Callable[[Part], Part]:
+    """Beyond 2 ** 53 a double is whole; floor and ceil would give 64 bits."""
+    return lambda p: p if p.kind == "int" else Part(F.when(F.abs(p.double) < float(1 << 53), f(p.double).cast("double")).otherwise(p.double), "float")
+
+
+def _logarithm(f: Callable[[Column], Column], least: int) -> Callable[[Part], Part]:
+    """At its least value a logarithm is minus infinity, below it not a number; Spark's is null."""
+    return lambda p: Part(F.when(p.double == least, -INF).when(p.double < least, NAN).otherwise(f(p.double)), "float")
+
+
+def _plain(f: Callable[..., Column]) -> Callable[..., Part]:
+    return lambda *p: Part(f(*(x.double for x in p)), "float")
+
+
+#: functions of formulas, by their number of arguments
+FUNCTIONS: dict[str, tuple[int, Callable[..., Part]]] = {k: (1, _plain(getattr(F, k))) for k in ("sqrt", "exp", "expm1", "sin", "cos", "tan", "sinh", "cosh", "tanh")}
+FUNCTIONS |= {f"arc{k}": (1, _plain(getattr(F, f"a{k}"))) for k in ("sin", "cos", "tan", "sinh", "cosh", "tanh")}
+FUNCTIONS |= {"arctan2": (2, _plain(F.atan2)), "abs": (1, _absolute), "floor": (1, _rounded(F.floor)), "ceil": (1, _rounded(F.ceil))}
+FUNCTIONS |= {"log": (1, _logarithm(F.log, 0)), "log10": (1, _logarithm(F.log10, 0)), "log1p": (1, _logarithm(F.log1p, -1))}
+
+
+def _constant(value: object) -> Part:
+    if isinstance(value, bool):
+        return Part(F.lit(value), "bool")
+    if isinstance(value, str):
+        return Part(F.lit(value), "str")
+    if isinstance(value, int) and -LONG <= value < LONG:
+        return Part(F.lit(value).cast("bigint"), "int")
+    return Part(F.lit(float(value)), "float")
+
+
+class _Compiler(ast.NodeVisitor):
+    def __init__(self, formula: str, columns: Mapping[str, Column], kinds: Mapping[str, str]):
+        self.formula, self.columns, self.kinds = formula, columns, kinds
+
+    def refuse(self, why: str) -> None:
+        raise SchemaError(f"Formula {self.formula!r} {why}")
+
+    def generic_visit(self, node: ast.AST) -> Part:
+        self.refuse(f"uses {type(node).__name__}, which formulas do not have")
+
+    def number(self, p: Part, what: str) -> Part:
+        if p.kind not in NUMBERS:
+            self.refuse(f"has a {p.kind} where {what} needs a number")
+        return p
+
+    def truth(self, p: Part, what: str) -> Column:
+        if p.kind != "bool":
+            self.refuse(f"has a {p.kind} where {what} needs a condition")
+        return p.column
+
+    def visit_Constant(self, node: ast.Constant) -> Part:
+        return _constant(node.value) if isinstance(node.value, bool | int | float | str) else self.generic_visit(node)
+
+    def visit_Name(self, node: ast.Name) -> Part:
+        if node.id not in self.columns:
+            self.refuse(f"names the unknown column {node.id}")
+        return Part(self.columns[node.id], self.kinds.get(node.id, "float"))
+
+    def visit_BinOp(self, node: ast.BinOp) -> Part:
+        a, b, op = self.visit(node.left), self.visit(node.right), type(node.op)
+        if op in _BITS:
+            return _BITS[op](a, b) or self.refuse(f"joins a {a.kind} and a {b.kind}")
+        if op is ast.Add and a.kind == b.kind == "str":
+            return Part(F.concat(a.column, b.column), "str")
+        if op not in _BINARY:
+            return self.generic_visit(node.op)
+        return _BINARY[op](self.number(a, op.__name__), self.number(b, op.__name__))
+
+    def visit_UnaryOp(self, node: ast.UnaryOp) -> Part:
+        p = self.visit(node.operand)
+        if isinstance(node.op, ast.USub):
+            return _negative(self.number(p, "a sign"))
+        if isinstance(node.op, ast.UAdd):
+            return self.number(p, "a sign")
+        if isinstance(node.op, ast.Invert) and p.kind == "int":
+            return Part(F.bitwise_not(p.whole), "int")
+        return Part(~self.truth(p, "not"), "bool")
+
+    def visit_BoolOp(self, node: ast.BoolOp) -> Part:
+        join = operator.and_ if isinstance(node.op, ast.And) else operator.or_
+        out, *rest = [self.truth(self.visit(v), type(node.op).__name__.lower()) for v in node.values]
+        for c in rest:
+            out = join(out, c)
+        return Part(out, "bool")
+
+    def compare(self, op: ast.cmpop, a: Part, b: Part) -> Column:
+        if type(op) not in _COMPARE:
+            self.generic_visit(op)
+        if {a.kind, b.kind} <= set(NUMBERS):
+            whole = "float" not in (a.kind, b.kind)
+            x, y = (_long(a), _long(b)) if whole else (a.double, b.double)
+            found = _COMPARE[type(op)](x, y)
+            if whole:
+                return found
+            odd = F.isnan(x) | F.isnan(y)
+            return found | odd if isinstance(op, ast.NotEq) else found & ~odd
+        if a.kind != b.kind:
+            self.refuse(f"compares a {a.kind} with a {b.kind}")
+        return _COMPARE[type(op)](a.column, b.column)
+
+    def side(self, node: ast.AST, other: ast.AST) -> Part:
+        """A side of a comparison; a text beside a time is a time."""
+        p = self.visit(node)
+        if isinstance(node, ast.Constant) and p.kind == "str" and self.visit(other).kind == "time":
+            try:
+                return Part(F.lit(dt.datetime.fromisoformat(node.value)).cast("timestamp_ntz"), "time")
+            except ValueError:
+                self.refuse(f"compares a time with {node.value!r}")
+        return p
+
+    def visit_Compare(self, node: ast.Compare) -> Part:
+        sides, out = [node.left, *node.comparators], None
+        for op, a, b in zip(node.ops, sides, sides[1:], strict=False):
+            if isinstance(op, ast.In | ast.NotIn) and isinstance(b, ast.List | ast.Tuple):
+                one = F.lit(False)
+                for x in b.elts:
+                    if not isinstance(x, ast.Constant):
+                        self.generic_visit(x)
+                    one = one | self.compare(ast.Eq(), self.side(a, x), self.side(x, a))
+                one = ~one if isinstance(op, ast.NotIn) else one
+            else:
+                one = self.compare(op, self.side(a, b), self.side(b, a))
+            out = one if out is None else out & one
+        return Part(out, "bool")
+
+    def visit_Call(self, node: ast.Call) -> Part:
+        name = node.func.id if isinstance(node.func, ast.Name) else None
+        if name not in FUNCTIONS or node.keywords or len(node.args) != FUNCTIONS[name][0]:
+            return self.generic_visit(node)
+        return FUNCTIONS[name][1](*(self.number(self.visit(x), name) for x in node.args))
+
+
+def typed(formula: str, columns: Mapping[str, Column], kinds: Mapping[str, str] | None = None) -> Part:
+    """The formula's Column and kind. kinds: of the columns; what is not named is a number (float)."""
     try:
         tree = ast.parse(formula, mode="eval").body
-    except SyntaxError as e:
+    except (SyntaxError, ValueError, RecursionError) as e:
         raise SchemaError(f"Formula {formula!r} is not an expression") from e
+    return _Compiler(formula, columns, kinds or {}).visit(tree)
+
+
+def compile_formula(formula: str, columns: Mapping[str, Column], kinds: Mapping[str, str] | None = None) -> Column:
+    return typed(formula, columns, kinds).column
+
 
-    def refuse(node: ast.AST) -> Column:
-        raise SchemaError(f"Formula {formula!r} uses {type(node).__name__}, which formulas do not have")
-
-    def walk(node: ast.AST) -> Column:
-        match node:
-            case ast.Constant(value=bool() | int() | float() | str()):
-                return F.lit(node.value)
-            case ast.Name(id=name):
-                if name not in columns:
-                    raise SchemaError(f"Formula {formula!r} names the unknown column {name}")
-                return columns[name]
-            case ast.BinOp() if type(node.op) in _BINARY:
-                return _BINARY[type(node.op)](walk(node.left), walk(node.right))
-            case ast.UnaryOp(op=ast.USub()):
-                return -walk(node.operand)
-            case ast.UnaryOp(op=ast.UAdd()):
-                return walk(node.operand)
-            case ast.UnaryOp(op=ast.Not() | ast.Invert()):
-                return ~walk(node.operand)
-            case ast.BoolOp():
-                join = operator.and_ if isinstance(node.op, ast.And) else operator.or_
-                out = walk(node.values[0])
-                for v in node.values[1:]:
-                    out = join(out, walk(v))
-                return out
-            case ast.Compare():
-                sides, out = [node.left, *node.comparators], None
-                for op, a, b in zip(node.ops, sides, sides[1:], strict=False):
-                    if isinstance(op, ast.In | ast.NotIn) and isinstance(b, ast.List | ast.Tuple):
-                        one = walk(a).isin(*(x.value if isinstance(x, ast.Constant) else refuse(x) for x in b.elts))
-                        one = ~one if isinstance(op, ast.NotIn) else one
-                    elif type(op) in _COMPARE:
-                        one = _COMPARE[type(op)](walk(a), walk(b))
-                    else:
-                        refuse(op)
-                    out = one if out is None else out & one
-                return out
-            case ast.Call(func=ast.Name(id=name), args=args, keywords=[]) if name in FUNCTIONS and len(args) == FUNCTIONS[name][0]:
-                return FUNCTIONS[name][1](*map(walk, args))
-        return refuse(node)
-
-    return walk(tree)
-
-
-def derived(formula: str, depends_on: list[str], columns: Mapping[str, Column]) -> Column:
+def derived(formula: str, depends_on: list[str], columns: Mapping[str, Column], kinds: Mapping[str, str] | None = None) -> Column:
     """The formula where all columns it depends on have a value, null elsewhere."""
-    value = compile_formula(formula, columns)
+    value = compile_formula(formula, columns, kinds)
     for name in depends_on:
         value = F.when(columns[name].isNotNull(), value)
     return value

@@ -16,10 +16,11 @@ from ..config import ColumnConfig, Settings
 from ..errors import CleanerError, ExtractorError, ValidatorError, Where
 from ..functions import cleaners
 from ..functions.datetimes import Dates, with_dates
-from ..functions.formula import derived
+from ..functions.formula import FAMILY_KINDS, derived
 from ..functions.strings import NA_CELLS, NULL_WORDS, map_values, null_if, phone_e164, strip
 from ..operators.audit import changes, null_counts, null_pivot
 from ..operators.relations import mark_duplicates, orphans
+from ..operators.row_runs import KEYS, first_rows, row_runs
 from ..operators.rules import Rule, column_rules, severity
 
 ROW = "__row"
@@ -222,7 +223,9 @@ def _transformed(c: ColumnConfig, columns: Mapping[str, ColumnConfig], raw: list
         value = phone_e164(value, v.allow_local, v.dialling_prefix)
     if v and v.formula:
         names = {x: F.col(x) for x in raw} | {d: F.col(f"__pre_{d}") for d in v.depends_on if d in columns}
-        value = derived(v.formula.lower() if not any(x in v.formula for x in names) else v.formula, list(v.depends_on), names).cast(c.type.spark)
+        kinds = dict.fromkeys(raw, "str") | {d: FAMILY_KINDS.get(columns[d].type.family, "bytes") for d in v.depends_on if d in columns}
+        formula = v.formula.lower() if not any(x in v.formula for x in names) else v.formula
+        value = derived(formula, list(v.depends_on), names, kinds).try_cast(c.type.spark)
     return value
 
 
@@ -248,9 +251,7 @@ def foreign_key_issues(plans: Mapping[str, TablePlan]) -> DataFrame | None:
 
 
 def summary(issues: DataFrame, most_rows: int = 20) -> DataFrame:
-    """Issues by column and rule: how many, and the first of their rows in order. Partial results keep `most_rows` rows each."""
-    first = F.slice(F.array_sort(F.collect_set(F.when(F.col("rank") <= most_rows, F.col("row")))), 1, most_rows)
-    ranked = issues.withColumn("rank", F.row_number().over(Window.partitionBy("table", "column", "rule").orderBy("row")))
-    top = ranked.where(F.col("rank") <= most_rows).groupBy("table", "column", "rule").agg(first.alias("first_rows"))
-    counts = issues.groupBy("table", "column", "rule", "severity").agg(F.count("*").alias("n"))
-    return counts.join(top, ["table", "column", "rule"])
+    """Issues by column and rule: how many, and the first of their rows in order. All their rows are in `row_runs`, of which this is a view."""
+    top = first_rows(row_runs(issues), most=most_rows)
+    counts = issues.groupBy(*KEYS).agg(F.count("*").alias("n"))
+    return counts.join(top, list(KEYS))
