@@ -16,15 +16,18 @@ from .config import Config, parse_config, problems
 from .errors import PipelineError
 from .functions import cleaners, strings
 from .functions.datetimes import with_dates
-from .functions.formula import compile_formula, derived
+from .functions.formula import compile_formula, derived, kinds_of
 from .operators import rules
 from .operators.audit import null_pivot
 from .operators.relations import mark_duplicates, mark_orphans, orphans
+from .operators.row_runs import row_runs, run_lists
 from .plans.engine import RunResult, run
 from .plans.table import ROW, TablePlan, plan_table, summary
 from .sources import sinks
 from .sources.spreadsheet import read_sheet
 from .sources.tables import read_csv, with_ordinal
+from .sources.workbook_source import NAME as XLSX
+from .sources.workbook_source import register
 from .staging import new_path
 from .types import parse_type
 
@@ -376,6 +379,26 @@ def issue_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("column").alias("col"), F.col("rule").alias("rulename"), "severity", "n", F.array_join(F.col("first_rows").cast("array<string>"), ",").alias("first_rows"))
 
 
+ISLANDS = f"""(SELECT *, rownum - dense_rank() OVER (PARTITION BY col, rulename, severity ORDER BY rownum) AS island FROM {ISSUES})"""
+
+
+@query(f"""SELECT col, rulename, severity, min(rownum) AS first_row, max(rownum) AS last_row
+FROM {ISLANDS} GROUP BY col, rulename, severity, island""")
+def issue_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows of every issue, as runs of consecutive rows; blocks are small here, so that runs are stitched."""
+    runs = row_runs(_orders(spark, sf_dir).issues(), block=100)
+    return runs.select(F.col("column").alias("col"), F.col("rule").alias("rulename"), "severity", F.col("first").alias("first_row"), F.col("last").alias("last_row"))
+
+
+@query(f"""SELECT col, rulename, severity, first_row // 1000 * 1000 AS chunk, CAST(sum(last_row - first_row + 1) AS BIGINT) AS n,
+string_agg(CASE WHEN first_row = last_row THEN CAST(first_row AS VARCHAR) ELSE first_row || '-' || last_row END, ', ' ORDER BY first_row) AS row_list
+FROM (SELECT col, rulename, severity, min(rownum) AS first_row, max(rownum) AS last_row FROM {ISLANDS} GROUP BY col, rulename, severity, island) GROUP BY ALL""")
+def issue_row_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as text, a thousand row numbers a line."""
+    lists = run_lists(row_runs(_orders(spark, sf_dir).issues()), span=1000)
+    return lists.select(F.col("column").alias("col"), F.col("rule").alias("rulename"), "severity", "chunk", "n", F.col("rows").alias("row_list"))
+
+
 _KEPT = f"NOT coalesce({DATE_BROKEN}, false)"
 _NULLS = {
     "order_id": ("0 * count(*)",) * 4,
@@ -540,6 +563,19 @@ def workbook_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.unionByName(second)
 
 
+@query("""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_returnflag, CAST(l_shipdate AS VARCHAR) AS shipped FROM lineitem""")
+def workbook_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All lines as a sheet, written by several tasks and scanned by several others."""
+    path = f"{new_path(spark, 'scan')}.xlsx"
+    register(spark)
+    kept = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_returnflag", "l_shipdate")
+    lines = table(spark, sf_dir, "lineitem").select(*kept).repartition(8, "l_orderkey")
+    lines.withColumn("l_shipdate", F.col("l_shipdate").cast("string")).write.format(XLSX).option("sheet", "lines").mode("overwrite").save(path)
+    back = spark.read.format(XLSX).option("sheet", "lines").option("split_bytes", 2 << 20).load(path)
+    numbers = {"l_orderkey": "bigint", "l_linenumber": "int", "l_partkey": "bigint", "l_suppkey": "bigint", "l_quantity": "double", "l_extendedprice": "double", "l_returnflag": "string"}
+    return back.select(*(F.col(c).cast(k).alias(c) for c, k in numbers.items()), F.col("l_shipdate").alias("shipped"))
+
+
 @query("SELECT kind, CAST(r_regionkey AS VARCHAR) AS r_regionkey, r_name FROM region CROSS JOIN (VALUES ('csv'), ('excel'), ('parquet')) AS k(kind)")
 def load_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One table through three sinks at once, each read again."""
@@ -659,7 +695,35 @@ FORMULAS = {"angle": f"arctan2({DEPTH}, l_tax + 1)", "hyper": f"tanh({DEPTH}) +
 def formula_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = table(spark, sf_dir, "lineitem")
     names = {c: F.col(c) for c in df.columns}
-    return df.select("l_orderkey", "l_linenumber", *(F.round(compile_formula(f, names), 9).alias(n) for n, f in FORMULAS.items()))
+    return df.select("l_orderkey", "l_linenumber", *(F.round(compile_formula(f, names, kinds_of(df)), 9).alias(n) for n, f in FORMULAS.items()))
+
+
+#: formulas over whole numbers a, b (b often zero) and big ones, c near 64 bits, doubles x, y; what no double holds is null in SQL's own way
+CORNERS = {
+    "by": ("a // b", "CASE WHEN b = 0 THEN CASE WHEN a > 0 THEN 'inf'::DOUBLE WHEN a < 0 THEN '-inf'::DOUBLE ELSE 'nan'::DOUBLE END ELSE CAST(a // b - CASE WHEN a % b <> 0 AND (a < 0) <> (b < 0) THEN 1 ELSE 0 END AS DOUBLE) END"),
+    "rest": ("a % b", "CASE WHEN b = 0 THEN 'nan'::DOUBLE WHEN a % b <> 0 AND (a % b < 0) <> (b < 0) THEN CAST(a % b + b AS DOUBLE) ELSE CAST(a % b AS DOUBLE) END"),
+    "ratio": ("a / b", "CASE WHEN b = 0 THEN CASE WHEN a > 0 THEN 'inf'::DOUBLE WHEN a < 0 THEN '-inf'::DOUBLE ELSE 'nan'::DOUBLE END ELSE CAST(a AS DOUBLE) / CAST(b AS DOUBLE) END"),
+    "twice": ("c + c", "TRY_CAST(CAST(c AS HUGEINT) + c AS BIGINT)"),
+    "product": ("c * a", "TRY_CAST(CAST(c AS HUGEINT) * a AS BIGINT)"),
+    "less": ("-c - a", "TRY_CAST(-CAST(c AS HUGEINT) - a AS BIGINT)"),
+    "power": ("x ** 2 + abs(a)", "x * x + abs(a)"),
+    "curve": ("log(x)", "CASE WHEN x = 0 THEN '-inf'::DOUBLE WHEN x < 0 THEN 'nan'::DOUBLE ELSE round(ln(x), 9) END"),
+    "holds": ("a > b and not (a in [1, 2]) or c == 0", "a > b AND NOT (a IN (1, 2)) OR c = 0"),
+}
+CORNER_ROWS = """SELECT l_orderkey, l_linenumber, CAST(l_partkey % 7 - 3 AS BIGINT) AS a, CAST(l_suppkey % 3 - 1 AS BIGINT) AS b,
+(9223372036854775807 - l_orderkey) * CASE WHEN l_partkey % 2 = 0 THEN 1 ELSE -1 END AS c, CAST(l_suppkey % 5 - 2 AS DOUBLE) AS x FROM lineitem"""
+
+
+@query(f"SELECT l_orderkey, l_linenumber, {', '.join(f'{sql} AS {n}' for n, (_, sql) in CORNERS.items())} FROM ({CORNER_ROWS})")
+def formula_corners(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Formulas divided by zero, beyond 64 bits and out of a function's range, over every line."""
+    df = table(spark, sf_dir, "lineitem")
+    sign = F.when(F.col("l_partkey") % 2 == 0, 1).otherwise(-1)
+    a, b = (F.col("l_partkey") % 7 - 3).cast("bigint"), (F.col("l_suppkey") % 3 - 1).cast("bigint")
+    df = df.select("l_orderkey", "l_linenumber", a.alias("a"), b.alias("b"), ((F.lit((1 << 63) - 1) - F.col("l_orderkey")) * sign).alias("c"), (F.col("l_suppkey") % 5 - 2).cast("double").alias("x"))
+    names, kinds = {c: F.col(c) for c in df.columns}, kinds_of(df)
+    made = {n: compile_formula(f, names, kinds) for n, (f, _) in CORNERS.items()}
+    return df.select("l_orderkey", "l_linenumber", *((F.round(c, 9) if n == "curve" else c).alias(n) for n, c in made.items()))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -1,134 +1,49 @@
-"""XLSX workbooks, read through Spark's binaryFile source and written through Hadoop's file systems (so from and to any that Spark
-knows), with the standard library. A sheet has 1,048,576 rows at most, so one task per workbook is enough; cells come out as text.
+"""Sheets of XLSX workbooks as tables of text cells, and tables as workbooks.
+
+Where pyarrow's file systems open a path, a sheet is read by the data source of `workbook_source`, in as many partitions as it is long. Other paths, of file
+systems that only Spark knows, go through Spark's binaryFile source, a workbook in one task. Workbooks are written by that data source's tasks.
 """
 
 from __future__ import annotations
 
-import datetime as dt
 import io
-import re
 import tempfile
-import zipfile
 from collections.abc import Iterable, Iterator
-from xml.etree import ElementTree as ET
-from xml.sax.saxutils import escape
 
 import pyarrow as pa
 from pyspark.errors import PythonException
 from pyspark.sql import DataFrame, SparkSession
 
-from ..errors import ExtractorError, LoaderError, Where
-from ..plans.table import ROW
+from ..errors import ExtractorError, LoaderError
 from ..shipping import ship
-from ..staging import hadoop
-
-MAX_ROWS, MAX_NAME, BATCH = 1_048_576, 31, 4096
-_MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
-_REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
-#: fixed values: built-in number formats that show dates or times
-DATE_FORMATS = {*range(14, 23), *range(45, 48)}
-
-
-class Workbook:
-    def __init__(self, content: bytes):
-        try:
-            self.zip = zipfile.ZipFile(io.BytesIO(content))
-            book = ET.fromstring(self.zip.read("xl/workbook.xml"))
-            rels = ET.fromstring(self.zip.read("xl/_rels/workbook.xml.rels"))
-        except (zipfile.BadZipFile, KeyError, ET.ParseError) as e:
-            raise ExtractorError(f"Not an XLSX workbook: {e}") from e
-        target = {r.get("Id"): r.get("Target") for r in rels}
-        self.sheets = {s.get("name"): target[s.get(f"{_REL}id")] for s in book.iter(f"{_MAIN}sheet")}
-        flags = next(book.iter(f"{_MAIN}workbookPr"), None)
-        self.epoch = dt.datetime(1904, 1, 1) if flags is not None and flags.get("date1904") in ("1", "true") else dt.datetime(1899, 12, 30)
-        self.strings = self._strings() if "xl/sharedStrings.xml" in self.zip.namelist() else []
-        self.dated = self._dated() if "xl/styles.xml" in self.zip.namelist() else []
-
-    def _strings(self) -> list[str]:
-        root = ET.fromstring(self.zip.read("xl/sharedStrings.xml"))
-        return ["".join(t.text or "" for t in si.iter(f"{_MAIN}t")) for si in root.iter(f"{_MAIN}si")]
-
-    def _dated(self) -> list[bool]:
-        """For each cell style whether it shows a date."""
-        root = ET.fromstring(self.zip.read("xl/styles.xml"))
-        own = {int(f.get("numFmtId")): f.get("formatCode") or "" for f in root.iter(f"{_MAIN}numFmt")}
-        plain = {k: re.sub(r'"[^"]*"|\[[^\]]*\]|\\.', "", v) for k, v in own.items()}
-        xfs = root.find(f"{_MAIN}cellXfs")
-        return [(n := int(x.get("numFmtId") or 0)) in DATE_FORMATS or bool(re.search("[ymdhs]", plain.get(n, ""), re.I)) for x in xfs] if xfs is not None else []
-
-    def rows(self, sheet: str) -> Iterator[tuple[int, list[str | None]]]:
-        """(number of the row from 1, its cells as text)"""
-        if sheet not in self.sheets:
-            raise ExtractorError(f"No sheet {sheet}", Where(details={"sheets": sorted(self.sheets)}))
-        path = self.sheets[sheet].lstrip("/")
-        with self.zip.open(path if path.startswith("xl/") else f"xl/{path}") as f:
-            number = 0
-            for _, row in ET.iterparse(f):
-                if row.tag != f"{_MAIN}row":
-                    continue
-                number = int(row.get("r") or number + 1)
-                cells: list[str | None] = []
-                for c in row.iter(f"{_MAIN}c"):
-                    at = _column(c.get("r")) if c.get("r") else len(cells)
-                    cells += [None] * (at + 1 - len(cells))
-                    cells[at] = self._value(c)
-                row.clear()
-                yield number, cells
-
-    def _value(self, c: ET.Element) -> str | None:
-        kind, value = c.get("t"), c.find(f"{_MAIN}v")
-        if kind == "inlineStr":
-            return "".join(t.text or "" for t in c.iter(f"{_MAIN}t"))
-        if value is None or value.text is None:
-            return None
-        if kind == "s":
-            return self.strings[int(value.text)]
-        if kind == "b":
-            return "True" if value.text == "1" else "False"
-        if kind in ("str", "e"):
-            return value.text
-        style = int(c.get("s") or 0)
-        if style < len(self.dated) and self.dated[style]:
-            at = self.epoch + dt.timedelta(seconds=round(float(value.text) * 86400))
-            return str(at.time()) if float(value.text) < 1 else str(at)
-        number = float(value.text)
-        return str(int(number)) if number == int(number) and abs(number) < 1e15 else repr(number)
-
-
-def _column(ref: str) -> int:
-    n = 0
-    for ch in ref:
-        if not ch.isalpha():
-            break
-        n = n * 26 + ord(ch.upper()) - 64
-    return n - 1
-
-
-def _header(book: Workbook, sheet: str, header_row: int) -> list[str]:
-    width = 0
-    for number, cells in book.rows(sheet):
-        if header_row and number == header_row:
-            names: list[str] = []
-            for k, c in enumerate(cells):
-                name, again = c if c else f"Unnamed: {k}", 0
-                while (f"{name}.{again}" if again else name) in names:
-                    again += 1
-                names.append(f"{name}.{again}" if again else name)
-            return names
-        width = max(width, len(cells))
-    if header_row:
-        raise ExtractorError(f"Sheet {sheet} has no row {header_row}")
-    return list(map(str, range(width)))
-
-
-def read_sheet(spark: SparkSession, path: str, sheet: str, header_row: int = 1) -> DataFrame:
+from ..staging import drop_path, hadoop, new_path
+from . import workbook_source
+from .workbook import MAX_NAME, ROW, Workbook, header
+
+BATCH = 4096
+
+
+def read_sheet(spark: SparkSession, path: str, sheet: str, header_row: int = 1, split_bytes: int = workbook_source.SPLIT) -> DataFrame:
     """A sheet's cells as text, with the ordinal of each row below the header (counting empty rows)."""
     ship(spark)
+    try:
+        with workbook_source.opened(path) as book:
+            schema = workbook_source.schema_of(header(book, sheet, header_row))
+    except ValueError:
+        return _read_whole(spark, path, sheet, header_row)
+    except OSError as e:
+        raise ExtractorError(f"{path}: {e}") from e
+    workbook_source.register(spark)
+    reader = spark.read.format(workbook_source.NAME).schema(schema).option("sheet", sheet).option("header_row", header_row)
+    return reader.option("split_bytes", split_bytes).load(path)
+
+
+def _read_whole(spark: SparkSession, path: str, sheet: str, header_row: int) -> DataFrame:
     files = spark.read.format("binaryFile").load(path).select("content")
 
     def headers(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([_header(Workbook(x), sheet, header_row) for x in b["content"].to_pylist()], pa.list_(pa.string()))], ["names"])
+            yield pa.RecordBatch.from_arrays([pa.array([header(Workbook(io.BytesIO(x)), sheet, header_row) for x in b["content"].to_pylist()], pa.list_(pa.string()))], ["names"])
 
     try:
         found = files.mapInArrow(headers, "names array<string>").limit(2).collect()  # the names only; the workbook stays in the tasks
@@ -143,7 +58,7 @@ def read_sheet(spark: SparkSession, path: str, sheet: str, header_row: int = 1)
             for content in b["content"].to_pylist():
                 ordinals: list[int] = []
                 cols: list[list[str | None]] = [[] for _ in names]
-                for number, cells in Workbook(content).rows(sheet):
+                for number, cells in Workbook(io.BytesIO(content)).rows(sheet):
                     if number <= header_row:
                         continue
                     ordinals.append(number - header_row - 1)
@@ -164,52 +79,31 @@ def _last_line(e: Exception) -> str:
     return said[-1].split("ExtractorError:")[-1].strip() if said else str(e).splitlines()[0]
 
 
-def _cell(value: object) -> str:
-    if value is None:
-        return "<c/>"
-    if isinstance(value, bool):
-        return f'<c t="b"><v>{int(value)}</v></c>'
-    if isinstance(value, int | float) and value == value and abs(value) != float("inf"):
-        return f"<c><v>{value!r}</v></c>"
-    if isinstance(value, bytes | bytearray):
-        value = bytes(value).hex()
-    text = re.sub(r"[\x00-\x08\x0b\x0c\x0e-\x1f]", "", str(value))
-    return f'<c t="inlineStr"><is><t xml:space="preserve">{escape(text)}</t></is></c>'
-
-
 def write_workbook(tables: dict[str, DataFrame], path: str) -> None:
-    """One sheet per table, names cut to 31 characters. Rows come to the driver a partition at a time; a sheet's limit is checked. The file is
-    made beside the driver and then copied to path, on whatever file system that is."""
+    """One sheet per table, names cut to 31 characters. Tasks write fragments of sheets into the shared folder; the driver joins these, byte by byte,
+    into a file beside it, which is then copied to path, on whatever file system that is. Nothing is left of a write that fails."""
+    names = [name[:MAX_NAME] for name in tables]
+    if again := {n for n in names if names.count(n) > 1}:
+        raise LoaderError(f"Two sheets would be named {', '.join(sorted(again))}")
     spark = next(iter(tables.values())).sparkSession
-    with tempfile.TemporaryDirectory() as folder:
-        made = f"{folder}/workbook.xlsx"
-        _make_workbook(tables, made)
-        files, to = hadoop(spark, path)
-        files.copyFromLocalFile(True, True, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"file://{made}"), to)
-
-
-def _make_workbook(tables: dict[str, DataFrame], path: str) -> None:
-    names: list[str] = []
-    for name in tables:
-        cut = name[:MAX_NAME]
-        if cut in names:
-            raise LoaderError(f"Two sheets would be named {cut}")
-        names.append(cut)
-    ns = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
-    pkg = "http://schemas.openxmlformats.org/package/2006"
-    office = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
-    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
-        sheet_type = "application/vnd.openxmlformats-officedocument.spreadsheetml"
-        overrides = "".join(f'<Override PartName="/xl/worksheets/sheet{k}.xml" ContentType="{sheet_type}.worksheet+xml"/>' for k in range(1, len(names) + 1))
-        z.writestr("[Content_Types].xml", f'<Types xmlns="{pkg}/content-types"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/><Default Extension="xml" ContentType="application/xml"/><Override PartName="/xl/workbook.xml" ContentType="{sheet_type}.sheet.main+xml"/>{overrides}</Types>')
-        z.writestr("_rels/.rels", f'<Relationships xmlns="{pkg}/relationships"><Relationship Id="rId1" Type="{office}/officeDocument" Target="xl/workbook.xml"/></Relationships>')
-        z.writestr("xl/_rels/workbook.xml.rels", f'<Relationships xmlns="{pkg}/relationships">' + "".join(f'<Relationship Id="rId{k}" Type="{office}/worksheet" Target="worksheets/sheet{k}.xml"/>' for k in range(1, len(names) + 1)) + "</Relationships>")
-        z.writestr("xl/workbook.xml", f'<workbook {ns} xmlns:r="{office}"><sheets>' + "".join(f'<sheet name="{escape(n, {chr(34): "&quot;"})}" sheetId="{k}" r:id="rId{k}"/>' for k, n in enumerate(names, 1)) + "</sheets></workbook>")
-        for k, (name, df) in enumerate(tables.items(), 1):
-            with z.open(f"xl/worksheets/sheet{k}.xml", "w", force_zip64=True) as f:
-                f.write(f"<worksheet {ns}><sheetData><row>{''.join(map(_cell, df.columns))}</row>".encode())
-                for n, row in enumerate(df.toLocalIterator(), 2):
-                    if n > MAX_ROWS:
-                        raise LoaderError(f"A sheet has {MAX_ROWS} rows at most", Where(name))
-                    f.write(f"<row>{''.join(map(_cell, row))}</row>".encode())
-                f.write(b"</sheetData></worksheet>")
+    ship(spark)
+    workbook_source.register(spark)
+    folder = new_path(spark, "sheets")
+    try:
+        workbook_source.file_system(folder)
+    except ValueError as e:
+        raise LoaderError(f"Fragments of sheets cannot be written to the shared folder: {e}") from e
+    try:
+        made, disk = [], hadoop(spark, folder)
+        disk[0].mkdirs(disk[1])
+        for k, (name, df) in enumerate(tables.items()):
+            manifest = f"{folder}/{k}.json"
+            df.write.format(workbook_source.NAME).option("sheet", name).option("manifest", manifest).mode("overwrite").save(f"{folder}/{k}")
+            made.append(workbook_source.sheet_of(manifest))
+        with tempfile.TemporaryDirectory() as beside:
+            with open(f"{beside}/workbook.xlsx", "wb") as out:
+                workbook_source.join(made, out)
+            files, to = hadoop(spark, path)
+            files.copyFromLocalFile(True, True, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"file://{beside}/workbook.xlsx"), to)
+    finally:
+        drop_path(spark, folder)
