@@ -6,6 +6,7 @@ The tables are clean, so queries spoil them first, by rules on the key. The rule
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -24,6 +25,7 @@ from .operators.row_runs import row_runs, run_lists
 from .plans.engine import RunResult, run
 from .plans.table import ROW, TablePlan, plan_table, summary
 from .sources import sinks
+from .sources.database import load_table
 from .sources.spreadsheet import read_sheet
 from .sources.tables import read_csv, with_ordinal
 from .sources.workbook_source import NAME as XLSX
@@ -576,6 +578,19 @@ def workbook_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select(*(F.col(c).cast(k).alias(c) for c, k in numbers.items()), F.col("l_shipdate").alias("shipped"))
 
 
+@query("""SELECT run, o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS VARCHAR) AS ordered, o_orderpriority
+FROM orders CROSS JOIN (VALUES ('first'), ('third')) AS r(run) WHERE run = 'first' OR o_orderkey % 3 = 0""")
+def jdbc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders into a database (one that lives in this JVM) and back: a first delivery, the same once more, which changes nothing, and a third of other rows."""
+    url = f"jdbc:derby:memory:{uuid.uuid4().hex};create=true"
+    orders = table(spark, sf_dir, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("string")).repartition(4, "o_orderkey")
+    for run, rows in (("first", orders), ("first", orders), ("third", orders.where("o_orderkey % 3 = 0"))):
+        load_table(rows.withColumn("run", F.lit(run)), url, "APP.ORDERS", run)
+    bounds = orders.agg(F.min("o_orderkey"), F.max("o_orderkey")).first()
+    back = spark.read.jdbc(url, "APP.ORDERS", "o_orderkey", bounds[0] or 0, (bounds[1] or 0) + 1, 4)
+    return back.select("run", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", F.col("o_orderdate").alias("ordered"), "o_orderpriority")
+
+
 @query("SELECT kind, CAST(r_regionkey AS VARCHAR) AS r_regionkey, r_name FROM region CROSS JOIN (VALUES ('csv'), ('excel'), ('parquet')) AS k(kind)")
 def load_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One table through three sinks at once, each read again."""

@@ -4,14 +4,18 @@ from __future__ import annotations
 
 import logging
 import os
-from collections.abc import Iterable, Mapping
+import uuid
+from collections.abc import Iterable, Iterator, Mapping
+from contextlib import contextmanager, nullcontext
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import ColumnConfig, Config
 from ..errors import LoaderError
+from ..staging import drop_path, new_path
+from .database import load_table
 from .spreadsheet import write_workbook
 
 log = logging.getLogger(__name__)
@@ -65,25 +69,38 @@ def ddl(table: str, columns: Mapping[str, ColumnConfig], schema: str = "dbo") ->
     return f"CREATE TABLE {quote(schema)}.{quote(table)} (\n  " + ",\n  ".join(lines) + "\n)"
 
 
-def write_jdbc(tables: Mapping[str, DataFrame], config: Config, url: str, properties: Mapping[str, str] | None = None) -> None:
-    """Appends (or as if_exists says) to the target's tables; the driver class comes with the cluster."""
-    modes = {"append": "append", "replace": "overwrite", "fail": "errorifexists"}
-    mode = modes.get(str(config.target.get("if_exists", "append")).lower())
-    if mode is None:
-        raise LoaderError(f"if_exists is one of {', '.join(modes)}")
-    for name, df in tables.items():
-        target = f"{config.target['schema']}.{config.targets.get(name, name)}"
-        df.write.mode(mode).option("batchsize", int(config.target.get("batch_size", 1000))).jdbc(url, target, properties=dict(properties or {}))
+def write_jdbc(tables: Mapping[str, DataFrame], config: Config, url: str, properties: Mapping[str, str] | None = None, run: str | None = None) -> dict[str, int]:
+    """Appends (or as if_exists says) to the target's tables, each row once however often tasks run; rows by table. run names the delivery (without one,
+    every call is a delivery of its own): a delivery that is in the database is not loaded again. The driver class comes with the cluster."""
+    mode, run = str(config.target.get("if_exists", "append")).lower(), run or uuid.uuid4().hex
+    named = {name: f"{config.target['schema']}.{config.targets.get(name, name)}" for name in tables}
+    return {name: load_table(df, url, named[name], run, mode, properties, int(config.target.get("batch_size", 1000))) for name, df in tables.items()}
+
+
+@contextmanager
+def _written(tables: Mapping[str, DataFrame]) -> Iterator[dict[str, DataFrame]]:
+    """The tables, written to the shared folder and read again: worked out once, whatever reads them."""
+    made: dict[str, tuple[SparkSession, str]] = {}
+    out: dict[str, DataFrame] = {}
+    try:
+        for name, df in tables.items():
+            spark = df.sparkSession
+            made[name] = spark, new_path(spark, "sink")
+            df.write.parquet(made[name][1])
+            out[name] = spark.read.schema(df.schema).parquet(made[name][1])
+        yield out
+    finally:
+        for spark, path in made.values():
+            drop_path(spark, path)
 
 
 def load(tables: Mapping[str, DataFrame], exports: Iterable[str], folder: str, config: Config, **options: Any) -> dict[str, Any]:
-    """Every sink that is asked for: csv, parquet, excel, sql (which needs the option url). Tables are kept between sinks."""
+    """Every sink that is asked for: csv, parquet, excel, sql (which needs the option url; also run, properties). What several sinks read is worked out once."""
     kinds = [x.lower() for x in exports]
     if odd := set(kinds) - {"csv", "parquet", "excel", "xlsx", "sql"}:
         raise LoaderError(f"Unknown exports: {', '.join(sorted(odd))}")
-    kept = {k: df.persist() if len(kinds) > 1 else df for k, df in tables.items()}
     out: dict[str, Any] = {}
-    try:
+    with _written(tables) if len(kinds) > 1 else nullcontext(dict(tables)) as kept:
         for kind in kinds:
             if kind == "csv":
                 out[kind] = write_csv(kept, f"{folder}/csv", one_file=options.get("one_file", False))
@@ -92,11 +109,7 @@ def load(tables: Mapping[str, DataFrame], exports: Iterable[str], folder: str, c
             elif kind in ("excel", "xlsx"):
                 out[kind] = write_excel(kept, folder, str(config.source["file"]))
             elif "url" in options:
-                write_jdbc(kept, config, options["url"], options.get("properties"))
+                out[kind] = write_jdbc(kept, config, options["url"], options.get("properties"), options.get("run"))
             else:
                 log.warning("No database URL was given; nothing was written to %s", config.target["database"])
-    finally:
-        if len(kinds) > 1:
-            for df in kept.values():
-                df.unpersist()
     return out
