@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..config import Config, warnings
 from ..errors import ExtractorError, ValidatorError, Where
-from .table import ROW, TablePlan, foreign_key_issues, plan_table
+from .table import ROW, Observed, TablePlan, foreign_key_issues, plan_table
 
 log = logging.getLogger(__name__)
 Reader = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,11 @@ class RunResult:
     def tables(self, mode: str = "both") -> dict[str, DataFrame]:
         return {k: p.final(mode) for k, p in self.plans.items()}
 
+    def observed(self, mode: str = "both") -> tuple[dict[str, DataFrame], dict[str, Observed]]:
+        """The tables, and the counts that come with writing them."""
+        both = {k: p.observed(mode) for k, p in self.plans.items()}
+        return {k: df for k, (df, _) in both.items()}, {k: seen for k, (_, seen) in both.items()}
+
     def _all(self, part: Callable[[TablePlan], DataFrame]) -> DataFrame:
         out = None
         for p in self.plans.values():

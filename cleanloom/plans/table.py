@@ -7,9 +7,9 @@ Everything is one lazy plan. Beside the raw and cleaned columns it carries, unti
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..config import ColumnConfig, Settings
@@ -60,6 +60,30 @@ def extract(df: DataFrame, table: str, columns: Mapping[str, ColumnConfig], s: S
     return df.select(F.col(row).alias(ROW), *map(cell, data), *(F.lit(None).cast("string").alias(c) for c in missing))
 
 
+@dataclass
+class Observed:
+    """Counts of a table's plan that came with its first action. They can be asked for when that has ended."""
+
+    plan: TablePlan
+    asked: list[tuple[str, str]]
+    observation: Observation = field(default_factory=Observation)
+
+    @property
+    def counts(self) -> dict[str, int]:
+        return self.observation.get
+
+    def null_stats(self) -> list[tuple[str, str, int]]:
+        """(column, stage, nulls), as TablePlan.null_stats has them."""
+        return [(c, s, self.counts[f"n{k}"]) for k, (s, c) in enumerate(self.asked)]
+
+    def severities(self) -> dict[str, int]:
+        """As TablePlan.severity_counts has them: cells for warn and fail, rows for drop; columns that are missing count as a cell, without a row."""
+        out = {k: self.counts[k] for k in ("warn", "fail", "drop")}
+        for c in self.plan.missing_severities():
+            out[c] = out[c] + 1 if c != "drop" else out[c]
+        return {k: n for k, n in out.items() if n}
+
+
 @dataclass
 class TablePlan:
     name: str
@@ -93,13 +117,18 @@ class TablePlan:
         found = self.df.where("not __blank").select(F.explode("__issues").alias("i"))
         out = found.select(F.lit(self.name).alias("table"), "i.column", "i.row", "i.severity", "i.rule", "i.message")
         spark = self.df.sparkSession
-        for c in self.missing:
-            if self.columns[c].required or self.columns[c].primary_key:
-                v = self.columns[c].validation
-                level = "fail" if self.columns[c].must_have_value else severity(v.on_error if v else None)
-                out = out.union(spark.createDataFrame([(self.name, c, None, level, "required", "no source column has this name")], out.schema))
+        for c, level in self._missing().items():
+            out = out.union(spark.createDataFrame([(self.name, c, None, level, "required", "no source column has this name")], out.schema))
         return out
 
+    def _missing(self) -> dict[str, str]:
+        """Columns that must be there and are not, with the severity of that."""
+        lacking = [self.columns[c] for c in self.missing if self.columns[c].required or self.columns[c].primary_key]
+        return {c.name: "fail" if c.must_have_value else severity(c.validation.on_error if c.validation else None) for c in lacking}
+
+    def missing_severities(self) -> list[str]:
+        return list(self._missing().values())
+
     def severity_counts(self) -> DataFrame:
         """severity, n: cells for warn and fail, rows for drop."""
         cells = self.issues().groupBy("severity").agg(F.count("*").alias("cells"), F.count_distinct("row").alias("rows"))
@@ -133,17 +162,31 @@ class TablePlan:
         found = changes(self.df.where("not __blank"), {c: (old.format(c), new.format(c)) for c in self.columns}, self.row_number)
         return found.select(F.lit(self.name).alias("table"), "column", "row", "old", "new")
 
-    def null_stats(self) -> DataFrame:
+    def _stages(self) -> dict[str, dict[str, Column]]:
+        """What each stage held, by column."""
         stays, kept = ~F.col("__blank"), ~F.col("__blank") & ~F.col("__dropped")
         of = lambda where, c: F.when(where, c.isNull()).otherwise(False)
         as_null = lambda flag: F.when(~flag, True)  # noqa: E731  count_if counts nulls, so a counted row must be null
-        stages = {
+        return {
             "LOADED": {c: F.col(f"__source_{c}") for c in self.raw},
             "CLEANED": {c: as_null(of(stays, F.col(f"__pre_{c}"))) for c in self.columns},
             "TRANSFORMED": {c: as_null(of(stays, F.col(self.cleaned(c)))) for c in self.columns},
             "VALIDATED": {c: as_null(of(kept, F.col(self.cleaned(c)))) for c in self.columns},
         }
-        return null_counts(self.df, stages)
+
+    def null_stats(self) -> DataFrame:
+        return null_counts(self.df, self._stages())
+
+    def observed(self, mode: str = "both") -> tuple[DataFrame, Observed]:
+        """final(mode), and what is counted on the way by whoever writes it (or runs any first action on it): no pass of its own."""
+        seen = Observed(self, [(s, c) for s, columns in self._stages().items() for c in columns])
+        nulls = [F.count_if(v.isNull()).alias(f"n{k}") for k, v in enumerate(v for columns in self._stages().values() for v in columns.values())]
+        of = lambda level: F.size(F.filter("__issues", lambda i: i["severity"] == level))
+        live = ~F.col("__blank")
+        cells = [F.coalesce(F.sum(F.when(live, of(k))), F.lit(0)).alias(k) for k in ("warn", "fail")]
+        counts = [F.count_if(live & (of("drop") > 0)).alias("drop"), F.count_if("__blank").alias("blank"), F.count(F.lit(1)).alias("all")]
+        df = self.df.observe(seen.observation, *nulls, *cells, *counts)
+        return replace(self, df=df).final(mode), seen
 
     def null_summary(self) -> DataFrame:
         return null_pivot(self.null_stats())

@@ -422,6 +422,22 @@ def null_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return null_pivot(_orders(spark, sf_dir).null_stats())
 
 
+_STAGES = ("LOADED", "CLEANED", "TRANSFORMED", "VALIDATED")
+
+
+@query(" UNION ALL ".join(f"SELECT '{c}' AS what, '{s}' AS stage, CAST({n} AS BIGINT) AS n FROM {ORDER_PLAN}" for c, counts in _NULLS.items() for s, n in zip(_STAGES, counts, strict=True))
+       + f" UNION ALL SELECT severity, 'ISSUES', CAST(CASE WHEN severity = 'drop' THEN count(DISTINCT rownum) ELSE count(*) END AS BIGINT) FROM {ISSUES} GROUP BY severity"
+       + f" UNION ALL SELECT 'rows', 'WRITTEN', count(*) FROM {ORDER_PLAN} WHERE {_KEPT}")
+def observed_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders, written; null counts and severities as they came with the writing."""
+    df, seen = _orders(spark, sf_dir).observed()
+    path = new_path(spark, "observed")
+    df.write.parquet(path)
+    counted = [*seen.null_stats(), *((k, "ISSUES", n) for k, n in seen.severities().items())]
+    written = spark.read.parquet(path).agg(F.lit("rows").alias("what"), F.lit("WRITTEN").alias("stage"), F.count("*").alias("n"))
+    return spark.createDataFrame(counted, "what string, stage string, n long").unionByName(written)
+
+
 def _audit_sql(name: str, old: str, new: str) -> str:
     """Changes of a number: old text and new value differ as numbers, or there is no new value."""
     text = f"CASE WHEN {new} = floor({new}) THEN CAST(CAST({new} AS BIGINT) AS VARCHAR) ELSE CAST({new} AS VARCHAR) END"

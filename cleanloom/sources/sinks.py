@@ -95,12 +95,13 @@ def _written(tables: Mapping[str, DataFrame]) -> Iterator[dict[str, DataFrame]]:
 
 
 def load(tables: Mapping[str, DataFrame], exports: Iterable[str], folder: str, config: Config, **options: Any) -> dict[str, Any]:
-    """Every sink that is asked for: csv, parquet, excel, sql (which needs the option url; also run, properties). What several sinks read is worked out once."""
+    """Every sink that is asked for: csv, parquet, excel, sql (which needs the option url; also run, properties). What several sinks read is worked out once;
+    keep: for one sink too, so that every table has been worked out whole when this ends, whatever a sink leaves out."""
     kinds = [x.lower() for x in exports]
     if odd := set(kinds) - {"csv", "parquet", "excel", "xlsx", "sql"}:
         raise LoaderError(f"Unknown exports: {', '.join(sorted(odd))}")
     out: dict[str, Any] = {}
-    with _written(tables) if len(kinds) > 1 else nullcontext(dict(tables)) as kept:
+    with _written(tables) if len(kinds) > 1 or options.get("keep") else nullcontext(dict(tables)) as kept:
         for kind in kinds:
             if kind == "csv":
                 out[kind] = write_csv(kept, f"{folder}/csv", one_file=options.get("one_file", False))

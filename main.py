@@ -25,9 +25,12 @@ def main(config_path: str, out: str, exports: str = "csv") -> None:
         result = run(spark, config, lambda s, sheet: read_sheet(s, config.source["file"], sheet, config.settings.header_row))
         for r in summary(result.issues()).orderBy("table", "column", "rule").toLocalIterator():  # one row per rule of the configuration
             log.warning("%s.%s: %s, %d times, rows %s", r["table"], r["column"], r["rule"], r["n"], r["first_rows"])
-        for r in result.null_stats().toLocalIterator():
-            log.info("%s.%s %s: %d nulls", r["table"], r["col_name"], r["stage"], r["nulls"])
-        load(result.tables(), exports.split(","), out, config, one_file=True)
+        tables, observed = result.observed()
+        load(tables, exports.split(","), out, config, one_file=True, keep=True)
+        for name, seen in observed.items():  # counted while the tables were written
+            for column, stage, nulls in seen.null_stats():
+                log.info("%s.%s %s: %d nulls", name, column, stage, nulls)
+            log.info("%s: %s", name, seen.severities())
     finally:
         shutdown()
 
