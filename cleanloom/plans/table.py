@@ -18,7 +18,9 @@ from ..functions import cleaners
 from ..functions.datetimes import Dates, with_dates
 from ..functions.formula import FAMILY_KINDS, derived
 from ..functions.strings import NA_CELLS, NULL_WORDS, map_values, null_if, phone_e164, strip
+from ..operators import dictionary
 from ..operators.audit import changes, null_counts, null_pivot
+from ..operators.dictionary import apply_dictionary, entries
 from ..operators.relations import mark_duplicates, orphans
 from ..operators.row_runs import KEYS, first_rows, row_runs
 from ..operators.rules import Rule, column_rules, severity
@@ -239,6 +241,9 @@ def plan_table(df: DataFrame, name: str, columns: Mapping[str, ColumnConfig], s:
     dated = {c: (c, k.type.family) for c, k in columns.items() if k.type.family in ("date", "datetime", "time")}
     out = with_dates(out, {f"__pre_{c}": v for c, v in dated.items()}, Dates(s.day_first, s.least_year, s.languages), closed=True)
     out = out.select("*", empty.alias("__blank"), *(cast(F.col(c), columns[c], s).alias(f"__pre_{c}") for c in columns if c not in dated))
+    for c in columns.values():
+        if is_large(c.value_mapping):
+            out = apply_dictionary(out, F.col(f"__pre_{c.name}").cast("string"), entries(df.sparkSession, c.value_mapping), f"__map_{c.name}")
     out = out.select("*", *(_transformed(c, columns, raw).alias(f"{c.name}{s.suffix}") for c in columns.values()))
 
     unique: dict[str, Column] = {}
@@ -256,10 +261,17 @@ def plan_table(df: DataFrame, name: str, columns: Mapping[str, ColumnConfig], s:
     return TablePlan(name, columns, s, out.withColumn("__dropped", drops), raw, rules, missing)
 
 
+def is_large(mapping: Mapping[str, list] | None) -> bool:
+    """Whether a value mapping is joined as a table, rather than written into the plan."""
+    return sum(len(v or ()) for v in (mapping or {}).values()) > dictionary.LITERAL
+
+
 def _transformed(c: ColumnConfig, columns: Mapping[str, ColumnConfig], raw: list[str]) -> Column:
     """Value map, then phone, then formula; formulas see values as they were cleaned, before any transform."""
     value = F.col(f"__pre_{c.name}")
-    if c.value_mapping:
+    if is_large(c.value_mapping):
+        value = F.col(f"__map_{c.name}")
+    elif c.value_mapping:
         value = map_values(value, {k: v or [] for k, v in c.value_mapping.items()})
     v = c.validation
     if v and v.format == "E.164" and c.type.family == "string":

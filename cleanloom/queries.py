@@ -20,6 +20,7 @@ from .functions.datetimes import with_dates
 from .functions.formula import compile_formula, derived, kinds_of
 from .operators import rules
 from .operators.audit import null_pivot
+from .operators.dictionary import apply_dictionary, dictionary
 from .operators.relations import mark_duplicates, mark_orphans, orphans
 from .operators.row_runs import row_runs, run_lists
 from .plans.engine import RunResult, run
@@ -594,6 +595,15 @@ def workbook_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select(*(F.col(c).cast(k).alias(c) for c, k in numbers.items()), F.col("l_shipdate").alias("shipped"))
 
 
+@query("""SELECT p_partkey, CASE WHEN p_partkey % 13 > 0 AND p_partkey * 7919 % 60000 < 50000 THEN 'label ' || (p_partkey * 7919 % 60000) % 97 END AS label FROM part""")
+def large_value_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dictionary of 50,000 entries over parts whose names are spelt in their own ways; some have no entry, some no name."""
+    known = dictionary(spark.range(50_000).select(F.concat(F.lit("Part "), "id").alias("raw"), F.concat(F.lit("label "), F.col("id") % 97).alias("label")))
+    spelt = F.concat(F.lit("  pART "), (F.col("p_partkey") * 7919 % 60_000).cast("string"), F.lit(" "))
+    parts = table(spark, sf_dir, "part").select("p_partkey", F.when(F.col("p_partkey") % 13 > 0, spelt).alias("name"))
+    return apply_dictionary(parts, F.col("name"), known, "label").select("p_partkey", "label")
+
+
 @query("""SELECT run, o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS VARCHAR) AS ordered, o_orderpriority
 FROM orders CROSS JOIN (VALUES ('first'), ('third')) AS r(run) WHERE run = 'first' OR o_orderkey % 3 = 0""")
 def jdbc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
