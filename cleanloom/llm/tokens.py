@@ -3,8 +3,9 @@
 The vocabulary drops white space, and none of its patterns crosses it, so an ASCII white-space character is a safe
 boundary: the ids of a text are those of its white-space-separated words, one after the other. Texts (of any length) are
 cut there; each batch of about the same number of bytes sends only the words that the worker has not seen to the
-library's batch encoder, and sums what the words have. The table of words is bounded and starts anew when it is full.
-A text without ASCII white space has no safe boundary and is one word, however long.
+library's batch encoder, and sums what the words have. The table of words is bounded, by entries and by bytes, and starts anew when it is full.
+A text without ASCII white space has no safe boundary and is one word, however long; words of more than LONG bytes are encoded for their batch
+only and not remembered, so texts of other scripts, whose words are whole sentences or texts, leave nothing behind.
 
 Plain words (Latin letters, then perhaps punctuation) are a stem in lower case and a tail, which the vocabulary tells apart too.
 Stems are encoded in lines of many, for an encoding has a price of its own; a line's ids fall to its stems by the ids that end
@@ -25,12 +26,39 @@ from pyspark.sql import functions as F
 
 from ..shipping import ship
 
-#: words that a worker remembers, UTF-8 bytes of text in a batch, UTF-8 bytes of words sent to the encoder at once, words in a line
-WORDS, BATCH_BYTES, ENCODE_BYTES, LINE = 1_000_000, 4 << 20, 256 << 10, 1000
+#: words that a worker remembers, bytes of them and of what they have (with what an entry takes), bytes of the longest
+WORDS, KNOWN_BYTES, ENTRY, LONG = 1_000_000, 192 << 20, 130, 64
+#: UTF-8 bytes of text in a batch, UTF-8 bytes of words sent to the encoder at once, words in a line
+BATCH_BYTES, ENCODE_BYTES, LINE = 4 << 20, 256 << 10, 1000
 #: letters that neither normalisation nor a neighbour changes, then punctuation that begins no pattern of its own
 PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
 
 
+class Known(dict):
+    """Words to what they have. Long words are only kept until the next batch."""
+
+    def __init__(self):
+        self.long: dict[bytes, int | bytes] = {}
+        self.bytes = 0
+
+    def __missing__(self, word: bytes) -> int | bytes:
+        return self.long[word]
+
+    def start(self) -> None:
+        """Before a batch: long words go, and all words if there are too many."""
+        self.long.clear()
+        if len(self) > WORDS or self.bytes > KNOWN_BYTES:
+            self.clear()
+            self.bytes = 0
+
+    def put(self, word: bytes, value: int | bytes) -> None:
+        if len(word) > LONG:
+            self.long[word] = value
+        else:
+            self[word] = value
+            self.bytes += ENTRY + len(word) + (len(value) if isinstance(value, bytes) else 0)
+
+
 class WordEncoder:
     """Words (bytes without ASCII white space) to counts, or to their ids as little-endian unsigned 32-bit bytes."""
 
@@ -38,16 +66,15 @@ class WordEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.ids, self.known = Tokenizer.from_file(path), ids, {}
+        self.tokenizer, self.ids, self.known = Tokenizer.from_file(path), ids, Known()
         vocabulary, mark = self.tokenizer.get_vocab(), getattr(self.tokenizer.model, "end_of_word_suffix", None)
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         if mark:
             self.ends[[i for w, i in vocabulary.items() if w.endswith(mark)]] = True
 
     def learn(self, words: set[bytes]) -> None:
-        if len(self.known) > WORDS:
-            self.known.clear()
-        known = self.known
+        known, put = self.known, self.known.put
+        known.start()
         for part in by_bytes([w for w in words if w not in known], ENCODE_BYTES):
             text = b"\n".join(part).decode().split("\n")
             plain = [PLAIN.fullmatch(t) for t in text] if self.ends.any() else [None] * len(text)
@@ -57,11 +84,13 @@ class WordEncoder:
             other = [w for w, s in zip(part, split, strict=True) if not s] + [x for x in {s[1] for s in split if s} if x and x not in known]
             encoded = self.tokenizer.encode_batch_fast([b" ".join(x).decode() for x in lines] + [x.decode() for x in other], add_special_tokens=False)
             for line, e in zip(lines, encoded, strict=False):
-                known.update(zip(line, self.apart(e.ids, len(line)), strict=True))
-            known.update((w, self.value(e.ids)) for w, e in zip(other, encoded[len(lines) :], strict=True))
+                for w, v in zip(line, self.apart(e.ids, len(line)), strict=True):
+                    put(w, v)
+            for w, e in zip(other, encoded[len(lines) :], strict=True):
+                put(w, self.value(e.ids))
             for w, s in zip(part, split, strict=True):
                 if s:
-                    known[w] = known[s[0]] + known[s[1]] if s[1] else known[s[0]]
+                    put(w, known[s[0]] + known[s[1]] if s[1] else known[s[0]])
 
     def value(self, ids: list[int]) -> int | bytes:
         return np.array(ids, "<u4").tobytes() if self.ids else len(ids)

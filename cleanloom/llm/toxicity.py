@@ -8,9 +8,10 @@ that training does not see, one in HELD, one threshold for each language; the la
 commonest function words), never from a column, and the score is shifted so that 0.5 is the threshold.
 
 Every labelled row is used, in training or for the thresholds. Few rows are trained on in numpy on the driver. Where there are
-more, that model of some of them is only the start: each shard (a shuffle partition, of SHARD rows or fewer), dealt and ordered by hashes of the id, goes on from it over its
-own rows, and what the shards have changed is averaged (an embedding over the shards that have changed it). All held rows then
-have a score by the common model; how many there are of each kind goes to the driver by language and score, in steps of 1 / STEPS.
+more, that model of some of them is only the start. In each of ROUNDS rounds every shard (about SHARD rows; how many there are follows from the number of labelled rows
+alone, and a row's shard and place from hashes of its id) goes on from the common model over its own rows, and what the shards have changed is averaged (an
+embedding over the shards that have changed it). So the model does not depend on how Spark deals its partitions. All held rows then
+have a score by the common model; how many there are of each kind goes to the driver by language and score, in steps of 1 / STEPS. Only texts with a label move.
 
 Defined results: null text counts as empty, and an empty text has a score too (all filters at their bias); null labels are
 not learned from; without labels of both kinds all scores are near 0 and nothing is rejected.
@@ -29,17 +30,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..shipping import ship
-from .common import partitions, pieces, text_batches, tidy
+from .common import partitions, pieces, stage, text_batches, tidy, unstage
+from .exact_dedup import FILTERS as JOIN_FILTERS
+from .exact_dedup import settings
 from .words import split_words
 
 #: labelled rows of either kind that the driver trains on at most; where there are more, shards of so many rows go on from there
-SAMPLE, SHARD = 2000, 8192
+SAMPLE, SHARD, ROUNDS = 2000, 4096, 2
+#: rows of a shard that are learned from together
+CHUNK = 1000
 #: embeddings in a row of what a shard has changed, steps and bound of the scores that thresholds are chosen from
 BLOCK, STEPS, MOST = 2048, 256, 64
 BUCKETS, PARTS, WIDTH, FILTERS, SPANS = 1 << 17, 4, 16, 8, (1, 2, 3)
 EPOCHS, BATCH, RATE, DECAY, HELD = 6, 64, 0.05, 1e-5, 5
-#: words that a worker remembers, words of a long text that are looked at together
-KNOWN, PIECE = 200_000, 8192
+#: words that a worker remembers and their characters, words of a long text that are looked at together
+KNOWN, KNOWN_CHARS, PIECE = 200_000, 8 << 20, 8192
 #: fixed values: common function words of each language
 FUNCTION_WORDS = {
     "en": "the and of to in is that it for with on was are this from".split(),
@@ -79,9 +84,11 @@ class Vocabulary(dict):
 
     def __init__(self):
         self.new: list[str] = []
+        self.chars = 0
 
     def __missing__(self, word: str) -> int:
         self.new.append(word)
+        self.chars += len(word)
         self[word] = n = len(self) + 1
         return n
 
@@ -104,7 +111,7 @@ class Scorer:
         self.words, self.adds, self.n = Vocabulary(), np.zeros((1 << 14, self.side.shape[1]), np.float32), 1
 
     def logit(self, words: list[str]) -> float:
-        if len(self.words) > KNOWN:
+        if len(self.words) > KNOWN or self.words.chars > KNOWN_CHARS:
             self.start()
         ids = self.words.rows(words)
         if len(new := self.words.take()):
@@ -255,7 +262,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id
     start, squares = _untrained(7)
     if len(set(y.tolist())) == 2:
         _learn(start, squares, had, y, np.random.default_rng(8), EPOCHS)
-    return _fit_all(texts, known, held, partitions(docs.sparkSession, sum(count.values()), SHARD), start, squares)
+    return _fit_all(texts, known, held, -(-sum(count.values()) // SHARD), start, squares)
 
 
 def _once(rows: DataFrame) -> DataFrame:
@@ -264,35 +271,36 @@ def _once(rows: DataFrame) -> DataFrame:
 
 
 def _fit_all(texts: DataFrame, known: DataFrame, held: Column, shards: int, start: Model, squares: dict) -> Model:
-    """start, trained on by each shard of the rows that are not held, averaged, with thresholds from all held rows."""
+    """start, trained on by each shard of the rows that are not held, averaged, in rounds, with thresholds from all held rows."""
     spark = texts.sparkSession
     ship(spark)
-
-    def dealt(which: Column) -> DataFrame:
-        """The labelled rows, each shard's in one partition."""
-        rows = texts.where(which).repartition(shards, "id").join(known.where(which).repartition(shards, "id"), "id")
-        return _once(rows).sortWithinPartitions(F.xxhash64("id"), "id", "label").select("label", "text")
-
+    # written, so that Spark knows its size: it is broadcast to the texts if it is small; otherwise its Bloom filter keeps other texts where they are
+    known = stage(known.where("id is not null"), "toxic-labels", 10_000)
+    with settings(spark, JOIN_FILTERS):
+        labelled = stage(_once(texts.join(known, "id")), "toxic-rows")
+    shard = F.pmod(F.xxhash64(F.lit("shard"), "id"), F.lit(shards))
+    labelled_by = labelled.select("id", "label", "text", shard.alias("shard"), held.alias("held"))
+
+    def dealt(which: str) -> DataFrame:
+        """Rows in the order of shards, each shard's in one partition."""
+        rows = labelled_by.where(which).repartition(partitions(spark), "shard")
+        return rows.sortWithinPartitions("shard", F.xxhash64("id"), "id", "label").select("shard", "label", "text")
+
+    model, seen = start, np.zeros(2, np.int64)
     with text_batches(spark):
-        shared = spark.sparkContext.broadcast((start, squares))  # its size is fixed
-        changes = dealt(~held).mapInArrow(lambda it: _changes(it, *shared.value), "block int, least long, rows binary, change binary")
-        changes = changes.repartition(-(-BUCKETS // BLOCK), "block").sortWithinPartitions("block", "least").mapInArrow(_averaged, "block int, change binary, zeros long, ones long")
-        model, seen = deepcopy(start), np.zeros(2, np.int64)
-        for r in changes.collect():  # as many numbers as the model has
-            change = np.frombuffer(r["change"], np.float32)
-            if r["block"] < 0:
-                _add(model, change)
-                seen += [r["zeros"], r["ones"]]
-            else:
-                at = r["block"] * BLOCK
-                model.embed[at : at + BLOCK] += change.reshape(-1, WIDTH)
-        shared.unpersist()
+        for turn in range(ROUNDS):
+            shared = spark.sparkContext.broadcast((model, squares))  # its size is fixed
+            changes = dealt("not held").mapInArrow(lambda it: _changes(it, *shared.value, turn), "block int, shard long, rows binary, change binary")  # noqa: B023
+            changes = changes.repartition(-(-BUCKETS // BLOCK), "block").sortWithinPartitions("block", "shard").mapInArrow(_averaged, "block int, change binary, zeros long, ones long")
+            model, seen = moved(model, changes.collect())  # as many numbers as the model has
+            shared.unpersist()
         if not seen.all():
             return _constant(model)
         scored = spark.sparkContext.broadcast(model)
-        found = dealt(held).mapInArrow(lambda it: _logits(it, scored.value), "language string, step int, label int")
+        found = dealt("held").mapInArrow(lambda it: _logits(it, scored.value), "language string, step int, label int")
         found = found.groupBy("language", "step").agg(F.sum("label").alias("ones"), F.sum(1 - F.col("label")).alias("zeros")).collect()  # 2 * MOST * STEPS rows a language at most
         scored.unpersist()
+    unstage(known, labelled)
     found.sort(key=lambda r: (r["step"], r["language"]))
     column = lambda name: np.array([r[name] for r in found], np.int64)
     both = found and column("ones").any() and column("zeros").any()
@@ -300,6 +308,20 @@ def _fit_all(texts: DataFrame, known: DataFrame, held: Column, shards: int, star
     return model
 
 
+def moved(start: Model, changes: Iterable) -> tuple[Model, np.ndarray]:
+    """start with the mean changes (block, change, zeros, ones) added; how many rows of either kind they come from."""
+    model, seen = deepcopy(start), np.zeros(2, np.int64)
+    for r in changes:
+        change = np.frombuffer(r["change"], np.float32)
+        if r["block"] < 0:
+            _add(model, change)
+            seen += [r["zeros"], r["ones"]]
+        else:
+            at = r["block"] * BLOCK
+            model.embed[at : at + BLOCK] += change.reshape(-1, WIDTH)
+    return model, seen
+
+
 def _dense(model: Model) -> np.ndarray:
     """All of a model but the embeddings, in a row."""
     return np.concatenate([*(model.filters[w].ravel() for w in SPANS), *(model.bias[w] for w in SPANS), model.out, [model.out_bias]]).astype(np.float32)
@@ -314,29 +336,57 @@ def _add(model: Model, change: np.ndarray) -> None:
 
 
 @tidy
-def _changes(batches: Iterable[pa.RecordBatch], start: Model, squares: dict) -> Iterator[pa.RecordBatch]:
-    """What a shard's rows change in start: the rows of embeddings that have changed, block by block; the rest as block -1, with the number of
-    rows of either kind. least: tells the shards apart, in the same order whenever this is run."""
-    model, squares, rng, seen, least = deepcopy(start), deepcopy(squares), np.random.default_rng(9), np.zeros(2, np.int64), None
+def _changes(batches: Iterable[pa.RecordBatch], start: Model, squares: dict, turn: int) -> Iterator[pa.RecordBatch]:
+    """What the rows of each shard change in start: the rows of embeddings that have changed, block by block; the rest as block -1, with the number of
+    rows of either kind. Batches are in the order of shards."""
+    now, rows = None, None
     for b in batches:
-        if not b.num_rows:
-            continue
-        y = b["label"].to_numpy(zero_copy_only=False).astype(np.float32)
-        texts = b["text"].to_pylist()
-        if least is None:
-            least = xxhash.xxh64_intdigest((texts[0] or "").encode("utf-8", "surrogatepass")) >> 1
-        _learn(model, squares, texts, y, rng, 1)
-        seen += np.bincount(y.astype(np.int64), minlength=2)
-    if least is None:
-        return
-    changed = np.flatnonzero((model.embed != start.embed).any(axis=1)).astype(np.int32)
-    blocks, rows, change = [-1], [seen.tobytes()], [(_dense(model) - _dense(start)).tobytes()]
-    for k in np.unique(changed // BLOCK).tolist():
-        own = changed[changed // BLOCK == k]
-        blocks.append(k)
-        rows.append((own % BLOCK).tobytes())
-        change.append((model.embed[own] - start.embed[own]).tobytes())
-    yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int32()), pa.array([least] * len(blocks), pa.int64()), pa.array(rows, pa.binary()), pa.array(change, pa.binary())], ["block", "least", "rows", "change"])
+        shard = b["shard"].to_numpy()
+        cuts = [0, *(np.flatnonzero(shard[1:] != shard[:-1]) + 1).tolist(), len(shard)]
+        for s, e in zip(cuts, cuts[1:], strict=False):
+            if s == e:
+                continue
+            if shard[s] != now:
+                if rows is not None:
+                    yield rows.changes()
+                now, rows = int(shard[s]), _Shard(int(shard[s]), start, squares, turn)
+            rows.add(b["text"][s:e].to_pylist(), b["label"][s:e].to_pylist())
+    if rows is not None:
+        yield rows.changes()
+
+
+class _Shard:
+    """A shard's own model, CHUNK rows at a time, wherever batches end."""
+
+    def __init__(self, shard: int, start: Model, squares: dict, turn: int):
+        self.shard, self.start, self.model, self.squares = shard, start, deepcopy(start), deepcopy(squares)
+        self.rng, self.seen = np.random.default_rng([9, turn, shard]), np.zeros(2, np.int64)
+        self.texts: list[str | None] = []
+        self.labels: list[int] = []
+
+    def add(self, texts: list[str | None], labels: list[int]) -> None:
+        self.texts += texts
+        self.labels += labels
+        while len(self.texts) >= CHUNK:
+            self._learn(CHUNK)
+
+    def _learn(self, n: int) -> None:
+        y = np.array(self.labels[:n], np.float32)
+        _learn(self.model, self.squares, self.texts[:n], y, self.rng, 1)
+        self.seen += np.bincount(y.astype(np.int64), minlength=2)
+        self.texts, self.labels = self.texts[n:], self.labels[n:]
+
+    def changes(self) -> pa.RecordBatch:
+        if self.texts:
+            self._learn(len(self.texts))
+        changed = np.flatnonzero((self.model.embed != self.start.embed).any(axis=1)).astype(np.int32)
+        blocks, rows, change = [-1], [self.seen.tobytes()], [(_dense(self.model) - _dense(self.start)).tobytes()]
+        for k in np.unique(changed // BLOCK).tolist():
+            own = changed[changed // BLOCK == k]
+            blocks.append(k)
+            rows.append((own % BLOCK).tobytes())
+            change.append((self.model.embed[own] - self.start.embed[own]).tobytes())
+        return pa.RecordBatch.from_arrays([pa.array(blocks, pa.int32()), pa.array([self.shard] * len(blocks), pa.int64()), pa.array(rows, pa.binary()), pa.array(change, pa.binary())], ["block", "shard", "rows", "change"])
 
 
 @tidy

@@ -1,5 +1,6 @@
 """The operators on small tables with nulls, empty and long texts, ties, repeated rows and clashing columns, against brute force."""
 
+import copy
 import hashlib
 import itertools
 import os
@@ -610,6 +611,55 @@ def test_toxicity_learns_from_all_rows(spark, monkeypatch):
     assert toxicity.Scorer(one).score(texts[1]) < 0.01
 
 
+def test_shards_are_averaged(spark):
+    """The fit against one process that trains each shard by itself and takes the mean; the same for any number of shuffle partitions."""
+    rng = np.random.default_rng(6)
+    plain = [f"w{k}" for k in range(80)]
+    texts = [" ".join([*rng.choice(plain, 12), *(["vile"] if k % 3 == 0 else [])]) for k in range(1200)]
+    table = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    known = table.select("id", (F.col("id") % 3 == 0).cast("int").alias("label"))
+    held = F.col("id") % 5 == 0
+    start, squares = toxicity._untrained(7)
+    place = table.select("id", F.pmod(F.xxhash64(F.lit("shard"), "id"), F.lit(4)).alias("shard"), F.xxhash64("id").alias("order")).where(~held).orderBy("shard", "order").collect()
+    model = start
+    for turn in range(toxicity.ROUNDS):
+        shards = []
+        for s in range(4):
+            own, sq, r = copy.deepcopy(model), copy.deepcopy(squares), np.random.default_rng([9, turn, s])
+            ids = [x["id"] for x in place if x["shard"] == s]
+            toxicity._learn(own, sq, [texts[i] for i in ids], np.array([i % 3 == 0 for i in ids], np.float32), r, 1)
+            shards.append(own)
+        mean = copy.deepcopy(model)
+        changed = np.array([(m.embed != model.embed).any(axis=1) for m in shards])
+        mean.embed += (np.sum([m.embed - model.embed for m in shards], axis=0, dtype=float) / np.maximum(changed.sum(axis=0), 1)[:, None]).astype(np.float32)
+        toxicity._add(mean, np.mean([toxicity._dense(m) - toxicity._dense(model) for m in shards], axis=0, dtype=float).astype(np.float32))
+        model = mean
+    old, got = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for n in ("3", "16"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            got.append(toxicity._fit_all(table, known, held, 4, start, squares))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    print("largest difference", np.abs(got[0].embed - model.embed).max(), np.abs(toxicity._dense(got[0]) - toxicity._dense(model)).max())
+    assert np.allclose(got[0].embed, model.embed, atol=1e-6) and np.allclose(toxicity._dense(got[0]), toxicity._dense(model), atol=1e-5) and not np.allclose(model.embed, start.embed, atol=1e-3)
+    assert np.array_equal(got[0].embed, got[1].embed) and got[0].threshold == got[1].threshold and np.array_equal(toxicity._dense(got[0]), toxicity._dense(got[1]))
+
+
+def test_shards_learn_the_same_wherever_batches_end(monkeypatch):
+    monkeypatch.setattr(toxicity, "CHUNK", 64)
+    rng = np.random.default_rng(7)
+    rows = [{"shard": s, "label": k % 2, "text": " ".join(rng.choice([f"w{j}" for j in range(40)], 9))} for s, n in ((0, 150), (3, 64), (4, 1), (9, 200)) for k in range(n)]
+    start, squares = toxicity._untrained(7)
+    table = pa.Table.from_pylist(rows)
+    got = []
+    for size in (1000, 70, 7):
+        out = [r for b in toxicity._changes(table.to_batches(size), start, squares, 1) for r in b.to_pylist()]
+        got.append(out)
+        assert [r["shard"] for r in out if r["block"] < 0] == [0, 3, 4, 9]
+    assert got[0] == got[1] == got[2]
+
+
 SF = "/root/testdata/sf0.001"
 
 

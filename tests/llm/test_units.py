@@ -335,3 +335,39 @@ def test_lines_of_words_are_hashed_as_words():
             assert all(known.setdefault(w, x) == x for w, x in zip(split, h.tolist(), strict=True))
     assert len(set(known.values())) == len(known) > 12
     assert list(words.hashed_texts([])) == []
+
+
+def test_texts_without_spaces_leave_nothing_behind():
+    """Each is one word, of its own: none is remembered, by the encoder, the classifier or the hashes."""
+    from tokenizers import Tokenizer
+
+    texts = ["日本語のテキスト" * 40 + str(k) for k in range(300)]
+    library = Tokenizer.from_file(vocabulary())
+    expected = [len(library.encode(t, add_special_tokens=False).ids) for t in texts]
+    for ids in (False, True):
+        enc = tokens.WordEncoder(vocabulary(), ids)
+        for t, n in zip(texts, expected, strict=True):
+            word = t.encode()
+            enc.learn({word, b"short"})
+            assert (len(enc.known[word]) // 4 if ids else enc.known[word]) == n and len(enc.known.long) <= 2
+        assert set(enc.known) == {b"short"} and enc.known.bytes < 1000
+
+
+def test_word_tables_are_bounded_by_bytes(monkeypatch):
+    monkeypatch.setattr(tokens, "KNOWN_BYTES", 50_000)
+    enc = tokens.WordEncoder(vocabulary(), True)
+    for k in range(40):
+        enc.learn({f"word{k}x{j}".encode() for j in range(100)})
+    assert enc.known.bytes <= 50_000 + 100 * (tokens.ENTRY + 64 + 4 * 64) and len(enc.known) < 600
+    monkeypatch.setattr(toxicity, "KNOWN_CHARS", 5000)
+    model = toxicity._untrained(7)[0]
+    model.threshold = dict.fromkeys(toxicity.LANGUAGES, 0.0)
+    scorer, plain = toxicity.Scorer(model), toxicity.Scorer(model)
+    for k in range(50):
+        scorer.score("字" * 900 + str(k))
+        assert scorer.words.chars <= 5000 + 1000
+    assert scorer.score("some text") == plain.score("some text")
+    monkeypatch.setattr(words, "KNOWN_CHARS", 5000)
+    for k in range(50):
+        words.hashed(["字" * 900 + str(k)])
+        assert words._HASHES.chars <= 5000 + 1000
