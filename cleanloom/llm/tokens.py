@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..shipping import ship
+from .common import tidy
 
 #: words that a worker remembers, bytes of them and of what they have (with what an entry takes), bytes of the longest
 WORDS, KNOWN_BYTES, ENTRY, LONG = 1_000_000, 192 << 20, 130, 64
@@ -140,6 +141,7 @@ def encoded(texts: Iterable[str | None], path: str, ids: bool) -> Iterator[int |
             yield b"".join(map(look, w)) if ids else sum(map(look, w))
 
 
+@tidy
 def _count(batches: Iterable[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     for b in batches:
         text = pc.fill_null(b["text"], "")
