@@ -159,6 +159,8 @@ def with_dates(df: DataFrame, wanted: Mapping[str, tuple[str, str]], dates: Date
             return F.when(likely, F.try_make_timestamp_ntz(y, m, d, F.lit(0), F.lit(0), F.lit(0.0)))
         zero = lambda c, none: F.when(timed, c).otherwise(F.lit(none))
         at = F.try_make_timestamp_ntz(y, m, d, zero(of_day, 0), zero(minute, 0), zero(second + fraction, 0.0))
+        # an offset is of 14 hours at most; what is written like a longer one is none, nor a date
+        likely = likely & ~F.coalesce(F.abs(_offset(zone)) > 14 * 60, F.lit(False)) & ~F.coalesce(zone.rlike(r"^[+-].*[6-9]\d$"), F.lit(False))
         return F.when(likely, F.when(zone.rlike(r"^[+-]"), at - F.make_dt_interval(mins=_offset(zone))).otherwise(at))
 
     # a filter does not pass a projection with an indeterminate expression, as the number of the partition is one
@@ -167,5 +169,5 @@ def with_dates(df: DataFrame, wanted: Mapping[str, tuple[str, str]], dates: Date
 
 
 def _offset(zone: Column) -> Column:
-    minutes = F.substring(zone, 2, 2).cast("int") * 60 + F.substring(zone, -2, 2).cast("int")
-    return F.when(zone.startswith("-"), -minutes).otherwise(minutes)
+    minutes = F.substring(zone, 2, 2).try_cast("int") * 60 + F.substring(zone, -2, 2).try_cast("int")
+    return F.when(zone.startswith("-"), -minutes).when(zone.startswith("+"), minutes)

@@ -11,12 +11,13 @@ from pyspark.sql import functions as F
 NA_CELLS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 NULL_WORDS = ("NA", "N/A", "NULL", "None")
 
-_SPACE = r"[\s\p{Z}\x1c-\x1f\x85]"
+#: fixed values: white space of any script
+SPACES = "\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 
 
 def strip(c: Column) -> Column:
     """Without white space of any script at both ends."""
-    return F.regexp_replace(c, rf"^{_SPACE}+|{_SPACE}+\z", "")
+    return F.btrim(c, F.lit(SPACES))
 
 
 def null_if(c: Column, values: Iterable[str]) -> Column:

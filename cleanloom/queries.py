@@ -566,7 +566,7 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table written as CSV, with quotes, line breaks and nulls, and read again as text."""
     folder = new_path(spark, "csv")
     sinks.write_csv({"t": table(spark, sf_dir, "supplier").select("s_suppkey", F.expr(AWKWARD).alias("name"), F.col("s_acctbal").alias("balance"))}, folder)
-    return read_csv(spark, f"{folder}/t").drop(ROW)
+    return read_csv(spark, f"{folder}/t", multi_line=True).drop(ROW)
 
 
 @query("""SELECT 'nation' AS sheet, n_nationkey AS rownum, CAST(n_nationkey AS VARCHAR) AS a, n_name AS b FROM nation
@@ -604,6 +604,18 @@ def large_value_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_dictionary(parts, F.col("name"), known, "label").select("p_partkey", "label")
 
 
+@query("SELECT c_custkey, c_custkey % 8 IN (0, 4, 5) AS valid FROM customer")
+def strict_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Addresses of every customer in eight forms: domains beyond ASCII, too long by themselves or once encoded, of special use; local parts too long in bytes."""
+    key = F.col("c_custkey").cast("string")
+    forms = [
+        F.concat(key, F.lit("@münchen.example.org")), F.concat(key, F.lit("x" * 64 + "@mail.org")), F.concat(key, F.lit(f"@{'ü' * 60}.org")), F.concat(key, F.lit("@mail.test")),
+        F.concat(F.lit("first.last+"), key, F.lit("@sub.mail.org")), F.concat(F.lit("ü" * 20), key, F.lit("@почта.org")), F.concat(F.lit("é" * 40), key, F.lit("@mail.org")), F.lit(None).cast("string"),
+    ]
+    address = F.element_at(F.array(*forms), (F.col("c_custkey") % 8 + 1).cast("int"))
+    return table(spark, sf_dir, "customer").select("c_custkey", rules.is_email(address, strict=True).alias("valid"))
+
+
 @query("""SELECT run, o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS VARCHAR) AS ordered, o_orderpriority
 FROM orders CROSS JOIN (VALUES ('first'), ('third')) AS r(run) WHERE run = 'first' OR o_orderkey % 3 = 0""")
 def jdbc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:

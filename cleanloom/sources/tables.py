@@ -39,11 +39,12 @@ def as_text(df: DataFrame, keep: str = ROW) -> DataFrame:
     return df.select(*(df[c] if c == keep else df[c].cast("string").alias(c) for c in df.columns))
 
 
-def read_csv(spark: SparkSession, path: str, header_row: int = 1, sep: str = ",") -> DataFrame:
-    """All cells as text. header_row 0: no header, columns are named 0, 1, ..."""
+def read_csv(spark: SparkSession, path: str, header_row: int = 1, sep: str = ",", multi_line: bool = False) -> DataFrame:
+    """All cells as text. header_row 0: no header, columns are named 0, 1, ... multi_line: cells may hold line breaks within quotes; then a file is
+    read by one task, otherwise in as many parts as it is long."""
     if header_row not in (0, 1):
         raise ExtractorError("CSV files have their header in the first row or none")
-    df = spark.read.option("header", header_row == 1).option("inferSchema", False).option("sep", sep).option("multiLine", True).option("escape", '"').csv(path)
+    df = spark.read.option("header", header_row == 1).option("inferSchema", False).option("sep", sep).option("multiLine", multi_line).option("escape", '"').csv(path)
     if not header_row:
         df = df.toDF(*map(str, range(len(df.columns))))
     return with_ordinal(df)

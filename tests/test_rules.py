@@ -49,6 +49,13 @@ def test_strict_addresses(column):
     assert column(fails, lambda c: rules.is_email(c, strict=True)) == [False] * len(fails)
 
 
+def test_addresses_by_their_encoded_domain(column):
+    passes = ["z@münchen.example.org", "z@пример.org", "é" * 32 + "@a.co", f"z@{'ü' * 40}.org", "z@xn--mnchen-3ya.org", "z@" + ".".join(["a" * 60] * 4) + ".co"]
+    fails = [f"z@{'ü' * 60}.org", "é" * 33 + "@a.co", "z@a.test", "z@host.LOCAL", "z@a.invalid", "z@" + ".".join(["a" * 62] * 4) + ".co", '"z y"@a.co', "z@[10.0.0.1]", "z@a..co", "z@ü-.org"]
+    assert column(passes, lambda c: rules.is_email(c, strict=True)) == [True] * len(passes)
+    assert column(fails, lambda c: rules.is_email(c, strict=True)) == [False] * len(fails)
+
+
 def test_ranges(column):
     inside = lambda values, low, high, null: column(values, lambda c: rules.in_range(c.try_cast("double"), low, high, null))
     assert inside(["2.9", "3", "7.5", "8", "8.01"], 3, 8, True) == [False, True, True, True, False]

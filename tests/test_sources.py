@@ -47,9 +47,9 @@ def test_ordinals_have_no_gaps(spark, tmp_path):
 
 def test_csv(spark, tmp_path):
     (tmp_path / "t.csv").write_text('a,b\n1,"x\ny"\n2,\n')
-    got = read_csv(spark, str(tmp_path / "t.csv"))
+    got = read_csv(spark, str(tmp_path / "t.csv"), multi_line=True)
     assert [(r[ROW], r["a"], r["b"]) for r in got.orderBy(ROW).collect()] == [(0, "1", "x\ny"), (1, "2", None)]
-    assert read_csv(spark, str(tmp_path / "t.csv"), 0).drop(ROW).columns == ["0", "1"]
+    assert read_csv(spark, str(tmp_path / "t.csv"), 0, multi_line=True).drop(ROW).columns == ["0", "1"]
 
 
 def test_sinks(spark, tmp_path, caplog):
