@@ -21,6 +21,7 @@ from .functions.formula import compile_formula, derived, kinds_of
 from .operators import rules
 from .operators.audit import null_pivot
 from .operators.dictionary import apply_dictionary, dictionary
+from .operators.kept_keys import KeptKeys, add_keys, keep_keys, mark_missing
 from .operators.relations import mark_duplicates, mark_orphans, orphans
 from .operators.row_runs import row_runs, run_lists
 from .plans.engine import RunResult, run
@@ -616,6 +617,22 @@ def strict_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select("c_custkey", rules.is_email(address, strict=True).alias("valid"))
 
 
+@query("""SELECT delivery, l_orderkey, l_linenumber, l_partkey, o_orderkey IS NULL AS orphan
+FROM (SELECT *, CASE WHEN l_linenumber % 2 = 0 THEN 'second' ELSE 'first' END AS delivery FROM lineitem)
+LEFT JOIN orders ON l_orderkey = o_orderkey AND (o_orderkey % 5 > 0 OR delivery = 'second' AND o_orderkey % 10 = 5)""")
+def kept_keys_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of orders kept in buckets, and two deliveries of lines against them; between these, a further delivery of orders."""
+    orders, lines = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    kept = keep_keys(orders.where("o_orderkey % 5 > 0"), "o_orderkey", f"kept_orders_{uuid.uuid4().hex}", 16, new_path(spark, "kept"))
+    first = _delivered(lines.where("l_linenumber % 2 <> 0"), kept, "first")
+    add_keys(orders.where("o_orderkey % 10 = 5 or o_orderkey % 3 = 0 and o_orderkey % 5 > 0"), "o_orderkey", kept)
+    return first.unionByName(_delivered(lines.where("l_linenumber % 2 = 0"), kept, "second"))
+
+
+def _delivered(lines: DataFrame, kept: KeptKeys, name: str) -> DataFrame:
+    return mark_missing(lines, "l_orderkey", kept, "orphan").withColumn("delivery", F.lit(name))
+
+
 @query("""SELECT run, o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS VARCHAR) AS ordered, o_orderpriority
 FROM orders CROSS JOIN (VALUES ('first'), ('third')) AS r(run) WHERE run = 'first' OR o_orderkey % 3 = 0""")
 def jdbc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
