@@ -1,9 +1,10 @@
 """Nearest neighbours by cosine: a block matrix join over int8 tiles.
 
-Vectors are scaled to length 1 and rounded to int8 with a scale of their own; the length of what rounding leaves off bounds
-the error of every product. Queries and candidates are cut into blocks of bounded size, one task per pair of blocks; only codes
-and two numbers a vector are copied to the tiles. In a tile, the integer product gives an interval for each cosine; pairs whose interval
-reaches the tile's k-th best lower bound leave it. A heap of the k best lower bounds over a query's tiles then drops what cannot be
+Vectors are scaled to length 1 and rounded to int8 with a scale of their own, and what that leaves off is rounded to int16; the length of what
+each layer leaves off bounds the error. Queries and candidates are cut into blocks of bounded size, one task per pair of blocks; only codes
+and four numbers a vector are copied to the tiles, a candidate's once for each QUERIES queries. In a tile, the integer product of the first layer gives an interval for
+each cosine, for a stripe of queries at a time; pairs whose interval reaches the k-th best lower bound are bounded again by both layers, now from the length of their
+difference, which is the more exact the nearer they are; those leave the tile that still reach it: few of a cluster of near copies, too, all of whose products look alike. A heap of the k best lower bounds over a query's tiles then drops what cannot be
 among its k nearest any more; the original vectors are joined to the few pairs left, and these are computed anew in double precision.
 The result is exact: no pair is left out that could be among the k nearest.
 
@@ -33,8 +34,13 @@ from pyspark.sql import functions as F
 from ..shipping import ship
 from .common import group_starts, partitions, stage, unstage, whole_groups
 
-QUERIES, CANDIDATES = 512, 4096
-KIND = "uid long, id long, vector array<double>, dim int, code binary, scale double, slack double"
+QUERIES, CANDIDATES = 8192, 16384
+#: queries of a tile that are multiplied together, pairs that are bounded again together
+STRIPE, PAIRS = 256, 1 << 16
+#: more than a cosine in double precision is off
+ROUNDING = 1e-12
+CODES = ("dim", "code", "scale", "slack", "code2", "scale2", "slack2")
+KIND = "uid long, id long, vector array<double>, dim int, code binary, scale double, slack double, code2 binary, scale2 double, slack2 double"
 PAIR = "q long, c long, low double, high double"
 
 
@@ -48,9 +54,13 @@ def _round(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             scale = np.abs(unit).max() / 127
             code = np.rint(unit / scale).astype(np.int8)
             left = unit - scale * code
-            rows.append((len(v), code.tobytes(), scale, float(np.sqrt((left * left).sum())) + 1e-9))
-        cols = list(zip(*rows, strict=True)) or [()] * 4
-        kinds = (pa.int32(), pa.binary(), pa.float64(), pa.float64())
+            scale2 = max(np.abs(left).max() / 32767, 1e-300)
+            code2 = np.rint(left / scale2).astype("<i2")
+            left2 = left - scale2 * code2
+            length = lambda x: float(np.sqrt((x * x).sum()))
+            rows.append((len(v), code.tobytes(), scale, length(left) + 1e-9, code2.tobytes(), scale2, length(left2) + 1e-12))
+        cols = list(zip(*rows, strict=True)) or [()] * 7
+        kinds = (pa.int32(), pa.binary(), pa.float64(), pa.float64(), pa.binary(), pa.float64(), pa.float64())
         made = [pa.array(c, k) for c, k in zip(cols, kinds, strict=True)]
         yield pa.RecordBatch.from_arrays([b["uid"], b["id"], b["vector"], *made], [x.split()[0] for x in KIND.split(", ")])
 
@@ -64,8 +74,13 @@ def rounded(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return read.select(F.monotonically_increasing_id().alias("uid"), "id", "vector").mapInArrow(_round, KIND)
 
 
-def _codes(p: pd.DataFrame, kind: type) -> np.ndarray:
-    return np.frombuffer(b"".join(p["code"]), np.int8).reshape(len(p), -1).astype(kind)
+def _codes(p: pd.DataFrame, kind: type, layer: str = "code", of: str = "i1") -> np.ndarray:
+    return np.frombuffer(b"".join(p[layer]), of).reshape(len(p), -1).astype(kind)
+
+
+def _both(p: pd.DataFrame) -> np.ndarray:
+    """What the two layers of codes stand for."""
+    return _codes(p, np.float64) * p["scale"].to_numpy()[:, None] + _codes(p, np.float64, "code2", "<i2") * p["scale2"].to_numpy()[:, None]
 
 
 def _tile(q: pd.DataFrame, c: pd.DataFrame, k: int) -> pd.DataFrame:
@@ -73,16 +88,34 @@ def _tile(q: pd.DataFrame, c: pd.DataFrame, k: int) -> pd.DataFrame:
     if not len(q) or not len(c):
         return pd.DataFrame({"q": np.zeros(0, np.int64), "c": np.zeros(0, np.int64), "low": np.zeros(0), "high": np.zeros(0)})
     kind = np.float32 if q["dim"].iloc[0] <= 1040 else np.float64
-    near = (_codes(q, kind) @ _codes(c, kind).T).astype(np.float64) * (q["scale"].to_numpy()[:, None] * c["scale"].to_numpy()[None, :])
-    qs = q["slack"].to_numpy()[:, None]
-    off = qs + (1 + qs) * c["slack"].to_numpy()[None, :]
-    own, ids = q["uid"].to_numpy(), c["uid"].to_numpy()
-    low, high = near - off, near + off
-    itself = own[:, None] == ids[None, :]
-    low[itself] = high[itself] = -np.inf
-    reach = np.partition(low, len(ids) - k, axis=1)[:, len(ids) - k] if len(ids) > k else np.full(len(own), -np.inf)
-    at, to = np.nonzero((high >= reach[:, None]) & ~itself)
-    return pd.DataFrame({"q": own[at], "c": ids[to], "low": low[at, to], "high": high[at, to]})
+    codes, scale, slack = _codes(c, kind), c["scale"].to_numpy(), c["slack"].to_numpy()
+    full_q, full_c, slack_q, slack_c = _both(q), _both(c), q["slack2"].to_numpy(), c["slack2"].to_numpy()
+    own, ids, found = q["uid"].to_numpy(), c["uid"].to_numpy(), []
+    for s in range(0, len(q), STRIPE):
+        part = q.iloc[s : s + STRIPE]
+        near = (_codes(part, kind) @ codes.T).astype(np.float64) * (part["scale"].to_numpy()[:, None] * scale[None, :])
+        qs = part["slack"].to_numpy()[:, None]
+        off = qs + (1 + qs) * slack[None, :]
+        low, high = near - off, near + off
+        itself = own[s : s + STRIPE, None] == ids[None, :]
+        low[itself] = -np.inf
+        reach = np.partition(low, len(ids) - k, axis=1)[:, len(ids) - k] if len(ids) > k else np.full(len(part), -np.inf)
+        at, to = np.nonzero((high >= reach[:, None]) & ~itself)
+        at += s
+        low, high = np.empty(len(at)), np.empty(len(at))
+        for p in range(0, len(at), PAIRS):
+            x, y = at[p : p + PAIRS], to[p : p + PAIRS]
+            apart = full_q[x] - full_c[y]
+            length, off = np.sqrt(np.einsum("ij,ij->i", apart, apart)), slack_q[x] + slack_c[y]
+            low[p : p + PAIRS] = 1 - (length + off) ** 2 / 2 - ROUNDING  # the cosine is 1 less half the square of the distance
+            high[p : p + PAIRS] = 1 - np.maximum(length - off, 0) ** 2 / 2 + ROUNDING
+        stay = np.zeros(len(at), bool)
+        cuts = np.searchsorted(at, np.arange(s, s + len(part) + 1))
+        for lo, hi in zip(cuts, cuts[1:], strict=False):
+            best = np.partition(low[lo:hi], hi - lo - k)[hi - lo - k] if hi - lo > k else -np.inf
+            stay[lo:hi] = high[lo:hi] >= best
+        found.append((own[at[stay]], ids[to[stay]], low[stay], high[stay]))
+    return pd.DataFrame(dict(zip(("q", "c", "low", "high"), map(np.concatenate, zip(*found, strict=True)), strict=True)))
 
 
 def tiler(k: int) -> Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame]:
@@ -118,7 +151,7 @@ def _candidates(rows: DataFrame, k: int) -> DataFrame:
     more = marked.withColumn("rank", rank)
     few = more.where(F.col("rank") <= k + 1).select("uid")  # cut before the shuffle too, for the ranks are limited
     plain = rows.withColumn("mark", mark).join(common, "mark", "left_anti").drop("mark")
-    return plain.select("uid", "dim", "code", "scale", "slack").unionByName(rows.join(few, "uid").select("uid", "dim", "code", "scale", "slack"))
+    return plain.select("uid", *CODES).unionByName(rows.join(few, "uid").select("uid", *CODES))
 
 
 def nearest(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -129,7 +162,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec
     n, m = light.count(), asked.count()
     left, right = max(1, -(-m // QUERIES)), max(1, -(-n // CANDIDATES))
     block = lambda n: F.pmod(F.xxhash64("uid"), F.lit(n)).cast("int")
-    q = asked.select("uid", "dim", "code", "scale", "slack").withColumn("i", block(left)).withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(right - 1))))
+    q = asked.select("uid", *CODES).withColumn("i", block(left)).withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(right - 1))))
     c = light.withColumn("j", block(right)).withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(left - 1))))
     keys = ["dim", "i", "j"]
     tiles = stage(q.groupBy(*keys).cogroup(c.groupBy(*keys)).applyInPandas(tiler(k), PAIR), "near-tiles")

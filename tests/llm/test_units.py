@@ -371,3 +371,23 @@ def test_word_tables_are_bounded_by_bytes(monkeypatch):
     for k in range(50):
         words.hashed(["字" * 900 + str(k)])
         assert words._HASHES.chars <= 5000 + 1000
+
+
+@pytest.mark.parametrize("apart", [1e-3, 1e-4, 1e-5])
+def test_near_copies_do_not_all_leave_a_tile(apart):
+    """Vectors of one cluster that the first layer of codes cannot tell apart: a few pairs a query are left, and the nearest are among them."""
+    import pandas as pd
+
+    rng = np.random.default_rng(3)
+    base = rng.standard_normal(64)
+    v = base + apart * rng.standard_normal((3000, 64))
+    batch = pa.RecordBatch.from_pydict({"uid": list(range(3000)), "id": list(range(3000)), "vector": v.tolist()})
+    rows = pd.concat([b.to_pandas() for b in neighbours._round([batch])])
+    asked = rows[rows["uid"] % 50 == 0]
+    left = neighbours._tile(asked, rows, 5)
+    assert len(left) < (20 if apart > 1e-5 else 600) * len(asked)
+    unit = v / np.linalg.norm(v, axis=1)[:, None]
+    for u in asked["uid"]:
+        score = unit @ unit[u]
+        score[u] = -2
+        assert set(np.argsort(-score)[:5]) <= set(left["c"][left["q"] == u])
