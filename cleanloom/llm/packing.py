@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
 from ..shipping import ship
-from .common import stage, tidy, unstage
-from .tokens import encoded
+from .common import stage, unstage
+from .tokens import encoded, remembering
 
 #: pieces in a partition and given up by one at most, partitions that meet in an exchange, sequences given up beside those that
 #: a gap costs, rounds of exchange at most
@@ -40,7 +40,7 @@ PIECES, FAN_IN, SPARE, ROUNDS = 4096, 16, 64, 8
 BIN_BITS, PART_BITS = 20, 36
 
 
-@tidy
+@remembering
 def _cut(batches: Iterable[pa.RecordBatch], path: str, capacity: int, end_id: int) -> Iterator[pa.RecordBatch]:
     end = end_id.to_bytes(4, "little")
     for b in batches:

@@ -16,7 +16,8 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -49,8 +50,12 @@ class Known(dict):
         """Before a batch: long words go, and all words if there are too many."""
         self.long.clear()
         if len(self) > WORDS or self.bytes > KNOWN_BYTES:
-            self.clear()
-            self.bytes = 0
+            self.forget()
+
+    def forget(self) -> None:
+        self.clear()
+        self.long.clear()
+        self.bytes = 0
 
     def put(self, word: bytes, value: int | bytes) -> None:
         if len(word) > LONG:
@@ -117,6 +122,20 @@ def encoder(path: str, ids: bool = False) -> WordEncoder:
     return _ENCODERS[path, ids]
 
 
+def remembering(function: Callable[..., Iterator[pa.RecordBatch]]) -> Callable[..., Iterator[pa.RecordBatch]]:
+    """function over a task's batches; the words it has learned go when the task ends. Workers take tasks in turn, more of them than there are cores, and
+    each would keep a table of its own; the next task learns the common words again in no time."""
+
+    @tidy
+    @wraps(function)
+    def run(*args, **options) -> Iterator[pa.RecordBatch]:
+        yield from function(*args, **options)
+        for enc in _ENCODERS.values():
+            enc.known.forget()
+
+    return run
+
+
 def by_bytes(items: Iterable[bytes], most: int) -> Iterator[list[bytes]]:
     """items in runs of about `most` bytes, one item at least."""
     part, n = [], 0
@@ -141,7 +160,7 @@ def encoded(texts: Iterable[str | None], path: str, ids: bool) -> Iterator[int |
             yield b"".join(map(look, w)) if ids else sum(map(look, w))
 
 
-@tidy
+@remembering
 def _count(batches: Iterable[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     for b in batches:
         text = pc.fill_null(b["text"], "")

@@ -391,3 +391,12 @@ def test_near_copies_do_not_all_leave_a_tile(apart):
         score = unit @ unit[u]
         score[u] = -2
         assert set(np.argsort(-score)[:5]) <= set(left["c"][left["q"] == u])
+
+
+def test_encoders_forget_words_at_a_tasks_end():
+    path = vocabulary()
+    batch = pa.RecordBatch.from_pydict({"id": [1, 2], "text": ["some words of text", "日本語" * 50]})
+    n = [b["n_tokens"].to_pylist() for b in tokens._count([batch, batch], path)]
+    assert n[0] == n[1] and not tokens.encoder(path).known and not tokens.encoder(path).known.long and tokens.encoder(path).known.bytes == 0
+    pieces = [b.num_rows for b in packing._cut([batch], path, 8, 0)]
+    assert sum(pieces) > 2 and not tokens.encoder(path, True).known
