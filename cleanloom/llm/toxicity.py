@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..shipping import ship
-from .common import partitions, pieces, stage, text_batches, tidy, unstage
+from .common import forget, partitions, pieces, stage, text_batches, tidy, unstage
 from .exact_dedup import FILTERS as JOIN_FILTERS
 from .exact_dedup import settings
 from .words import split_words
@@ -286,6 +286,7 @@ def _fit_all(texts: DataFrame, known: DataFrame, held: Column, shards: int, star
         rows = labelled_by.where(which).repartition(partitions(spark), "shard")
         return rows.sortWithinPartitions("shard", F.xxhash64("id"), "id", "label").select("shard", "label", "text")
 
+    forget(spark)  # the shuffle files behind the labelled rows go before those of the rounds, and each round's before the next
     model, seen = start, np.zeros(2, np.int64)
     with text_batches(spark):
         for turn in range(ROUNDS):
@@ -294,6 +295,8 @@ def _fit_all(texts: DataFrame, known: DataFrame, held: Column, shards: int, star
             changes = changes.repartition(-(-BUCKETS // BLOCK), "block").sortWithinPartitions("block", "shard").mapInArrow(_averaged, "block int, change binary, zeros long, ones long")
             model, seen = moved(model, changes.collect())  # as many numbers as the model has
             shared.unpersist()
+            del changes
+            forget(spark)
         if not seen.all():
             return _constant(model)
         scored = spark.sparkContext.broadcast(model)
