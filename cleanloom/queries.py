@@ -26,12 +26,13 @@ from .operators.relations import mark_duplicates, mark_orphans, orphans
 from .operators.row_runs import row_runs, run_lists
 from .plans.engine import RunResult, run
 from .plans.table import ROW, TablePlan, plan_table, summary
+from .shipping import ship
 from .sources import sinks
 from .sources.database import load_table
 from .sources.spreadsheet import read_sheet
 from .sources.tables import read_csv, with_ordinal
+from .sources.workbook_source import BOOK_ROWS, register
 from .sources.workbook_source import NAME as XLSX
-from .sources.workbook_source import register
 from .staging import new_path
 from .types import parse_type
 
@@ -585,12 +586,13 @@ def workbook_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_returnflag, CAST(l_shipdate AS VARCHAR) AS shipped FROM lineitem""")
 def workbook_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All lines as a sheet, written by several tasks and scanned by several others."""
-    path = f"{new_path(spark, 'scan')}.xlsx"
+    """All lines as sheets of a folder of workbooks, for one sheet ends at 1,048,576 rows; written by several tasks and scanned by several others."""
+    path = new_path(spark, "scan")
+    ship(spark)
     register(spark)
     kept = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_returnflag", "l_shipdate")
-    lines = table(spark, sf_dir, "lineitem").select(*kept).repartition(8, "l_orderkey")
-    lines.withColumn("l_shipdate", F.col("l_shipdate").cast("string")).write.format(XLSX).option("sheet", "lines").mode("overwrite").save(path)
+    lines = table(spark, sf_dir, "lineitem").select(*kept).repartition(max(8, spark.sparkContext.defaultParallelism), "l_orderkey")
+    lines.withColumn("l_shipdate", F.col("l_shipdate").cast("string")).write.format(XLSX).option("sheet", "lines").option("book_rows", BOOK_ROWS).mode("overwrite").save(path)
     back = spark.read.format(XLSX).option("sheet", "lines").option("split_bytes", 2 << 20).load(path)
     numbers = {"l_orderkey": "bigint", "l_linenumber": "int", "l_partkey": "bigint", "l_suppkey": "bigint", "l_quantity": "double", "l_extendedprice": "double", "l_returnflag": "string"}
     return back.select(*(F.col(c).cast(k).alias(c) for c, k in numbers.items()), F.col("l_shipdate").alias("shipped"))

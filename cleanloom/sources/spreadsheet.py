@@ -27,7 +27,7 @@ def read_sheet(spark: SparkSession, path: str, sheet: str, header_row: int = 1,
     """A sheet's cells as text, with the ordinal of each row below the header (counting empty rows)."""
     ship(spark)
     try:
-        with workbook_source.opened(path) as book:
+        with workbook_source.opened(workbook_source.first_book(path)) as book:
             schema = workbook_source.schema_of(header(book, sheet, header_row))
     except ValueError:
         return _read_whole(spark, path, sheet, header_row)

@@ -9,7 +9,11 @@ Writing. Tasks write their rows as fragments of a sheet into a folder of this wr
 that is moved into place when it is whole; aborting, and committing, removes the folder. Fragments of attempts that did not commit are never read, so a task that
 fails or runs twice leaves nothing behind.
 
-Options: path, sheet; reading also header_row (1; 0 for none), split_bytes; writing also manifest, a file to name the fragments in, in place of the joining.
+A sheet has 1,048,576 rows at most. With book_rows a table of any size is a folder of workbooks with one sheet each, of so many rows at most: tasks write these
+whole, nothing passes through the driver but their names, and a list in the folder (`_books.json`), written when all have committed, says which make up the table,
+in which order. Such a folder is read as one table, its rows numbered through.
+
+Options: path, sheet; reading also header_row (1; 0 for none), split_bytes; writing also manifest, a file to name the fragments in, in place of the joining, or book_rows.
 """
 
 from __future__ import annotations
@@ -20,9 +24,11 @@ import re
 import uuid
 import zipfile
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
+from itertools import islice
+from typing import IO
 from xml.etree import ElementTree as ET
 
 import pyarrow as pa
@@ -38,6 +44,8 @@ from .workbook import MAX_NAME, MAX_ROWS, ROW, Workbook, cell, column_of, header
 NAME = "cleanloom_xlsx"
 #: decompressed bytes of a partition; bytes of a stream that are looked at together; rows of a batch
 SPLIT, CHUNK, BATCH = 16 << 20, 1 << 20, 4096
+#: rows of a workbook in a folder of them, the list in that folder
+BOOK_ROWS, LISTED = 1 << 16, "_books.json"
 _ROW = re.compile(rb"<(?:[A-Za-z_][\w.-]*:)?row(?=[\s/>])[^>]*>")
 _NUMBER = re.compile(rb'\sr="(\d+)"')
 _DATA = re.compile(rb"<(?:[A-Za-z_][\w.-]*:)?sheetData(?:\s[^>]*)?>")
@@ -177,8 +185,33 @@ def strings(book: Workbook, wanted: set[int]) -> dict[int, str]:
     return found
 
 
+@dataclass
+class Book:
+    """A workbook in a folder of them: its rows below the header, and the bytes of its sheet's XML."""
+
+    name: str
+    rows: int
+    size: int
+
+
+def books(path: str) -> list[Book] | None:
+    """The workbooks of a folder; None where path is a workbook itself."""
+    system, at = file_system(path)
+    if system.get_file_info(at).type != fs.FileType.Directory:
+        return None
+    with system.open_input_file(f"{at}/{LISTED}") as f:
+        return [Book(**b) for b in json.loads(f.read())]
+
+
+def first_book(path: str) -> str:
+    found = books(path)
+    return f"{path.rstrip('/')}/{found[0].name}" if found else path
+
+
 @dataclass
 class Stretch(InputPartition):
+    path: str
+    before: int
     start: int
     end: int
 
@@ -190,19 +223,28 @@ class WorkbookReader(DataSourceReader):
         self.names = [f.name for f in schema.fields]
 
     def partitions(self) -> list[Stretch]:
-        with opened(self.path) as book:
-            n = max(1, -(-book.size(self.sheet) // self.split))
-        return [Stretch(k * self.split, (k + 1) * self.split if k + 1 < n else 1 << 62) for k in range(n)]
+        found, out, before = books(self.path), [], 0
+        if found is None:
+            with opened(self.path) as book:
+                return self._stretches(self.path, 0, book.size(self.sheet))
+        for b in found:
+            out += self._stretches(f"{self.path.rstrip('/')}/{b.name}", before, b.size)
+            before += b.rows
+        return out
+
+    def _stretches(self, path: str, before: int, size: int) -> list[Stretch]:
+        n = max(1, -(-size // self.split))
+        return [Stretch(path, before, k * self.split, (k + 1) * self.split if k + 1 < n else 1 << 62) for k in range(n)]
 
     def read(self, partition: Stretch) -> Iterator[pa.RecordBatch]:
         ordinals: list[int] = []
         cols: list[list] = [[] for _ in self.names[1:]]
         wanted: set[int] = set()
-        with opened(self.path) as book:
+        with opened(partition.path) as book:
             for number, cells in rows_between(book, self.sheet, partition.start, partition.end):
                 if number <= self.header_row:
                     continue
-                ordinals.append(number - self.header_row - 1)
+                ordinals.append(partition.before + number - self.header_row - 1)
                 for k, col in enumerate(cols):
                     value = cells[k] if k < len(cells) else None
                     if isinstance(value, int):
@@ -221,6 +263,12 @@ class Fragment(WriterCommitMessage):
     rows: int
 
 
+@dataclass
+class Books(WriterCommitMessage):
+    partition: int
+    made: list[Book]
+
+
 class WorkbookWriter(DataSourceArrowWriter):
     def __init__(self, options: dict, schema: StructType, overwrite: bool):
         self.path, self.sheet, self.manifest = options["path"], options.get("sheet", "Sheet1"), options.get("manifest")
@@ -281,6 +329,13 @@ def sheet_of(manifest: str) -> Sheet:
         return Sheet(**json.loads(f.read()))
 
 
+_TAIL = b"</sheetData></worksheet>"
+
+
+def _head(columns: list[str]) -> bytes:
+    return f'<worksheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"><sheetData><row>{"".join(map(cell, columns))}</row>'.encode()
+
+
 def join(sheets: list[Sheet], out) -> None:
     """A workbook of the fragments of sheets, a chunk at a time."""
     names = [s.name[:MAX_NAME] for s in sheets]
@@ -292,14 +347,79 @@ def join(sheets: list[Sheet], out) -> None:
         for k, s in enumerate(sheets, 1):
             system, folder = file_system(s.folder)
             with z.open(f"xl/worksheets/sheet{k}.xml", "w", force_zip64=True) as f:
-                f.write(f'<worksheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"><sheetData><row>{"".join(map(cell, s.columns))}</row>'.encode())
+                f.write(_head(s.columns))
                 for name in s.fragments:
                     unpacker = zlib.decompressobj()
                     with system.open_input_stream(f"{folder}/{name}", compression=None) as part:
                         while chunk := part.read(CHUNK):
                             f.write(unpacker.decompress(chunk))
                         f.write(unpacker.flush())
-                f.write(b"</sheetData></worksheet>")
+                f.write(_TAIL)
+
+
+@contextmanager
+def sheet_in(out: IO[bytes], sheet: str, columns: list[str]) -> Iterator[IO[bytes]]:
+    """A workbook of one sheet, whose rows are written to what this gives."""
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED, compresslevel=1) as z:
+        for path, text in workbook_parts([sheet]).items():
+            z.writestr(path, text)
+        with z.open("xl/worksheets/sheet1.xml", "w", force_zip64=True) as f:
+            f.write(_head(columns))
+            yield f
+            f.write(_TAIL)
+
+
+class BooksWriter(DataSourceArrowWriter):
+    """A folder of workbooks. Their names begin with this write's own mark: an abort removes them, a commit what else is there."""
+
+    def __init__(self, options: dict, schema: StructType, overwrite: bool):
+        self.path, self.sheet, self.rows = options["path"], options.get("sheet", "Sheet1")[:MAX_NAME], int(options["book_rows"])
+        if not 0 < self.rows < MAX_ROWS:
+            raise LoaderError(f"A workbook takes 1 to {MAX_ROWS - 1} rows", Where(self.sheet))
+        self.mark, self.overwrite, self.names = uuid.uuid4().hex, overwrite, [f.name for f in schema.fields]
+
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> Books:
+        context = TaskContext.get()
+        partition = context.partitionId() if context else 0
+        rows = (r for b in iterator for s in range(0, b.num_rows, BATCH) for r in zip(*(c.to_pylist() for c in b.slice(s, BATCH).columns), strict=True))
+        made: list[Book] = []
+        while part := list(islice(rows, min(BATCH, self.rows))):
+            made.append(self._book(f"{partition:06d}-{len(made):06d}", part, rows))
+        return Books(partition, made)
+
+    def _book(self, place: str, part: list[tuple], rows: Iterator[tuple]) -> Book:
+        """A workbook of part and of the rows that come, until it is full."""
+        system, folder = file_system(self.path)
+        system.create_dir(folder)
+        name, n, size = f"{self.mark}-{place}-{uuid.uuid4().hex}.xlsx", 0, len(_head(self.names)) + len(_TAIL)
+        with system.open_output_stream(f"{folder}/{name}", compression=None) as out, sheet_in(out, self.sheet, self.names) as f:
+            while part:
+                n += len(part)
+                size += f.write("".join(f"<row>{''.join(map(cell, row))}</row>" for row in part).encode())
+                part = list(islice(rows, min(BATCH, self.rows - n)))
+        return Book(name, n, size)
+
+    def commit(self, messages: list[Books | None]) -> None:
+        made = [b for m in sorted((m for m in messages if m), key=lambda m: m.partition) for b in m.made]
+        system, folder = file_system(self.path)
+        there = system.get_file_info(folder).type
+        if not self.overwrite and (there == fs.FileType.File or system.get_file_info(f"{folder}/{LISTED}").type == fs.FileType.File):
+            self.abort([])
+            raise LoaderError(f"{self.path} is there already")
+        made = made or [self._book("empty", [], iter(()))]  # for its header
+        with system.open_output_stream(f"{folder}/{self.mark}.json", compression=None) as out:
+            out.write(json.dumps([asdict(b) for b in made]).encode())
+        system.move(f"{folder}/{self.mark}.json", f"{folder}/{LISTED}")
+        self._remove(lambda name: name != LISTED and name not in {b.name for b in made})
+
+    def abort(self, messages: list[Books | None]) -> None:
+        self._remove(lambda name: name.startswith(self.mark))
+
+    def _remove(self, which: Callable[[str], bool]) -> None:
+        system, folder = file_system(self.path)
+        for info in system.get_file_info(fs.FileSelector(folder, allow_not_found=True)):
+            if info.type == fs.FileType.File and which(info.base_name):
+                system.delete_file(info.path)
 
 
 class WorkbookSource(DataSource):
@@ -308,14 +428,14 @@ class WorkbookSource(DataSource):
         return NAME
 
     def schema(self) -> StructType:
-        with opened(self.options["path"]) as book:
+        with opened(first_book(self.options["path"])) as book:
             return schema_of(header(book, self.options["sheet"], int(self.options.get("header_row", 1))))
 
     def reader(self, schema: StructType) -> WorkbookReader:
         return WorkbookReader(dict(self.options), schema)
 
-    def writer(self, schema: StructType, overwrite: bool) -> WorkbookWriter:
-        return WorkbookWriter(dict(self.options), schema, overwrite)
+    def writer(self, schema: StructType, overwrite: bool) -> WorkbookWriter | BooksWriter:
+        return (BooksWriter if "book_rows" in self.options else WorkbookWriter)(dict(self.options), schema, overwrite)
 
 
 def schema_of(names: list[str]) -> StructType:

@@ -147,3 +147,25 @@ def test_an_attempt_that_did_not_commit_is_not_read(tmp_path):
     with open(path, "rb") as f:
         assert [c for _, c in workbook.Workbook(io.BytesIO(f.read())).rows("S")] == [["a"], *([str(k)] for k in range(5))]
     assert os.listdir(tmp_path) == ["b.xlsx"]
+
+
+def test_a_table_of_more_rows_than_a_sheet(spark, tmp_path, monkeypatch):
+    """With book_rows a table goes to as many workbooks as it needs; what another write left is gone, and rows are numbered through."""
+    path = str(tmp_path / "books")
+    df = spark.range(0, 1000, 1, 3).select("id", F.when(F.col("id") % 3 > 0, F.concat(F.lit("v "), "id")).alias("odd name"))
+    for rows in (90, 70):
+        df.write.format(NAME).option("sheet", "t").option("book_rows", rows).mode("overwrite").save(path)
+    found = workbook_source.books(path)
+    assert len(found) == 15 and sum(b.rows for b in found) == 1000 and max(b.rows for b in found) == 70
+    assert sorted(os.listdir(path)) == sorted([workbook_source.LISTED, *(b.name for b in found)])
+    for b in found:
+        with workbook_source.opened(f"{path}/{b.name}") as one:
+            assert one.size("t") == b.size
+    back = spark.read.format(NAME).option("sheet", "t").option("split_bytes", 900).load(path)
+    assert back.rdd.getNumPartitions() > 15 and read_sheet(spark, path, "t").count() == 1000
+    assert [tuple(r) for r in back.orderBy(ROW).collect()] == [(k, str(k), f"v {k}" if k % 3 else None) for k in range(1000)]
+    with pytest.raises(PySparkException, match="there already"):
+        df.write.format(NAME).option("sheet", "t").option("book_rows", 90).mode("append").save(path)
+    assert back.count() == 1000 and len(os.listdir(path)) == 16
+    df.limit(0).write.format(NAME).option("sheet", "t").option("book_rows", 90).mode("overwrite").save(path)
+    assert (empty := read_sheet(spark, path, "t")).columns == [ROW, "id", "odd name"] and empty.count() == 0
