@@ -28,12 +28,12 @@ from .plans.engine import RunResult, run
 from .plans.table import ROW, TablePlan, plan_table, summary
 from .shipping import ship
 from .sources import sinks
-from .sources.database import load_table
+from .sources.database import embedded_url, export_table, load_table
 from .sources.spreadsheet import read_sheet
 from .sources.tables import read_csv, with_ordinal
 from .sources.workbook_source import BOOK_ROWS, register
 from .sources.workbook_source import NAME as XLSX
-from .staging import new_path
+from .staging import is_local, new_path
 from .types import parse_type
 
 RUN_DATE = dt.date(2026, 1, 31)
@@ -638,13 +638,15 @@ def _delivered(lines: DataFrame, kept: KeptKeys, name: str) -> DataFrame:
 @query("""SELECT run, o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS VARCHAR) AS ordered, o_orderpriority
 FROM orders CROSS JOIN (VALUES ('first'), ('third')) AS r(run) WHERE run = 'first' OR o_orderkey % 3 = 0""")
 def jdbc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All orders into a database (one that lives in this JVM) and back: a first delivery, the same once more, which changes nothing, and a third of other rows."""
-    url = f"jdbc:derby:memory:{uuid.uuid4().hex};create=true"
+    """All orders into a database (one that lives in this JVM) and back: a first delivery, the same once more, which changes nothing, and a third of other rows.
+    On a cluster executors cannot reach it, so it imports and exports files by itself."""
+    url, bulk = embedded_url(), not is_local(spark.sparkContext.master)
     orders = table(spark, sf_dir, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("string")).repartition(4, "o_orderkey")
     for run, rows in (("first", orders), ("first", orders), ("third", orders.where("o_orderkey % 3 = 0"))):
-        load_table(rows.withColumn("run", F.lit(run)), url, "APP.ORDERS", run)
+        load_table(rows.withColumn("run", F.lit(run)), url, "APP.ORDERS", run, bulk=bulk)
     bounds = orders.agg(F.min("o_orderkey"), F.max("o_orderkey")).first()
-    back = spark.read.jdbc(url, "APP.ORDERS", "o_orderkey", bounds[0] or 0, (bounds[1] or 0) + 1, 4)
+    range_of = ("o_orderkey", bounds[0] or 0, (bounds[1] or 0) + 1, 4)
+    back = export_table(spark, url, "APP.ORDERS", *range_of) if bulk else spark.read.jdbc(url, "APP.ORDERS", *range_of)
     return back.select("run", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", F.col("o_orderdate").alias("ordered"), "o_orderpriority")
 
 

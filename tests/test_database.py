@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from cleanloom.errors import LoaderError
 from cleanloom.sources import database
-from cleanloom.sources.database import load_table
+from cleanloom.sources.database import embedded_url, export_table, load_table
 from cleanloom.sources.sinks import load
 
 from .test_plan import config
@@ -110,3 +110,36 @@ def test_load_names_its_delivery(spark, url, tmp_path):
         out = load({"t": df}, ["sql", "parquet"], str(tmp_path), config(lambda raw: raw["target"].update(schema="APP")), url=url, run="monday")
         assert out["sql"] == {"t": 20}
     assert sum(rows(spark, url, "APP.T").values()) == 20
+
+
+def test_import_and_export_of_files(spark):
+    """What the database reads and writes by itself, with texts that are awkward in CSV."""
+    texts = ['a,"b"; c', "two\nlines", None, "", "  x ", 'back\\slash "q', "é €,", '"', "cr\r\nlf", "plain"]
+    df = spark.createDataFrame([(k, t, k / 3 if t else None, t == "plain") for k, t in enumerate(texts)] + [(None, "no key", 1.0, None)], "k long, `odd name` string, d double, b boolean").repartition(3)
+    url = embedded_url()
+    assert load_table(df, url, "APP.T", "one", bulk=True) == 11 and load_table(df.limit(2), url, "APP.T", "one", bulk=True) == 11
+    assert load_table(df.where("k > 7"), url, "APP.T", "two", bulk=True) == 2
+    wanted = Counter(tuple(r) for r in df.union(df.where("k > 7")).collect())
+    assert rows(spark, url) == wanted
+    for parts in (1, 3):
+        assert Counter(tuple(r) for r in export_table(spark, url, "APP.T", "k", 0, 10, parts).collect()) == wanted
+
+
+def test_round_trip_where_executors_are_elsewhere():
+    script = """
+        import sys
+        sys.path.insert(0, {root!r})
+        import tempfile
+        from pyspark.sql import SparkSession
+        from cleanloom import queries
+        shared = tempfile.mkdtemp()
+        spark = SparkSession.builder.master("local-cluster[2,1,1024]").config("spark.ui.enabled", "false").config("spark.driver.host", "127.0.0.1").config("spark.checkpoint.dir", "file://" + shared).getOrCreate()
+        spark.sparkContext.setLogLevel("OFF")
+        n = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").count()
+        back = queries.queries()["jdbc_round_trip"](spark, "/root/testdata/sf0.001")
+        counts = dict(back.groupBy("run").count().collect())
+        assert counts["first"] == n and 0 < counts["third"] < n, counts
+        print("there and back")
+    """.format(root=os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    done = subprocess.run([sys.executable, "-c", textwrap.dedent(script)], capture_output=True, text=True, timeout=300)
+    assert "there and back" in done.stdout, done.stderr[-3000:]
