@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..shipping import ship
-from .common import forget, partitions, pieces, stage, text_batches, tidy, unstage
+from .common import forget, pieces, stage, text_batches, tidy, unstage
 from .exact_dedup import FILTERS as JOIN_FILTERS
 from .exact_dedup import settings
 from .words import split_words
@@ -270,6 +270,11 @@ def _once(rows: DataFrame) -> DataFrame:
     return rows.groupBy("id", "label").agg(F.min("text").alias("text"))
 
 
+def _labelled(texts: DataFrame, known: DataFrame) -> DataFrame:
+    """The texts that have a label. Spark makes a Bloom filter only of a side that a comparison has filtered: labels are 0 or 1, so this one leaves all of them."""
+    return _once(texts.join(known.where("label >= 0"), "id"))
+
+
 def _fit_all(texts: DataFrame, known: DataFrame, held: Column, shards: int, start: Model, squares: dict) -> Model:
     """start, trained on by each shard of the rows that are not held, averaged, in rounds, with thresholds from all held rows."""
     spark = texts.sparkSession
@@ -277,13 +282,13 @@ def _fit_all(texts: DataFrame, known: DataFrame, held: Column, shards: int, star
     # written, so that Spark knows its size: it is broadcast to the texts if it is small; otherwise its Bloom filter keeps other texts where they are
     known = stage(known.where("id is not null"), "toxic-labels", 10_000)
     with settings(spark, JOIN_FILTERS):
-        labelled = stage(_once(texts.join(known, "id")), "toxic-rows")
+        labelled = stage(_labelled(texts, known), "toxic-rows")
     shard = F.pmod(F.xxhash64(F.lit("shard"), "id"), F.lit(shards))
     labelled_by = labelled.select("id", "label", "text", shard.alias("shard"), held.alias("held"))
 
     def dealt(which: str) -> DataFrame:
-        """Rows in the order of shards, each shard's in one partition."""
-        rows = labelled_by.where(which).repartition(partitions(spark), "shard")
+        """Rows in the order of shards, each shard's in one partition, a partition for each."""
+        rows = labelled_by.where(which).repartitionById(shards, F.col("shard").cast("int"))
         return rows.sortWithinPartitions("shard", F.xxhash64("id"), "id", "label").select("shard", "label", "text")
 
     forget(spark)  # the shuffle files behind the labelled rows go before those of the rounds, and each round's before the next

@@ -594,6 +594,16 @@ def test_toxicity_gives_memory_back_at_a_tasks_end(monkeypatch):
     assert given == [True] * 3
 
 
+def test_toxicity_moves_labelled_texts_only(spark, tmp_path):
+    """Where labels are too many for a broadcast, their Bloom filter keeps the other texts out of the shuffle."""
+    spark.range(3000).select(F.col("id"), F.concat(F.lit("text "), "id").alias("text")).write.parquet(f"{tmp_path}/texts")
+    spark.range(0, 3000, 3).select(F.col("id"), (F.col("id") % 2).cast("int").alias("label")).write.parquet(f"{tmp_path}/labels")
+    with exact_dedup.settings(spark, toxicity.JOIN_FILTERS | {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        found = toxicity._labelled(*(spark.read.parquet(f"{tmp_path}/{x}") for x in ("texts", "labels")))
+        assert "might_contain" in found._jdf.queryExecution().optimizedPlan().toString()
+        assert sorted(map(tuple, found.collect())) == [(k, k % 2, f"text {k}") for k in range(0, 3000, 3)]
+
+
 def test_toxicity_learns_from_all_rows(spark, monkeypatch):
     """Words that the driver's few rows do not have are learned from the others, whatever shard they are in."""
     monkeypatch.setattr(toxicity, "SHARD", 2000)
