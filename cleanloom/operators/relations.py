@@ -12,8 +12,9 @@ def mark_duplicates(df: DataFrame, key: str, mark: str) -> DataFrame:
     """df with a column mark: whether the key's text occurs more than once. Null is never a duplicate.
 
     Counts are partial before the shuffle, and only keys that repeat are joined back: a key in many rows is the large side of
-    a join whose other side has it once."""
-    again = df.where(df[key].isNotNull()).groupBy(F.col(key).alias("__key")).agg(F.count("*").alias("__n")).where("__n > 1").select("__key")
+    a join whose other side has it once. They move once more, when all are counted: only then does Spark know how few they are. It broadcasts them, where it
+    would take as many as there are keys for granted, and sort whole rows to meet them."""
+    again = df.where(df[key].isNotNull()).groupBy(F.col(key).alias("__key")).agg(F.count("*").alias("__n")).where("__n > 1").select("__key").repartition(F.xxhash64("__key"))
     return df.join(again, df[key] == again["__key"], "left").withColumn(mark, F.col("__key").isNotNull()).drop("__key")
 
 

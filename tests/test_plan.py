@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cleanloom.config import config_date, load_config, parse_config, warnings
 from cleanloom.errors import CleanerError, ConfigError, ExtractorError, SchemaError, ValidatorError
+from cleanloom.operators.relations import mark_duplicates
 from cleanloom.plans.engine import run
 from cleanloom.plans.table import ROW, plan_table, summary
 from cleanloom.sources.sinks import ddl
@@ -177,3 +178,19 @@ def test_no_python_in_the_plans(result):
     for plan in result.plans.values():
         text = plan.final()._jdf.queryExecution().toString()
         assert "Python" not in text and "ArrowEval" not in text and "MapInArrow" not in text
+
+
+def test_rows_are_not_sorted_to_meet_the_keys_that_repeat(spark):
+    """Many keys, few of them twice: the join becomes a broadcast once these are known, whatever the keys' own size."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64k")
+    try:
+        df = spark.range(200_000).select(F.when(F.col("id") % 50_000 == 0, F.lit("twice")).otherwise(F.concat(F.lit("key "), "id")).alias("k"), "id")
+        marked = mark_duplicates(df, "k", "again")
+        assert sorted(r["id"] for r in marked.where("again").collect()) == [0, 50_000, 100_000, 150_000]
+        counted = marked.groupBy("again").count()
+        assert dict(counted.collect()) == {True: 4, False: 199_996}
+        final = counted._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert "BroadcastHashJoin" in final and "SortMergeJoin" not in final
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
