@@ -138,6 +138,12 @@ def partitions(spark: SparkSession, amount: int = 0, each: int = 1) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-amount // each))
 
 
+def listed(spark: SparkSession, columns: dict[str, list], schema: str) -> DataFrame:
+    """A table of a few values that the driver has. Out of a list of rows Spark would make one that Python workers read: a daemon and workers of
+    their own on each executor, which stay there beside those of Arrow functions. Out of an Arrow table it makes one of the JVM's."""
+    return spark.createDataFrame(pa.table(columns), schema)
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """name, or name with underscores in front until no column of df has it (in any case)."""
     taken = {c.lower() for c in df.columns}

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import forget, free_name, numbered, partitions, stage, unstage
+from .common import forget, free_name, listed, numbered, partitions, stage, unstage
 from .exact_dedup import located
 
 #: times that a document is taken at most, rows of a cell if one source holds all rows
@@ -39,7 +39,7 @@ def ranked(sources: DataFrame) -> DataFrame:
     light = stage(sources, "mix-sizes", 10_000)
     out, before = numbered(light, [F.col("source").asc_nulls_last()], max(1, -(-light.count() // SOURCES)), "mix-ranked")
     unstage(light)
-    ranges = spark.createDataFrame([(k, n) for k, n in enumerate(before)], "part long, before long")  # a number for each range
+    ranges = listed(spark, {"part": range(len(before)), "before": before}, "part long, before long")  # a number for each range
     part, place = F.shiftright("at", 33), F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
     return out.withColumn("part", part).join(F.broadcast(ranges), "part").withColumn("place", F.col("before") + place).drop("part", "before", "at")
 

@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..shipping import ship
-from .common import forget, free_name, group_starts, partitions, stage, tidy, unstage, whole_groups
+from .common import forget, free_name, group_starts, listed, partitions, stage, tidy, unstage, whole_groups
 from .components import components
 from .exact_dedup import located
 from .near_duplicates import _blocks, _labels, _pairs, _sorted_groups
@@ -401,7 +401,7 @@ def numbers(scan: DataFrame) -> DataFrame:
     paths = sorted(r[0] for r in scan.select(file).distinct().collect())
     if len(paths) >> (63 - ROW_BITS):
         raise ValueError("more files than a text's number has room for")
-    named = scan.sparkSession.createDataFrame(list(zip(paths, range(len(paths)), strict=True)), "path string, number long")
+    named = listed(scan.sparkSession, {"path": paths, "number": range(len(paths))}, "path string, number long")
     return F.broadcast(named) if sum(map(len, paths)) < SMALL else stage(named, "file-numbers", 10_000)  # of a size that Spark knows
 
 

@@ -105,18 +105,21 @@ class Scorer:
     def __init__(self, model: Model):
         self.model = model
         self.side = np.concatenate([model.filters[w][j] for w, j in PLACES], axis=1)
+        self.adds = np.zeros((0, self.side.shape[1]), np.float32)
         self.start()
 
     def start(self) -> None:
-        self.words, self.adds, self.n = Vocabulary(), np.zeros((1 << 14, self.side.shape[1]), np.float32), 1
+        self.words, self.n = Vocabulary(), 1
+        if len(self.adds) != (room := KNOWN + PIECE):  # memory is only taken as rows are written; grown by doubling, rows would be there three times
+            self.adds = np.zeros((room, self.adds.shape[1]), np.float32)
 
     def logit(self, words: list[str]) -> float:
         if len(self.words) > KNOWN or self.words.chars > KNOWN_CHARS:
             self.start()
         ids = self.words.rows(words)
         if len(new := self.words.take()):
-            while self.n + len(new) > len(self.adds):
-                self.adds = np.concatenate([self.adds, np.zeros_like(self.adds)])
+            if (more := self.n + len(new) - len(self.adds)) > 0:  # the words of one text, where it has more than there is room for
+                self.adds = np.concatenate([self.adds, np.zeros((more, self.adds.shape[1]), np.float32)])
             self.adds[self.n : self.n + len(new)] = self.model.embed[new].sum(axis=1) @ self.side
             self.n += len(new)
         best = {w: np.full(FILTERS, -np.inf, np.float32) for w in SPANS}

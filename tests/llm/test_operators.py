@@ -576,6 +576,18 @@ def test_workers_forget_between_steps(spark):
     assert [r["n"] for r in kept] == [0] * 4
 
 
+def test_what_the_driver_lists_starts_no_python(spark, tmp_path):
+    """A table made of a list of rows would be read by Python workers of its own on every executor."""
+    spark.createDataFrame([("a", 1), (None, 2), ("b", 3)], "source string, source_size long").write.parquet(f"{tmp_path}/sources")
+    ranked = mixing.ranked(spark.read.parquet(f"{tmp_path}/sources"))
+    assert {r["source"]: r["place"] for r in ranked.collect()} == {"a": 0, "b": 1, None: 2}
+    files = passages.numbers(spark.read.parquet(f"{tmp_path}/sources"))
+    assert [r["number"] for r in files.orderBy("path").collect()] == list(range(files.count()))
+    for df in (ranked, files):
+        plan = df._jdf.queryExecution().sparkPlan().toString()
+        assert "LocalTableScan" in plan and "ExistingRDD" not in plan
+
+
 def test_toxicity_gives_memory_back_at_a_tasks_end(monkeypatch):
     """After the last batch, and when the scorer with all that it remembers is gone."""
     model, scorers, given = toxicity._untrained(7)[0], [], []

@@ -1,5 +1,6 @@
 """The parts of the operators that run without Spark."""
 
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -400,3 +401,20 @@ def test_encoders_forget_words_at_a_tasks_end():
     assert n[0] == n[1] and not tokens.encoder(path).known and not tokens.encoder(path).known.long and tokens.encoder(path).known.bytes == 0
     pieces = [b.num_rows for b in packing._cut([batch], path, 8, 0)]
     assert sum(pieces) > 2 and not tokens.encoder(path, True).known
+
+
+def test_a_scorers_table_takes_no_more_than_its_rows(monkeypatch):
+    monkeypatch.setattr(toxicity, "KNOWN", 50_000)
+    model, _ = toxicity._untrained(1)
+    table = 4 * toxicity.FILTERS * len(toxicity.PLACES) * (toxicity.KNOWN + toxicity.PIECE)
+    tracemalloc.start()
+    try:
+        scorer = toxicity.Scorer(model)
+        first = [scorer.logit([f"w{k}" for k in range(at, at + 100)]) for at in range(0, 40_000, 100)][0]
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert most < 2.2 * table, most / table  # with the words; over that when the table was grown by doubling
+    long = [f"v{k}" for k in range(70_000)]  # one text of more words than there is room for
+    assert scorer.logit(long) == toxicity.Scorer(model).logit(long)
+    assert scorer.logit([f"w{k}" for k in range(100)]) == first and len(scorer.adds) == toxicity.KNOWN + toxicity.PIECE
