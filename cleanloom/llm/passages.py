@@ -8,7 +8,7 @@ wherever it stands in a text, whatever its lines are. Paragraphs overlap; they s
    a key with more than one check is split by it, so equal paragraphs are equal in 128 bits of a digest of the words themselves.
 2. A second pass makes the bands of their MinHash values. A task sends each paragraph's once (by a bounded memory of keys),
    so one in a third of all texts makes few rows.
-3. Each band's rows come sorted; only those of bands with different paragraphs of different texts (told by 32 bits of loc) go on, not what
+3. Each band's rows come together; only those of bands with different paragraphs of different texts (told by 32 bits of loc) go on, not what
    merely overlaps in a text. Their shingles are read from the texts.
 4. Colliding paragraphs are verified by exact Jaccard similarity, in blocks of bounded size, and connected into clusters.
 5. In each cluster (of copies or near copies) the first occurrence by (id, file, row, place) stays, and so does what is merely near
@@ -31,9 +31,9 @@ read; an empty table gives an empty result.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -129,7 +129,7 @@ def bands_of(words: np.ndarray, at: np.ndarray, p: Paragraphs) -> np.ndarray:
 
 def digests(texts: list[list[str] | bytes], text: np.ndarray, start: np.ndarray, p: Paragraphs) -> np.ndarray:
     """(key, check) of each paragraph: a digest of its words. texts: of each its words, or the line of them."""
-    out = bytearray()
+    out: list[bytes] = []
     cuts = np.flatnonzero(np.concatenate([[True], text[1:] != text[:-1], [True]])) if len(text) else np.zeros(1, np.int64)  # without a paragraph none
     for lo, hi in zip(cuts, cuts[1:], strict=False):
         line = texts[int(text[lo])]
@@ -137,9 +137,9 @@ def digests(texts: list[list[str] | bytes], text: np.ndarray, start: np.ndarray,
             line = " ".join(line).encode("utf-8", "surrogatepass")
         begins = np.concatenate([[0], np.flatnonzero(np.frombuffer(line, np.uint8) == 32) + 1, [len(line) + 1]])
         own = start[lo:hi]
-        for s, e in zip(begins[own].tolist(), (begins[own + p.words] - 1).tolist(), strict=True):
-            out += hashlib.blake2b(line[s:e], digest_size=16).digest()
-    return np.frombuffer(bytes(out), np.int64).reshape(-1, 2)
+        places = zip(begins[own].tolist(), (begins[own + p.words] - 1).tolist(), strict=True)
+        out += [blake2b(line[s:e], digest_size=16).digest() for s, e in places]
+    return np.frombuffer(b"".join(out), np.int64).reshape(-1, 2)
 
 
 def _slabs(texts: Iterable[str | None], words: int = 100_000) -> Iterator[tuple[int, list[bytes], list[np.ndarray]]]:
@@ -180,8 +180,9 @@ def _banded(batches: Iterable[pa.RecordBatch], p: Paragraphs) -> Iterator[pa.Rec
 
 
 def _colliding(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by (band, tag), those of the bands that have more than one key and more than one text: paragraphs of one
-    text that overlap collide too, but are no copies. Of a band that goes on in the next batch no more is kept than one text's rows."""
+    """Of rows sorted by band (one number, which Spark sorts by its digits), those of the bands that have more than one key and more than one
+    text: paragraphs of one text that overlap collide too, but are no copies. Of a band that goes on in the next batch no more is kept than one
+    text's rows."""
     band, tag, key = (np.empty(0, k) for k in (np.int64, np.int32, np.int64))
     for b in batches:
         band, tag, key = (np.concatenate([x, b[c].to_numpy()]) for x, c in ((band, "band"), (tag, "tag"), (key, "key")))
@@ -241,7 +242,7 @@ def _near(places: DataFrame, texts: DataFrame, p: Paragraphs) -> DataFrame:
     """(node, root): clusters of different paragraphs, by their hashes."""
     tagged = texts.select("text", F.hash("loc").alias("tag"))
     bands = tagged.mapInArrow(lambda it: _banded(it, p), "band long, tag int, key long")
-    found = bands.repartition(partitions(texts.sparkSession), "band").sortWithinPartitions("band", "tag").mapInArrow(_colliding, "band long, key long")
+    found = bands.repartition(partitions(texts.sparkSession), "band").sortWithinPartitions("band").mapInArrow(_colliding, "band long, key long")
     hits = stage(found.distinct(), "passage-hits", 10_000)
     del bands, found
     forget(texts.sparkSession)

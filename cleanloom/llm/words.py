@@ -45,15 +45,19 @@ def hashed(words: list[str]) -> np.ndarray:
 
 #: bytes of ASCII texts: words in lower case, all else spaces
 _ASCII = bytes(ord(c.lower()) if WORD.match(c := chr(k)) and k < 128 else 32 for k in range(256))
+#: the same for texts of which all other characters are of words, and the characters that are not
+_LETTERS, _NO_WORD = _ASCII[:128] + bytes(range(128, 256)), re.compile(r"[^\w\x00-\x7f]+")
 #: words of more bytes than this are hashed one by one; the first k bytes of eight
 LONG, _FIRST = 64, np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 
 def word_line(text: str | None) -> bytes:
     """The words of a text in UTF-8, a space between any two."""
-    if not text or not text.isascii():
-        return " ".join(split_words(text)).encode("utf-8", "surrogatepass")
-    return b" ".join(text.encode().translate(_ASCII).split())
+    if not text:
+        return b""
+    if text.isascii():
+        return b" ".join(text.encode().translate(_ASCII).split())
+    return b" ".join(_NO_WORD.sub(" ", text.lower()).encode().translate(_LETTERS).split())
 
 
 def hashed_lines(lines: list[bytes]) -> list[np.ndarray]:

@@ -418,3 +418,20 @@ def test_a_scorers_table_takes_no_more_than_its_rows(monkeypatch):
     long = [f"v{k}" for k in range(70_000)]  # one text of more words than there is room for
     assert scorer.logit(long) == toxicity.Scorer(model).logit(long)
     assert scorer.logit([f"w{k}" for k in range(100)]) == first and len(scorer.adds) == toxicity.KNOWN + toxicity.PIECE
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.one_of(st.text(), st.lists(st.sampled_from([*"aZ_9 ,.-\n\x1c\x85\xa0éÉßİŉ«»’“”字।ा́​٣²½", "\ud800", "\U0001d400", "\U0001f600"])).map("".join)))
+def test_lines_have_the_words_of_any_text(text):
+    assert words.word_line(text) == " ".join(words.split_words(text)).encode("utf-8", "surrogatepass")
+
+
+@pytest.mark.parametrize("step", [1, 3, 1000])
+def test_colliding_bands_in_any_order_of_texts(step):
+    """Rows come sorted by band alone."""
+    rng = np.random.default_rng(6)
+    b, t, k = np.sort(rng.integers(0, 300, 1000)), rng.integers(0, 3, 1000).astype(np.int32), rng.integers(0, 4, 1000)
+    b[900:930], b[930:960], t[930:960], b[960:], k[960:] = 900, 901, 7, 902, 5  # a large band, one of a single text, one of a single key
+    batches = (pa.RecordBatch.from_arrays([pa.array(x[i : i + step]) for x in (b, t, k)], ["band", "tag", "key"]) for i in range(0, 1000, step))
+    got = {pair for r in passages._colliding(batches) for pair in zip(r["band"].to_pylist(), r["key"].to_pylist(), strict=True)}
+    assert got == {(x, y) for x, y in zip(b.tolist(), k.tolist(), strict=True) if len(set(k[b == x])) > 1 and len(set(t[b == x])) > 1}
