@@ -6,7 +6,7 @@ wherever it stands in a text, whatever its lines are. Paragraphs overlap; they s
 
 1. One pass over the texts writes every paragraph's place and the 128-bit digest of its words: key and check, 64 bits each. Rows go by key, and
    a key with more than one check is split by it, so equal paragraphs are equal in 128 bits of a digest of the words themselves.
-2. A second pass makes the bands of their MinHash values. A task sends each paragraph's once (by a bounded memory of keys),
+2. The same pass writes the bands of their MinHash values. A task gives each paragraph's once (by a bounded memory of keys),
    so one in a third of all texts makes few rows.
 3. Each band's rows come together; only those of bands with different paragraphs of different texts (told by 32 bits of loc) go on, not what
    merely overlaps in a text. Their shingles are read from the texts.
@@ -31,7 +31,7 @@ read; an empty table gives an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from hashlib import blake2b
 
@@ -117,12 +117,12 @@ def anchors(texts: list[np.ndarray], p: Paragraphs) -> tuple[np.ndarray, np.ndar
 
 def bands_of(words: np.ndarray, at: np.ndarray, p: Paragraphs) -> np.ndarray:
     """The bands of the MinHash values of the paragraphs at some places of words."""
-    runs = grams(words, p.size)[at[:, None] + np.arange(p.words - p.size + 1)]
+    runs = grams(words, p.size)[at + np.arange(p.words - p.size + 1)[:, None]]
     bands = np.zeros((len(at), p.bands), np.uint64)
     for k in range(p.rows):
         for b in range(p.bands):
             v = k * p.bands + b
-            bands[:, b] += (runs * _TIMES[v] + _PLUS[v]).min(axis=1)
+            bands[:, b] += (runs * _TIMES[v] + _PLUS[v]).min(axis=0)
         bands = mix(bands)
     return mix(bands + np.arange(p.bands, dtype=np.uint64))
 
@@ -156,27 +156,36 @@ def _slabs(texts: Iterable[str | None], words: int = 100_000) -> Iterator[tuple[
         yield first, lines, part
 
 
-@tidy
-def _places(batches: Iterable[pa.RecordBatch], p: Paragraphs) -> Iterator[pa.RecordBatch]:
+def _places(batches: Iterable[pa.RecordBatch], p: Paragraphs, more: Callable[..., dict] | None = None) -> Iterator[pa.RecordBatch]:
+    """Each paragraph's text (its columns but the text itself), start, key and check, and what `more` makes of a slab's words, the paragraphs'
+    places there and their keys."""
     for b in batches:
+        kept = [c for c in b.schema.names if c != "text"]
         for first, split, part in _slabs(b["text"].to_pylist()):
-            text, start, _, _ = anchors(part, p)
+            text, start, words, at = anchors(part, p)
             take, key = pa.array(text + first, pa.int64()), digests(split, text, start, p)
-            yield pa.RecordBatch.from_arrays([b["id"].take(take), b["loc"].take(take), pa.array(start.astype(np.int32)), pa.array(key[:, 0]), pa.array(key[:, 1])], ["id", "loc", "start", "key", "check"])
+            columns = {c: b[c].take(take) for c in kept} | {"start": start.astype(np.int32), "key": key[:, 0], "check": key[:, 1]}
+            yield pa.RecordBatch.from_pydict(columns | (more(words, at, key[:, 0]) if more else {}))
+
+
+def band_names(p: Paragraphs) -> list[str]:
+    return [f"band{k}" for k in range(p.bands)]
 
 
 @tidy
 def _banded(batches: Iterable[pa.RecordBatch], p: Paragraphs) -> Iterator[pa.RecordBatch]:
+    """Paragraphs and the bands of their MinHash values; these are null where the task has given them before, for equal words."""
     seen: set[int] = set()
-    for b in batches:
-        for first, split, part in _slabs(b["text"].to_pylist()):
-            if len(seen) > SEEN:
-                seen.clear()
-            text, start, words, at = anchors(part, p)
-            key = digests(split, text, start, p)[:, 0]
-            new = np.array([x not in seen and not seen.add(x) for x in key.tolist()], bool)
-            tag = b["tag"].to_numpy()[text[new] + first]
-            yield pa.RecordBatch.from_arrays([pa.array(bands_of(words, at[new], p).view(np.int64).ravel()), *(pa.array(np.repeat(x, p.bands)) for x in (tag, key[new]))], ["band", "tag", "key"])
+
+    def bands(words: np.ndarray, at: np.ndarray, key: np.ndarray) -> dict:
+        if len(seen) > SEEN:
+            seen.clear()
+        new = np.array([x not in seen and not seen.add(x) for x in key.tolist()], bool)
+        values = np.zeros((p.bands, len(at)), np.int64)
+        values[:, new] = bands_of(words, at[new], p).view(np.int64).T
+        return {name: pa.array(v, mask=~new) for name, v in zip(band_names(p), values, strict=True)}
+
+    yield from _places(batches, p, bands)
 
 
 def _colliding(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,31 +217,62 @@ def _live(starts: np.ndarray, values: np.ndarray) -> np.ndarray:
 def _insides(batches: Iterable[pa.RecordBatch], p: Paragraphs) -> Iterator[pa.RecordBatch]:
     """Of texts with the paragraphs that are asked of them, each paragraph's shingles."""
     for b in batches:
-        keys, out = [], []
-        for (_, words), asked in zip(hashed_texts(b["text"].to_pylist()), b["asked"].to_pylist(), strict=True):
-            keys += [a["key"] for a in asked]
-            starts = np.array([a["start"] for a in asked], np.int64)
-            out += [x.tobytes() for x in np.sort(grams(words, p.size)[starts[:, None] + np.arange(p.words - p.size + 1)], axis=1)]
-        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(out, pa.binary())], ["key", "inside"])
+        text, (key, start) = _asked(b["asked"], "key", "start")
+        for first, _, part in _slabs(b["text"].to_pylist()):
+            lo, hi = np.searchsorted(text, [first, first + len(part)])
+            words, begins = _apart(part, 0)
+            inside = np.sort(grams(words, p.size)[(begins[text[lo:hi] - first] + start[lo:hi])[:, None] + np.arange(p.words - p.size + 1)], axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(key[lo:hi]), _binary(np.full(hi - lo, 8 * inside.shape[1]), inside)], ["key", "inside"])
+
+
+def _asked(column: pa.ListArray, *names: str) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Of what is asked of each text: the text's number, ascending, and some fields."""
+    text = np.repeat(np.arange(len(column)), column.value_lengths().to_numpy())
+    asked = column.flatten()
+    return text, [asked.field(name).to_numpy() for name in names]
+
+
+def _apart(texts: list[np.ndarray], gap: int) -> tuple[np.ndarray, np.ndarray]:
+    """The words of some texts, `gap` zeros before, between and after them, and where each text begins."""
+    zeros = np.zeros(gap, texts[0].dtype)
+    lengths = np.array([len(t) for t in texts], np.int64)
+    return np.concatenate([zeros, *(x for t in texts for x in (t, zeros))]), np.cumsum(lengths + gap) - lengths
+
+
+def _binary(lengths: np.ndarray, data: np.ndarray) -> pa.BinaryArray:
+    """A column of binary values of these lengths, whose bytes data holds one after the other."""
+    ends = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+    return pa.BinaryArray.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(data))])
+
+
+def _joined(column: pa.ChunkedArray, kind: type) -> np.ndarray:
+    """The bytes of a binary column without nulls as an array of numbers, a row for each value; all are of one length."""
+    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(len(column), -1)
 
 
 def _verify(batches: Iterable[pa.RecordBatch], p: Paragraphs) -> Iterator[pa.RecordBatch]:
     for t in whole_groups(batches, ["band", "i", "j"], 4096):
         starts, n = group_starts(t, ["band", "i", "j"]), t.num_rows
         ids = t["uid"].to_numpy()
-        inside = np.frombuffer(b"".join(t["inside"].to_pylist()), np.uint64).reshape(n, -1)
+        inside = _joined(t["inside"], np.uint64)
         new = np.concatenate([np.ones((n, 1), bool), inside[:, 1:] != inside[:, :-1]], axis=1)  # repeats within a paragraph count once
-        size = new.sum(axis=1)
+        size, bits = new.sum(axis=1), np.bitwise_or.reduce(np.uint64(1) << (inside & np.uint64(63)), axis=1)
         side, same = t["side"].to_numpy(), t["i"].to_numpy() == t["j"].to_numpy()
-        found = []
+        enough = lambda common, a, b: common >= p.threshold * (size[a] + size[b] - common) - 1e-9  # noqa: B023, E731
+        maybe = []
         for a, b in _pairs(starts, n, side, same):
+            most = size[a] - np.bitwise_count(bits[a] & ~bits[b])  # a bit that the other has not is of a shingle that it has not
+            ok = enough(most, a, b)
+            maybe.append((a[ok], b[ok]))
+        if maybe:
+            a, b = (np.concatenate(x) for x in zip(*maybe, strict=True))
+            turned, new, ok = np.ascontiguousarray(inside.T), np.ascontiguousarray(new.T), np.zeros(len(a), bool)
             for s in range(0, len(a), 4096):
                 x, y = a[s : s + 4096], b[s : s + 4096]
-                common = ((inside[x][:, :, None] == inside[y][:, None, :]).any(axis=2) & new[x]).sum(axis=1)
-                ok = common >= p.threshold * (size[x] + size[y] - common) - 1e-9
-                found.append((x[ok], y[ok]))
-        if found:
-            a, b = (np.concatenate(x) for x in zip(*found, strict=True))
+                own, its = turned[:, x], turned[:, y]
+                common = sum((its == own[k]).any(axis=0) & new[k, x] for k in range(len(own)))
+                ok[s : s + 4096] = enough(common, x, y)
+            a, b = a[ok], b[ok]
             label = _labels(ids, a, b)
             to = np.flatnonzero(label != ids)
             yield pa.RecordBatch.from_arrays([pa.array(ids[to]), pa.array(label[to])], ["a", "b"])
@@ -240,8 +280,8 @@ def _verify(batches: Iterable[pa.RecordBatch], p: Paragraphs) -> Iterator[pa.Rec
 
 def _near(places: DataFrame, texts: DataFrame, p: Paragraphs) -> DataFrame:
     """(node, root): clusters of different paragraphs, by their hashes."""
-    tagged = texts.select("text", F.hash("loc").alias("tag"))
-    bands = tagged.mapInArrow(lambda it: _banded(it, p), "band long, tag int, key long")
+    banded = places.where(F.col(band_names(p)[0]).isNotNull())
+    bands = banded.select(F.explode(F.array(*band_names(p))).alias("band"), F.hash("loc").alias("tag"), "key")
     found = bands.repartition(partitions(texts.sparkSession), "band").sortWithinPartitions("band").mapInArrow(_colliding, "band long, key long")
     hits = stage(found.distinct(), "passage-hits", 10_000)
     del bands, found
@@ -268,9 +308,9 @@ class _Firsts:
     later in another text then goes no further."""
 
     def __init__(self):
-        self.known: dict[tuple, tuple[tuple, bool]] = {}
+        self.known: dict[bytes, tuple[tuple, bool]] = {}
 
-    def later(self, what: tuple, place: tuple) -> bool:
+    def later(self, what: bytes, place: tuple) -> bool:
         if len(self.known) > SEEN_BESIDE:
             self.known.clear()
         first, two = self.known.get(what, (place, False))
@@ -285,24 +325,26 @@ def _beside(batches: Iterable[pa.RecordBatch], p: Paragraphs) -> Iterator[pa.Rec
     """Of texts with paragraphs that are asked of them, the words after (side 0) and before (side 1) each, as 32-bit hashes; 0 is the text's
     end. Those that have their like earlier in the task are done: salt spreads them, and their words stay here but for how many they are."""
     reach, firsts = p.window - 1, _Firsts()
-    for b in batches:
-        take, rows, out = [], [], []
-        texts = hashed_texts(b["text"].to_pylist())
-        for k, (i, loc, asked, (_, words)) in enumerate(zip(*(b[c].to_pylist() for c in ("id", "loc", "asked")), texts, strict=True)):
-            words = np.maximum(words >> np.uint64(32), np.uint64(1)).astype(np.uint32)
-            for a in asked:
-                s = a["start"]
-                part = words[s + p.words : s + p.words + reach] if a["side"] == 0 else words[max(s - reach, 0) : s][::-1]
-                if len(part):
-                    raw = part.tobytes()
-                    done = firsts.later((a["key"], a["side"], raw), (i is None, i or 0, loc, s))
-                    take.append(k)
-                    rows.append((a["key"], a["side"], int(part[0]), 1 + loc % 1024 if done else 0, s, a["cluster"], len(part) if done else 0))
-                    out.append(b"" if done else raw.ljust(4 * reach, b"\0"))
-        cols = list(zip(*rows, strict=True)) or [[]] * 7
-        to = pa.array(take, pa.int64())
-        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32())
-        yield pa.RecordBatch.from_arrays([b["id"].take(to), b["loc"].take(to), *map(pa.array, cols, kinds), pa.array(out, pa.binary())], [x.split()[0] for x in BESIDE.split(", ")])
+    for b in batches if reach else ():
+        text, fields = _asked(b["asked"], "key", "side", "start", "cluster")
+        for first, _, part in _slabs(b["text"].to_pylist()):
+            lo, hi = np.searchsorted(text, [first, first + len(part)])
+            of, (key, side, start, cluster) = text[lo:hi], (x[lo:hi] for x in fields)
+            words, begins = _apart([np.maximum(x >> np.uint64(32), np.uint64(1)).astype(np.uint32) for x in part], reach)
+            at, both = begins[of - first] + start, np.concatenate([words, words[::-1]])
+            at = np.where(side == 0, at + p.words, len(both) - at)
+            some = np.flatnonzero(both[at])
+            of, key, side, start, cluster, at = (x[some] for x in (of, key, side, start, cluster, at))
+            beside = np.lib.stride_tricks.sliding_window_view(both, reach)[at]
+            whats = np.concatenate([key.view(np.uint32).reshape(-1, 2), side.astype(np.uint32)[:, None], beside], axis=1)
+            whats = whats.view(f"V{4 * whats.shape[1]}").ravel().tolist()
+            to = pa.array(of)
+            ids, locs = b["id"].take(to), b["loc"].take(to)
+            places = zip(ids.is_null().to_pylist(), ids.fill_null(0).to_pylist(), locs.to_pylist(), start.tolist(), strict=True)
+            done = np.fromiter(map(firsts.later, whats, places), bool, len(whats))
+            salt, over = (np.where(done, x, 0).astype(np.int32) for x in (1 + locs.to_numpy() % 1024, np.count_nonzero(beside, axis=1)))
+            cols = (key, side, beside[:, 0].astype(np.int64), salt, start, cluster, over)
+            yield pa.RecordBatch.from_arrays([ids, locs, *map(pa.array, cols), _binary(np.where(done, 0, 4 * reach), beside[~done])], [x.split()[0] for x in BESIDE.split(", ")])
 
 
 BESIDE = "id long, loc long, key long, side int, word long, salt int, start int, cluster long, done int, words binary"
@@ -344,7 +386,7 @@ def _lengthen(batches: Iterable[pa.RecordBatch], p: Paragraphs) -> Iterator[pa.R
         n = t.num_rows
         if not n:
             continue
-        words = np.frombuffer(b"".join(t["words"].to_pylist()), np.uint32).reshape(n, -1)
+        words = _joined(t["words"], np.uint32)
         group = np.zeros(n, np.int64)
         group[group_starts(t, GROUP)] = 1
         group = np.cumsum(group)
@@ -425,7 +467,7 @@ def _repeats(scan: DataFrame, files: DataFrame, id_col: str, text_col: str, p: P
     ship(scan.sparkSession)
     loc = free_name(scan, "loc")
     texts = with_loc(scan, files, loc).select(F.col(id_col).cast("long").alias("id"), F.col(loc).alias("loc"), F.col(text_col).cast("string").alias("text"))
-    places = stage(texts.mapInArrow(lambda it: _places(it, p), "id long, loc long, start int, key long, check long"), "passages")
+    places = stage(texts.mapInArrow(lambda it: _banded(it, p), ", ".join(["id long, loc long, start int, key long, check long", *(f"{x} long" for x in band_names(p))])), "passages")
     keys = places.groupBy("key").agg(F.count("*").alias("n"), F.min("check").alias("least"), F.max("check").alias("most")).where("n > 1")
     several = stage(keys.select("key", (F.col("least") != F.col("most")).alias("split")), "passage-again", 10_000)
     split = several.where("split").select("key")  # different paragraphs with one key: go by their check instead, and are near nothing
@@ -433,7 +475,7 @@ def _repeats(scan: DataFrame, files: DataFrame, id_col: str, text_col: str, p: P
     place = F.struct(F.col("id").isNull().alias("no_id"), "id", "loc", "start")
     wanted = several.unionByName(near.join(several, F.col("node") == F.col("key"), "left_anti").select(F.col("node").alias("key"), F.lit(False).alias("split")))
     wanted = stage(wanted, "passage-wanted", 10_000)
-    met = places.join(wanted, "key").withColumn("key", F.when(F.col("split"), F.xxhash64("key", "check")).otherwise(F.col("key")))
+    met = places.drop(*band_names(p)).join(wanted, "key").withColumn("key", F.when(F.col("split"), F.xxhash64("key", "check")).otherwise(F.col("key")))
     met = stage(met.drop("check", "split"), "passage-met", 10_000)  # what is like nothing else goes no further
     forget(scan.sparkSession)
     known = met.groupBy("key").agg(F.min(place).alias("first"), F.min("loc").alias("low"), F.max("loc").alias("high")).join(near, F.col("key") == F.col("node"), "left")

@@ -1,5 +1,6 @@
 """The parts of the operators that run without Spark."""
 
+import itertools
 import tracemalloc
 import zlib
 
@@ -204,6 +205,79 @@ def test_anchors_do_not_depend_on_what_is_around():
     assert len(passages.anchors([np.zeros(0, np.uint64), np.arange(3, dtype=np.uint64)], p)[0]) == 0
 
 
+def test_one_pass_gives_places_and_bands():
+    """A paragraph's place and digest always, its bands once for equal words."""
+    rng = np.random.default_rng(3)
+    p = passages.Paragraphs()
+    texts = [" ".join(f"w{k}" for k in rng.integers(0, 500, n)) for n in (300, 5, 0, 120)]
+    texts += [None, texts[0]]
+    batch = pa.RecordBatch.from_pydict({"id": pa.array([1, None, 3, 4, 5, 6]), "loc": list(range(6)), "text": texts})
+    found = pa.Table.from_batches(passages._banded([batch.slice(0, 3), batch.slice(3)], p)).to_pylist()
+    places = pa.Table.from_batches(passages._places([batch], p)).to_pylist()
+    assert [{k: r[k] for k in places[0]} for r in found] == places and {r["loc"] for r in places} == {0, 3, 5}
+    bands, met = {}, []
+    for r in found:
+        line = words.split_words(texts[r["loc"]])[r["start"] : r["start"] + p.words]
+        key, check = passages.digests([line], np.zeros(1, int), np.zeros(1, int), p)[0].tolist()
+        given = [r[name] for name in passages.band_names(p)]
+        assert (r["key"], r["check"]) == (key, check) and (given == [None] * p.bands) == (key in bands)
+        if key not in bands:
+            bands[key] = given
+            met.append((given, passages.bands_of(words.hashed_lines([words.word_line(" ".join(line))])[0], np.zeros(1, int), p)[0].view(np.int64).tolist()))
+    assert len(found) > len(met) and all(a == b for a, b in met)
+
+
+@pytest.mark.parametrize("vocab", [3, 12, 400])
+@pytest.mark.parametrize("threshold", [0.5, 0.8, 1.0])
+def test_paragraphs_are_linked_as_by_brute_force(vocab, threshold):
+    """Groups in one block and in two, with repeated shingles: the pairs that bits drop are none of those at the threshold."""
+    rng, p = np.random.default_rng(vocab), passages.Paragraphs(threshold=threshold)
+    base = rng.integers(0, vocab, (12, 16))
+    sets = words.mix(np.where(rng.random((120, 16)) < 0.06, rng.integers(0, vocab, (120, 16)), base[rng.integers(0, 12, 120)]).astype(np.uint64))
+    band, side, j = np.repeat([1, 2, 3], 40), np.arange(120) % 2, np.repeat([0, 1, 0], 40)
+    side[band != 2] = 0
+    inside = [x.tobytes() for x in np.sort(sets, axis=1)]
+    batch = pa.RecordBatch.from_pydict({"band": band, "i": np.zeros(120, int), "j": j, "side": side, "uid": np.arange(120), "inside": inside})
+    found = {(r["a"], r["b"]) for b in passages._verify([batch.slice(0, 50), batch.slice(50)], p) for r in b.to_pylist()}
+    label = list(range(120))
+    for _ in range(120):
+        old = list(label)
+        for x, y in itertools.combinations(range(120), 2):
+            a, b = set(sets[x].tolist()), set(sets[y].tolist())
+            if band[x] == band[y] and (j[x] == 0 or side[x] != side[y]) and len(a & b) >= threshold * len(a | b) - 1e-9:
+                label[x] = label[y] = min(label[x], label[y])
+        if old == label:
+            break
+    assert found == {(k, x) for k, x in enumerate(label) if k != x}
+
+
+@pytest.mark.parametrize("within", [20, 21, 50])
+def test_words_beside_paragraphs(within, monkeypatch):
+    """What is asked of several texts in one pass is what each text has there, to its ends; slabs and slices of batches change nothing."""
+    p = passages.Paragraphs(within=within)
+    reach, rng = p.window - 1, np.random.default_rng(within)
+    texts = [" ".join(f"w{k}" for k in rng.integers(0, 900, n)) for n in (20, 25, 300, 21, 90)]
+    starts = [sorted({0, n - 20, n // 2 - 10}) for n in (len(x.split()) for x in texts)]
+    asked = [[{"key": 100 * t + s, "side": side, "start": s, "cluster": t} for s in own for side in (0, 1)] for t, own in enumerate(starts)]
+    kind = pa.list_(pa.struct([("key", pa.int64()), ("side", pa.int32()), ("start", pa.int32()), ("cluster", pa.int64())]))
+    batch = pa.RecordBatch.from_arrays([pa.array([7, None, 9, 10, 11]), pa.array(range(5)), pa.array(asked, kind), pa.array(texts)], ["id", "loc", "asked", "text"])
+    expected = []
+    for t, x in enumerate(texts):
+        h = np.maximum(words.hashed_lines([x.encode()])[0] >> np.uint64(32), np.uint64(1)).astype(np.uint32)
+        for a in asked[t]:
+            part = h[a["start"] + 20 :][:reach] if a["side"] == 0 else h[max(a["start"] - reach, 0) : a["start"]][::-1]
+            if len(part):
+                expected.append((batch["id"][t].as_py(), t, a["key"], a["side"], int(part[0]), 0, a["start"], a["cluster"], 0, part.tobytes().ljust(4 * reach, b"\0")))
+    for size in (3, 100_000):
+        monkeypatch.setattr(passages._slabs, "__defaults__", (size,))
+        rows = [tuple(r.values()) for b in passages._beside([batch.slice(0, 1), batch.slice(1, 0), batch.slice(1)], p) for r in b.to_pylist()]
+        assert rows == expected and bool(rows) == (reach > 0)
+        insides = [r for b in passages._insides([batch.slice(0, 1), batch.slice(1)], p) for r in b.to_pylist()]
+        assert [r["key"] for r in insides] == [a["key"] for x in asked for a in x]
+        for r, (t, a) in zip(insides, [(t, a) for t, x in enumerate(asked) for a in x], strict=True):
+            assert r["inside"] == np.sort(passages.grams(words.hashed_lines([texts[t].encode()])[0][a["start"] : a["start"] + 20], p.size)).tobytes()
+
+
 def test_extension_over_one_edit():
     end = [0] * 3
     a = [1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12, *end]
