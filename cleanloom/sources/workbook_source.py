@@ -5,6 +5,8 @@ begins there: it decompresses what comes before only to count rows, parses its o
 one pass over the stream of all. No task holds a file, a sheet or the table of strings. Files are opened by pyarrow's file systems: local or mounted paths and
 those of object stores.
 
+Rows that are plain, as this source writes them, are made and read a batch at a time by Arrow's functions (`plain.py`); all others by an XML parser, a cell at a time.
+
 Writing. Tasks write their rows as fragments of a sheet into a folder of this write; committing joins the fragments in the order of partitions into a workbook
 that is moved into place when it is whole; aborting, and committing, removes the folder. Fragments of attempts that did not commit are never read, so a task that
 fails or runs twice leaves nothing behind.
@@ -24,14 +26,15 @@ import re
 import uuid
 import zipfile
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 from dataclasses import asdict, dataclass
-from itertools import islice
+from itertools import chain
 from typing import IO
 from xml.etree import ElementTree as ET
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import SparkSession
@@ -39,6 +42,7 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSource
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ..errors import LoaderError, Where
+from .plain import PLAIN_HEAD, ROW_END, plain_rows, row_xml
 from .workbook import MAX_NAME, MAX_ROWS, ROW, Workbook, cell, column_of, header, plain_text, workbook_parts
 
 NAME = "cleanloom_xlsx"
@@ -83,6 +87,12 @@ def _whole_tags(stream, buffer: bytes) -> tuple[bytes, bytes, bool]:
     return buffer[:cut], buffer[cut:], False
 
 
+def _unnumbered(part: bytes) -> int | None:
+    """How many rows begin in part, where all their tags are plain; None where one may have a number or a prefix."""
+    n = part.count(b"<row>")
+    return n if part.count(b"<row") == n and b":row" not in part else None
+
+
 def stretch(stream, start: int, end: int) -> Iterator[bytes | int]:
     """First the XML before a sheet's rows and the number of the row before the stretch, then the XML of the rows whose tag begins in it."""
     rest, at, head, number, inside, ended = b"", 0, None, 0, False, False
@@ -101,9 +111,33 @@ def stretch(stream, start: int, end: int) -> Iterator[bytes | int]:
             if found[0].endswith(b"/>"):
                 yield 0
                 return
-        stop = _DATA_END.search(part)
+        stop = _DATA_END.search(part) if b"sheetData" in part else None
         if stop:
             part = part[: stop.start()]
+        past = here + len(part)
+        if inside and past <= end:
+            yield part
+            if stop:
+                break
+            continue
+        if (rows := _unnumbered(part)) is not None:
+            begin = 0 if inside else part.find(b"<row>", max(0, start - here))
+            close = part.find(b"<row>", max(0, end - here)) if past > end else -1
+            if not inside:
+                number += rows if begin < 0 else part.count(b"<row>", 0, begin)
+                if begin == close >= 0:
+                    yield number
+                    return
+                if begin >= 0:
+                    yield number
+                    inside = True
+            if inside:
+                yield part[begin:] if close < 0 else part[begin:close]
+            if close >= 0:
+                return
+            if stop:
+                break
+            continue
         begin = 0 if inside else None
         for m in _ROW.finditer(part):
             place = here + m.start()
@@ -136,25 +170,31 @@ def rows_between(book: Workbook, sheet: str, start: int, end: int) -> Iterator[t
     """(number of the row from 1, its cells) of a stretch; a shared string is its number."""
     with book.open(sheet) as stream:
         parts = stretch(stream, start, end)
-        parser = ET.XMLPullParser(["start", "end"])
-        parser.feed(next(parts, b"<none>"))
-        number, data = next(parts, 0), None
-        for part in parts:
-            parser.feed(part)
-            for event, node in parser.read_events():
-                kind = plain_text(node.tag)
-                if event == "start":
-                    data = node if kind == "sheetData" else data
-                elif kind == "row":
-                    number = int(node.get("r") or number + 1)
-                    cells: list[str | int | None] = []
-                    for c in node:
-                        if plain_text(c.tag) == "c":
-                            k = column_of(c.get("r")) if c.get("r") else len(cells)
-                            cells += [None] * (k + 1 - len(cells))
-                            cells[k] = book.value(c)
-                    data.remove(node)
-                    yield number, cells
+        head = next(parts, b"<none>")
+        yield from _parsed(book, head, next(parts, 0), parts)
+
+
+def _parsed(book: Workbook, head: bytes, number: int, parts: Iterable[bytes]) -> Iterator[tuple[int, list[str | int | None]]]:
+    """The rows of parts, which begin below head and below the row of this number."""
+    parser = ET.XMLPullParser(["start", "end"])
+    parser.feed(head)
+    data = None
+    for part in parts:
+        parser.feed(part)
+        for event, node in parser.read_events():
+            kind = plain_text(node.tag)
+            if event == "start":
+                data = node if kind == "sheetData" else data
+            elif kind == "row":
+                number = int(node.get("r") or number + 1)
+                cells: list[str | int | None] = []
+                for c in node:
+                    if plain_text(c.tag) == "c":
+                        k = column_of(c.get("r")) if c.get("r") else len(cells)
+                        cells += [None] * (k + 1 - len(cells))
+                        cells[k] = book.value(c)
+                data.remove(node)
+                yield number, cells
 
 
 def strings(book: Workbook, wanted: set[int]) -> dict[int, str]:
@@ -237,20 +277,39 @@ class WorkbookReader(DataSourceReader):
         return [Stretch(path, before, k * self.split, (k + 1) * self.split if k + 1 < n else 1 << 62) for k in range(n)]
 
     def read(self, partition: Stretch) -> Iterator[pa.RecordBatch]:
+        with opened(partition.path) as book, book.open(self.sheet) as stream:
+            parts = stretch(stream, partition.start, partition.end)
+            head, number, rest = next(parts, b"<none>"), next(parts, 0), b""
+            if head == PLAIN_HEAD and not book.dated:
+                for part in parts:
+                    rest += part
+                    cut = rest.rfind(ROW_END) + len(ROW_END)
+                    if cut < len(ROW_END):
+                        continue
+                    found = plain_rows(rest[:cut], len(self.names) - 1, self.header_row - number)
+                    if found is None:
+                        break
+                    n, cols = found
+                    first, number, rest = max(number, self.header_row), number + n, rest[cut:]
+                    if number > first:
+                        ordinals = pa.array(range(first, number), pa.int64())
+                        yield pa.RecordBatch.from_arrays([pc.add(ordinals, partition.before - self.header_row), *cols], self.names)
+            yield from self._cell_by_cell(book, partition, _parsed(book, head, number, chain([rest], parts)))
+
+    def _cell_by_cell(self, book: Workbook, partition: Stretch, rows: Iterator[tuple[int, list[str | int | None]]]) -> Iterator[pa.RecordBatch]:
         ordinals: list[int] = []
         cols: list[list] = [[] for _ in self.names[1:]]
         wanted: set[int] = set()
-        with opened(partition.path) as book:
-            for number, cells in rows_between(book, self.sheet, partition.start, partition.end):
-                if number <= self.header_row:
-                    continue
-                ordinals.append(partition.before + number - self.header_row - 1)
-                for k, col in enumerate(cols):
-                    value = cells[k] if k < len(cells) else None
-                    if isinstance(value, int):
-                        wanted.add(value)
-                    col.append(value)
-            known = strings(book, wanted)
+        for number, cells in rows:
+            if number <= self.header_row:
+                continue
+            ordinals.append(partition.before + number - self.header_row - 1)
+            for k, col in enumerate(cols):
+                value = cells[k] if k < len(cells) else None
+                if isinstance(value, int):
+                    wanted.add(value)
+                col.append(value)
+        known = strings(book, wanted)
         for s in range(0, len(ordinals), BATCH):
             texts = [pa.array([known[x] if isinstance(x, int) else x for x in col[s : s + BATCH]], pa.string()) for col in cols]
             yield pa.RecordBatch.from_arrays([pa.array(ordinals[s : s + BATCH], pa.int64()), *texts], self.names)
@@ -284,8 +343,7 @@ class WorkbookWriter(DataSourceArrowWriter):
         with system.open_output_stream(f"{folder}/{name}", compression=None) as out:
             for b in iterator:
                 for s in range(0, b.num_rows, BATCH):
-                    cols = [c.to_pylist() for c in b.slice(s, BATCH).columns]
-                    out.write(packer.compress("".join(f"<row>{''.join(map(cell, row))}</row>" for row in zip(*cols, strict=True)).encode()))
+                    out.write(packer.compress(row_xml(b.slice(s, BATCH))))
                 rows += b.num_rows
             out.write(packer.flush())
         return Fragment(partition, name, rows)
@@ -333,7 +391,7 @@ _TAIL = b"</sheetData></worksheet>"
 
 
 def _head(columns: list[str]) -> bytes:
-    return f'<worksheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"><sheetData><row>{"".join(map(cell, columns))}</row>'.encode()
+    return PLAIN_HEAD + f"<row>{''.join(map(cell, columns))}</row>".encode()
 
 
 def join(sheets: list[Sheet], out) -> None:
@@ -381,23 +439,26 @@ class BooksWriter(DataSourceArrowWriter):
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Books:
         context = TaskContext.get()
         partition = context.partitionId() if context else 0
-        rows = (r for b in iterator for s in range(0, b.num_rows, BATCH) for r in zip(*(c.to_pylist() for c in b.slice(s, BATCH).columns), strict=True))
+        batches = (b.slice(s, BATCH) for b in iterator for s in range(0, b.num_rows, BATCH))
         made: list[Book] = []
-        while part := list(islice(rows, min(BATCH, self.rows))):
-            made.append(self._book(f"{partition:06d}-{len(made):06d}", part, rows))
+        rest = next(batches, None)
+        while rest is not None:
+            book, rest = self._book(f"{partition:06d}-{len(made):06d}", rest, batches)
+            made.append(book)
         return Books(partition, made)
 
-    def _book(self, place: str, part: list[tuple], rows: Iterator[tuple]) -> Book:
-        """A workbook of part and of the rows that come, until it is full."""
+    def _book(self, place: str, part: pa.RecordBatch | None, batches: Iterator[pa.RecordBatch]) -> tuple[Book, pa.RecordBatch | None]:
+        """A workbook of part and of the rows that come, until it is full; and what comes after these."""
         system, folder = file_system(self.path)
         system.create_dir(folder)
         name, n, size = f"{self.mark}-{place}-{uuid.uuid4().hex}.xlsx", 0, len(_head(self.names)) + len(_TAIL)
         with system.open_output_stream(f"{folder}/{name}", compression=None) as out, sheet_in(out, self.sheet, self.names) as f:
-            while part:
-                n += len(part)
-                size += f.write("".join(f"<row>{''.join(map(cell, row))}</row>" for row in part).encode())
-                part = list(islice(rows, min(BATCH, self.rows - n)))
-        return Book(name, n, size)
+            while part is not None and n < self.rows:
+                here = part.slice(0, self.rows - n)
+                n += here.num_rows
+                size += f.write(row_xml(here))
+                part = part.slice(here.num_rows) if here.num_rows < part.num_rows else next(batches, None)
+        return Book(name, n, size), part
 
     def commit(self, messages: list[Books | None]) -> None:
         made = [b for m in sorted((m for m in messages if m), key=lambda m: m.partition) for b in m.made]
@@ -406,7 +467,7 @@ class BooksWriter(DataSourceArrowWriter):
         if not self.overwrite and (there == fs.FileType.File or system.get_file_info(f"{folder}/{LISTED}").type == fs.FileType.File):
             self.abort([])
             raise LoaderError(f"{self.path} is there already")
-        made = made or [self._book("empty", [], iter(()))]  # for its header
+        made = made or [self._book("empty", None, iter(()))[0]]  # for its header
         with system.open_output_stream(f"{folder}/{self.mark}.json", compression=None) as out:
             out.write(json.dumps([asdict(b) for b in made]).encode())
         system.move(f"{folder}/{self.mark}.json", f"{folder}/{LISTED}")

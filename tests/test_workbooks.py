@@ -169,3 +169,66 @@ def test_a_table_of_more_rows_than_a_sheet(spark, tmp_path, monkeypatch):
     assert back.count() == 1000 and len(os.listdir(path)) == 16
     df.limit(0).write.format(NAME).option("sheet", "t").option("book_rows", 90).mode("overwrite").save(path)
     assert (empty := read_sheet(spark, path, "t")).columns == [ROW, "id", "odd name"] and empty.count() == 0
+
+
+def _cells_of(path, split, names, monkeypatch, plain):
+    from pyspark.sql.types import StringType, StructField, StructType
+
+    with monkeypatch.context() as m:
+        if not plain:
+            m.setattr(workbook_source, "PLAIN_HEAD", b"none")
+        reader = workbook_source.WorkbookReader({"path": path, "sheet": "S", "split_bytes": split}, StructType([StructField(n, StringType()) for n in [ROW, *names]]))
+        return [tuple(r.values()) for p in reader.partitions() for b in reader.read(p) for r in b.to_pylist()]
+
+
+@pytest.mark.parametrize("odd", ["", "a\rb", "<!-- x -->"])
+def test_plain_rows_are_read_as_the_parser_reads_them(tmp_path, monkeypatch, odd):
+    """Every kind of cell, made by Arrow's functions and read by them, against `cell` and the XML parser."""
+    import random
+
+    import pyarrow as pa
+
+    from cleanloom.sources.plain import PLAIN_HEAD, row_xml
+
+    seed, nan = random.Random(7), float("nan")
+    texts = ["", " ", "a<b>&amp;\"'", "x\ny\tz", "\x01n5\x1f", "é 漢 \U0001f600", "12", "<row>", "</row><row>", ":row", "sheetData", "n", "]]>", None]
+    doubles = [0.0, -0.0, 12.0, 12.5, -3.25, 1e15, 1e16, 123456789012345.6, 0.1 + 0.2, 1e-4, 1e-5, 0.00012, -1.5e-7, 1e300, 5e-324, 99999999999999.9, None, *(seed.uniform(-1e6, 1e6) for _ in range(20)), *(round(seed.uniform(0, 1e5), 2) for _ in range(20))]
+    whole = [0, -1, 7, 10**15, 10**15 - 1, -(10**15), (1 << 63) - 1, -(1 << 63), None]
+    deal = lambda values: [seed.choice(values) for _ in range(700)]
+    made = {
+        "t": pa.array(deal(texts) if not odd else [*deal(texts)[:-300], odd, *deal(texts)[:299]]), "d": pa.array(deal(doubles)), "f": pa.array(deal([1.5, nan, float("inf"), None])), "w": pa.array(deal(whole), pa.int64()),
+        "i": pa.array(deal([1, -2]), pa.int32()), "b": pa.array(deal([True, False, None])), "n": pa.array([None] * 700, pa.string()), "x": pa.array(deal([b"\x00\xff", None])), "r": pa.array(deal([0.1, None]), pa.float32()),
+    }
+    batch = pa.RecordBatch.from_pydict(made).slice(3)
+    xml = "".join(f"<row>{''.join(map(workbook.cell, r.values()))}</row>" for r in batch.to_pylist()).encode()
+    assert row_xml(batch.slice(0, 0)) == b""
+    seen = []
+    for name, rows in (("cells", xml), ("plain", row_xml(batch))):
+        rows = rows if odd != "<!-- x -->" else rows.replace(b"</row><row>", b"</row><!-- x --><row>")
+        path = str(tmp_path / f"{name}.xlsx")
+        with zipfile.ZipFile(path, "w") as z:
+            for part, text in workbook.workbook_parts(["S"]).items():
+                z.writestr(part, text)
+            z.writestr("xl/worksheets/sheet1.xml", PLAIN_HEAD + f"<row>{''.join(map(workbook.cell, made))}</row>".encode() + rows + b"</sheetData></worksheet>")
+        for chunk in (1 << 20, 5000):
+            monkeypatch.setattr(workbook_source, "CHUNK", chunk)
+            seen += [_cells_of(path, split, made, monkeypatch, plain) for split in (1 << 24, 9000) for plain in (True, False)]
+    assert len(seen[0]) == 697 and [r[0] for r in seen[0]] == list(range(697)) and all(x == seen[0] for x in seen)
+
+
+def test_plain_rows_pass_the_parser_by(tmp_path, monkeypatch):
+    """Rows of a folder of workbooks are neither made nor parsed a cell at a time, which took 10 times as long."""
+    import pyarrow as pa
+    from pyspark.sql.types import StringType, StructField, StructType
+
+    path, names = str(tmp_path / "books"), ["k", "t", "d"]
+    writer = workbook_source.BooksWriter({"path": path, "sheet": "S", "book_rows": 900}, StructType([StructField(n, StringType()) for n in names]), True)
+    batch = pa.RecordBatch.from_pydict({"k": list(range(5000)), "t": [f"a & {k}" for k in range(5000)], "d": [k / 4 for k in range(5000)]})
+    calls = []
+    monkeypatch.setattr("cleanloom.sources.plain.cell", lambda x: calls.append(x))
+    writer.commit([writer.write(iter([batch, batch.slice(0, 100)]))])
+    monkeypatch.setattr(workbook.Workbook, "value", lambda self, c: calls.append(c))
+    monkeypatch.setattr(workbook_source, "cell", lambda x: calls.append(x))
+    assert [b.rows for b in workbook_source.books(path)] == [900] * 5 + [600]
+    got = _cells_of(path, 20_000, names, monkeypatch, True)
+    assert got == [(n, str(k), f"a & {k}", workbook.number_text(str(k / 4))) for n, k in enumerate([*range(5000), *range(100)])] and not calls
